@@ -1,0 +1,358 @@
+"""The consumer: read after the checkpoint, call back, acknowledge, checkpoint.
+
+One step is three DataFrame functions: :func:`read_input` picks the shards that
+may be read and the records after their checkpoints, :func:`deliver` runs the
+callbacks, :func:`settle` turns the outcome into checkpoints, retries, dead
+letters and completed shards.  :func:`consume_once` chains them over tables;
+:func:`consume` runs a step per micro-batch.
+"""
+
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
+from datetime import UTC, datetime
+from typing import Any, NamedTuple
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from ..functions import seq_order, wall_clock
+from ..operators.acks import SHUTDOWN_DELAY_MS, checkpoints_from_acks, completed_shards
+from ..operators.leases import apply_checkpoints, close_shards, create_leases
+from ..operators.lineage import ready_shards
+from ..operators.messages import (
+    DEFAULT_BATCH_SIZE,
+    FAILED,
+    OK,
+    map_messages,
+    micro_batches,
+    route_batchers,
+    split_failed,
+    union_all,
+)
+from ..operators.resume import lowest_checkpoint, resume_read
+from ..plans import lookup_join
+from ..schemas import LEASES
+from ..sources.lease_store import LeaseStore
+from ..sources.records import read_limited, read_table
+
+# messages waiting for another attempt
+PENDING = T.StructType(
+    [
+        T.StructField("app_name", T.StringType()),
+        T.StructField("shard_id", T.StringType()),
+        T.StructField("sequence_number", T.StringType()),
+        T.StructField("partition_key", T.StringType()),
+        T.StructField("data", T.StringType()),
+        T.StructField("arrival_ts", T.TimestampNTZType()),
+        T.StructField("attempt", T.LongType()),
+    ]
+)
+# when each shard last had a successful message
+LAST_OK = T.StructType(
+    [
+        T.StructField("app_name", T.StringType()),
+        T.StructField("shard_id", T.StringType()),
+        T.StructField("ack_ts", T.TimestampNTZType()),
+    ]
+)
+_INPUT = [f.name for f in PENDING.fields]
+
+
+@dataclass(frozen=True)
+class Handlers:
+    """The user's side.
+
+    ``on_message``: mapping of columns to expressions, or DataFrame -> DataFrame,
+    applied to every message; ``batcher``: expression naming a message's batcher;
+    ``on_batch``: DataFrame -> DataFrame over the messages with ``batcher``,
+    ``batch_no`` and ``position`` (``map_batches`` calls a function per batch).
+    Either marks a message as failed by ``status``.  ``context`` is passed to
+    both as keyword arguments.
+    """
+
+    on_message: Callable[..., DataFrame] | Mapping[str, Column] | None = None
+    on_batch: Callable[..., DataFrame] | None = None
+    batcher: Column | None = None
+    batch_size: int | Mapping[str, int] = DEFAULT_BATCH_SIZE
+    context: dict[str, Any] = field(default_factory=dict)
+
+
+class ConsumeState(NamedTuple):
+    """What a step leaves for the next one."""
+
+    leases: DataFrame
+    pending: DataFrame
+    last_ok: DataFrame
+
+    @staticmethod
+    def empty(spark: SparkSession) -> "ConsumeState":
+        return ConsumeState(
+            spark.createDataFrame([], LEASES),
+            spark.createDataFrame([], PENDING),
+            spark.createDataFrame([], LAST_OK),
+        )
+
+
+class StepResult(NamedTuple):
+    """``messages``: every message of the step with its outcome;
+    ``dead_letters``: those given up; ``state``: for the next step."""
+
+    messages: DataFrame
+    dead_letters: DataFrame
+    state: ConsumeState
+
+
+def held_leases(
+    shards: DataFrame, leases: DataFrame, app_name: str, worker: str
+) -> tuple[DataFrame, DataFrame]:
+    """The lease table with a lease for every shard that starts and had none,
+    and the leases the worker reads from now on."""
+    starting = ready_shards(shards, leases, app_name).where(F.col("action") == "start")
+    starting = starting.select(F.lit(app_name).alias("app_name"), "shard_id")
+    requests = starting.join(leases, ["app_name", "shard_id"], "left_anti").select(
+        "app_name",
+        "shard_id",
+        F.lit(0).cast("long").alias("request_seq"),
+        F.lit(worker).alias("worker"),
+    )
+    leases = create_leases(leases, requests).leases
+    mine = leases.where((F.col("lease_owner") == worker) & ~F.col("completed")).join(
+        starting, ["app_name", "shard_id"], "left_semi"
+    )
+    return leases, mine
+
+
+def read_input(
+    records: DataFrame,
+    mine: DataFrame,
+    pending: DataFrame,
+    app_name: str,
+    limit: int | None = None,
+) -> DataFrame:
+    """Messages of this step: the pending ones of the leases held, and up to
+    ``limit`` new records per shard after its checkpoint.  A pending record
+    after the checkpoint is not read a second time."""
+    retries = pending.where(F.col("app_name") == app_name).withColumn(
+        "attempt", F.col("attempt") + 1
+    )
+    held = mine.select("app_name", "shard_id")
+    retries = lookup_join(
+        retries, held, ["app_name", "shard_id"], "left_semi", salt_by=["sequence_number"]
+    )
+    waiting = retries.select("shard_id", "sequence_number")
+    new = resume_read(records, mine, app_name).join(
+        waiting, ["shard_id", "sequence_number"], "left_anti"
+    )
+    if limit is not None:
+        new = read_limited(new, limit)
+    new = new.withColumn("attempt", F.lit(0).cast("long"))
+    return retries.select(*_INPUT).unionByName(new.select(*_INPUT))
+
+
+def deliver(messages: DataFrame, handlers: Handlers) -> DataFrame:
+    """Run the callbacks.  A message that fails in ``on_message`` reaches no
+    batch (``batcher``, ``batch_no`` and ``position`` are NULL)."""
+    mapped = map_messages(messages, handlers.on_message, **handlers.context)
+    good, bad = split_failed(mapped)
+    batched = micro_batches(route_batchers(good, handlers.batcher), handlers.batch_size)
+    if handlers.on_batch is not None:
+        batched = handlers.on_batch(batched, **handlers.context)
+    return union_all([batched, bad])
+
+
+def settle(
+    messages: DataFrame,
+    state: ConsumeState,
+    shards: DataFrame,
+    records: DataFrame,
+    app_name: str,
+    worker: str,
+    as_of: datetime,
+    max_attempts: int | None = None,
+    shutdown_delay_ms: int = SHUTDOWN_DELAY_MS,
+) -> tuple[DataFrame, ConsumeState]:
+    """Dead letters and the state after a step.
+
+    The checkpoint of a shard becomes its last successful message.  It never
+    goes back: a success of a retry does not rewind a shard that is further on.
+    """
+    now = wall_clock(as_of)
+    acks = messages.select(
+        "app_name",
+        "shard_id",
+        F.lit(0).cast("long").alias("ack_id"),
+        seq_order("sequence_number").alias("position"),
+        "sequence_number",
+        "status",
+    )
+    checkpoints = (
+        checkpoints_from_acks(acks)
+        .where(F.col("checkpoint").isNotNull())
+        .select(
+            "app_name",
+            "shard_id",
+            F.lit(0).cast("long").alias("request_seq"),
+            F.lit(worker).alias("worker"),
+            "checkpoint",
+        )
+    )
+    leases = apply_checkpoints(state.leases, checkpoints, monotonic=True).leases
+
+    failed = messages.where(F.col("status") == FAILED)
+    spent = F.lit(False) if max_attempts is None else F.col("attempt") + 1 >= max_attempts
+    dead = failed.where(spent)
+    others = state.pending.join(
+        messages.select("app_name", "shard_id", "sequence_number"),
+        ["app_name", "shard_id", "sequence_number"],
+        "left_anti",
+    )
+    pending = failed.where(~spent).select(*_INPUT).unionByName(others.select(*_INPUT))
+
+    ok_now = (
+        messages.where(F.col("status") == OK)
+        .select("app_name", "shard_id")
+        .distinct()
+        .withColumn("ack_ts", now)
+    )
+    last_ok = (
+        state.last_ok.unionByName(ok_now)
+        .groupBy("app_name", "shard_id")
+        .agg(F.max("ack_ts").alias("ack_ts"))
+    )
+    known = union_all(
+        [
+            pending.select(
+                "app_name",
+                "shard_id",
+                "sequence_number",
+                "attempt",
+                F.lit(FAILED).alias("status"),
+                F.lit(None).cast("timestamp_ntz").alias("ack_ts"),
+            ),
+            last_ok.select(
+                "app_name",
+                "shard_id",
+                F.lit("").alias("sequence_number"),
+                F.lit(0).cast("long").alias("attempt"),
+                F.lit(OK).alias("status"),
+                "ack_ts",
+            ),
+        ]
+    )
+    done = (
+        completed_shards(shards, leases, records, known, app_name, now, shutdown_delay_ms)
+        .where("completed")
+        .select(
+            "app_name",
+            "shard_id",
+            F.lit(0).cast("long").alias("request_seq"),
+            F.lit(worker).alias("worker"),
+        )
+    )
+    leases = close_shards(leases, done).leases
+    return dead, ConsumeState(leases, pending, last_ok)
+
+
+def consume_once(
+    records: DataFrame,
+    shards: DataFrame,
+    state: ConsumeState,
+    app_name: str,
+    worker: str,
+    as_of: datetime,
+    handlers: Handlers = Handlers(),
+    limit: int | None = None,
+    max_attempts: int | None = None,
+    shutdown_delay_ms: int = SHUTDOWN_DELAY_MS,
+) -> StepResult:
+    """One step over tables.  Nothing is written; callbacks run whenever a
+    result is computed, so write ``messages`` first if they must run once."""
+    leases, mine = held_leases(shards, state.leases, app_name, worker)
+    messages = deliver(read_input(records, mine, state.pending, app_name, limit), handlers)
+    dead, after = settle(
+        messages,
+        state._replace(leases=leases),
+        shards,
+        records,
+        app_name,
+        worker,
+        as_of,
+        max_attempts,
+        shutdown_delay_ms,
+    )
+    return StepResult(messages, dead, after)
+
+
+def consume(
+    spark: SparkSession,
+    records_path: str,
+    listing: Callable[[], DataFrame],
+    state_path: str,
+    output_path: str,
+    app_name: str,
+    worker: str,
+    handlers: Handlers = Handlers(),
+    limit: int | None = None,
+    max_attempts: int | None = None,
+    shutdown_delay_ms: int = SHUTDOWN_DELAY_MS,
+    trigger: Mapping[str, Any] | None = None,
+    max_files_per_trigger: int | None = None,
+    clock: Callable[[], datetime] = lambda: datetime.now(UTC),
+) -> StreamingQuery:
+    """Start a streaming query that consumes the table at ``records_path``
+    (written by ``write_records``).  All paths are folders every executor sees.
+
+    New files only wake the step up; what it reads is decided by the lease
+    checkpoints, so records held back by ``limit`` or by a parent shard that is
+    still open are not lost.  Messages are written first, under the number of
+    the micro-batch, then dead letters, then the state: a repeated micro-batch
+    starts from the state before it and replaces its own output.  ``listing``
+    gives the current shard listing and is called once per step.
+    """
+    stores = ConsumeState(
+        LeaseStore(spark, f"{state_path}/leases", LEASES),
+        LeaseStore(spark, f"{state_path}/pending", PENDING),
+        LeaseStore(spark, f"{state_path}/last_ok", LAST_OK),
+    )
+
+    def step(_wake_up: DataFrame, batch_id: int) -> None:
+        before = ConsumeState(*(s.read(before=batch_id) for s in stores))
+        shards = listing()
+        leases, mine = held_leases(shards, before.leases, app_name, worker)
+        records = read_table(spark, records_path)
+        unread = read_table(spark, records_path, lowest_checkpoint(mine, app_name))
+        to_do = read_input(unread, mine, before.pending, app_name, limit)
+        target = f"{output_path}/messages/app={app_name}/batch={batch_id}"
+        deliver(to_do, handlers).write.mode("overwrite").parquet(target)
+        messages = spark.read.parquet(target)
+        dead, after = settle(
+            messages,
+            before._replace(leases=leases),
+            shards,
+            records,
+            app_name,
+            worker,
+            clock(),
+            max_attempts,
+            shutdown_delay_ms,
+        )
+        dead.write.mode("overwrite").parquet(
+            f"{output_path}/dead_letters/app={app_name}/batch={batch_id}"
+        )
+        for store, table in zip(stores, after, strict=True):
+            store.write(batch_id, table)
+
+    reader = spark.readStream.schema(read_table(spark, records_path).schema)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return (
+        reader.parquet(records_path)
+        .select("shard_id")
+        .writeStream.queryName(f"consume-{app_name}")
+        .option("checkpointLocation", f"{state_path}/query")
+        .trigger(**(trigger or {"processingTime": "5 seconds"}))
+        .foreachBatch(step)
+        .start()
+    )
