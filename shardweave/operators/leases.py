@@ -7,13 +7,14 @@ same lease, the first by ``request_seq`` does and the others fail.  For logs in
 which later commands build on earlier ones see :func:`fold_leases`.
 """
 
-from typing import NamedTuple
+from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import plus_millis, seq_after
-from ..plans import lookup_join
+from ..functions import plus_millis, seq_after, seq_order
+from ..plans import fits_broadcast, lookup_join
 from ..plans.numbering import SLICE_ROWS, slice_groups
 
 KEY = ["app_name", "shard_id"]
@@ -21,19 +22,24 @@ LEASE_EXPIRY_MS = 90_001
 LEASE_RENEW_INTERVAL_MS = 30_000
 
 
-class LeaseChange(NamedTuple):
+class LeaseChange:
     """``outcomes``: one row per request with its ``outcome``; ``leases``: the
-    lease table afterwards."""
+    lease table afterwards.  The outcomes are planned when asked for."""
 
-    outcomes: DataFrame
-    leases: DataFrame
+    def __init__(self, leases: DataFrame, outcomes: Callable[[], DataFrame]):
+        self.leases = leases
+        self._plan_outcomes = outcomes
 
+    @cached_property
+    def outcomes(self) -> DataFrame:
+        return self._plan_outcomes()
 
-def _with_lease(requests: DataFrame, leases: DataFrame) -> DataFrame:
+
+def _with_lease(requests: DataFrame, leases: DataFrame, fits: bool) -> DataFrame:
     """Requests with the lease they aim at as struct ``lease`` (NULL if none)."""
     values = [c for c in leases.columns if c not in KEY]
     current = leases.select(*KEY, F.struct(*values).alias("lease"))
-    return lookup_join(requests, current, KEY, salt_by=["request_seq"])
+    return lookup_join(requests, current, KEY, salt_by=["request_seq"], fits=fits)
 
 
 def _judge(
@@ -48,23 +54,29 @@ def _judge(
     columns to expressions over the winning request's columns and ``lease``.
     With ``one_winner`` only the first request that holds succeeds; otherwise
     all do and the last one's values stay."""
-    judged = _with_lease(requests, leases).withColumn(
+    fits = fits_broadcast(leases)
+    judged = _with_lease(requests, leases, fits).withColumn(
         "_holds", F.coalesce(holds, F.lit(False))
     )
     pick = F.min_by if one_winner else F.max_by
     new = F.struct("request_seq", *[e.alias(c) for c, e in changes.items()])
+    # at most one row per lease, so it fits wherever the leases do
     winners = (
         judged.where("_holds").groupBy(*KEY).agg(pick(new, "request_seq").alias("_won"))
     )
-    if one_winner:
-        first = winners.select(*KEY, F.col("_won.request_seq").alias("_first"))
-        judged = lookup_join(judged, first, KEY, salt_by=["request_seq"]).withColumn(
-            "_holds", F.col("_holds") & (F.col("request_seq") == F.col("_first"))
+
+    def outcomes() -> DataFrame:
+        rows = judged
+        if one_winner:
+            first = winners.select(*KEY, F.col("_won.request_seq").alias("_first"))
+            rows = lookup_join(rows, first, KEY, salt_by=["request_seq"], fits=fits).withColumn(
+                "_holds", F.col("_holds") & (F.col("request_seq") == F.col("_first"))
+            )
+        return rows.select(
+            *requests.columns,
+            F.when(F.col("_holds"), F.lit("ok")).otherwise(F.lit(failure)).alias("outcome"),
         )
-    outcomes = judged.select(
-        *requests.columns,
-        F.when(F.col("_holds"), F.lit("ok")).otherwise(F.lit(failure)).alias("outcome"),
-    )
+
     after = leases.join(winners, KEY, "left").select(
         *[
             F.when(F.col("_won").isNotNull(), F.col(f"_won.{c}")).otherwise(F.col(c)).alias(c)
@@ -73,14 +85,14 @@ def _judge(
             for c in leases.columns
         ]
     )
-    return LeaseChange(outcomes, after)
+    return LeaseChange(after, outcomes)
 
 
 def create_leases(leases: DataFrame, requests: DataFrame) -> LeaseChange:
     """Requests ``(app_name, shard_id, request_seq, worker)``: create the lease
     with the worker as owner and count 1, unless it exists
     (``already_exists``)."""
-    seen = _with_lease(requests, leases)
+    seen = _with_lease(requests, leases, fits_broadcast(leases))
     first = (
         seen.where(F.col("lease").isNull())
         .groupBy(*KEY)
@@ -89,14 +101,17 @@ def create_leases(leases: DataFrame, requests: DataFrame) -> LeaseChange:
             F.min_by("worker", "request_seq").alias("_worker"),
         )
     )
-    outcomes = lookup_join(
-        seen, first.select(*KEY, "_first"), KEY, salt_by=["request_seq"]
-    ).select(
-        *requests.columns,
-        F.when(F.col("request_seq") == F.col("_first"), F.lit("ok"))
-        .otherwise(F.lit("already_exists"))
-        .alias("outcome"),
-    )
+
+    def outcomes() -> DataFrame:
+        return lookup_join(
+            seen, first.select(*KEY, "_first"), KEY, salt_by=["request_seq"]
+        ).select(
+            *requests.columns,
+            F.when(F.col("request_seq") == F.col("_first"), F.lit("ok"))
+            .otherwise(F.lit("already_exists"))
+            .alias("outcome"),
+        )
+
     created = first.select(
         *KEY,
         F.lit(None).cast("string").alias("checkpoint"),
@@ -104,7 +119,7 @@ def create_leases(leases: DataFrame, requests: DataFrame) -> LeaseChange:
         F.lit(1).cast("long").alias("lease_count"),
         F.lit(False).alias("completed"),
     )
-    return LeaseChange(outcomes, leases.unionByName(created))
+    return LeaseChange(leases.unionByName(created), outcomes)
 
 
 def renew_leases(leases: DataFrame, requests: DataFrame) -> LeaseChange:
@@ -148,43 +163,28 @@ def apply_checkpoints(
     higher one unless ``monotonic``: then it is accepted and changes nothing."""
     requests = requests.withColumnRenamed("checkpoint", "new_checkpoint")
     holds = F.col("lease.lease_owner") == F.col("worker")
+    value = F.col("new_checkpoint")
     if not monotonic:
-        change = _judge(
-            requests,
-            leases,
-            holds,
-            "lease_owner_match",
-            False,
-            {"checkpoint": F.col("new_checkpoint")},
-        )
+        change = _judge(requests, leases, holds, "lease_owner_match", False, {"checkpoint": value})
+        after = change.leases
     else:
-        outcomes = _judge(
-            requests, leases, holds, "lease_owner_match", False, {"checkpoint": F.lit(None)}
-        ).outcomes
+        change = _judge(requests, leases, holds, "lease_owner_match", False, {})
         best = (
-            outcomes.where((F.col("outcome") == "ok") & F.col("new_checkpoint").isNotNull())
+            change.outcomes.where((F.col("outcome") == "ok") & value.isNotNull())
             .groupBy(*KEY)
-            .agg(
-                F.max_by(
-                    "new_checkpoint",
-                    F.struct(F.length("new_checkpoint"), F.col("new_checkpoint")),
-                ).alias("_best")
-            )
+            .agg(F.max_by(value, seq_order(value)).alias("_best"))
         )
         ahead = F.col("_best").isNotNull() & (
             F.col("checkpoint").isNull() | seq_after("_best", "checkpoint")
         )
-        after = leases.join(best, KEY, "left").select(
-            *[
-                F.when(ahead, F.col("_best")).otherwise(F.col(c)).alias(c)
-                if c == "checkpoint"
-                else F.col(c)
-                for c in leases.columns
-            ]
+        newest = F.when(ahead, F.col("_best")).otherwise(F.col("checkpoint"))
+        after = (
+            leases.join(best, KEY, "left")
+            .withColumn("checkpoint", newest)
+            .select(*leases.columns)
         )
-        change = LeaseChange(outcomes, after)
     return LeaseChange(
-        change.outcomes.withColumnRenamed("new_checkpoint", "checkpoint"), change.leases
+        after, lambda: change.outcomes.withColumnRenamed("new_checkpoint", "checkpoint")
     )
 
 

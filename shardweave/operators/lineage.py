@@ -2,16 +2,13 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import seq_order
 from ..plans import cut_lineage, lookup_join, number_rows
 from ..plans.numbering import SLICE_ROWS
 
-# peeling steps planned together before the lineage is cut and progress is checked
-_LEVELS_PER_ROUND = 3
-
 
 def shard_edges(shards: DataFrame) -> DataFrame:
     """``(parent, child, kind)``: an edge from the parent, and one from the
@@ -120,6 +117,20 @@ def ready_shards(
     )
 
 
+def _with_known_parents(edges: DataFrame, generations: DataFrame) -> DataFrame:
+    """Hand the generations found last to the edges that leave those shards,
+    and note per child how many parents are still without one.  A child has at
+    most a few parents, so the windows are small."""
+    found = generations.select(F.col("shard_id").alias("parent"), F.col("generation").alias("_g"))
+    of_child = Window.partitionBy("child")
+    return (
+        lookup_join(edges, found, ["parent"], salt_by=["child"])
+        .select("parent", "child", F.coalesce("from_gen", "_g").alias("from_gen"))
+        .withColumn("n_open", F.count_if(F.col("from_gen").isNull()).over(of_child))
+        .withColumn("last", F.max("from_gen").over(of_child))
+    )
+
+
 def _peel(shards: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Generations of all vertices that are not in or below a cycle, and the
     edges that stay unpeeled.
@@ -127,50 +138,30 @@ def _peel(shards: DataFrame) -> tuple[DataFrame, DataFrame]:
     Each step takes the children whose parents all have a generation, hands
     their generation to their own children and drops their edges, so the edge
     table shrinks from step to step.  The number of steps is the depth of the
-    lineage, not its size.
+    lineage, not its size, and each step is one job that reads what the step
+    before wrote.
     """
     edges = shard_edges(shards).select("parent", "child").distinct()
-    vertices = shard_vertices(shards)
-    roots = vertices.join(
-        edges.select(F.col("child").alias("shard_id")), "shard_id", "left_anti"
-    ).select("shard_id", F.lit(0).alias("generation"))
-    roots = cut_lineage(roots)
-    open_edges = cut_lineage(_hand_down(edges.withColumn("from_gen", F.lit(None).cast("int")), roots))
+    roots = cut_lineage(
+        shard_vertices(shards)
+        .join(edges.select(F.col("child").alias("shard_id")), "shard_id", "left_anti")
+        .select("shard_id", F.lit(0).alias("generation"))
+    )
     peeled = [roots]
-    while not open_edges.isEmpty():
-        found = []
-        for _ in range(_LEVELS_PER_ROUND):
-            ready = (
-                open_edges.groupBy("child")
-                .agg(
-                    F.count(F.lit(1)).alias("n"),
-                    F.count("from_gen").alias("n_known"),
-                    F.max("from_gen").alias("last"),
-                )
-                .where(F.col("n") == F.col("n_known"))
-                .select(
-                    F.col("child").alias("shard_id"), (F.col("last") + 1).cast("int").alias("generation")
-                )
-            )
-            found.append(ready)
-            rest = open_edges.join(
-                ready.select(F.col("shard_id").alias("child")), "child", "left_anti"
+    edges = cut_lineage(_with_known_parents(edges.withColumn("from_gen", F.lit(None).cast("int")), roots))
+    while True:
+        ready = (
+            edges.where(F.col("n_open") == 0)
+            .select(
+                F.col("child").alias("shard_id"),
+                (F.col("last") + 1).cast("int").alias("generation"),
             )
-            open_edges = _hand_down(rest, ready)
-        level = cut_lineage(reduce(DataFrame.unionByName, found))
-        if level.isEmpty():
-            break
-        peeled.append(level)
-        open_edges = cut_lineage(open_edges)
-    return reduce(DataFrame.unionByName, peeled), open_edges
-
-
-def _hand_down(edges: DataFrame, generations: DataFrame) -> DataFrame:
-    """Fill ``from_gen`` of edges whose parent now has a generation."""
-    known = generations.select(F.col("shard_id").alias("parent"), F.col("generation").alias("_g"))
-    return edges.join(known, "parent", "left").select(
-        "parent", "child", F.coalesce("from_gen", "_g").alias("from_gen")
-    )
+            .distinct()
+        )
+        if ready.isEmpty():
+            return reduce(DataFrame.unionByName, peeled), edges
+        peeled.append(ready)
+        edges = cut_lineage(_with_known_parents(edges.where(F.col("n_open") > 0), ready))
 
 
 def shard_generations(shards: DataFrame) -> DataFrame:

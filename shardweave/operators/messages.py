@@ -74,13 +74,15 @@ def micro_batches(
     batch_size: int | Mapping[str, int] = DEFAULT_BATCH_SIZE,
     by: Iterable[str] = ("shard_id", "batcher"),
     slice_rows: int = SLICE_ROWS,
+    total: int | None = None,
 ) -> DataFrame:
     """Give each message ``batch_no`` and ``position``, both from 0.
 
     Consecutive messages of a shard and batcher, in sequence order, form
     batches of ``batch_size``; the last may be short.  ``batch_size`` may be
     given per batcher.  A hot shard is numbered slice by slice, so it never
-    passes through one task.
+    passes through one task.  ``total`` is a bound on the number of messages,
+    if known.
     """
     by = list(by)
     if isinstance(batch_size, Mapping):
@@ -89,7 +91,7 @@ def micro_batches(
     else:
         size = F.lit(batch_size)
     numbered = number_rows(
-        msgs, by, [seq_order("sequence_number")], name="_rn", slice_rows=slice_rows
+        msgs, by, [seq_order("sequence_number")], "_rn", slice_rows, total=total
     )
     index = F.col("_rn") - 1
     return numbered.select(

@@ -1,8 +1,8 @@
 """Physical-plan building blocks shared by the operators: size-checked joins,
 exact row numbers over skewed groups, reliable lineage cuts."""
 
-from .joins import lookup_join
+from .joins import fits_broadcast, lookup_join
 from .lineage_cut import cut_lineage
 from .numbering import Slicing, number_rows, slice_groups
 
-__all__ = ["Slicing", "cut_lineage", "lookup_join", "number_rows", "slice_groups"]
+__all__ = ["Slicing", "cut_lineage", "fits_broadcast", "lookup_join", "number_rows", "slice_groups"]

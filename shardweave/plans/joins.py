@@ -21,19 +21,23 @@ def lookup_join(
     on: Sequence[str],
     how: str = "left",
     salt_by: Sequence[str] = (),
+    fits: bool | None = None,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
     """Join ``facts`` with ``lookup`` on equal columns ``on``.
 
-    The lookup is counted (up to the bound).  Within the bound it is broadcast
-    and the facts are not shuffled.  Beyond it both sides are shuffled on
-    ``on`` plus a salt: the salt of a fact is a hash of ``salt_by``, every
-    lookup row is repeated once per salt, so the rows of a hot key spread over
-    ``salts`` tasks.  The result is the same either way.
+    The lookup is counted, up to the bound, unless the caller knows whether it
+    ``fits``.  Within the bound it is broadcast and the facts are not shuffled.
+    Beyond it both sides are shuffled on ``on`` plus a salt: the salt of a fact
+    is a hash of ``salt_by``, every lookup row is repeated once per salt, so the
+    rows of a hot key spread over ``salts`` tasks, and adaptive execution splits
+    what is still too large.  The result is the same either way.
     """
     on = list(on)
-    if fits_broadcast(lookup, max_broadcast_rows):
+    if fits is None:
+        fits = fits_broadcast(lookup, max_broadcast_rows)
+    if fits:
         return facts.join(F.broadcast(lookup), on, how)
     if not salt_by:
         return facts.join(lookup, on, how)

@@ -54,12 +54,15 @@ def slice_groups(
     order: Sequence[Column],
     slice_rows: int = SLICE_ROWS,
     max_pivots: int = MAX_PIVOTS,
+    total: int | None = None,
 ) -> Slicing:
     """Cut the groups of ``df`` into order-consecutive slices of about
     ``slice_rows`` rows.  ``(group, order)`` should identify a row; copies of
-    one row stay in one slice."""
+    one row stay in one slice.  ``total`` is the number of rows, or a bound on
+    it, where the caller has it; otherwise they are counted."""
     group = list(group)
-    total = df.count()
+    if total is None:
+        total = df.count()
     if total <= slice_rows:
         whole = df.withColumn("_slice", F.lit(0)).withColumn("_cut", F.lit(False))
         return Slicing(whole, many=False)
@@ -94,14 +97,18 @@ def number_rows(
     name: str = "rn",
     slice_rows: int = SLICE_ROWS,
     max_pivots: int = MAX_PIVOTS,
+    total: int | None = None,
+    first: int | None = None,
 ) -> DataFrame:
-    """Add ``name``: the 1-based position of each row inside its group."""
+    """Add ``name``: the 1-based position of each row inside its group.  With
+    ``first``, only rows up to that position are kept; slices that begin beyond
+    it are dropped before the shuffle."""
     group = list(group)
-    cut = slice_groups(df, group, order, slice_rows, max_pivots)
-    inside = F.row_number().over(Window.partitionBy(*group, "_slice").orderBy(*order))
+    cut = slice_groups(df, group, order, slice_rows, max_pivots, total)
     if not cut.many:
         plain = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-        return df.withColumn(name, plain.cast("long"))
+        numbered = df.withColumn(name, plain.cast("long"))
+        return numbered if first is None else numbered.where(F.col(name) <= first)
 
     earlier = (
         Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -115,9 +122,12 @@ def number_rows(
         .where(F.col("_before").isNotNull())
         .select(*group, "_slice", "_before")
     )
-    return (
-        cut.rows.withColumn("_inside", inside)
-        .join(F.broadcast(offsets), [*group, "_slice"], "left")
-        .withColumn(name, (F.col("_inside") + F.coalesce("_before", F.lit(0))).cast("long"))
-        .drop("_slice", "_cut", "_inside", "_before")
+    before = F.coalesce("_before", F.lit(0))
+    rows = cut.rows.join(F.broadcast(offsets), [*group, "_slice"], "left")
+    if first is not None:
+        rows = rows.where(before < first)
+    inside = F.row_number().over(Window.partitionBy(*group, "_slice").orderBy(*order))
+    numbered = rows.withColumn(name, (inside + before).cast("long")).drop(
+        "_slice", "_cut", "_before"
     )
+    return numbered if first is None else numbered.where(F.col(name) <= first)

@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import seq_after, seq_at_or_after, seq_order
+from ..plans import number_rows
+from ..plans.numbering import SLICE_ROWS
 
 POSITIONS = ("trim_horizon", "at_sequence_number", "after_sequence_number", "latest")
 POLL_INTERVAL_MS = 5_000
 
 # Spark limits each map task's rows per group before the shuffle up to this rank
 _GROUP_LIMIT_RANK = 1_000
-_LIMIT_SALTS = 64
 
 
 def encode_records(df: DataFrame, key_col: str) -> DataFrame:
@@ -79,27 +80,21 @@ def read_records(records: DataFrame, position: str, seq: str | None = None) -> D
 
 
 def read_limited(
-    records: DataFrame, n: int, by: Sequence[str] = ("shard_id",), salts: int = _LIMIT_SALTS
+    records: DataFrame, n: int, by: Sequence[str] = ("shard_id",), slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """At most ``n`` records of each shard, oldest first.
 
     Up to rank 1,000 Spark keeps only the first ``n`` rows per shard of every
-    map task before it shuffles.  For larger ``n`` the rows of a shard are first
-    ranked in ``salts`` parts; only the first ``n`` of each part can be among
-    the first ``n`` of the shard, so no task sees a whole hot shard.
+    map task before it shuffles.  For larger ``n`` the shards are cut into
+    slices and slices that begin beyond ``n`` are dropped before the shuffle, so
+    no task sees a whole hot shard.
     """
     order = seq_order("sequence_number")
-    first = records
     if n > _GROUP_LIMIT_RANK:
-        part = Window.partitionBy(*by, "_part").orderBy(order)
-        first = (
-            records.withColumn("_part", F.pmod(F.xxhash64("sequence_number"), F.lit(salts)))
-            .withColumn("_rn", F.row_number().over(part))
-            .where(F.col("_rn") <= n)
-            .drop("_part", "_rn")
-        )
+        ranked = number_rows(records, by, [order], "_rn", slice_rows, first=n)
+        return ranked.drop("_rn")
     rank = F.row_number().over(Window.partitionBy(*by).orderBy(order))
-    return first.withColumn("_rn", rank).where(F.col("_rn") <= n).drop("_rn")
+    return records.withColumn("_rn", rank).where(F.col("_rn") <= n).drop("_rn")
 
 
 def poll_pacing(

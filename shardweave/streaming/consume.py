@@ -32,7 +32,8 @@ from ..operators.messages import (
     union_all,
 )
 from ..operators.resume import lowest_checkpoint, resume_read
-from ..plans import lookup_join
+from ..plans import cut_lineage, lookup_join
+from ..plans.numbering import SLICE_ROWS
 from ..schemas import LEASES
 from ..sources.lease_store import LeaseStore
 from ..sources.records import read_limited, read_table
@@ -117,11 +118,11 @@ def held_leases(
         F.lit(0).cast("long").alias("request_seq"),
         F.lit(worker).alias("worker"),
     )
-    leases = create_leases(leases, requests).leases
+    leases = cut_lineage(create_leases(leases, requests).leases)
     mine = leases.where((F.col("lease_owner") == worker) & ~F.col("completed")).join(
         starting, ["app_name", "shard_id"], "left_semi"
     )
-    return leases, mine
+    return leases, cut_lineage(mine)
 
 
 def read_input(
@@ -153,10 +154,19 @@ def read_input(
 
 def deliver(messages: DataFrame, handlers: Handlers) -> DataFrame:
     """Run the callbacks.  A message that fails in ``on_message`` reaches no
-    batch (``batcher``, ``batch_no`` and ``position`` are NULL)."""
+    batch (``batcher``, ``batch_no`` and ``position`` are NULL).
+
+    Numbering many messages reads them several times, so then the outcome of
+    ``on_message`` is written first and the callback still runs once.
+    """
+    total = messages.count()
     mapped = map_messages(messages, handlers.on_message, **handlers.context)
+    if total > SLICE_ROWS:
+        mapped = cut_lineage(mapped)
     good, bad = split_failed(mapped)
-    batched = micro_batches(route_batchers(good, handlers.batcher), handlers.batch_size)
+    batched = micro_batches(
+        route_batchers(good, handlers.batcher), handlers.batch_size, total=total
+    )
     if handlers.on_batch is not None:
         batched = handlers.on_batch(batched, **handlers.context)
     return union_all([batched, bad])
@@ -267,10 +277,12 @@ def consume_once(
     max_attempts: int | None = None,
     shutdown_delay_ms: int = SHUTDOWN_DELAY_MS,
 ) -> StepResult:
-    """One step over tables.  Nothing is written; callbacks run whenever a
-    result is computed, so write ``messages`` first if they must run once."""
+    """One step over tables.  The messages are written to the checkpoint folder
+    as soon as the callbacks return them, so that these run once and all results
+    are of one run."""
     leases, mine = held_leases(shards, state.leases, app_name, worker)
-    messages = deliver(read_input(records, mine, state.pending, app_name, limit), handlers)
+    to_do = read_input(records, mine, state.pending, app_name, limit)
+    messages = cut_lineage(deliver(to_do, handlers))
     dead, after = settle(
         messages,
         state._replace(leases=leases),
