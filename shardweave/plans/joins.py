@@ -32,15 +32,19 @@ def lookup_join(
     Beyond it both sides are shuffled on ``on`` plus a salt: the salt of a fact
     is a hash of ``salt_by``, every lookup row is repeated once per salt, so the
     rows of a hot key spread over ``salts`` tasks, and adaptive execution splits
-    what is still too large.  The result is the same either way.
+    what is still too large.  The result is the same either way: the columns of
+    ``facts``, then the further ones of ``lookup``.
     """
     on = list(on)
+    columns = facts.columns
+    if how not in ("left_semi", "left_anti"):
+        columns = columns + [c for c in lookup.columns if c not in on]
     if fits is None:
         fits = fits_broadcast(lookup, max_broadcast_rows)
     if fits:
-        return facts.join(F.broadcast(lookup), on, how)
+        return facts.join(F.broadcast(lookup), on, how).select(*columns)
     if not salt_by:
-        return facts.join(lookup, on, how)
+        return facts.join(lookup, on, how).select(*columns)
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int"))
     repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    return salted.join(repeated, [*on, "_salt"], how).select(*columns)

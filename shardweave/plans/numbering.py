@@ -127,7 +127,5 @@ def number_rows(
     if first is not None:
         rows = rows.where(before < first)
     inside = F.row_number().over(Window.partitionBy(*group, "_slice").orderBy(*order))
-    numbered = rows.withColumn(name, (inside + before).cast("long")).drop(
-        "_slice", "_cut", "_before"
-    )
+    numbered = rows.select(*df.columns, (inside + before).cast("long").alias(name))
     return numbered if first is None else numbered.where(F.col(name) <= first)

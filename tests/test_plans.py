@@ -1,0 +1,140 @@
+"""Skew-safe building blocks and the physical plans of the hot operators."""
+
+import random
+
+import pytest
+from conftest import seq, shard_id
+from pyspark.sql import functions as F
+
+from shardweave.functions import seq_order
+from shardweave.operators import resume_read
+from shardweave.plans import cut_lineage, lookup_join, number_rows
+from shardweave.plans.lineage_cut import ensure_checkpoint_dir
+from shardweave.sources import read_limited, read_table, route_to_shard, write_records
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().toString()
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """A third of the rows has one key; order keys of mixed length."""
+    rng = random.Random(3)
+    data = [("hot" if i % 3 == 0 else f"k{rng.randrange(40)}", str(i * 7919 % 100_003)) for i in range(3_000)]
+    return spark.createDataFrame(data, "k string, s string").cache()
+
+
+@pytest.mark.parametrize("slice_rows", [50, 400, 10_000])
+def test_number_rows_is_row_number(spark, skewed, rows, slice_rows):
+    plain = number_rows(skewed, ["k"], [seq_order("s")], "n")
+    cut = number_rows(skewed, ["k"], [seq_order("s")], "n", slice_rows=slice_rows)
+    assert rows(cut, "k", "s", "n") == rows(plain, "k", "s", "n")
+    by_key = {}
+    for k, s, n in rows(plain, "k", "s", "n"):
+        by_key.setdefault(k, []).append((int(s), n))
+    for members in by_key.values():
+        assert [n for _, n in sorted(members)] == list(range(1, len(members) + 1))
+
+
+def test_number_rows_keeps_the_pivots_few(skewed, rows):
+    cut = number_rows(skewed, ["k"], [seq_order("s")], "n", slice_rows=10, max_pivots=20)
+    plain = number_rows(skewed, ["k"], [seq_order("s")], "n")
+    assert rows(cut, "k", "s", "n") == rows(plain, "k", "s", "n")
+
+
+@pytest.mark.parametrize("first", [1, 37, 900, 5_000])
+def test_number_rows_first(skewed, rows, first):
+    cut = number_rows(skewed, ["k"], [seq_order("s")], "n", slice_rows=100, first=first)
+    plain = number_rows(skewed, ["k"], [seq_order("s")], "n").where(F.col("n") <= first)
+    assert rows(cut, "k", "s", "n") == rows(plain, "k", "s", "n")
+
+
+def test_hot_group_is_cut_into_slices(skewed):
+    from shardweave.plans import slice_groups
+
+    cut = slice_groups(skewed, ["k"], [seq_order("s")], slice_rows=100)
+    sizes = cut.rows.where("k = 'hot'").groupBy("_slice").count().collect()
+    assert len(sizes) >= 5
+    assert max(r["count"] for r in sizes) < 700
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_lookup_join_same_rows_either_way(spark, skewed, rows, how):
+    lookup = spark.createDataFrame([("hot", 1), ("k3", 2), ("zz", 3)], "k string, v int")
+    small = lookup_join(skewed, lookup, ["k"], how)
+    large = lookup_join(skewed, lookup, ["k"], how, salt_by=["s"], max_broadcast_rows=1, salts=5)
+    assert "BroadcastHashJoin" in plan(small)
+    assert rows(large, *small.columns) == rows(small)
+
+
+def test_salted_join_spreads_a_hot_key(spark, skewed):
+    lookup = spark.createDataFrame([("hot", 1)], "k string, v int")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = lookup_join(skewed, lookup, ["k"], "inner", salt_by=["s"], fits=False)
+        text = plan(joined)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in text and "hashpartitioning(k" in text and "_salt" in text
+
+
+def test_cut_lineage_uses_the_configured_folder(spark):
+    df = cut_lineage(spark.range(5))
+    assert df.count() == 5
+    assert spark.conf.get("spark.checkpoint.dir") in ensure_checkpoint_dir(spark)
+
+
+def _records(spark, n=400):
+    return spark.range(n).select(
+        F.lit("s").alias("stream_name"),
+        F.format_string("shardId-%012d", F.col("id") % 4).alias("shard_id"),
+        F.format_string("49606519%048d", "id").alias("sequence_number"),
+        F.col("id").cast("string").alias("partition_key"),
+        F.lit("x").alias("data"),
+    )
+
+
+def test_read_limited_limits_before_the_shuffle(spark):
+    text = plan(read_limited(_records(spark), 10))
+    assert "WindowGroupLimit" in text
+    assert text.index("Final") < text.index("Partial")
+
+
+def test_large_limit_drops_slices_before_the_shuffle(spark, rows):
+    records = _records(spark, 6_000)
+    got = read_limited(records, 1_200, slice_rows=100)
+    want = records.where(F.col("partition_key").cast("int") < 4 * 1_200)
+    assert rows(got) == rows(want)
+
+
+def test_route_has_no_nested_loop(spark):
+    listing = spark.createDataFrame(
+        [("s", shard_id(0), "0", str(2**128 - 1), None)],
+        "stream_name string, shard_id string, hash_start string, hash_end string, seq_end string",
+    )
+    text = plan(route_to_shard(_records(spark).drop("shard_id"), listing))
+    assert "BroadcastHashJoin" in text
+    assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_resume_read_broadcasts_the_leases(spark):
+    leases = spark.createDataFrame(
+        [("a", shard_id(0), seq(5), "w", 1, False)],
+        "app_name string, shard_id string, checkpoint string, lease_owner string, "
+        "lease_count long, completed boolean",
+    )
+    text = plan(resume_read(_records(spark), leases, "a"))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_read_position_reaches_the_scan(spark, tmp_path, rows):
+    path = str(tmp_path / "records")
+    write_records(_records(spark), path)
+    df = read_table(spark, path, lowest=seq(200)).where(F.col("shard_id") == shard_id(1))
+    text = plan(df.select("sequence_number"))
+    assert "PushedFilters: [Or(GreaterThan(seq_len,56)" in text
+    assert "PartitionFilters: [isnotnull(shard_id" in text
+    assert "data" not in text.split("ReadSchema")[1].split("\n")[0]
+    assert df.count() == sum(1 for i in range(201, 400) if i % 4 == 1)
