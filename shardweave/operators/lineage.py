@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import seq_order
-from ..plans import cut_lineage, lookup_join, number_rows
+from ..plans import cut_lineage, fits_broadcast, lookup_join, number_rows
+from ..plans.joins import MAX_BROADCAST_ROWS, count_up_to
 from ..plans.numbering import SLICE_ROWS
 
 
@@ -117,14 +118,14 @@ def ready_shards(
     )
 
 
-def _with_known_parents(edges: DataFrame, generations: DataFrame) -> DataFrame:
+def _with_known_parents(edges: DataFrame, generations: DataFrame, fits: bool) -> DataFrame:
     """Hand the generations found last to the edges that leave those shards,
     and note per child how many parents are still without one.  A child has at
     most a few parents, so the windows are small."""
     found = generations.select(F.col("shard_id").alias("parent"), F.col("generation").alias("_g"))
     of_child = Window.partitionBy("child")
     return (
-        lookup_join(edges, found, ["parent"], salt_by=["child"])
+        lookup_join(edges, found, ["parent"], salt_by=["child"], fits=fits)
         .select("parent", "child", F.coalesce("from_gen", "_g").alias("from_gen"))
         .withColumn("n_open", F.count_if(F.col("from_gen").isNull()).over(of_child))
         .withColumn("last", F.max("from_gen").over(of_child))
@@ -148,7 +149,8 @@ def _peel(shards: DataFrame) -> tuple[DataFrame, DataFrame]:
         .select("shard_id", F.lit(0).alias("generation"))
     )
     peeled = [roots]
-    edges = cut_lineage(_with_known_parents(edges.withColumn("from_gen", F.lit(None).cast("int")), roots))
+    edges = edges.withColumn("from_gen", F.lit(None).cast("int"))
+    edges = cut_lineage(_with_known_parents(edges, roots, fits_broadcast(roots)))
     while True:
         ready = (
             edges.where(F.col("n_open") == 0)
@@ -158,10 +160,12 @@ def _peel(shards: DataFrame) -> tuple[DataFrame, DataFrame]:
             )
             .distinct()
         )
-        if ready.isEmpty():
+        n = count_up_to(ready, MAX_BROADCAST_ROWS)
+        if n == 0:
             return reduce(DataFrame.unionByName, peeled), edges
         peeled.append(ready)
-        edges = cut_lineage(_with_known_parents(edges.where(F.col("n_open") > 0), ready))
+        waiting = edges.where(F.col("n_open") > 0)
+        edges = cut_lineage(_with_known_parents(waiting, ready, n <= MAX_BROADCAST_ROWS))
 
 
 def shard_generations(shards: DataFrame) -> DataFrame:

@@ -10,9 +10,13 @@ MAX_BROADCAST_ROWS = 200_000
 SALTS = 64
 
 
+def count_up_to(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> int:
+    """Number of rows, or ``max_rows + 1`` if there are more."""
+    return df.limit(max_rows + 1).count()
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads no more than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    return count_up_to(df, max_rows) <= max_rows
 
 
 def lookup_join(

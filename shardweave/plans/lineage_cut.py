@@ -1,29 +1,29 @@
 """Cutting the lineage of iterative jobs on storage that outlives executors."""
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SETTING = "spark.checkpoint.dir"
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Folder for reliable checkpoints: the one the cluster names in
-    ``spark.checkpoint.dir``.  Only a local session without that setting gets a
-    folder of its own; a cluster without it is an error, since a machine-local
-    folder would be lost with its machine."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.  Only a local
+    session without that setting gets a folder of its own; a cluster without it
+    is an error, since a machine-local folder would be lost with its machine."""
+    folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="shardweave-checkpoint-")
-    sc.setCheckpointDir(folder)
-    return folder
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {_SETTING} to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="shardweave-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and return it read from there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a table in the checkpoint folder and return it read from
+    there: its plan is a scan with known size, whatever led to it."""
+    path = f"{checkpoint_dir(df.sparkSession)}/cut-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -279,7 +279,7 @@ def consume_once(
 ) -> StepResult:
     """One step over tables.  The messages are written to the checkpoint folder
     as soon as the callbacks return them, so that these run once and all results
-    are of one run."""
+    are of one run; so is the state, which the next step starts from."""
     leases, mine = held_leases(shards, state.leases, app_name, worker)
     to_do = read_input(records, mine, state.pending, app_name, limit)
     messages = cut_lineage(deliver(to_do, handlers))
@@ -294,7 +294,7 @@ def consume_once(
         max_attempts,
         shutdown_delay_ms,
     )
-    return StepResult(messages, dead, after)
+    return StepResult(messages, dead, ConsumeState(*map(cut_lineage, after)))
 
 
 def consume(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from shardweave.functions import seq_order
 from shardweave.operators import resume_read
 from shardweave.plans import cut_lineage, lookup_join, number_rows
-from shardweave.plans.lineage_cut import ensure_checkpoint_dir
+from shardweave.plans.lineage_cut import checkpoint_dir
 from shardweave.sources import read_limited, read_table, route_to_shard, write_records
 
 
@@ -83,7 +83,8 @@ def test_salted_join_spreads_a_hot_key(spark, skewed):
 def test_cut_lineage_uses_the_configured_folder(spark):
     df = cut_lineage(spark.range(5))
     assert df.count() == 5
-    assert spark.conf.get("spark.checkpoint.dir") in ensure_checkpoint_dir(spark)
+    assert spark.conf.get("spark.checkpoint.dir") == checkpoint_dir(spark)
+    assert all(checkpoint_dir(spark) in f for f in df.inputFiles())
 
 
 def _records(spark, n=400):
