@@ -142,9 +142,12 @@ def _peel(shards: DataFrame) -> tuple[DataFrame, DataFrame]:
     lineage, not its size, and each step is one job that reads what the step
     before wrote.
     """
-    edges = shard_edges(shards).select("parent", "child").distinct()
+    edges = cut_lineage(shard_edges(shards).select("parent", "child").distinct())
+    named = edges.select(F.col("parent").alias("shard_id"))
     roots = cut_lineage(
-        shard_vertices(shards)
+        shards.select("shard_id")
+        .union(named)
+        .distinct()
         .join(edges.select(F.col("child").alias("shard_id")), "shard_id", "left_anti")
         .select("shard_id", F.lit(0).alias("generation"))
     )

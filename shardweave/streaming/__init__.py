@@ -1,6 +1,16 @@
 """Consuming a stream end to end, as one batch step or as a streaming query."""
 
-from .consume import ConsumeState, Handlers, StepResult, consume, consume_once, deliver, read_input, settle
+from .consumer import (
+    ConsumeState,
+    Handlers,
+    StepResult,
+    consume,
+    consume_once,
+    deliver,
+    held_leases,
+    read_input,
+    settle,
+)
 
 __all__ = [
     "ConsumeState",
@@ -9,6 +19,7 @@ __all__ = [
     "consume",
     "consume_once",
     "deliver",
+    "held_leases",
     "read_input",
     "settle",
 ]

@@ -111,7 +111,7 @@ def held_leases(
     """The lease table with a lease for every shard that starts and had none,
     and the leases the worker reads from now on."""
     starting = ready_shards(shards, leases, app_name).where(F.col("action") == "start")
-    starting = starting.select(F.lit(app_name).alias("app_name"), "shard_id")
+    starting = cut_lineage(starting.select(F.lit(app_name).alias("app_name"), "shard_id"))
     requests = starting.join(leases, ["app_name", "shard_id"], "left_anti").select(
         "app_name",
         "shard_id",
@@ -122,7 +122,7 @@ def held_leases(
     mine = leases.where((F.col("lease_owner") == worker) & ~F.col("completed")).join(
         starting, ["app_name", "shard_id"], "left_semi"
     )
-    return leases, cut_lineage(mine)
+    return leases, mine
 
 
 def read_input(
@@ -208,7 +208,7 @@ def settle(
             "checkpoint",
         )
     )
-    leases = apply_checkpoints(state.leases, checkpoints, monotonic=True).leases
+    leases = cut_lineage(apply_checkpoints(state.leases, checkpoints, monotonic=True).leases)
 
     failed = messages.where(F.col("status") == FAILED)
     spent = F.lit(False) if max_attempts is None else F.col("attempt") + 1 >= max_attempts
