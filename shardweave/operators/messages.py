@@ -109,12 +109,37 @@ def map_batches(
     **context: Any,
 ) -> DataFrame:
     """Call ``fn(batch, **context)`` with every batch as a pandas frame in
-    sequence order; a batch never has more than ``batch_size`` rows."""
+    sequence order.
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        return fn(frame.sort_values("position", ignore_index=True), **context)
-
-    return batched.groupBy(*by).applyInPandas(run, schema)
+    A batch is small, so the batches are shuffled whole and sorted, and Python
+    takes them from large Arrow batches one after the other; a transfer of its
+    own per batch would cost more than the callback.  The number of tasks is
+    ``spark.sql.shuffle.partitions`` whatever the size of the data, since the
+    time goes into the callbacks.
+    """
+    by = list(by)
+    tasks = int(batched.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for frame in frames:
+            frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+            if frame.empty:
+                continue
+            keys = frame[by]
+            starts = (keys != keys.shift()).any(axis=1).to_numpy().nonzero()[0].tolist()
+            out = [
+                fn(frame.iloc[i:j].reset_index(drop=True), **context)
+                for i, j in zip(starts, starts[1:], strict=False)
+            ]
+            if out:
+                yield pd.concat(out, ignore_index=True)
+            rest = frame.iloc[starts[-1] :]
+        if rest is not None:
+            yield fn(rest.reset_index(drop=True), **context)
+
+    together = batched.repartition(tasks, *by).sortWithinPartitions(*by, "position")
+    return together.mapInPandas(run, schema)
 
 
 def split_failed(msgs: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -33,8 +33,9 @@ def _order_key(order: Sequence[Column]) -> Column:
     return F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
 
 
-def _count_at_or_below(sorted_pivots: Column, key: Column, most: int) -> Column:
-    """Binary search by halving steps: how many pivots are <= key."""
+def count_at_or_below(sorted_pivots: Column, key: Column, most: int) -> Column:
+    """Binary search by halving steps: how many of up to ``most`` sorted values
+    are <= key."""
     steps, step = [], 1
     while step <= most:
         steps.append(step)
@@ -82,7 +83,7 @@ def slice_groups(
         .withColumn(
             "_slice",
             F.when(
-                F.col("_cut"), _count_at_or_below(F.col("_pivots"), key, 2 * max_pivots)
+                F.col("_cut"), count_at_or_below(F.col("_pivots"), key, 2 * max_pivots)
             ).otherwise(F.lit(0)),
         )
         .drop("_pivots")

@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 
 from ..functions import decimal_to_hex, hash_key
 from ..plans import lookup_join
+from ..plans.numbering import count_at_or_below
 
 MAX_PREFIX_DIGITS = 5
+_RANGES_PER_CELL = 16
 
 
 def hex_ranges(shards: DataFrame) -> DataFrame:
@@ -16,16 +18,10 @@ def hex_ranges(shards: DataFrame) -> DataFrame:
     )
 
 
-def _prefix_digits(ranges: DataFrame) -> int:
-    """Enough hex digits that few shards share a prefix."""
-    most = (
-        ranges.groupBy("stream_name")
-        .count()
-        .agg(F.max("count").alias("n"))
-        .first()["n"]
-    ) or 1
-    digits = 2
-    while 16**digits < most and digits < MAX_PREFIX_DIGITS:
+def _prefix_digits(most: int) -> int:
+    """Enough leading hex digits that few of ``most`` shards share them."""
+    digits = 0
+    while _RANGES_PER_CELL * 16**digits < most and digits < MAX_PREFIX_DIGITS:
         digits += 1
     return digits
 
@@ -37,36 +33,42 @@ def route_to_shard(
     and ``partition_key``; ``shard_id`` is NULL where no shard covers the key.
 
     A range test alone would compare every record with every shard.  Instead
-    each shard is listed once per leading hex digits its range touches, joined
-    on equality of those digits, and the range test decides within.  Only open
-    shards receive records unless ``open_only`` is off.  ``hex_listing`` says
-    the ranges already are 32 hex digits.
+    the hash space of a stream is divided by leading hex digits into cells, a
+    cell lists the few ranges that touch it, a record finds its cell by
+    equality, and the range by binary search in the cell.  Only open shards
+    receive records, and their ranges do not overlap; with ``open_only`` off
+    the first of the ranges that cover a key is taken.  ``hex_listing`` says the
+    ranges already are 32 hex digits.
     """
     ranges = shards if hex_listing else hex_ranges(shards)
     if open_only:
         ranges = ranges.where(F.col("seq_end").isNull())
     ranges = ranges.select("stream_name", "shard_id", "hash_start", "hash_end")
-    digits = _prefix_digits(ranges)
+    per_stream = ranges.groupBy("stream_name").count()
+    most = per_stream.agg(F.max("count").alias("most")).first()["most"] or 1
+    digits = _prefix_digits(most)
 
     def prefix_number(c: str):
-        return F.conv(F.substring(c, 1, digits), 16, 10).cast("long")
+        return F.conv(F.concat(F.lit("0"), F.substring(c, 1, digits)), 16, 10).cast("long")
 
-    by_prefix = ranges.withColumn(
-        "_prefix", F.explode(F.sequence(prefix_number("hash_start"), prefix_number("hash_end")))
-    ).withColumn("_prefix", F.lpad(F.lower(F.hex("_prefix")), digits, "0"))
-
-    # per prefix the ranges that touch it, so that each record finds one lookup row
-    cells = by_prefix.groupBy("stream_name", "_prefix").agg(
-        F.array_sort(F.collect_list(F.struct("hash_start", "hash_end", "shard_id"))).alias("_ranges")
+    cells = (
+        ranges.withColumn(
+            "_cell", F.explode(F.sequence(prefix_number("hash_start"), prefix_number("hash_end")))
+        )
+        .groupBy("stream_name", "_cell")
+        .agg(F.array_sort(F.collect_list(F.struct("hash_start", "hash_end", "shard_id"))).alias("_r"))
+        .withColumn("_starts", F.col("_r.hash_start"))
     )
     keyed = records.withColumn("hash_key", hash_key("partition_key")).withColumn(
-        "_prefix", F.substring("hash_key", 1, digits)
-    )
-    joined = lookup_join(
-        keyed, cells, ["stream_name", "_prefix"], salt_by=[*records.columns]
+        "_cell", prefix_number("hash_key")
     )
-    covering = F.filter(
-        "_ranges",
-        lambda r: (r["hash_start"] <= F.col("hash_key")) & (F.col("hash_key") <= r["hash_end"]),
-    )
-    return joined.withColumn("shard_id", F.get(covering, 0)["shard_id"]).drop("_prefix", "_ranges")
+    joined = lookup_join(keyed, cells, ["stream_name", "_cell"], salt_by=records.columns)
+    key = F.col("hash_key")
+    if open_only:
+        found = F.get("_r", count_at_or_below(F.col("_starts"), key, most) - 1)
+    else:
+        found = F.get(
+            F.filter("_r", lambda r: (r["hash_start"] <= key) & (key <= r["hash_end"])), 0
+        )
+    shard_id = F.when(key <= found["hash_end"], found["shard_id"])
+    return joined.withColumn("shard_id", shard_id).drop("_cell", "_r", "_starts")

@@ -237,17 +237,11 @@ def micro_batches(t) -> DataFrame:
 @query
 def map_batches(t) -> DataFrame:
     def summarise(batch: pd.DataFrame, label: str) -> pd.DataFrame:
+        seqs, first = batch["sequence_number"], batch.iloc[0]
+        row = (first["shard_id"], first["batcher"], first["batch_no"], label, len(batch))
         return pd.DataFrame(
-            {
-                "shard_id": batch["shard_id"].iloc[:1],
-                "batcher": batch["batcher"].iloc[:1],
-                "batch_no": batch["batch_no"].iloc[:1],
-                "label": label,
-                "n": len(batch),
-                "first_seq": batch["sequence_number"].iloc[0],
-                "last_seq": batch["sequence_number"].iloc[-1],
-                "n_keys": batch["partition_key"].nunique(),
-            }
+            [(*row, seqs.iloc[0], seqs.iloc[-1], batch["partition_key"].nunique())],
+            columns="shard_id batcher batch_no label n first_seq last_seq n_keys".split(),
         )
 
     cols = ["shard_id", "batcher", "batch_no", "position", "sequence_number", "partition_key"]
