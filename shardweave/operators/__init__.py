@@ -36,7 +36,7 @@ from .messages import (
     split_failed,
     wrap_messages,
 )
-from .resume import lowest_checkpoint, missing_leases, multi_app_resume, resume_read
+from .resume import missing_leases, multi_app_resume, resume_read
 
 __all__ = [
     "LeaseChange",
@@ -50,7 +50,6 @@ __all__ = [
     "fold_leases",
     "lease_actions",
     "lineage_cycles",
-    "lowest_checkpoint",
     "map_batches",
     "map_messages",
     "micro_batches",

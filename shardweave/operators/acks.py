@@ -32,7 +32,7 @@ def checkpoints_from_acks(acks: DataFrame, mode: str = "last_ok") -> DataFrame:
     keys = ["app_name", "shard_id", "ack_id"]
     if mode == "contiguous":
         first_bad = acks.where(_failed()).groupBy(*keys).agg(F.min("position").alias("_bad"))
-        acks = acks.join(first_bad, keys, "left")
+        acks = lookup_join(acks, first_bad, keys, salt_by=["position"])
         counts_on = _ok() & (F.col("_bad").isNull() | (F.col("position") < F.col("_bad")))
     elif mode == "last_ok":
         counts_on = _ok()

@@ -20,7 +20,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.numbering import slice_groups
+from ..plans import lookup_join, slice_groups
+from ..schemas import LEASES
 
 KEY = ["app_name", "shard_id"]
 SLICE_COMMANDS = 20_000
@@ -195,8 +196,6 @@ def fold_leases(
     """
     spark = commands.sparkSession
     if initial is None:
-        from ..schemas import LEASES
-
         initial = spark.createDataFrame([], LEASES)
     cut = slice_groups(commands, KEY, [F.col(c) for c in order], slice_rows)
     log = F.struct("seq", "op", "worker", "expected_count", "checkpoint")
@@ -208,7 +207,7 @@ def fold_leases(
         F.col("checkpoint").alias("_checkpoint0"),
         F.col("completed").alias("_completed0"),
     )
-    logs = logs.join(before, KEY, "left")
+    logs = lookup_join(logs, before, KEY, salt_by=["_slice"])
     owner_in, count_in = F.col("_owner0"), F.col("_count0")
     if cut.many:
         # one row per slice of the logs that were cut: no more than pivots and such logs

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import seq_after, seq_order
+from ..functions import seq_after
 from ..plans import lookup_join
 
 
@@ -15,20 +15,6 @@ def _salt_columns(records: DataFrame) -> list[str]:
     return [c for c in records.columns if c not in ("app_name", "shard_id")]
 
 
-def lowest_checkpoint(leases: DataFrame, app_name: str) -> str | None:
-    """The least checkpoint of the application's leases, or None if any of them
-    reads from the beginning; for ``read_table(..., lowest=...)``."""
-    row = (
-        leases.where(F.col("app_name") == app_name)
-        .agg(
-            F.min_by("checkpoint", seq_order("checkpoint")).alias("low"),
-            F.count_if(F.col("checkpoint").isNull()).alias("from_start"),
-        )
-        .first()
-    )
-    return row["low"] if row["from_start"] == 0 else None
-
-
 def resume_read(records: DataFrame, leases: DataFrame, app_name: str) -> DataFrame:
     """The records ``app_name`` has not read: all of a shard whose lease has no
     checkpoint, those strictly after the checkpoint otherwise.  Records of

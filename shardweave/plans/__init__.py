@@ -2,7 +2,7 @@
 exact row numbers over skewed groups, reliable lineage cuts."""
 
 from .joins import fits_broadcast, lookup_join
-from .lineage_cut import cut_lineage
+from .lineage_cut import cut_lineage, cuts_in
 from .numbering import Slicing, number_rows, slice_groups
 
-__all__ = ["Slicing", "cut_lineage", "fits_broadcast", "lookup_join", "number_rows", "slice_groups"]
+__all__ = ["Slicing", "cut_lineage", "cuts_in", "fits_broadcast", "lookup_join", "number_rows", "slice_groups"]

@@ -1,11 +1,16 @@
 """Cutting the lineage of iterative jobs on storage that outlives executors."""
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from itertools import count
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_paths: ContextVar[Iterator[str] | None] = ContextVar("cut paths", default=None)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -21,9 +26,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+@contextmanager
+def cuts_in(folder: str) -> Iterator[None]:
+    """Within, tables go to ``folder`` under running numbers and replace those
+    of an earlier use, so that a job that repeats for ever does not fill the
+    checkpoint folder.  DataFrames must not be used after the next use."""
+    token = _paths.set(f"{folder}/cut-{i}" for i in count())
+    try:
+        yield
+    finally:
+        _paths.reset(token)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the checkpoint folder and return it read from
     there: its plan is a scan with known size, whatever led to it."""
-    path = f"{checkpoint_dir(df.sparkSession)}/cut-{uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, paths = df.sparkSession, _paths.get()
+    path = next(paths) if paths else f"{checkpoint_dir(spark)}/cut-{uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -8,6 +8,7 @@ from .records import (
     read_limited,
     read_records,
     read_table,
+    read_unread,
     write_records,
 )
 from .routing import route_to_shard
@@ -22,6 +23,7 @@ __all__ = [
     "read_limited",
     "read_records",
     "read_table",
+    "read_unread",
     "route_to_shard",
     "shard_listing",
     "write_records",

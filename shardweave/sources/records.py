@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import seq_after, seq_at_or_after, seq_order
-from ..plans import number_rows
+from ..plans import lookup_join, number_rows
 from ..plans.numbering import SLICE_ROWS
 
 POSITIONS = ("trim_horizon", "at_sequence_number", "after_sequence_number", "latest")
@@ -59,6 +59,33 @@ def read_table(spark: SparkSession, path: str, lowest: str | None = None) -> Dat
     return df
 
 
+def read_unread(spark: SparkSession, path: str, leases: DataFrame, app_name: str) -> DataFrame:
+    """The part of a table written by :func:`write_records` in which unread
+    records of ``app_name`` can be; :func:`resume_read` then picks them.
+
+    Shards with a checkpoint are read from the least of their checkpoints on,
+    which the scan skips to; shards without one are read whole.  Folders of
+    shards without a lease are not opened.
+    """
+    mine = leases.where(F.col("app_name") == app_name)
+    begun = F.col("checkpoint").isNotNull()
+    lowest = mine.where(begun).agg(F.min_by("checkpoint", seq_order("checkpoint"))).first()[0]
+    parts = [(mine.where(~begun), None)]
+    if lowest is not None:
+        parts.append((mine.where(begun), lowest))
+    whole, *begun_parts = [
+        lookup_join(
+            read_table(spark, path, low),
+            held.select("shard_id"),
+            ["shard_id"],
+            "left_semi",
+            salt_by=["sequence_number"],
+        )
+        for held, low in parts
+    ]
+    return whole.unionByName(begun_parts[0]) if begun_parts else whole
+
+
 def read_records(records: DataFrame, position: str, seq: str | None = None) -> DataFrame:
     """The records of each shard from a position on.
 

@@ -11,6 +11,7 @@ from .consumer import (
     read_input,
     settle,
 )
+from .stateful import drop_redelivered_stream, fold_leases_stream, stream_records
 
 __all__ = [
     "ConsumeState",
@@ -19,7 +20,10 @@ __all__ = [
     "consume",
     "consume_once",
     "deliver",
+    "drop_redelivered_stream",
+    "fold_leases_stream",
     "held_leases",
     "read_input",
     "settle",
+    "stream_records",
 ]

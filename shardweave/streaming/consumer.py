@@ -31,12 +31,12 @@ from ..operators.messages import (
     split_failed,
     union_all,
 )
-from ..operators.resume import lowest_checkpoint, resume_read
-from ..plans import cut_lineage, lookup_join
+from ..operators.resume import resume_read
+from ..plans import cut_lineage, cuts_in, lookup_join
 from ..plans.numbering import SLICE_ROWS
 from ..schemas import LEASES
 from ..sources.lease_store import LeaseStore
-from ..sources.records import read_limited, read_table
+from ..sources.records import read_limited, read_table, read_unread
 
 # messages waiting for another attempt
 PENDING = T.StructType(
@@ -143,8 +143,8 @@ def read_input(
         retries, held, ["app_name", "shard_id"], "left_semi", salt_by=["sequence_number"]
     )
     waiting = retries.select("shard_id", "sequence_number")
-    new = resume_read(records, mine, app_name).join(
-        waiting, ["shard_id", "sequence_number"], "left_anti"
+    new = lookup_join(
+        resume_read(records, mine, app_name), waiting, ["shard_id", "sequence_number"], "left_anti"
     )
     if limit is not None:
         new = read_limited(new, limit)
@@ -323,6 +323,9 @@ def consume(
     starts from the state before it and replaces its own output.  ``listing``
     gives the current shard listing and is called once per step.
     """
+    for name, value in (("app_name", app_name), ("worker", worker)):
+        if not isinstance(value, str) or not value:
+            raise ValueError(f"{name} must be a non-empty string")
     stores = ConsumeState(
         LeaseStore(spark, f"{state_path}/leases", LEASES),
         LeaseStore(spark, f"{state_path}/pending", PENDING),
@@ -330,11 +333,15 @@ def consume(
     )
 
     def step(_wake_up: DataFrame, batch_id: int) -> None:
+        with cuts_in(f"{state_path}/work"):
+            run_step(batch_id)
+
+    def run_step(batch_id: int) -> None:
         before = ConsumeState(*(s.read(before=batch_id) for s in stores))
         shards = listing()
         leases, mine = held_leases(shards, before.leases, app_name, worker)
         records = read_table(spark, records_path)
-        unread = read_table(spark, records_path, lowest_checkpoint(mine, app_name))
+        unread = read_unread(spark, records_path, mine, app_name)
         to_do = read_input(unread, mine, before.pending, app_name, limit)
         target = f"{output_path}/messages/app={app_name}/batch={batch_id}"
         deliver(to_do, handlers).write.mode("overwrite").parquet(target)

@@ -8,7 +8,6 @@ from shardweave.operators import (
     completed_shards,
     consumer_lag,
     drop_redelivered,
-    lowest_checkpoint,
     missing_leases,
     multi_app_resume,
     pending_retries,
@@ -96,8 +95,6 @@ def test_resume_read(spark, rows):
     assert rows(missing_leases(recs, held, "a"), *cols) == [("a", shard_id(2), seq(1))]
     assert rows(multi_app_resume(recs, held), *cols) == [*a, ("b", shard_id(2), seq(1))]
     assert resume_read(recs, held, "c").count() == 0
-    assert lowest_checkpoint(held, "a") is None
-    assert lowest_checkpoint(leases(spark, ("a", 0, 10), ("a", 1, 9)), "a") == seq(9)
 
 
 def test_reading_in_steps_reads_everything_once(spark, rows):

@@ -3,6 +3,7 @@ import json
 from conftest import seq, shard_id
 from pyspark.sql import functions as F
 
+from shardweave.operators import resume_read
 from shardweave.schemas import LEASES, LISTING_PAGE, RECORDS, SHARDS
 from shardweave.sources import (
     LeaseStore,
@@ -14,6 +15,7 @@ from shardweave.sources import (
     read_limited,
     read_records,
     read_table,
+    read_unread,
     route_to_shard,
     shard_listing,
     write_records,
@@ -109,6 +111,20 @@ def test_write_and_read_records(spark, tmp_path, rows):
     assert read_table(spark, path, lowest=seq(59)).count() == 30
 
 
+def test_read_unread(spark, tmp_path, rows):
+    path = str(tmp_path / "records")
+    records = _records(spark, 90)
+    write_records(records, path)
+    held = spark.createDataFrame(
+        [("a", shard_id(0), seq(60), "w", 1, False), ("a", shard_id(1), None, "w", 1, False)], LEASES
+    )
+    cols = ("shard_id", "sequence_number")
+    some = read_unread(spark, path, held, "a")
+    assert rows(resume_read(some, held, "a"), *cols) == rows(resume_read(records, held, "a"), *cols)
+    assert some.count() == 9 + 30
+    assert read_unread(spark, path, held, "b").count() == 0
+
+
 def test_read_positions(spark):
     records = _records(spark, 30)
     assert read_records(records, "trim_horizon").count() == 30
