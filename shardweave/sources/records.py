@@ -4,6 +4,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import seq_after, seq_at_or_after, seq_order
 from ..plans import lookup_join, number_rows
@@ -29,17 +30,13 @@ def write_records(records: DataFrame, path: str, mode: str = "append") -> None:
     """Write records as parquet, one folder per shard.
 
     ``seq_len`` is stored beside the sequence number so that a read position
-    reaches the scan as a pushed filter.  Rows go to the writing tasks by shard
-    and by a hash of the sequence number: a hot shard is written by many tasks
-    and a small one still gives few files.
+    reaches the scan as a pushed filter.  The rows are rebalanced by shard:
+    adaptive execution splits what a hot shard sends over many tasks and packs
+    small shards together, so files are neither huge nor tiny.
     """
-    spark = records.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (
         records.withColumn("seq_len", F.length("sequence_number"))
-        .withColumn("_part", F.pmod(F.xxhash64("sequence_number"), F.lit(16)))
-        .repartition(tasks, "shard_id", "_part")
-        .drop("_part")
+        .hint("rebalance", "shard_id")
         .sortWithinPartitions("shard_id", "seq_len", "sequence_number")
         .write.mode(mode)
         .partitionBy("shard_id")
@@ -47,10 +44,20 @@ def write_records(records: DataFrame, path: str, mode: str = "append") -> None:
     )
 
 
+def table_schema(spark: SparkSession, path: str) -> T.StructType:
+    """Schema of a table written by :func:`write_records`, in which a shard id
+    stays text even where the folder names look like numbers."""
+    found = spark.read.parquet(path).schema
+    fields = [
+        T.StructField(f.name, T.StringType()) if f.name == "shard_id" else f for f in found
+    ]
+    return T.StructType(fields)
+
+
 def read_table(spark: SparkSession, path: str, lowest: str | None = None) -> DataFrame:
     """Read a table written by :func:`write_records`.  ``lowest`` is a sequence
     number no wanted record is at or below; it is pushed to the scan."""
-    df = spark.read.parquet(path)
+    df = spark.read.schema(table_schema(spark, path)).parquet(path)
     if lowest is not None:
         df = df.where(
             (F.col("seq_len") > len(lowest))

@@ -11,7 +11,12 @@ from .consumer import (
     read_input,
     settle,
 )
-from .stateful import drop_redelivered_stream, fold_leases_stream, stream_records
+from .stateful import (
+    drop_redelivered_stream,
+    fold_leases_stream,
+    stream_records,
+    write_record_stream,
+)
 
 __all__ = [
     "ConsumeState",
@@ -26,4 +31,5 @@ __all__ = [
     "read_input",
     "settle",
     "stream_records",
+    "write_record_stream",
 ]

@@ -1,12 +1,15 @@
 """Streaming forms of the operators that keep something between micro-batches."""
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
+from typing import Any
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..schemas import LEASES
+from ..sources.records import table_schema
 
 KEY = ["app_name", "shard_id"]
 
@@ -18,7 +21,10 @@ def stream_records(
     max_bytes_per_trigger: str | None = None,
 ) -> DataFrame:
     """The table at ``path`` as a stream; the limits bound a micro-batch."""
-    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    schema = spark.read.parquet(path).schema
+    reader = spark.readStream.schema(
+        table_schema(spark, path) if "shard_id" in schema.fieldNames() else schema
+    )
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if max_bytes_per_trigger is not None:
@@ -26,6 +32,23 @@ def stream_records(
     return reader.parquet(path)
 
 
+def write_record_stream(
+    records: DataFrame, path: str, checkpoint_location: str, trigger: Mapping[str, Any] | None = None
+) -> StreamingQuery:
+    """Write a stream of records like :func:`write_records`.  The file sink
+    keeps its own log of complete files, so nothing else should write to
+    ``path``."""
+    return (
+        records.withColumn("seq_len", F.length("sequence_number"))
+        .writeStream.format("parquet")
+        .partitionBy("shard_id")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint_location)
+        .trigger(**(trigger or {"processingTime": "5 seconds"}))
+        .start()
+    )
+
+
 def drop_redelivered_stream(records: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """One row per ``(shard_id, sequence_number)`` of a stream; a copy that
     arrives later than ``delay`` after the first may pass again."""

@@ -98,8 +98,9 @@ INPUTS = {
                page_no < 5 AND NOT (block % 3 = 2 AND page_no = 2) AS has_more,
                shard_id, parent_shard_id, adjacent_parent_shard_id, hash_start, hash_end,
                seq_start || CAST(c AS STRING) AS seq_start, seq_end
-        FROM (SELECT l.*, c, CAST(floor(k / 4) AS INT) + 1 + c AS page_no
-              FROM {{listing}} l CROSS JOIN (VALUES (0), (1)) AS t(c)) x
+        FROM (SELECT l.*, 0 AS c, CAST(floor(k / 4) AS INT) + 1 AS page_no FROM {{listing}} l
+              UNION ALL
+              SELECT l.*, 1 AS c, CAST(floor(k / 4) AS INT) + 2 AS page_no FROM {{listing}} l) x
     """,
     "listing_leases": """
         SELECT 'app-a' AS app_name, shard_id, CAST(NULL AS STRING) AS checkpoint,

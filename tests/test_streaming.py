@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 from test_leases import by_hand, random_log
 
 from shardweave.schemas import LEASE_COMMANDS, RECORDS
-from shardweave.sources import write_records
+from shardweave.sources import read_table, write_records
 from shardweave.streaming import (
     consume,
     drop_redelivered_stream,
     fold_leases_stream,
     stream_records,
+    write_record_stream,
 )
 
 
@@ -69,6 +70,21 @@ def test_redelivered_records_of_a_stream(spark, tmp_path, rows):
     assert rows(spark.read.parquet(out), *cols) == rows(recs.dropDuplicates(cols), *cols)
 
 
+def test_records_through_a_stream(spark, tmp_path, rows):
+    path, out = str(tmp_path / "records"), str(tmp_path / "out")
+    recs = spark.createDataFrame(
+        [("s", str(n % 3), seq(n), "k", "d", datetime(2024, 1, 1)) for n in range(20)], RECORDS
+    )
+    write_records(recs, path)
+    stream = stream_records(spark, path).drop("seq_len")
+    write_record_stream(
+        stream, out, str(tmp_path / "state"), {"availableNow": True}
+    ).awaitTermination()
+    # shard ids that look like numbers stay text
+    assert dict(read_table(spark, out).dtypes)["shard_id"] == "string"
+    assert rows(read_table(spark, out), *recs.columns) == rows(recs)
+
+
 @pytest.mark.parametrize("names", [{"app_name": ""}, {"app_name": None}, {"worker": 3}])
 def test_names_are_checked(spark, names):
     options = {"app_name": "a", "worker": "w", **names}
