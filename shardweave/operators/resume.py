@@ -15,13 +15,18 @@ def _salt_columns(records: DataFrame) -> list[str]:
     return [c for c in records.columns if c not in ("app_name", "shard_id")]
 
 
-def resume_read(records: DataFrame, leases: DataFrame, app_name: str) -> DataFrame:
+def resume_read(
+    records: DataFrame, leases: DataFrame, app_name: str, fits: bool | None = None
+) -> DataFrame:
     """The records ``app_name`` has not read: all of a shard whose lease has no
     checkpoint, those strictly after the checkpoint otherwise.  Records of
-    shards without a lease are in :func:`missing_leases`."""
+    shards without a lease are in :func:`missing_leases`.  ``fits`` as in
+    :func:`lookup_join`."""
     mine = leases.where(F.col("app_name") == app_name).select("shard_id", "checkpoint")
     return (
-        lookup_join(records, mine, ["shard_id"], "inner", salt_by=_salt_columns(records))
+        lookup_join(
+            records, mine, ["shard_id"], "inner", salt_by=_salt_columns(records), fits=fits
+        )
         .where(_after_checkpoint())
         .select(F.lit(app_name).alias("app_name"), *records.columns)
     )

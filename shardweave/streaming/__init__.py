@@ -8,6 +8,7 @@ from .consumer import (
     consume_once,
     deliver,
     held_leases,
+    input_bound,
     read_input,
     settle,
 )
@@ -28,6 +29,7 @@ __all__ = [
     "drop_redelivered_stream",
     "fold_leases_stream",
     "held_leases",
+    "input_bound",
     "read_input",
     "settle",
     "stream_records",

@@ -32,7 +32,7 @@ from ..operators.messages import (
     union_all,
 )
 from ..operators.resume import resume_read
-from ..plans import cut_lineage, cuts_in, lookup_join
+from ..plans import cut_lineage, cuts_in, fits_broadcast, lookup_join
 from ..plans.numbering import SLICE_ROWS
 from ..schemas import LEASES
 from ..sources.lease_store import LeaseStore
@@ -135,16 +135,25 @@ def read_input(
     """Messages of this step: the pending ones of the leases held, and up to
     ``limit`` new records per shard after its checkpoint.  A pending record
     after the checkpoint is not read a second time."""
+    few_leases, few_pending = fits_broadcast(mine), fits_broadcast(pending)
     retries = pending.where(F.col("app_name") == app_name).withColumn(
         "attempt", F.col("attempt") + 1
     )
     held = mine.select("app_name", "shard_id")
     retries = lookup_join(
-        retries, held, ["app_name", "shard_id"], "left_semi", salt_by=["sequence_number"]
+        retries,
+        held,
+        ["app_name", "shard_id"],
+        "left_semi",
+        salt_by=["sequence_number"],
+        fits=few_leases,
     )
-    waiting = retries.select("shard_id", "sequence_number")
     new = lookup_join(
-        resume_read(records, mine, app_name), waiting, ["shard_id", "sequence_number"], "left_anti"
+        resume_read(records, mine, app_name, few_leases),
+        retries.select("shard_id", "sequence_number"),
+        ["shard_id", "sequence_number"],
+        "left_anti",
+        fits=few_pending,
     )
     if limit is not None:
         new = read_limited(new, limit)
@@ -152,14 +161,21 @@ def read_input(
     return retries.select(*_INPUT).unionByName(new.select(*_INPUT))
 
 
-def deliver(messages: DataFrame, handlers: Handlers) -> DataFrame:
+def input_bound(mine: DataFrame, pending: DataFrame, limit: int | None) -> int | None:
+    """A bound on the messages of a step, where ``limit`` gives one."""
+    return None if limit is None else limit * mine.count() + pending.count()
+
+
+def deliver(messages: DataFrame, handlers: Handlers, total: int | None = None) -> DataFrame:
     """Run the callbacks.  A message that fails in ``on_message`` reaches no
     batch (``batcher``, ``batch_no`` and ``position`` are NULL).
 
     Numbering many messages reads them several times, so then the outcome of
-    ``on_message`` is written first and the callback still runs once.
+    ``on_message`` is written first and the callback still runs once.  ``total``
+    is a bound on their number, if known.
     """
-    total = messages.count()
+    if total is None:
+        total = messages.count()
     mapped = map_messages(messages, handlers.on_message, **handlers.context)
     if total > SLICE_ROWS:
         mapped = cut_lineage(mapped)
@@ -282,7 +298,8 @@ def consume_once(
     are of one run; so is the state, which the next step starts from."""
     leases, mine = held_leases(shards, state.leases, app_name, worker)
     to_do = read_input(records, mine, state.pending, app_name, limit)
-    messages = cut_lineage(deliver(to_do, handlers))
+    total = input_bound(mine, state.pending, limit)
+    messages = cut_lineage(deliver(to_do, handlers, total))
     dead, after = settle(
         messages,
         state._replace(leases=leases),
@@ -344,7 +361,8 @@ def consume(
         unread = read_unread(spark, records_path, mine, app_name)
         to_do = read_input(unread, mine, before.pending, app_name, limit)
         target = f"{output_path}/messages/app={app_name}/batch={batch_id}"
-        deliver(to_do, handlers).write.mode("overwrite").parquet(target)
+        total = input_bound(mine, before.pending, limit)
+        deliver(to_do, handlers, total).write.mode("overwrite").parquet(target)
         messages = spark.read.parquet(target)
         dead, after = settle(
             messages,

@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 
 from .. import operators as op
 from .. import sources as src
-from ..streaming import ConsumeState, Handlers, consume_once
+from ..streaming import (
+    ConsumeState,
+    Handlers,
+    consume_once,
+    deliver,
+    held_leases,
+    input_bound,
+    read_input,
+)
 from .inputs import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -489,24 +497,31 @@ def stale_leases(t) -> DataFrame:
 # --- end to end -------------------------------------------------------------
 
 
-def _step(t, **options):
-    records = t("records")
-    state = ConsumeState.empty(records.sparkSession)._replace(leases=t("leases"))
+def _handlers() -> Handlers:
     bad = F.col("data").endswith("|error")
-    handlers = Handlers(
+    return Handlers(
         on_message={"status": F.when(bad, "failed").otherwise("ok")},
         batcher=_rule(),
         batch_size=_SIZES,
     )
+
+
+def _step(t, **options):
+    records = t("records")
+    state = ConsumeState.empty(records.sparkSession)._replace(leases=t("leases"))
     return consume_once(
-        records, t("shards"), state, "app-a", "worker-1", AS_OF, handlers, **options
+        records, t("shards"), state, "app-a", "worker-1", AS_OF, _handlers(), **options
     )
 
 
 @query
 def consume(t) -> DataFrame:
     """The messages of one step with their outcome."""
-    return _step(t, limit=500).messages.select(
+    records = t("records")
+    pending = ConsumeState.empty(records.sparkSession).pending
+    _, mine = held_leases(t("shards"), t("leases"), "app-a", "worker-1")
+    messages = read_input(records, mine, pending, "app-a", limit=500)
+    return deliver(messages, _handlers(), input_bound(mine, pending, 500)).select(
         "app_name",
         "shard_id",
         "sequence_number",
@@ -528,4 +543,3 @@ def consume_pending(t) -> DataFrame:
 def consume_leases(t) -> DataFrame:
     """The lease table after a step that reads all and gives up on failures."""
     return _step(t, max_attempts=1, shutdown_delay_ms=0).state.leases
-
