@@ -1,4 +1,8 @@
-"""Shard lineage: splits and merges as a graph of parents and children."""
+"""Shard lineage: splits and merges as a graph of parents and children.
+
+The operators take the listing of one stream, or of several whose shard ids
+differ, with one row per shard (as ``shard_listing`` gives it).
+"""
 
 from functools import reduce
 
@@ -69,9 +73,13 @@ def ready_shards(
     vertices = shard_vertices(shards)
     edges = shard_edges(shards).select("parent", "child").distinct()
 
-    of_parent = mine.select(F.col("shard_id").alias("parent"), F.col("completed").alias("p_done"))
-    known = vertices.select(F.col("shard_id").alias("parent"), F.col("in_listing").alias("p_listed"))
-    parents = edges.join(known, "parent", "left").join(of_parent, "parent", "left")
+    status = vertices.join(mine, "shard_id", "left")
+    of_parent = status.select(
+        F.col("shard_id").alias("parent"),
+        F.col("in_listing").alias("p_listed"),
+        F.col("completed").alias("p_done"),
+    )
+    parents = lookup_join(edges, of_parent, ["parent"], salt_by=["child"])
     if reference_mode:
         done, missing = F.col("p_done"), F.col("p_done").isNull()
     else:
@@ -84,8 +92,7 @@ def ready_shards(
         F.bool_and("p_listed").alias("all_listed"),
     )
     joined = (
-        vertices.join(mine, "shard_id", "left")
-        .join(gates, "shard_id", "left")
+        status.join(gates, "shard_id", "left")
         .withColumn("n_parents", F.coalesce("n_parents", F.lit(0)))
         .withColumn("self_done", F.coalesce("completed", F.lit(False)))
     )
