@@ -73,13 +73,15 @@ def ready_shards(
     vertices = shard_vertices(shards)
     edges = shard_edges(shards).select("parent", "child").distinct()
 
-    status = vertices.join(mine, "shard_id", "left")
-    of_parent = status.select(
+    listed = shards.select("shard_id", F.lit(True).alias("p_listed"))
+    of_parent = listed.join(mine, "shard_id", "full").select(
         F.col("shard_id").alias("parent"),
-        F.col("in_listing").alias("p_listed"),
+        F.col("p_listed"),
         F.col("completed").alias("p_done"),
     )
-    parents = lookup_join(edges, of_parent, ["parent"], salt_by=["child"])
+    parents = lookup_join(edges, of_parent, ["parent"], salt_by=["child"]).withColumn(
+        "p_listed", F.coalesce("p_listed", F.lit(False))
+    )
     if reference_mode:
         done, missing = F.col("p_done"), F.col("p_done").isNull()
     else:
@@ -92,7 +94,8 @@ def ready_shards(
         F.bool_and("p_listed").alias("all_listed"),
     )
     joined = (
-        status.join(gates, "shard_id", "left")
+        vertices.join(mine, "shard_id", "left")
+        .join(gates, "shard_id", "left")
         .withColumn("n_parents", F.coalesce("n_parents", F.lit(0)))
         .withColumn("self_done", F.coalesce("completed", F.lit(False)))
     )
