@@ -4,8 +4,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, secret_scan
-from .common import id_and_text, table
+from . import jaccard_join, langid, packing, secret_scan
+from .common import crc_remainder, id_and_text, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -17,6 +17,15 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(crc_remainder("doc_id", 5) != 0))
+    found = langid.predict(docs.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id", (crc_remainder("doc_id", 5) == 0).alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
+    )
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.find_secrets(id_and_text(table(spark, sf_dir, "documents")))
     spans = F.col("secret_spans")
@@ -38,8 +47,14 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_components(table(spark, sf_dir, "documents"), jaccard_join.Similarity(words=3, percent=90))
+
+
 QUERIES = {
     "op2_packing": op2_packing,
+    "op3_language_id": op3_language_id,
     "op6_secret_scan": op6_secret_scan,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 ORACLES: dict[str, str] = {}
