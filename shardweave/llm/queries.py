@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, langid, packing, secret_scan
+from . import jaccard_join, langid, packing, secret_scan, toxicity
 from .common import crc_remainder, id_and_text, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -47,6 +47,21 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+TOXIC_FROM = 0.7
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(crc_remainder("doc_id", 3) != 1))
+    found = toxicity.score(docs.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id",
+        (crc_remainder("doc_id", 3) == 1).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= TOXIC_FROM).cast("int").alias("predicted"),
+    )
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_components(table(spark, sf_dir, "documents"), jaccard_join.Similarity(words=3, percent=90))
 
@@ -55,6 +70,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_language_id": op3_language_id,
     "op6_secret_scan": op6_secret_scan,
+    "op8_toxicity": op8_toxicity,
     "op10_jaccard_join": op10_jaccard_join,
 }
 ORACLES: dict[str, str] = {}
