@@ -1,15 +1,51 @@
 """Registered queries of this package, and their SQL where it can say the same."""
 
+import json
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, langid, packing, secret_scan, toxicity
+from . import chat_format, jaccard_join, langid, packing, secret_scan, toxicity, url_filter
 from .common import crc_remainder, id_and_text, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = chat_format.turn_records(table(spark, sf_dir, "conversations"))
+    told = "</s>[INST] ok [/INST]"
+    message = {"messages": [{"role": r, "content": told} for r in ("user", "assistant")]}
+    extra = spark.range(1).select(
+        F.lit(-7).cast(records.schema["conv_id"].dataType).alias("conv_id"), F.parse_json(F.lit(json.dumps(message))).alias("record")
+    )
+    turns = chat_format.canonical_turns(records.union(extra), "conv_id", "record")
+    made = chat_format.format_turns(turns)
+    read = made.select(
+        "conv_id",
+        "loss",
+        chat_format.blocks(F.col("formatted")).alias("blocks"),
+        chat_format.read_turns(F.col("formatted")).alias("turns"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+    told = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    read = read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(told, ""), 256).alias("turns_sha256"),
+        chat_format.read_loss(F.col("blocks"), F.col("loss")).alias("under_loss"),
+        "formatted_chars",
+    )
+    return read.select(
+        "conv_id",
+        "n_turns",
+        "turns_sha256",
+        F.char_length("under_loss").cast("long").alias("loss_chars"),
+        F.sha2("under_loss", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
     return pieces.select(
@@ -62,15 +98,28 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The rules that the contract of this query states.
+URL_RULES = tuple(
+    url_filter.Rule(*r.split(" "))
+    for r in ("allow com/", "block example.com/en/", "allow www.example.com/en/", "block net/es/", "block net/fr/")
+)
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_components(table(spark, sf_dir, "documents"), jaccard_join.Similarity(words=3, percent=90))
 
 
 QUERIES = {
+    "op1_chat_format": op1_chat_format,
     "op2_packing": op2_packing,
     "op3_language_id": op3_language_id,
     "op6_secret_scan": op6_secret_scan,
     "op8_toxicity": op8_toxicity,
+    "op9_url_filter": op9_url_filter,
     "op10_jaccard_join": op10_jaccard_join,
 }
 ORACLES: dict[str, str] = {}
