@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, jaccard_join, langid, packing, secret_scan, toxicity, url_filter
+from . import chat_format, decontamination, jaccard_join, langid, packing, quality_rules, secret_scan, toxicity, url_filter
 from .common import crc_remainder, id_and_text, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -62,6 +62,17 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.find_secrets(id_and_text(table(spark, sf_dir, "documents")))
     spans = F.col("secret_spans")
@@ -117,6 +128,8 @@ QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_packing": op2_packing,
     "op3_language_id": op3_language_id,
+    "op4_decontamination": op4_decontamination,
+    "op5_quality_rules": op5_quality_rules,
     "op6_secret_scan": op6_secret_scan,
     "op8_toxicity": op8_toxicity,
     "op9_url_filter": op9_url_filter,
