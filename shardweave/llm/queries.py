@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontamination, jaccard_join, langid, packing, quality_rules, secret_scan, toxicity, url_filter
+from . import chat_format, decontamination, html_extract, jaccard_join, langid, packing, quality_rules, secret_scan, toxicity, url_filter
 from .common import crc_remainder, id_and_text, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -94,6 +94,13 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = html_extract.extract(pages.select("page_id", "url", "html"), html_extract.train(pages))
+    text = F.col("main_text")
+    return found.select("page_id", "url", text.alias("text"), F.char_length(text).cast("long").alias("n_chars"))
+
+
 TOXIC_FROM = 0.7
 
 
@@ -131,6 +138,7 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op5_quality_rules": op5_quality_rules,
     "op6_secret_scan": op6_secret_scan,
+    "op7_html_extract": op7_html_extract,
     "op8_toxicity": op8_toxicity,
     "op9_url_filter": op9_url_filter,
     "op10_jaccard_join": op10_jaccard_join,
