@@ -15,8 +15,11 @@
 
 What is asked for are the classes that links connect, so a pair that links
 already connect needs no check.  Members are first compared with their group's
-head, and groups with one group of each prefix shingle; only pairs of members
-still apart are then formed.  A group of a million near copies costs about a
+head; those that do not link with it stand alone, so a group is one component
+and all its members lie near the head.  In a few rounds each group is compared
+with the nearest of some groups that share a prefix shingle with it; then all
+pairs of groups still apart are, unless their heads' sketches are farther apart
+than any two members can be.  A group of a million near copies costs about a
 million checks, and no partner or candidate is left out.
 """
 
@@ -34,6 +37,9 @@ from .wordhash import mix, windows, word_hashes
 
 SKETCH = 16  # longs of a parity sketch
 ROWS = 512  # documents that are hashed at a time
+PIVOTS = 4  # groups of a prefix shingle that the others of it are compared with in a round
+MAX_ROUNDS = 6  # of these comparisons; they save work, what they do not connect is compared in full
+WORTH = 0.25  # of a round's comparisons that must link for another round
 
 
 @dataclass(frozen=True)
@@ -128,10 +134,14 @@ def _sizes_allow(sim: Similarity, a: str, b: str) -> Column:
     return (F.col(a) * 100 >= F.col(b) * sim.percent) & (F.col(b) * 100 >= F.col(a) * sim.percent)
 
 
-def _sketches_allow(sim: Similarity) -> Column:
+def _distance(a: str, b: str) -> Column:
+    """Places in which two sketches differ; at most the size of the sets' difference."""
+    return sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(SKETCH)), F.lit(0))
+
+
+def _difference_allows(sim: Similarity, difference: Column) -> Column:
     """|x| + |y| - 2 |x & y| is at most (1 - t) / (1 + t) (|x| + |y|) for a link."""
-    differ = sum((F.bit_count(F.col("sa")[i].bitwiseXOR(F.col("sb")[i])) for i in range(SKETCH)), F.lit(0))
-    return differ * (100 + sim.percent) <= (F.col("na") + F.col("nb")) * (100 - sim.percent)
+    return difference * (100 + sim.percent) <= (F.col("na") + F.col("nb")) * (100 - sim.percent)
 
 
 def _verified(pairs: DataFrame, prefixes: DataFrame, docs: DataFrame, classes: DataFrame, sim: Similarity) -> DataFrame:
@@ -140,7 +150,7 @@ def _verified(pairs: DataFrame, prefixes: DataFrame, docs: DataFrame, classes: D
     close = (
         pairs.join(side.toDF("a", "na", "sa"), "a")
         .join(side.toDF("b", "nb", "sb"), "b")
-        .where(_sizes_allow(sim, "na", "nb") & _sketches_allow(sim))
+        .where(_sizes_allow(sim, "na", "nb") & _difference_allows(sim, _distance("sa", "sb")))
         .select("a", "b", "na", "nb")
     )
     close = cut_lineage(close)
@@ -181,13 +191,74 @@ def _prefixes(heads: DataFrame, sim: Similarity) -> DataFrame:
     return cut_lineage(out.join(groups, ["n", "whole", "key"]).select("cid", "n", "sketch", "tokens", "gid"))
 
 
+def _group_heads(members: DataFrame) -> DataFrame:
+    """gid, n, sketch and radius: how far the sketch of any member is from the head's."""
+    heads = members.where("cid = gid").select("gid", "n", "sketch")
+    others = members.where("cid <> gid").select("gid", F.col("sketch").alias("own"))
+    far = others.join(heads, "gid").groupBy("gid").agg(F.max(_distance("own", "sketch")).alias("radius"))
+    return heads.join(far, "gid", "left").withColumn("radius", F.coalesce("radius", F.lit(0)))
+
+
 def _labels(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    found = components(links)
-    return nodes.join(found.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
-        "component", F.coalesce("component", "cid")
+    found = components(links).withColumnRenamed("node", "gid")
+    return nodes.join(found, "gid", "left").withColumn("component", F.coalesce("component", "gid"))
+
+
+def _nearest(tokens: DataFrame, groups: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """For each group the nearest of some groups (picked by hash, in a band of
+    sizes) that share a prefix shingle with it and are in another component."""
+    known = tokens.join(labels, "gid")
+    picked = [
+        F.min_by(F.struct("gid", "component"), F.xxhash64("gid", F.lit(turn * PIVOTS + k))).alias(f"p{k}") for k in range(PIVOTS)
+    ]
+    pivots = known.groupBy("h", "band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), *picked)
+    pivots = pivots.where("lo <> hi").select("h", "band", F.array_distinct(F.array(*[p for p in _names(PIVOTS)])).alias("p"))
+    near = known.join(pivots, ["h", "band"]).select("gid", F.explode(F.filter("p", lambda p: p["component"] != F.col("component"))).alias("p"))
+    near = near.select(F.col("gid").alias("a"), F.col("p.gid").alias("b")).distinct()
+    side = groups.select("gid", "sketch")
+    return (
+        near.join(side.toDF("a", "sa"), "a")
+        .join(side.toDF("b", "sb"), "b")
+        .groupBy("a")
+        .agg(F.min_by("b", F.struct(_distance("sa", "sb"), F.col("b"))).alias("b"))
+        .select("a", "b")
+    )
+
+
+def _names(n: int) -> list[str]:
+    return [f"p{k}" for k in range(n)]
+
+
+def _apart(tokens: DataFrame, groups: DataFrame, labels: DataFrame, sim: Similarity) -> DataFrame:
+    """Pairs (ga, gb) of groups in different components that share a prefix
+    shingle and that neither sizes nor sketches rule out for all their members."""
+    sizes = labels.groupBy("component").agg(F.count("*").alias("size"))
+    known = tokens.select("gid", "h").join(labels.join(sizes, "component"), "gid")
+    mixed = known.groupBy("h").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.max_by("component", F.struct("size", "component")).alias("main")
+    )
+    known = known.join(mixed.where("lo <> hi").select("h", "main"), "h").join(groups, "gid")
+    known = cut_lineage(known.select("h", "gid", "component", "n", "sketch", "radius", (F.col("component") != F.col("main")).alias("other")))
+    left = known.where("other").select("h", *[F.col(c).alias(x) for c, x in zip(_SIDE, ("ga", "ca", "na", "sa", "ra"), strict=True)])
+    right = known.select("h", "other", *[F.col(c).alias(x) for c, x in zip(_SIDE, ("gb", "cb", "nb", "sb", "rb"), strict=True)])
+    near = _difference_allows(sim, _distance("sa", "sb") - F.col("ra") - F.col("rb"))
+    return (
+        left.join(
+            right,
+            (left["h"] == right["h"])
+            & (F.col("ca") != F.col("cb"))
+            & (~F.col("other") | (F.col("ga") < F.col("gb")))
+            & _sizes_allow(sim, "na", "nb")
+            & near,
+        )
+        .select("ga", "gb")
+        .distinct()
     )
 
 
+_SIDE = ("gid", "component", "n", "sketch", "radius")
+
+
 def similar_components(
     docs: DataFrame, sim: Similarity = Similarity(), id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -206,52 +277,41 @@ def similar_components(
     heads = signed.join(classes.select("cid", "doc_id"), ["doc_id", "cid"], "left_semi").dropDuplicates(["doc_id", "cid"])
     prefixes = _prefixes(heads, sim)
 
-    # members with the heads of their groups, groups with one group of each prefix shingle
-    band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / sim.percent)))
-    group_tokens = cut_lineage(
-        prefixes.where("cid = gid").select("gid", "n", band.alias("band"), F.explode("tokens").alias("h"))
-    )
-    pivots = group_tokens.groupBy("h", "band").agg(F.min("gid").alias("b"), F.count("*").alias("m")).where("m > 1")
-    stars = group_tokens.join(pivots, ["h", "band"]).select(F.col("gid").alias("a"), "b").where("a <> b").distinct()
-    first = prefixes.select(F.col("cid").alias("a"), F.col("gid").alias("b")).where("a <> b").union(stars)
-    links = cut_lineage(_verified(first, prefixes, docs, classes, sim))
-    labels = cut_lineage(_labels(prefixes.select("cid", "gid"), links))
-
-    # pairs of groups, and single groups, whose members are not all in one component yet
-    spread = labels.groupBy("gid").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    tokens = group_tokens.select("gid", "n", "h").join(spread, "gid")
-    mixed = (
-        tokens.groupBy("h")
-        .agg(F.min("lo").alias("least"), F.max("hi").alias("most"), F.min_by("lo", "gid").alias("main"))
-        .where("least <> most")
-        .select("h", "main")
-    )
-    tokens = cut_lineage(
-        tokens.join(mixed, "h").withColumn("apart", (F.col("lo") != F.col("hi")) | (F.col("lo") != F.col("main")))
-    )
-    left = tokens.where("apart").select("h", F.col("gid").alias("ga"), F.col("n").alias("na"), F.col("lo").alias("la"), F.col("hi").alias("ha"))
-    right = tokens.select("h", F.col("gid").alias("gb"), F.col("n").alias("nb"), F.col("lo").alias("lb"), F.col("hi").alias("hb"), F.col("apart").alias("other"))
-    group_pairs = (
-        left.join(right, "h")
-        .where(
-            _sizes_allow(sim, "na", "nb")
-            & ((F.col("la") != F.col("lb")) | (F.col("la") != F.col("ha")) | (F.col("lb") != F.col("hb")))
-            & (~F.col("other") | (F.col("ga") < F.col("gb")))
-        )
-        .select(F.least("ga", "gb").alias("ga"), F.greatest("ga", "gb").alias("gb"))
-        .distinct()
+    # members with the heads of their groups; those that do not link stand alone
+    to_head = prefixes.select(F.col("cid").alias("a"), F.col("gid").alias("b")).where("a <> b")
+    links = cut_lineage(_verified(to_head, prefixes, docs, classes, sim))
+    members = prefixes.join(links.select(F.col("a").alias("cid"), F.lit(True).alias("linked")), "cid", "left")
+    members = members.withColumn("gid", F.when(F.col("linked"), F.col("gid")).otherwise(F.col("cid"))).drop("linked")
+    groups = cut_lineage(_group_heads(members))
+    tokens = members.where("cid = gid").select(
+        "gid", F.floor(F.log("n") / float(np.log(100 / sim.percent))).alias("band"), F.explode("tokens").alias("h")
     )
-    inner = spread.where("lo <> hi").select(F.col("gid").alias("ga"), F.col("gid").alias("gb"))
-    members = labels.select("cid", "gid", "component")
-    second = (
-        group_pairs.union(inner)
-        .join(members.toDF("a", "ga", "ca"), "ga")
-        .join(members.toDF("b", "gb", "cb"), "gb")
-        .where((F.col("ca") != F.col("cb")) & ((F.col("ga") != F.col("gb")) | (F.col("a") < F.col("b"))))
+    tokens = cut_lineage(tokens)
+
+    # groups with a few others of each prefix shingle, the nearest first
+    labels = groups.select("gid", F.col("gid").alias("component"))
+    between = links.limit(0)
+    for turn in range(MAX_ROUNDS):
+        near = cut_lineage(_nearest(tokens, groups, labels, turn))
+        new = cut_lineage(_verified(near, prefixes, docs, classes, sim))
+        between = between.union(new)
+        labels = cut_lineage(_labels(groups.select("gid"), between))
+        if new.count() < WORTH * near.count():
+            break
+
+    # what is left: pairs of groups that links do not connect yet
+    pairs = _apart(tokens, groups, labels, sim)
+    side = members.select("gid", "cid", "n", "sketch")
+    expanded = (
+        pairs.join(side.toDF("ga", "a", "na", "sa"), "ga")
+        .join(side.toDF("gb", "b", "nb", "sb"), "gb")
+        .where(_difference_allows(sim, _distance("sa", "sb")))
         .select("a", "b")
     )
-    more = cut_lineage(_verified(second, prefixes, docs, classes, sim))
-    final = cut_lineage(_labels(classes.select("cid", "doc_id"), links.union(more)))
+    more = cut_lineage(_verified(expanded, prefixes, docs, classes, sim))
+    found = components(links.union(between).union(more))
+    final = classes.select("cid", "doc_id").join(found.withColumnRenamed("node", "cid"), "cid", "left")
+    final = cut_lineage(final.withColumn("component", F.coalesce("component", "cid")))
     least = final.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = final.join(least, "component").select("cid", "component_id")
     return (
