@@ -44,6 +44,23 @@ _CLOSES = {
 _SCOPE = set("table ul ol dl div section article aside nav header footer main form body html blockquote".split())
 
 
+#: Names of classes and ids of containers, as the web uses them.
+CONTENT_NAMES = "content main article post entry story text body page single blog news prose markdown detail".split()
+OTHER_NAMES = {
+    "nav": "nav menu navbar navigation breadcrumb breadcrumbs topnav toc pagination pager tabs".split(),
+    "header": "header masthead topbar branding logo site banner".split(),
+    "footer": "footer colophon copyright legal bottom".split(),
+    "aside": "sidebar aside widget related recommended popular trending tags".split(),
+    "div": (
+        "ad ads advert advertisement adsense sponsor sponsored promo promoted cookie cookies consent gdpr notice alert popup modal "
+        "overlay newsletter subscribe signup share sharing social follow toolbar skip hidden disclaimer paywall"
+    ).split(),
+    "form": "form search login contact feedback".split(),
+    "section": "comments comment replies reply respond disqus discussion reviews thread".split(),
+}
+_CONTENT, _OTHER = set(CONTENT_NAMES), set().union(*OTHER_NAMES.values())
+
+
 class Node:
     __slots__ = ("tag", "parent", "features", "text", "links", "label")
 
@@ -65,6 +82,12 @@ def _names(rest: str) -> list[str]:
     return found
 
 
+def _with_lists(names: list[str]) -> list[str]:
+    """The features with those that names of one list share."""
+    words = {n[5:] for n in names if n.startswith("name=")}
+    return [*names, *["list=other"] * bool(words & _OTHER), *["list=content"] * bool(words & _CONTENT)]
+
+
 def parse(page: str) -> list[Node]:
     """Block elements and runs of text in page order, parents first.  Whatever
     is not closed ends with what contains it; ends of nothing are ignored."""
@@ -134,7 +157,7 @@ def parse(page: str) -> list[Node]:
                     break
                 if nodes[stack[k]].tag in _SCOPE:
                     break
-        nodes.append(Node(tag, stack[-1], [f"tag={tag}", *_names(m["rest"])]))
+        nodes.append(Node(tag, stack[-1], [f"tag={tag}", *_with_lists(_names(m["rest"]))]))
         if not m["rest"].endswith("/") or tag in _SCOPE or tag == "p":
             stack.append(len(nodes) - 1)
     flush()
@@ -198,7 +221,7 @@ def _beliefs(nodes, own, between):
     return belief, below, above
 
 
-def fit(pages: list[list[Node]], epochs: int = 12, rate: float = 0.3, decay: float = 1e-3, seed: int = 5) -> TreeModel:
+def fit(pages: list[list[Node]], epochs: int = 25, rate: float = 0.3, decay: float = 1e-4, seed: int = 5) -> TreeModel:
     """Gradient steps on the likelihood of the labels, with a rate of its own
     for each weight that falls with its past gradients."""
     own: dict[str, float] = {}
@@ -238,20 +261,6 @@ def fit(pages: list[list[Node]], epochs: int = 12, rate: float = 0.3, decay: flo
 
 # ---- labelled pages
 
-#: Names of classes and ids of containers, as the web uses them.
-CONTENT_NAMES = "content main article post entry story text body page single blog news prose markdown detail".split()
-OTHER_NAMES = {
-    "nav": "nav menu navbar navigation breadcrumb breadcrumbs topnav toc pagination pager tabs".split(),
-    "header": "header masthead topbar branding logo site banner".split(),
-    "footer": "footer colophon copyright legal bottom".split(),
-    "aside": "sidebar aside widget related recommended popular trending tags".split(),
-    "div": (
-        "ad ads advert advertisement adsense sponsor sponsored promo promoted cookie cookies consent gdpr notice alert popup modal "
-        "overlay newsletter subscribe signup share sharing social follow toolbar skip hidden disclaimer paywall"
-    ).split(),
-    "form": "form search login contact feedback".split(),
-    "section": "comments comment replies reply respond disqus discussion reviews thread".split(),
-}
 _INSIDE = {"nav", "aside", "footer", "form", "dialog", "menu"}  # of an article, but no part of its text
 
 
@@ -268,10 +277,7 @@ def mark(nodes: list[Node]) -> list[Node] | None:
     return nodes if found else None
 
 
-_OTHER = set().union(*OTHER_NAMES.values())
-
-
-def written_pages(count: int = 240, seed: int = 3) -> list[list[Node]]:
+def written_pages(count: int = 300, seed: int = 3) -> list[list[Node]]:
     """Labelled pages of many layouts, made by rule."""
     rng = random.Random(seed)
 
@@ -313,21 +319,21 @@ def written_pages(count: int = 240, seed: int = 3) -> list[list[Node]]:
         parts = [f"<h1>{words(2, 8)}</h1>"] if rng.random() < 0.7 else []
         for _ in range(rng.randint(1, 9)):
             kind = rng.random()
-            if kind < 0.75:
+            if kind < 0.7:
                 parts.append(paragraph())
-            elif kind < 0.8:
+            elif kind < 0.75:
                 parts.append(f"<h2>{words(1, 6)}</h2>")
-            elif kind < 0.85:
+            elif kind < 0.79:
                 parts.append("<ul>" + "".join(f"<li>{sentence(2, 12)}</li>" for _ in range(rng.randint(2, 5))) + "</ul>")
-            elif kind < 0.88:
+            elif kind < 0.82:
                 parts.append(f"<blockquote>{paragraph()}</blockquote>")
-            elif kind < 0.9:
+            elif kind < 0.84:
                 parts.append(f"<pre>{words(3, 20)}</pre>")
-            elif kind < 0.92:
+            elif kind < 0.86:
                 cells = "".join(f"<td>{words(1, 4)}</td>" for _ in range(3))
                 parts.append(f"<table><tr>{cells}</tr></table>")
             else:  # something else within the article
-                parts.append("\0" + other(rng.choice(["div", "aside", "div", "nav", "form"])) + "\1")
+                parts.append("\0" + other(rng.choice(["div", "aside", "div", "nav", "form", "section"])) + "\1")
         inner = "".join(parts)
         shape = rng.random()
         if shape < 0.4:

@@ -2,7 +2,7 @@ import re
 from hashlib import sha256
 
 import pytest
-from fixtures import DOCS, SF, awkward, nothing
+from fixtures import DOCS, awkward, nothing
 
 from shardweave.llm import secret_scan as ss
 from shardweave.llm.queries import QUERIES
@@ -62,8 +62,9 @@ def test_any_pattern_keeps_its_matches(pattern):
 
 
 def test_query(spark):
-    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
-    rows = QUERIES["op6_secret_scan"](spark, SF).collect()
+    sf = "/root/testdata/sf0.01"
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = QUERIES["op6_secret_scan"](spark, sf).collect()
     assert len(rows) == len(docs)
     for r in rows:
         spans = plain(docs[r.doc_id], ss.RULES)
