@@ -102,7 +102,8 @@ def _templates(paths: DataFrame, o: TreeOptions) -> DataFrame:
 
 
 def _merge(paths: DataFrame, level: int, o: TreeOptions) -> DataFrame:
-    """Merge the branches of one level into the largest beside them that is like them."""
+    """Merge the branches of one level into the largest of those beside them
+    that have the same most frequent cell, where they are like it."""
     here = F.get("tpl", F.lit(level))
     inner = here.isNotNull() & ~here.rlike(r"^\{") & (F.size("tpl") > level + 1)  # literal, with something below
     rows = paths.withColumn("up", F.slice("tpl", 1, level)).withColumn("seg", F.when(inner, here))
@@ -116,10 +117,12 @@ def _merge(paths: DataFrame, level: int, o: TreeOptions) -> DataFrame:
         .agg(F.sum("k.c").alias("c"))
         .where("c > 0")
     )
-    sizes = cells.groupBy("host", "up", "seg").agg(F.sum("c").alias("size"))
-    largest = sizes.groupBy("host", "up").agg(F.max(F.struct("size", "seg")).alias("top")).select("host", "up", "top.*")
-    largest = largest.toDF("host", "up", "top_size", "top")
-    others = sizes.join(largest, ["host", "up"]).where("seg <> top")
+    most = F.max(F.struct("c", "rest", "label")).alias("m")
+    sizes = cells.groupBy("host", "up", "seg").agg(F.sum("c").alias("size"), most)
+    sizes = sizes.select("host", "up", "seg", "size", F.struct("m.rest", "m.label").alias("most"))
+    largest = sizes.groupBy("host", "up", "most").agg(F.max(F.struct("size", "seg")).alias("top"))
+    largest = largest.select("host", "up", "most", F.col("top.size").alias("top_size"), F.col("top.seg").alias("top"))
+    others = sizes.join(largest, ["host", "up", "most"]).where("seg <> top").drop("most")
     top_cells = cells.select("host", "up", F.col("seg").alias("top"), "rest", "label", F.col("c").alias("top_c"))
     # a row per branch and cell of its own or of the largest one
     own = others.join(cells, ["host", "up", "seg"]).select("host", "up", "seg", "top", "rest", "label", "c", F.lit(0).cast("long").alias("top_c"))
