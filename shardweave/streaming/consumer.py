@@ -10,6 +10,7 @@ letters and completed shards.  :func:`consume_once` chains them over tables;
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
+from itertools import count
 from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,7 +34,6 @@ from ..operators.messages import (
 )
 from ..operators.resume import resume_read
 from ..plans import cut_lineage, cuts_in, fits_broadcast, lookup_join
-from ..plans.numbering import SLICE_ROWS
 from ..schemas import LEASES
 from ..sources.lease_store import LeaseStore
 from ..sources.records import read_limited, read_table, read_unread
@@ -50,7 +50,7 @@ PENDING = T.StructType(
         T.StructField("attempt", T.LongType()),
     ]
 )
-# when each shard last had a successful message
+# when each shard last had a message that was finished, or was first seen closed
 LAST_OK = T.StructType(
     [
         T.StructField("app_name", T.StringType()),
@@ -58,6 +58,7 @@ LAST_OK = T.StructType(
         T.StructField("ack_ts", T.TimestampNTZType()),
     ]
 )
+MAX_STEPS = 1_000_000  # of one micro-batch; numbers its versions of the state
 _INPUT = [f.name for f in PENDING.fields]
 
 
@@ -69,12 +70,14 @@ class Handlers:
     applied to every message; ``batcher``: expression naming a message's batcher;
     ``on_batch``: DataFrame -> DataFrame over the messages with ``batcher``,
     ``batch_no`` and ``position`` (``map_batches`` calls a function per batch).
-    Either marks a message as failed by ``status``.  ``context`` is passed to
-    both as keyword arguments.
+    Either marks a message as failed by ``status``.  ``on_failed`` is called once
+    per step with the failed messages, when their outcome is written.  ``context``
+    is passed to all of them as keyword arguments.
     """
 
     on_message: Callable[..., DataFrame] | Mapping[str, Column] | None = None
     on_batch: Callable[..., DataFrame] | None = None
+    on_failed: Callable[..., None] | None = None
     batcher: Column | None = None
     batch_size: int | Mapping[str, int] = DEFAULT_BATCH_SIZE
     context: dict[str, Any] = field(default_factory=dict)
@@ -131,10 +134,11 @@ def read_input(
     pending: DataFrame,
     app_name: str,
     limit: int | None = None,
+    retry: bool = True,
 ) -> DataFrame:
-    """Messages of this step: the pending ones of the leases held, and up to
-    ``limit`` new records per shard after its checkpoint.  A pending record
-    after the checkpoint is not read a second time."""
+    """Messages of this step: the pending ones of the leases held (unless
+    ``retry`` is false), and up to ``limit`` new records per shard after its
+    checkpoint.  A pending record after the checkpoint is not read a second time."""
     few_leases, few_pending = fits_broadcast(mine), fits_broadcast(pending)
     retries = pending.where(F.col("app_name") == app_name).withColumn(
         "attempt", F.col("attempt") + 1
@@ -158,7 +162,8 @@ def read_input(
     if limit is not None:
         new = read_limited(new, limit)
     new = new.withColumn("attempt", F.lit(0).cast("long"))
-    return retries.select(*_INPUT).unionByName(new.select(*_INPUT))
+    new = new.select(*_INPUT)
+    return retries.select(*_INPUT).unionByName(new) if retry else new
 
 
 def input_bound(mine: DataFrame, pending: DataFrame, limit: int | None) -> int | None:
@@ -170,15 +175,13 @@ def deliver(messages: DataFrame, handlers: Handlers, total: int | None = None) -
     """Run the callbacks.  A message that fails in ``on_message`` reaches no
     batch (``batcher``, ``batch_no`` and ``position`` are NULL).
 
-    Numbering many messages reads them several times, so then the outcome of
-    ``on_message`` is written first and the callback still runs once.  ``total``
-    is a bound on their number, if known.
+    The outcome of ``on_message`` is read more than once, so it is written
+    first: the callback runs once, and what it said of a message holds.
+    ``total`` is a bound on their number, if known.
     """
     if total is None:
         total = messages.count()
-    mapped = map_messages(messages, handlers.on_message, **handlers.context)
-    if total > SLICE_ROWS:
-        mapped = cut_lineage(mapped)
+    mapped = cut_lineage(map_messages(messages, handlers.on_message, **handlers.context))
     good, bad = split_failed(mapped)
     batched = micro_batches(
         route_batchers(good, handlers.batcher), handlers.batch_size, total=total
@@ -188,6 +191,11 @@ def deliver(messages: DataFrame, handlers: Handlers, total: int | None = None) -
     return union_all([batched, bad])
 
 
+def _tell_failed(messages: DataFrame, handlers: Handlers) -> None:
+    if handlers.on_failed is not None:
+        handlers.on_failed(messages.where(F.col("status") == FAILED), **handlers.context)
+
+
 def settle(
     messages: DataFrame,
     state: ConsumeState,
@@ -201,11 +209,15 @@ def settle(
 ) -> tuple[DataFrame, ConsumeState]:
     """Dead letters and the state after a step.
 
-    The checkpoint of a shard becomes its last successful message.  It never
-    goes back: a success of a retry does not rewind a shard that is further on.
+    The checkpoint of a shard becomes its last finished message: one that
+    succeeded or was given up.  It never goes back: a retry that is finished does
+    not rewind a shard that is further on.
     """
     now = wall_clock(as_of)
-    acks = messages.select(
+    spent = F.lit(False) if max_attempts is None else F.col("attempt") + 1 >= max_attempts
+    given_up = (F.col("status") == FAILED) & spent
+    finished = messages.withColumn("status", F.when(given_up, OK).otherwise(F.col("status")))
+    acks = finished.select(
         "app_name",
         "shard_id",
         F.lit(0).cast("long").alias("ack_id"),
@@ -227,7 +239,6 @@ def settle(
     leases = cut_lineage(apply_checkpoints(state.leases, checkpoints, monotonic=True).leases)
 
     failed = messages.where(F.col("status") == FAILED)
-    spent = F.lit(False) if max_attempts is None else F.col("attempt") + 1 >= max_attempts
     dead = failed.where(spent)
     others = state.pending.join(
         messages.select("app_name", "shard_id", "sequence_number"),
@@ -237,13 +248,23 @@ def settle(
     pending = failed.where(~spent).select(*_INPUT).unionByName(others.select(*_INPUT))
 
     ok_now = (
-        messages.where(F.col("status") == OK)
+        finished.where(F.col("status") == OK)
         .select("app_name", "shard_id")
         .distinct()
         .withColumn("ack_ts", now)
     )
+    # a closed shard that never had such a message counts from when it was seen
+    seen_closed = (
+        shards.where(F.col("seq_end").isNotNull())
+        .select(F.lit(app_name).alias("app_name"), "shard_id")
+        .distinct()
+        .join(leases.select("app_name", "shard_id"), ["app_name", "shard_id"], "left_semi")
+        .join(state.last_ok, ["app_name", "shard_id"], "left_anti")
+        .withColumn("ack_ts", now)
+    )
     last_ok = (
         state.last_ok.unionByName(ok_now)
+        .unionByName(seen_closed)
         .groupBy("app_name", "shard_id")
         .agg(F.max("ack_ts").alias("ack_ts"))
     )
@@ -300,6 +321,7 @@ def consume_once(
     to_do = read_input(records, mine, state.pending, app_name, limit)
     total = input_bound(mine, state.pending, limit)
     messages = cut_lineage(deliver(to_do, handlers, total))
+    _tell_failed(messages, handlers)
     dead, after = settle(
         messages,
         state._replace(leases=leases),
@@ -314,6 +336,15 @@ def consume_once(
     return StepResult(messages, dead, ConsumeState(*map(cut_lineage, after)))
 
 
+def _write_step(table: DataFrame, path: str, n: int) -> None:
+    """The first step of a micro-batch replaces all that is under its path."""
+    if n == 0:
+        step = table.withColumn("step", F.lit(0))
+        step.write.mode("overwrite").partitionBy("step").parquet(path)
+    else:
+        table.write.mode("overwrite").parquet(f"{path}/step={n}")
+
+
 def consume(
     spark: SparkSession,
     records_path: str,
@@ -333,12 +364,14 @@ def consume(
     """Start a streaming query that consumes the table at ``records_path``
     (written by ``write_records``).  All paths are folders every executor sees.
 
-    New files only wake the step up; what it reads is decided by the lease
-    checkpoints, so records held back by ``limit`` or by a parent shard that is
-    still open are not lost.  Messages are written first, under the number of
-    the micro-batch, then dead letters, then the state: a repeated micro-batch
-    starts from the state before it and replaces its own output.  ``listing``
-    gives the current shard listing and is called once per step.
+    New files, or a tick where there are none, wake the consumer up; what it
+    reads is decided by the lease checkpoints.  It then runs steps of at most
+    ``limit`` new records per shard until nothing new can be read, so records
+    held back by ``limit`` are not left over; waiting messages are retried, and
+    quiet shards closed, once per wake-up.  Messages are written first, under the
+    number of the micro-batch and the step, then dead letters, then the state: a
+    repeated micro-batch starts from the state before it and replaces its own
+    output.  ``listing`` gives the current shard listing, once per step.
     """
     for name, value in (("app_name", app_name), ("worker", worker)):
         if not isinstance(value, str) or not value:
@@ -349,21 +382,29 @@ def consume(
         LeaseStore(spark, f"{state_path}/last_ok", LAST_OK),
     )
 
-    def step(_wake_up: DataFrame, batch_id: int) -> None:
-        with cuts_in(f"{state_path}/work"):
-            run_step(batch_id)
-
-    def run_step(batch_id: int) -> None:
-        before = ConsumeState(*(s.read(before=batch_id) for s in stores))
+    def wake_up(_rows: DataFrame, batch_id: int) -> None:
+        for n in count():
+            with cuts_in(f"{state_path}/work"):
+                if not run_step(batch_id, n):
+                    break
+        # what a repeated micro-batch left under higher numbers is out of date
+        last = (batch_id + 1) * MAX_STEPS - 1
+        for store in stores:
+            store.write(last, store.read(before=batch_id * MAX_STEPS + n + 1))
+
+    def run_step(batch_id: int, n: int) -> bool:
+        """One step; whether it read anything new."""
+        version = batch_id * MAX_STEPS + n
+        before = ConsumeState(*(s.read(before=version) for s in stores))
         shards = listing()
         leases, mine = held_leases(shards, before.leases, app_name, worker)
         records = read_table(spark, records_path)
         unread = read_unread(spark, records_path, mine, app_name)
-        to_do = read_input(unread, mine, before.pending, app_name, limit)
-        target = f"{output_path}/messages/app={app_name}/batch={batch_id}"
+        to_do = read_input(unread, mine, before.pending, app_name, limit, retry=n == 0)
         total = input_bound(mine, before.pending, limit)
-        deliver(to_do, handlers, total).write.mode("overwrite").parquet(target)
-        messages = spark.read.parquet(target)
+        messages = cut_lineage(deliver(to_do, handlers, total))
+        _write_step(messages, f"{output_path}/messages/app={app_name}/batch={batch_id}", n)
+        _tell_failed(messages, handlers)
         dead, after = settle(
             messages,
             before._replace(leases=leases),
@@ -375,21 +416,22 @@ def consume(
             max_attempts,
             shutdown_delay_ms,
         )
-        dead.write.mode("overwrite").parquet(
-            f"{output_path}/dead_letters/app={app_name}/batch={batch_id}"
-        )
+        _write_step(dead, f"{output_path}/dead_letters/app={app_name}/batch={batch_id}", n)
         for store, table in zip(stores, after, strict=True):
-            store.write(batch_id, table)
+            store.write(version, table)
+        return not messages.where("attempt = 0").isEmpty()
 
     reader = spark.readStream.schema(read_table(spark, records_path).schema)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
     return (
         reader.parquet(records_path)
         .select("shard_id")
+        .union(ticks.select(F.lit(None).cast("string")))
         .writeStream.queryName(f"consume-{app_name}")
         .option("checkpointLocation", f"{state_path}/query")
         .trigger(**(trigger or {"processingTime": "5 seconds"}))
-        .foreachBatch(step)
+        .foreachBatch(wake_up)
         .start()
     )

@@ -177,12 +177,59 @@ def test_streaming_consumer_matches_the_batch_step(spark, tmp_path, rows):
     assert len(ok) == len(set(ok))
     dead = rows(spark.read.parquet(f"{root}/out/dead_letters"), "data")
     want = rows(recs.where("data <> '33'"), "shard_id", "sequence_number")
-    missing = set(want) - set(ok)
     state = marks(ConsumeState(LeaseStore(spark, f"{root}/state/leases").read(), None, None))
-    assert not (set(ok) - set(want))
-    if not missing:
-        assert dead == [("33",)] and state[0] == (57, True)
-    else:  # no wake-up left for the rest: it is still after the checkpoints
-        for s, q in missing:
-            mark = state.get(int(s[-2:]), (None, False))[0]
-            assert mark is None or int(q[-9:]) > mark
+    assert ok == want
+    assert dead == [("33",)] and state[0] == (57, True)
+
+
+def test_one_run_drains_what_the_limit_holds_back(spark, tmp_path, rows):
+    root = str(tmp_path)
+    shards = listing(spark, (0, None, False))
+    recs = records(spark, range(10), shards=1)
+    write_records(recs, f"{root}/records")
+    _drain(spark, root, lambda: NOW, shards, limit=4)
+    assert rows(spark.read.parquet(f"{root}/out/messages"), "data") == sorted((str(n),) for n in range(10))
+    # without new files waiting messages are retried
+    failing = Handlers(on_message={"status": F.lit("failed")})
+    write_records(records(spark, range(10, 13), shards=1), f"{root}/records")
+    _drain(spark, root, lambda: NOW, shards, limit=2, handlers=failing)
+    _drain(spark, root, lambda: NOW, shards, limit=2)
+    got = spark.read.parquet(f"{root}/out/messages").where("cast(data as int) >= 10 and status = 'ok'")
+    assert rows(got, "data") == [("10",), ("11",), ("12",)]
+
+
+def test_a_callback_whose_outcome_varies_decides_once(spark, rows):
+    recs = records(spark, range(1000))
+    shards = listing(spark, (0, None, False), (1, None, False))
+    varies = Handlers(on_message={"status": F.when(F.rand() < 0.3, "failed").otherwise("ok")})
+    out = consume_once(recs, shards, ConsumeState.empty(spark), APP, ME, NOW, varies)
+    assert rows(out.messages, "data") == sorted((str(n),) for n in range(1000))
+    bad = out.messages.where("status = 'failed'")
+    assert rows(bad, "data") == rows(out.state.pending, "data")
+
+
+def test_dead_letters_at_the_end_are_not_read_again(spark, rows):
+    recs = records(spark, range(3), shards=1)
+    shards = listing(spark, (0, None, True), (1, 0, False))
+    bad = Handlers(on_message={"status": F.when(F.col("data") == "2", "failed").otherwise("ok")})
+    told = []
+    bad = Handlers(on_message=bad.on_message, on_failed=lambda df: told.append(df.count()))
+    state = ConsumeState.empty(spark)
+    dead = []
+    for step in range(3):
+        out = consume_once(recs, shards, state, APP, ME, NOW + timedelta(hours=step), bad, max_attempts=1)
+        dead += rows(out.dead_letters, "data")
+        state = out.state
+    assert dead == [("2",)] and told == [1, 0, 0]
+    assert marks(state)[0] == (2, True) and 1 in marks(state)
+
+
+def test_a_closed_shard_without_records_completes(spark):
+    recs = records(spark, range(2), shards=1).where("shard_id = 'none'")
+    shards = listing(spark, (0, None, True), (1, 0, False))
+    state = consume_once(recs, shards, ConsumeState.empty(spark), APP, ME, NOW).state
+    assert marks(state) == {0: (None, False)}
+    state = consume_once(recs, shards, state, APP, ME, NOW + timedelta(seconds=299)).state
+    assert marks(state) == {0: (None, False)}
+    state = consume_once(recs, shards, state, APP, ME, NOW + timedelta(seconds=300)).state
+    assert marks(state) == {0: (None, True)}
