@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .lineage_cut import cut_lineage
+
 SLICE_ROWS = 1_000_000
 MAX_PIVOTS = 200_000  # ~100 bytes each: the broadcast stays near 20 MB
 
@@ -49,6 +51,13 @@ def count_at_or_below(sorted_pivots: Column, key: Column, most: int) -> Column:
     )
 
 
+def _join_groups(rows: DataFrame, few: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join with a small table by ``on``, where NULL equals NULL."""
+    renamed = few.withColumnsRenamed({c: f"_of_{c}" for c in on})
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in on]
+    return rows.join(F.broadcast(renamed), same, "left").drop(*[f"_of_{c}" for c in on])
+
+
 def slice_groups(
     df: DataFrame,
     group: Sequence[str],
@@ -81,10 +90,10 @@ def slice_groups(
         .groupBy(*group)
         .agg(F.array_sort(F.collect_set("_key")).alias("_pivots"))
     )
-    # Far more pivots than expected would make the last slice longer, not wrong.
-    most = 4 * (total // spacing) + 16
+    pivots = cut_lineage(pivots)
+    most = pivots.agg(F.max(F.size("_pivots"))).first()[0] or 1
     tagged = (
-        df.join(F.broadcast(pivots), group, "left")
+        _join_groups(df, pivots, group)
         .withColumn("_cut", F.col("_pivots").isNotNull())
         .withColumn(
             "_slice",
@@ -130,7 +139,7 @@ def number_rows(
         .select(*group, "_slice", "_before")
     )
     before = F.coalesce("_before", F.lit(0))
-    rows = cut.rows.join(F.broadcast(offsets), [*group, "_slice"], "left")
+    rows = _join_groups(cut.rows, offsets, [*group, "_slice"])
     if first is not None:
         rows = rows.where(before < first)
     inside = F.row_number().over(Window.partitionBy(*group, "_slice").orderBy(*order))

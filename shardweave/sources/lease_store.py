@@ -8,12 +8,12 @@ from ..plans import lookup_join
 from ..schemas import LEASES
 
 
-def lease_lookup(leases: DataFrame, keys: DataFrame) -> DataFrame:
+def lease_lookup(leases: DataFrame, keys: DataFrame, **bounds: int) -> DataFrame:
     """For every key row the lease with the same ``(app_name, shard_id)`` and
-    ``found``, false where there is none."""
+    ``found``, false where there is none.  ``bounds`` as in :func:`lookup_join`."""
     hits = leases.withColumn("found", F.lit(True))
     salt_by = [c for c in keys.columns if c not in ("app_name", "shard_id")]
-    return lookup_join(keys, hits, ["app_name", "shard_id"], salt_by=salt_by).withColumn(
+    return lookup_join(keys, hits, ["app_name", "shard_id"], salt_by=salt_by, **bounds).withColumn(
         "found", F.coalesce("found", F.lit(False))
     )
 

@@ -18,10 +18,10 @@ _GROUP_LIMIT_RANK = 1_000
 
 
 def encode_records(df: DataFrame, key_col: str) -> DataFrame:
-    """Each row as a payload: ``data`` is the row as JSON, ``partition_key`` is
-    the text of ``key_col``."""
+    """Each row as a payload: ``data`` is the row as JSON with all its fields,
+    null ones included; ``partition_key`` is the text of ``key_col``."""
     return df.select(
-        F.to_json(F.struct(*df.columns)).alias("data"),
+        F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("data"),
         F.col(key_col).cast("string").alias("partition_key"),
     )
 

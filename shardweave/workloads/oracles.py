@@ -457,7 +457,7 @@ ORACLES = {
     FROM fresh WHERE rn <= 500 AND bad""",
     "consume_leases": _with("records", "leases", "shards", more=_HELD)
     + """, marks AS (
-    SELECT shard_id, arg_max(sequence_number, rn) AS cp FROM fresh WHERE NOT bad GROUP BY shard_id),
+    SELECT shard_id, arg_max(sequence_number, rn) AS cp FROM fresh GROUP BY shard_id),
   every AS (
     SELECT * FROM leases UNION ALL
     SELECT * FROM held WHERE shard_id NOT IN (SELECT shard_id FROM leases WHERE app_name = 'app-a')),
@@ -468,8 +468,25 @@ ORACLES = {
     FROM every e LEFT JOIN marks m ON m.shard_id = e.shard_id AND e.app_name = 'app-a'
       AND e.lease_owner = 'worker-1' AND NOT e.completed)
     SELECT v.app_name, v.shard_id, v.checkpoint, v.lease_owner, v.lease_count,
-           v.completed OR (v.app_name = 'app-a' AND v.lease_owner = 'worker-1' AND v.cp IS NOT NULL
-             AND s.seq_end IS NOT NULL AND NOT n.top > v.checkpoint) AS completed
+           v.completed OR (v.app_name = 'app-a' AND v.lease_owner = 'worker-1'
+             AND s.seq_end IS NOT NULL
+             AND COALESCE(NOT n.top > v.checkpoint, n.top IS NULL)) AS completed
     FROM moved v LEFT JOIN shards s USING (shard_id) LEFT JOIN newest n USING (shard_id)""",
 }
 ORACLES["map_messages_pandas"] = ORACLES["map_messages"]
+
+ORACLES["encode_payload"] = """SELECT '{"c_custkey":' || c_custkey || ',"c_mktsegment":'
+      || CASE WHEN c_custkey % 2 = 0 THEN '"' || c_mktsegment || '"' ELSE 'null' END || '}' AS data,
+    CAST(c_custkey AS VARCHAR) AS partition_key
+  FROM customer"""
+ORACLES["write_records"] = _with("user_records") + f"SELECT {_RECORD} FROM user_records"
+# the same results by the plans that large tables get
+for plain, twin in {
+    "lease_lookup": "lookup_salted",
+    "micro_batches": "micro_batches_sliced",
+    "partition_by": "partition_by_sliced",
+    "resume_read": "resume_read_shuffled",
+    "fold_leases": "fold_leases_sliced",
+    "stale_leases": "stale_leases_sliced",
+}.items():
+    ORACLES[twin] = ORACLES[plain]

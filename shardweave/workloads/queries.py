@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 from datetime import datetime
+from uuid import uuid4
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import operators as op
 from .. import sources as src
+from ..plans.lineage_cut import checkpoint_dir
 from ..streaming import (
     ConsumeState,
     Handlers,
@@ -74,6 +76,24 @@ def encode_records(t) -> DataFrame:
     ).select("partition_key", "row.*")
 
 
+@query
+def encode_payload(t) -> DataFrame:
+    """The payload itself, with fields that are NULL."""
+    rows = t("customer").select(
+        "c_custkey", F.when(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment")).alias("c_mktsegment")
+    )
+    return src.encode_records(rows, "c_custkey")
+
+
+@query
+def write_records(t) -> DataFrame:
+    """Records written as a table kept per shard, and read back."""
+    records = t("user_records")
+    path = f"{checkpoint_dir(records.sparkSession)}/records-{uuid4().hex}"
+    src.write_records(records, path)
+    return src.read_table(records.sparkSession, path).select(*RECORD)
+
+
 def _pages(t) -> DataFrame:
     entry = F.struct(
         F.col("shard_id").alias("ShardId"),
@@ -147,6 +167,13 @@ def lease_lookup(t) -> DataFrame:
     return src.lease_lookup(t("user_leases"), keys)
 
 
+@query
+def lookup_salted(t) -> DataFrame:
+    """The lookup beyond the broadcast's bound, keys of more than 40 requests spread."""
+    keys = t("requests").select("app_name", "shard_id", "request_seq")
+    return src.lease_lookup(t("user_leases"), keys, max_broadcast_rows=40, hot_rows=40)
+
+
 @query
 def route_to_shard(t) -> DataFrame:
     records = t("records").select("stream_name", "partition_key", "sequence_number")
@@ -242,6 +269,13 @@ def micro_batches(t) -> DataFrame:
     return _batched(t).select("shard_id", "batcher", "batch_no", "position", "sequence_number")
 
 
+@query
+def micro_batches_sliced(t) -> DataFrame:
+    """The same batches numbered slice by slice."""
+    batched = op.micro_batches(op.route_batchers(t("records"), _rule()), _SIZES, slice_rows=50)
+    return batched.select("shard_id", "batcher", "batch_no", "position", "sequence_number")
+
+
 @query
 def map_batches(t) -> DataFrame:
     def summarise(batch: pd.DataFrame, label: str) -> pd.DataFrame:
@@ -269,6 +303,13 @@ def partition_by(t) -> DataFrame:
     )
 
 
+@query
+def partition_by_sliced(t) -> DataFrame:
+    return op.partition_by(t("records"), "partition_key", 7, slice_rows=50).select(
+        "partition_key", "sequence_number", "processor", "processor_pos"
+    )
+
+
 # --- reading on -------------------------------------------------------------
 
 
@@ -277,6 +318,12 @@ def resume_read(t) -> DataFrame:
     return op.resume_read(t("records"), t("leases"), "app-a").select("app_name", *RECORD)
 
 
+@query
+def resume_read_shuffled(t) -> DataFrame:
+    unread = op.resume_read(t("records"), t("leases"), "app-a", fits=False)
+    return unread.select("app_name", *RECORD)
+
+
 @query
 def missing_leases(t) -> DataFrame:
     return op.missing_leases(t("records"), t("leases"), "app-a").select("app_name", *RECORD)
@@ -494,6 +541,16 @@ def stale_leases(t) -> DataFrame:
     return op.stale_leases(t("lease_history"), expiry_ms=3 * 86_400_000)
 
 
+@query
+def fold_leases_sliced(t) -> DataFrame:
+    return op.fold_leases(t("lease_commands"), slice_rows=40)
+
+
+@query
+def stale_leases_sliced(t) -> DataFrame:
+    return op.stale_leases(t("lease_history"), expiry_ms=3 * 86_400_000, slice_rows=10)
+
+
 # --- end to end -------------------------------------------------------------
 
 
