@@ -1,7 +1,9 @@
 """Shard lineage: splits and merges as a graph of parents and children.
 
-The operators take the listing of one stream, or of several whose shard ids
-differ, with one row per shard (as ``shard_listing`` gives it).
+The operators take a listing with one row per shard (as ``shard_listing`` gives
+it).  Shard ids begin anew in every stream, so where the listing has a
+``stream_name`` it is part of every key and of every result; without one, the
+listing is of one stream.
 """
 
 from functools import reduce
@@ -15,17 +17,23 @@ from ..plans.joins import MAX_BROADCAST_ROWS, count_up_to
 from ..plans.numbering import SLICE_ROWS
 
 
+def _stream(*tables: DataFrame) -> list[str]:
+    """The key columns beside the shard id that all the tables have."""
+    return ["stream_name"] if all("stream_name" in t.columns for t in tables) else []
+
+
 def shard_edges(shards: DataFrame) -> DataFrame:
     """``(parent, child, kind)``: an edge from the parent, and one from the
     adjacent parent only where there is a parent as well."""
+    stream = _stream(shards)
     named = F.array(
         F.struct(F.col("parent_shard_id").alias("parent"), F.lit("parent").alias("kind")),
         F.struct(F.col("adjacent_parent_shard_id").alias("parent"), F.lit("adjacent").alias("kind")),
     )
     return (
         shards.where(F.col("parent_shard_id").isNotNull())
-        .select(F.col("shard_id").alias("child"), F.explode(named).alias("e"))
-        .select("e.parent", "child", "e.kind")
+        .select(*stream, F.col("shard_id").alias("child"), F.explode(named).alias("e"))
+        .select(*stream, "e.parent", "child", "e.kind")
         .where(F.col("parent").isNotNull())
         .distinct()
     )
@@ -33,25 +41,27 @@ def shard_edges(shards: DataFrame) -> DataFrame:
 
 def shard_vertices(shards: DataFrame) -> DataFrame:
     """Listed shards and the parents they name, with ``in_listing``."""
-    listed = shards.select("shard_id", F.lit(True).alias("in_listing"))
-    named = shard_edges(shards).select(F.col("parent").alias("shard_id"), F.lit(False).alias("in_listing"))
-    return listed.unionByName(named).groupBy("shard_id").agg(F.max("in_listing").alias("in_listing"))
+    stream = _stream(shards)
+    listed = shards.select(*stream, "shard_id", F.lit(True).alias("in_listing"))
+    named = shard_edges(shards).select(*stream, F.col("parent").alias("shard_id"), F.lit(False).alias("in_listing"))
+    return listed.unionByName(named).groupBy(*stream, "shard_id").agg(F.max("in_listing").alias("in_listing"))
 
 
 def shard_parents(shards: DataFrame, ordered: bool = True) -> DataFrame:
     """Per vertex its sorted ``parents`` and their number, fewest first."""
+    stream = _stream(shards)
     parents = (
         shard_edges(shards)
-        .groupBy(F.col("child").alias("shard_id"))
+        .groupBy(*stream, F.col("child").alias("shard_id"))
         .agg(F.array_sort(F.collect_set("parent")).alias("parents"))
     )
     out = (
         shard_vertices(shards)
-        .join(parents, "shard_id", "left")
+        .join(parents, [*stream, "shard_id"], "left")
         .withColumn("parents", F.coalesce("parents", F.array().cast("array<string>")))
         .withColumn("n_parents", F.size("parents"))
     )
-    return out.orderBy("n_parents", "shard_id") if ordered else out
+    return out.orderBy("n_parents", *stream, "shard_id") if ordered else out
 
 
 def ready_shards(
@@ -62,40 +72,39 @@ def ready_shards(
 
     A root starts unless it is completed; a child starts when every parent is
     completed.  A parent the listing no longer names has nothing left to read
-    and does not hold its children back.
+    and does not hold its children back.  Leases without a ``stream_name`` are
+    those of the one stream that is listed.
 
     ``reference_mode`` follows the letter of the original rules instead: a
     completed child is started again, an unlisted parent is started like any
     root and holds its children back, and a lone parent without a lease gives
     ``error``.
     """
-    mine = leases.where(F.col("app_name") == app_name).select("shard_id", "completed")
-    vertices = shard_vertices(shards)
-    edges = shard_edges(shards).select("parent", "child").distinct()
-
-    listed = shards.select("shard_id", F.lit(True).alias("p_listed"))
-    of_parent = listed.join(mine, "shard_id", "full").select(
-        F.col("shard_id").alias("parent"),
-        F.col("p_listed"),
-        F.col("completed").alias("p_done"),
-    )
-    parents = lookup_join(edges, of_parent, ["parent"], salt_by=["child"]).withColumn(
+    stream, of_lease = _stream(shards), _stream(shards, leases)
+    mine = leases.where(F.col("app_name") == app_name).select(*of_lease, "shard_id", "completed")
+    edges = shard_edges(shards).select(*stream, "parent", "child").distinct()
+
+    listed = shards.select(*stream, F.col("shard_id").alias("parent"), F.lit(True).alias("p_listed"))
+    done_parents = mine.withColumnsRenamed({"shard_id": "parent", "completed": "p_done"})
+    parents = lookup_join(edges, listed, [*stream, "parent"], salt_by=["child"])
+    parents = lookup_join(parents, done_parents, [*of_lease, "parent"], salt_by=["child"]).withColumn(
         "p_listed", F.coalesce("p_listed", F.lit(False))
     )
+    vertices = shard_vertices(shards)
     if reference_mode:
         done, missing = F.col("p_done"), F.col("p_done").isNull()
     else:
         done = F.col("p_done") | ~F.col("p_listed")
         missing = F.col("p_done").isNull() & F.col("p_listed")
-    gates = parents.groupBy(F.col("child").alias("shard_id")).agg(
+    gates = parents.groupBy(*stream, F.col("child").alias("shard_id")).agg(
         F.count(F.lit(1)).cast("int").alias("n_parents"),
         F.bool_and(F.coalesce(done, F.lit(False))).alias("all_done"),
         F.bool_or(missing).alias("any_missing"),
         F.bool_and("p_listed").alias("all_listed"),
     )
     joined = (
-        vertices.join(mine, "shard_id", "left")
-        .join(gates, "shard_id", "left")
+        vertices.join(mine, [*of_lease, "shard_id"], "left")
+        .join(gates, [*stream, "shard_id"], "left")
         .withColumn("n_parents", F.coalesce("n_parents", F.lit(0)))
         .withColumn("self_done", F.coalesce("completed", F.lit(False)))
     )
@@ -124,7 +133,7 @@ def ready_shards(
             .otherwise(outcome("wait", "parent_open"))
         )
     return joined.withColumn("verdict", verdict).select(
-        "shard_id", "in_listing", "n_parents", "verdict.action", "verdict.reason"
+        *stream, "shard_id", "in_listing", "n_parents", "verdict.action", "verdict.reason"
     )
 
 
@@ -132,11 +141,12 @@ def _with_known_parents(edges: DataFrame, generations: DataFrame, fits: bool) ->
     """Hand the generations found last to the edges that leave those shards,
     and note per child how many parents are still without one.  A child has at
     most a few parents, so the windows are small."""
-    found = generations.select(F.col("shard_id").alias("parent"), F.col("generation").alias("_g"))
-    of_child = Window.partitionBy("child")
+    stream = _stream(edges)
+    found = generations.select(*stream, F.col("shard_id").alias("parent"), F.col("generation").alias("_g"))
+    of_child = Window.partitionBy(*stream, "child")
     return (
-        lookup_join(edges, found, ["parent"], salt_by=["child"], fits=fits)
-        .select("parent", "child", F.coalesce("from_gen", "_g").alias("from_gen"))
+        lookup_join(edges, found, [*stream, "parent"], salt_by=["child"], fits=fits)
+        .select(*stream, "parent", "child", F.coalesce("from_gen", "_g").alias("from_gen"))
         .withColumn("n_open", F.count_if(F.col("from_gen").isNull()).over(of_child))
         .withColumn("last", F.max("from_gen").over(of_child))
     )
@@ -152,14 +162,16 @@ def _peel(shards: DataFrame) -> tuple[DataFrame, DataFrame]:
     lineage, not its size, and each step is one job that reads what the step
     before wrote.
     """
-    edges = cut_lineage(shard_edges(shards).select("parent", "child").distinct())
-    named = edges.select(F.col("parent").alias("shard_id"))
+    stream = _stream(shards)
+    edges = cut_lineage(shard_edges(shards).select(*stream, "parent", "child").distinct())
+    named = edges.select(*stream, F.col("parent").alias("shard_id"))
+    below = edges.select(*stream, F.col("child").alias("shard_id"))
     roots = cut_lineage(
-        shards.select("shard_id")
+        shards.select(*stream, "shard_id")
         .union(named)
         .distinct()
-        .join(edges.select(F.col("child").alias("shard_id")), "shard_id", "left_anti")
-        .select("shard_id", F.lit(0).alias("generation"))
+        .join(below, [*stream, "shard_id"], "left_anti")
+        .select(*stream, "shard_id", F.lit(0).alias("generation"))
     )
     peeled = [roots]
     edges = edges.withColumn("from_gen", F.lit(None).cast("int"))
@@ -168,6 +180,7 @@ def _peel(shards: DataFrame) -> tuple[DataFrame, DataFrame]:
         ready = (
             edges.where(F.col("n_open") == 0)
             .select(
+                *stream,
                 F.col("child").alias("shard_id"),
                 (F.col("last") + 1).cast("int").alias("generation"),
             )
@@ -185,18 +198,19 @@ def shard_generations(shards: DataFrame) -> DataFrame:
     """``generation`` of every vertex: 0 for roots and unlisted parents, else
     one more than the greatest generation of its parents.  Shards in a cycle,
     or below one, have ``generation`` NULL and ``in_cycle`` true."""
+    stream = _stream(shards)
     peeled, left = _peel(shards)
-    stuck = left.select(F.col("child").alias("shard_id")).distinct()
+    stuck = left.select(*stream, F.col("child").alias("shard_id")).distinct()
     return peeled.withColumn("in_cycle", F.lit(False)).unionByName(
         stuck.select(
-            "shard_id", F.lit(None).cast("int").alias("generation"), F.lit(True).alias("in_cycle")
+            *stream, "shard_id", F.lit(None).cast("int").alias("generation"), F.lit(True).alias("in_cycle")
         )
     )
 
 
 def lineage_cycles(shards: DataFrame) -> DataFrame:
     """Shards that can never start because they are in or below a cycle."""
-    return shard_generations(shards).where("in_cycle").select("shard_id", "in_cycle")
+    return shard_generations(shards).where("in_cycle").select(*_stream(shards), "shard_id", "in_cycle")
 
 
 def ordered_replay(
@@ -206,14 +220,15 @@ def ordered_replay(
     records of its partition key: parent shards before their children, by
     sequence number inside a shard.  Records of shards without a generation
     come last (``generation`` NULL)."""
-    gens = generations.select("shard_id", "generation")
-    salt_by = [c for c in records.columns if c != "shard_id"]
-    with_gen = lookup_join(records, gens, ["shard_id"], salt_by=salt_by)
+    shard = [*_stream(records, generations), "shard_id"]
+    gens = generations.select(*shard, "generation")
+    salt_by = [c for c in records.columns if c not in shard]
+    with_gen = lookup_join(records, gens, shard, salt_by=salt_by)
     last = F.coalesce("generation", F.lit(2**31 - 1))
     return number_rows(
         with_gen,
         ["partition_key"],
-        [last, seq_order("sequence_number"), F.col("shard_id")],
+        [last, seq_order("sequence_number"), *map(F.col, shard)],
         name="replay_no",
         slice_rows=slice_rows,
     )

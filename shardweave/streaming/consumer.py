@@ -360,6 +360,7 @@ def consume(
     trigger: Mapping[str, Any] | None = None,
     max_files_per_trigger: int | None = None,
     clock: Callable[[], datetime] = lambda: datetime.now(UTC),
+    stream_name: str | None = None,
 ) -> StreamingQuery:
     """Start a streaming query that consumes the table at ``records_path``
     (written by ``write_records``).  All paths are folders every executor sees.
@@ -371,7 +372,8 @@ def consume(
     quiet shards closed, once per wake-up.  Messages are written first, under the
     number of the micro-batch and the step, then dead letters, then the state: a
     repeated micro-batch starts from the state before it and replaces its own
-    output.  ``listing`` gives the current shard listing, once per step.
+    output.  ``listing`` gives the current shard listing, once per step; records
+    and leases are of one stream, which ``stream_name`` picks from a listing of several.
     """
     for name, value in (("app_name", app_name), ("worker", worker)):
         if not isinstance(value, str) or not value:
@@ -397,6 +399,8 @@ def consume(
         version = batch_id * MAX_STEPS + n
         before = ConsumeState(*(s.read(before=version) for s in stores))
         shards = listing()
+        if stream_name is not None:
+            shards = shards.where(F.col("stream_name") == stream_name)
         leases, mine = held_leases(shards, before.leases, app_name, worker)
         records = read_table(spark, records_path)
         unread = read_unread(spark, records_path, mine, app_name)

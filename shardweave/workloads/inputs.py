@@ -66,15 +66,16 @@ INPUTS = {
                      ('app-b', 1, -1, 'worker-2', 7, false))
              AS t(app_name, k, cp, lease_owner, n, completed)
     """,
-    # one shard per event, in streams of sixteen shards with one reshard history:
+    # one shard per event, in streams of sixteen shards, whose ids begin anew in
+    # every stream, with one reshard history:
     # splits (2-5), merges (6, 8, 15), an unlisted parent (10), an adjacent parent
     # alone (11), a cycle (12, 13) and a shard below it (14)
     "listing": f"""
         SELECT 'stream-' || lpad(CAST({_BLOCK} AS STRING), 9, '0') AS stream_name,
-               {shard("event_id")} AS shard_id,
-               CASE WHEN p = -2 THEN 'shardId-9' || lpad(CAST(event_id AS STRING), 11, '0')
-                    WHEN p >= 0 THEN {shard("event_id - k + p")} END AS parent_shard_id,
-               CASE WHEN a >= 0 THEN {shard("event_id - k + a")} END AS adjacent_parent_shard_id,
+               {shard("k")} AS shard_id,
+               CASE WHEN p = -2 THEN 'shardId-9' || lpad(CAST(k AS STRING), 11, '0')
+                    WHEN p >= 0 THEN {shard("p")} END AS parent_shard_id,
+               CASE WHEN a >= 0 THEN {shard("a")} END AS adjacent_parent_shard_id,
                hash_start, hash_end, {seq("event_id")} AS seq_start,
                CASE WHEN closed THEN {seq("event_id + 1000000000")} END AS seq_end,
                {_BLOCK} AS block, k, event_type
@@ -103,15 +104,16 @@ INPUTS = {
               SELECT l.*, 1 AS c, CAST(floor(k / 4) AS INT) + 2 AS page_no FROM {{listing}} l) x
     """,
     "listing_leases": """
-        SELECT 'app-a' AS app_name, shard_id, CAST(NULL AS STRING) AS checkpoint,
+        SELECT 'app-a' AS app_name, stream_name, shard_id, CAST(NULL AS STRING) AS checkpoint,
                'worker-0' AS lease_owner, CAST(1 AS BIGINT) AS lease_count,
                event_type IN ('purchase', 'view') AS completed
         FROM {listing} l WHERE event_type <> 'signup'
     """,
     # records of orders over the listing; the last shards are not listed
     "replay_records": f"""
-        SELECT 'orders' AS stream_name,
-               {shard("CAST(floor(o_orderkey * 3 / 4) AS BIGINT)")} AS shard_id,
+        SELECT 'stream-' || lpad(CAST(CAST(floor(o_orderkey * 3 / 64) AS BIGINT) AS STRING), 9, '0')
+                 AS stream_name,
+               {shard("CAST(floor(o_orderkey * 3 / 4) AS BIGINT) % 16")} AS shard_id,
                CAST(o_orderkey AS STRING) AS sequence_number,
                CAST(o_custkey AS STRING) AS partition_key, o_orderpriority AS data
         FROM {{orders}} o

@@ -49,39 +49,40 @@ _PAGES = """ends AS (
       FROM pages_read) x WHERE rn = 1)"""
 
 _GRAPH = """edges AS (
-    SELECT DISTINCT parent_shard_id AS parent, shard_id AS child, 'parent' AS kind
+    SELECT DISTINCT stream_name, parent_shard_id AS parent, shard_id AS child, 'parent' AS kind
     FROM listing WHERE parent_shard_id IS NOT NULL
     UNION
-    SELECT DISTINCT adjacent_parent_shard_id, shard_id, 'adjacent'
+    SELECT DISTINCT stream_name, adjacent_parent_shard_id, shard_id, 'adjacent'
     FROM listing WHERE parent_shard_id IS NOT NULL AND adjacent_parent_shard_id IS NOT NULL),
   vertices AS (
-    SELECT shard_id, bool_or(in_listing) AS in_listing FROM (
-      SELECT shard_id, true AS in_listing FROM listing
-      UNION ALL SELECT parent, false FROM edges) x GROUP BY shard_id)"""
+    SELECT stream_name, shard_id, bool_or(in_listing) AS in_listing FROM (
+      SELECT stream_name, shard_id, true AS in_listing FROM listing
+      UNION ALL SELECT stream_name, parent, false FROM edges) x GROUP BY stream_name, shard_id)"""
 
 _GATES = """gates AS (
-    SELECT e.child AS shard_id, count(*) AS n, count(l.shard_id) AS n_leased,
+    SELECT e.stream_name, e.child AS shard_id, count(*) AS n, count(l.shard_id) AS n_leased,
            count(*) FILTER (WHERE l.completed) AS n_done,
            count(*) FILTER (WHERE NOT v.in_listing) AS n_unlisted,
            count(*) FILTER (WHERE l.completed OR NOT v.in_listing) AS n_free,
            count(*) FILTER (WHERE l.shard_id IS NULL AND v.in_listing) AS n_missing
-    FROM edges e JOIN vertices v ON v.shard_id = e.parent
-    LEFT JOIN listing_leases l ON l.shard_id = e.parent
-    GROUP BY e.child),
+    FROM edges e JOIN vertices v ON v.stream_name = e.stream_name AND v.shard_id = e.parent
+    LEFT JOIN listing_leases l ON l.stream_name = e.stream_name AND l.shard_id = e.parent
+    GROUP BY e.stream_name, e.child),
   facts AS (
-    SELECT v.shard_id, v.in_listing, COALESCE(g.n, 0) AS n, n_leased, n_done, n_unlisted, n_free,
-           n_missing, COALESCE(l.completed, false) AS done
-    FROM vertices v LEFT JOIN gates g USING (shard_id)
-    LEFT JOIN listing_leases l USING (shard_id))"""
+    SELECT stream_name, shard_id, v.in_listing, COALESCE(g.n, 0) AS n, n_leased, n_done, n_unlisted,
+           n_free, n_missing, COALESCE(l.completed, false) AS done
+    FROM vertices v LEFT JOIN gates g USING (stream_name, shard_id)
+    LEFT JOIN listing_leases l USING (stream_name, shard_id))"""
 
 _GENERATIONS = """gen AS (
-    SELECT shard_id, 0 AS g FROM vertices
-    WHERE shard_id NOT IN (SELECT child FROM edges)
+    SELECT stream_name, shard_id, 0 AS g FROM vertices
+    WHERE (stream_name, shard_id) NOT IN (SELECT (stream_name, child) FROM edges)
     UNION
-    SELECT e.child, gen.g + 1 FROM gen JOIN edges e ON e.parent = gen.shard_id),
+    SELECT e.stream_name, e.child, gen.g + 1 FROM gen
+    JOIN edges e ON e.stream_name = gen.stream_name AND e.parent = gen.shard_id),
   generations AS (
-    SELECT v.shard_id, CAST(max(g) AS INT) AS generation, max(g) IS NULL AS in_cycle
-    FROM vertices v LEFT JOIN gen USING (shard_id) GROUP BY v.shard_id)"""
+    SELECT stream_name, shard_id, CAST(max(g) AS INT) AS generation, max(g) IS NULL AS in_cycle
+    FROM vertices v LEFT JOIN gen USING (stream_name, shard_id) GROUP BY stream_name, shard_id)"""
 
 
 def _outcomes(kind: str, holds: str, failure: str, extra: str, one_winner: bool) -> str:
@@ -166,13 +167,13 @@ ORACLES = {
     QUALIFY row_number() OVER (PARTITION BY shard_id ORDER BY {_ORD}) <= 2000""",
     "poll_pacing": _with(
         "user_records",
-        "listing",
+        "user_shards",
         more="""counts AS (
     SELECT shard_id, least(count(*), 70) AS n FROM user_records GROUP BY shard_id)""",
     )
     + """SELECT shard_id, COALESCE(n, 0) AS n_read,
            CASE WHEN n IS NULL THEN 5000 WHEN n = 70 THEN NULL ELSE 0 END::BIGINT AS next_poll_ms
-    FROM listing LEFT JOIN counts USING (shard_id)""",
+    FROM user_shards LEFT JOIN counts USING (shard_id)""",
     "lease_lookup": _with("requests", "user_leases")
     + """SELECT r.app_name, r.shard_id, r.request_seq, l.checkpoint, l.lease_owner, l.lease_count,
            l.completed, l.shard_id IS NOT NULL AS found
@@ -300,15 +301,16 @@ ORACLES = {
              AS behind_ms
     FROM user_leases l LEFT JOIN totals USING (shard_id)
     LEFT JOIN done USING (app_name, shard_id)""",
-    "shard_edges": _with("listing", more=_GRAPH) + "SELECT parent, child, kind FROM edges",
-    "shard_vertices": _with("listing", more=_GRAPH) + "SELECT shard_id, in_listing FROM vertices",
+    "shard_edges": _with("listing", more=_GRAPH) + "SELECT stream_name, parent, child, kind FROM edges",
+    "shard_vertices": _with("listing", more=_GRAPH) + "SELECT stream_name, shard_id, in_listing FROM vertices",
     "shard_parents": _with("listing", more=_GRAPH)
-    + """SELECT v.shard_id, v.in_listing,
+    + """SELECT v.stream_name, v.shard_id, v.in_listing,
            COALESCE(string_agg(DISTINCT e.parent, ',' ORDER BY e.parent), '') AS parents,
            CAST(count(DISTINCT e.parent) AS INT) AS n_parents
-    FROM vertices v LEFT JOIN edges e ON e.child = v.shard_id GROUP BY v.shard_id, v.in_listing""",
+    FROM vertices v LEFT JOIN edges e ON e.stream_name = v.stream_name AND e.child = v.shard_id
+    GROUP BY v.stream_name, v.shard_id, v.in_listing""",
     "ready_shards": _with("listing", "listing_leases", more=f"{_GRAPH}, {_GATES}")
-    + """SELECT shard_id, in_listing, CAST(n AS INT) AS n_parents,
+    + """SELECT stream_name, shard_id, in_listing, CAST(n AS INT) AS n_parents,
            CASE WHEN NOT in_listing OR done THEN 'skip' WHEN n = 0 OR n_free = n THEN 'start'
                 ELSE 'wait' END AS action,
            CASE WHEN NOT in_listing THEN 'not_listed' WHEN done THEN 'completed'
@@ -317,7 +319,7 @@ ORACLES = {
                 ELSE 'parent_open' END AS reason
     FROM facts""",
     "ready_shards_reference": _with("listing", "listing_leases", more=f"{_GRAPH}, {_GATES}")
-    + """SELECT shard_id, in_listing, CAST(n AS INT) AS n_parents,
+    + """SELECT stream_name, shard_id, in_listing, CAST(n AS INT) AS n_parents,
            CASE WHEN n = 0 AND done THEN 'skip' WHEN n = 0 THEN 'start'
                 WHEN n = 1 AND n_leased = 0 THEN 'error' WHEN n_done = n THEN 'start'
                 ELSE 'wait' END AS action,
@@ -326,16 +328,16 @@ ORACLES = {
                 WHEN n_done = n THEN 'parent_done' ELSE 'parent_open' END AS reason
     FROM facts""",
     "shard_generations": _with("listing", more=f"{_GRAPH}, {_GENERATIONS}", recursive=True)
-    + "SELECT shard_id, generation, in_cycle FROM generations",
+    + "SELECT stream_name, shard_id, generation, in_cycle FROM generations",
     "lineage_cycles": _with("listing", more=f"{_GRAPH}, {_GENERATIONS}", recursive=True)
-    + "SELECT shard_id, in_cycle FROM generations WHERE in_cycle",
+    + "SELECT stream_name, shard_id, in_cycle FROM generations WHERE in_cycle",
     "ordered_replay": _with(
         "listing", "replay_records", more=f"{_GRAPH}, {_GENERATIONS}", recursive=True
     )
     + f"""SELECT partition_key, row_number() OVER (PARTITION BY partition_key
-             ORDER BY generation NULLS LAST, {_ORD}, shard_id) AS replay_no,
-           generation, shard_id, sequence_number
-    FROM replay_records LEFT JOIN generations USING (shard_id)""",
+             ORDER BY generation NULLS LAST, {_ORD}, stream_name, shard_id) AS replay_no,
+           generation, stream_name, shard_id, sequence_number
+    FROM replay_records LEFT JOIN generations USING (stream_name, shard_id)""",
     "create_leases": _outcomes("signup", "l.shard_id IS NULL", "already_exists", "", True),
     "create_leases_table": _with("requests", "user_leases")
     + f"""SELECT {_LEASE_COLS} FROM user_leases UNION ALL

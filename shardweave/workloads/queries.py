@@ -158,7 +158,7 @@ def read_limited_large(t) -> DataFrame:
 @query
 def poll_pacing(t) -> DataFrame:
     read = src.read_limited(t("user_records"), 70)
-    return src.poll_pacing(read, t("listing"), 70)
+    return src.poll_pacing(read, t("user_shards"), 70)
 
 
 @query
@@ -436,7 +436,7 @@ def lineage_cycles(t) -> DataFrame:
 @query
 def ordered_replay(t) -> DataFrame:
     return op.ordered_replay(t("replay_records"), op.shard_generations(t("listing"))).select(
-        "partition_key", "replay_no", "generation", "shard_id", "sequence_number"
+        "partition_key", "replay_no", "generation", "stream_name", "shard_id", "sequence_number"
     )
 
 

@@ -15,11 +15,11 @@ from shardweave.schemas import LEASES, SHARDS
 
 
 def listing(spark, *rows):
-    """Rows (shard, parent, adjacent) by number."""
+    """Rows (shard, parent, adjacent) of one stream by number."""
     name = lambda n: None if n is None else shard_id(n)
     return spark.createDataFrame(
         [("s", name(n), name(p), name(a), "0", "1", "1", None) for n, p, a in rows], SHARDS
-    )
+    ).drop("stream_name")
 
 
 def leases(spark, **completed):
@@ -194,3 +194,20 @@ def test_replay_of_a_hot_key_in_slices(spark, rows):
     )
     plain = ordered_replay(records, gens)
     assert rows(ordered_replay(records, gens, slice_rows=40)) == rows(plain)
+
+
+def test_streams_with_the_same_shard_ids_do_not_mix(spark, rows):
+    schema = "stream_name string, shard_id string, parent_shard_id string, adjacent_parent_shard_id string"
+    shards = spark.createDataFrame(
+        [("a", "0", None, None), ("a", "1", "0", None), ("b", "0", None, None), ("b", "1", None, None)], schema
+    )
+    assert rows(shard_vertices(shards)) == [("a", "0", True), ("a", "1", True), ("b", "0", True), ("b", "1", True)]
+    assert rows(shard_generations(shards), "stream_name", "shard_id", "generation") == [
+        ("a", "0", 0), ("a", "1", 1), ("b", "0", 0), ("b", "1", 0),
+    ]
+    leases = spark.createDataFrame(
+        [("app", "b", "0", True)], "app_name string, stream_name string, shard_id string, completed boolean"
+    )
+    assert rows(ready_shards(shards, leases, "app"), "stream_name", "shard_id", "action") == [
+        ("a", "0", "start"), ("a", "1", "wait"), ("b", "0", "skip"), ("b", "1", "start"),
+    ]
