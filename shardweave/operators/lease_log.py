@@ -87,37 +87,85 @@ def _apply(acc: Column, c: Column) -> Column:
     )
 
 
+class _Held:
+    """Starts by the state they have led to so far: holder -> count -> starts.
+
+    Counts are kept less a shift per holder, so a command for any count is one
+    addition, and of two tables that meet the smaller one is moved."""
+
+    def __init__(self) -> None:
+        self.by: dict = {}
+
+    def put(self, holder, count: int, starts: list) -> None:
+        shift, counts = self.by.setdefault(holder, [0, {}])
+        here = counts.get(count - shift, [])
+        if len(here) < len(starts):
+            here, starts = starts, here
+        here.extend(starts)
+        counts[count - shift] = here
+
+    def pop(self, holder, count: int) -> list:
+        shift, counts = self.by.get(holder, (0, {}))
+        return counts.pop(count - shift, [])
+
+    def renew_all(self, holder) -> None:
+        if holder in self.by:
+            self.by[holder][0] += 1
+
+    def take_all(self, worker) -> None:
+        for holder in [h for h in self.by if h != worker]:
+            moved = self.by.pop(holder)
+            moved[0] += 1
+            kept = self.by.get(worker, [0, {}])
+            if len(kept[1]) < len(moved[1]):
+                kept, moved = moved, kept
+            self.by[worker] = kept
+            for count, starts in moved[1].items():
+                self.put(worker, count + moved[0], starts)
+
+    def states(self) -> dict:
+        return {
+            start: (holder, count + shift)
+            for holder, (shift, counts) in self.by.items()
+            for count, starts in counts.items()
+            for start in starts
+        }
+
+
 def _summarise(frame: pd.DataFrame) -> pd.DataFrame:
-    """What one slice of commands makes of every state it can start from."""
+    """What one slice of commands makes of every state it can start from.  A
+    command costs as much as there are workers, however many counts are named."""
     frame = frame.sort_values("seq")
     workers = sorted(frame["worker"].unique())
     # start owner (None: not named here) -> owner now and count gained, for counts in general
     general = {o: (o, 0) for o in [*workers, None]}
     # (start owner, start count) -> (owner, count) now, where a count decides; "" = no lease
-    special: dict = {("", 0): None}
+    held, known, none = _Held(), set(), True
     expected = frame["expected_count"].astype("Int64")
     for op, worker, want in zip(frame["op"], frame["worker"], expected, strict=True):
         if op not in ("create", "renew", "take"):
             continue
         free = want is pd.NA
-        for start, now in special.items():
-            if now is None:
-                special[start] = (worker, 1) if op == "create" else None
-            elif (
-                op != "create"
-                and (now[0] == worker) == (op == "renew")
-                and (free or now[1] == want)
-            ):
-                special[start] = (worker, now[1] + 1)
         if op == "create":
+            if none:
+                held.put(worker, 1, [("", 0)])
+                none = False
             continue
+        if free:
+            (held.renew_all if op == "renew" else held.take_all)(worker)
+        else:
+            holders = [worker] if op == "renew" else [h for h in held.by if h != worker]
+            if moved := [x for h in holders for x in held.pop(h, int(want))]:
+                held.put(worker, int(want) + 1, moved)
         for owner, (holder, gain) in general.items():
             if (holder == worker) != (op == "renew"):
                 continue
             if free:
                 general[owner] = (worker, gain + 1)
-            elif want - gain >= 1:
-                special.setdefault((owner, int(want - gain)), (worker, int(want) + 1))
+            elif want - gain >= 1 and (start := (owner, int(want - gain))) not in known:
+                known.add(start)
+                held.put(worker, int(want) + 1, [start])
+    special: dict = held.states() | ({("", 0): None} if none else {})
     lines = []
     for owner, (holder, gain) in general.items():
         lines.append((owner, owner is None, None, None if holder == owner else holder, None, gain))

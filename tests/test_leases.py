@@ -1,4 +1,5 @@
 import random
+import time
 from datetime import datetime, timedelta
 
 import pandas as pd
@@ -247,3 +248,24 @@ def test_summary_of_a_slice_holds_for_every_start():
                 assert (end["owner_in"], end["count_in"]) == (want[0][3], want[0][4])
             else:
                 assert pd.isna(end["owner_in"])
+
+
+def test_summary_costs_no_more_for_many_counts():
+    """Every command names a count of its own; quadratic work would take minutes."""
+    from shardweave.operators.lease_log import _summarise
+
+    n = 30_000
+    frame = pd.DataFrame(
+        {
+            "app_name": "a",
+            "shard_id": "s",
+            "_slice": 0,
+            "seq": range(n),
+            "op": ["renew" if i % 2 else "take" for i in range(n)],
+            "worker": [f"w{i % 3}" for i in range(n)],
+            "expected_count": range(1, n + 1),
+        }
+    )
+    start = time.perf_counter()
+    assert len(_summarise(frame)) > n
+    assert time.perf_counter() - start < 20
