@@ -400,14 +400,16 @@ def _places(page: str, nodes: list[Node]) -> list[int]:
 
 
 def train(pages: DataFrame | None = None, html_col: str = "html", id_col: str = "page_id", sample: int = 120) -> TreeModel:
-    """Fit on the pages written by rule and on ``sample`` pages of the table
-    that mark their article, picked by hash of the id (then by text)."""
+    """Fit on the pages written by rule and on those that mark their article
+    among ``sample`` pages of the table (in the mean), picked by hash of the id."""
     labelled = written_pages()
     if pages is not None and sample:
-        text = pages[html_col].cast("string")
-        marked = pages.select(text.alias("html"), F.xxhash64(pages[id_col].cast("string")).alias("place"))
-        marked = marked.where(F.lower("html").rlike("<(article|main)[ >]"))
-        for r in marked.orderBy("place", "html").limit(sample).collect():
+        span = 1 << 30
+        rate = int(span * min(1.0, sample / max(1, pages.count())))
+        place = F.xxhash64(F.lit("sample"), pages[id_col].cast("string"))
+        chosen = pages.select(pages[html_col].cast("string").alias("html"), place.alias("place"))
+        chosen = chosen.where(F.pmod("place", F.lit(span)) < rate).where(F.lower("html").rlike("<(article|main)[ >]"))
+        for r in sorted(chosen.collect(), key=lambda r: (r["place"], r["html"])):
             if nodes := mark(parse(r["html"])):
                 labelled.append(nodes)
     return fit(labelled)
