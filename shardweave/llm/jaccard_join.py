@@ -27,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans import cut_lineage
@@ -37,9 +37,9 @@ from .wordhash import mix, windows, word_hashes
 
 SKETCH = 16  # longs of a parity sketch
 ROWS = 512  # documents that are hashed at a time
-PIVOTS = 4  # groups of a prefix shingle that the others of it are compared with in a round
+PIVOTS = 32  # groups of a prefix shingle that the others of it are compared with in a round
 MAX_ROUNDS = 6  # of these comparisons; they save work, what they do not connect is compared in full
-WORTH = 0.25  # of a round's comparisons that must link for another round
+WORTH = 0.005  # links for each group that a round must find for another one
 
 
 @dataclass(frozen=True)
@@ -204,31 +204,30 @@ def _labels(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return nodes.join(found, "gid", "left").withColumn("component", F.coalesce("component", "gid"))
 
 
-def _nearest(tokens: DataFrame, groups: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+def _nearest(tokens: DataFrame, groups: DataFrame, labels: DataFrame, sim: Similarity, turn: int) -> DataFrame:
     """For each group the nearest of some groups (picked by hash, in a band of
-    sizes) that share a prefix shingle with it and are in another component."""
-    known = tokens.join(labels, "gid")
-    picked = [
-        F.min_by(F.struct("gid", "component"), F.xxhash64("gid", F.lit(turn * PIVOTS + k))).alias(f"p{k}") for k in range(PIVOTS)
-    ]
-    pivots = known.groupBy("h", "band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), *picked)
-    pivots = pivots.where("lo <> hi").select("h", "band", F.array_distinct(F.array(*[p for p in _names(PIVOTS)])).alias("p"))
-    near = known.join(pivots, ["h", "band"]).select("gid", F.explode(F.filter("p", lambda p: p["component"] != F.col("component"))).alias("p"))
-    near = near.select(F.col("gid").alias("a"), F.col("p.gid").alias("b")).distinct()
-    side = groups.select("gid", "sketch")
+    sizes) that share a prefix shingle with it, are in another component and are
+    not ruled out."""
+    known = tokens.join(labels, "gid").join(groups.select("gid", "n", "sketch"), "gid")
+    place = F.row_number().over(Window.partitionBy("h", "band").orderBy(F.xxhash64("gid", F.lit(turn)), "gid"))
+    picked = known.withColumn("place", place).where(F.col("place") <= PIVOTS)
+    left = known.toDF("a", "band", "h", "ca", "na", "sa")
+    right = picked.drop("place").toDF("b", "band", "h", "cb", "nb", "sb")
+    near = (
+        (left["h"] == right["h"])
+        & (left["band"] == right["band"])
+        & (F.col("ca") != F.col("cb"))
+        & _sizes_allow(sim, "na", "nb")
+        & _difference_allows(sim, _distance("sa", "sb"))
+    )
     return (
-        near.join(side.toDF("a", "sa"), "a")
-        .join(side.toDF("b", "sb"), "b")
+        left.join(right, near)
         .groupBy("a")
         .agg(F.min_by("b", F.struct(_distance("sa", "sb"), F.col("b"))).alias("b"))
         .select("a", "b")
     )
 
 
-def _names(n: int) -> list[str]:
-    return [f"p{k}" for k in range(n)]
-
-
 def _apart(tokens: DataFrame, groups: DataFrame, labels: DataFrame, sim: Similarity) -> DataFrame:
     """Pairs (ga, gb) of groups in different components that share a prefix
     shingle and that neither sizes nor sketches rule out for all their members."""
@@ -286,17 +285,18 @@ def similar_components(
     tokens = members.where("cid = gid").select(
         "gid", F.floor(F.log("n") / float(np.log(100 / sim.percent))).alias("band"), F.explode("tokens").alias("h")
     )
-    tokens = cut_lineage(tokens)
+    several = tokens.groupBy("h").agg(F.count("*").alias("m")).where("m > 1").select("h")
+    tokens = cut_lineage(tokens.join(several, "h").select("gid", "band", "h"))
 
     # groups with a few others of each prefix shingle, the nearest first
     labels = groups.select("gid", F.col("gid").alias("component"))
     between = links.limit(0)
+    total = groups.count()
     for turn in range(MAX_ROUNDS):
-        near = cut_lineage(_nearest(tokens, groups, labels, turn))
-        new = cut_lineage(_verified(near, prefixes, docs, classes, sim))
+        new = cut_lineage(_verified(_nearest(tokens, groups, labels, sim, turn), prefixes, docs, classes, sim))
         between = between.union(new)
         labels = cut_lineage(_labels(groups.select("gid"), between))
-        if new.count() < WORTH * near.count():
+        if new.count() < WORTH * total:
             break
 
     # what is left: pairs of groups that links do not connect yet
