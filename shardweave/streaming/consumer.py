@@ -20,7 +20,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import seq_order, wall_clock
 from ..operators.acks import SHUTDOWN_DELAY_MS, checkpoints_from_acks, completed_shards
-from ..operators.leases import apply_checkpoints, close_shards, create_leases
+from ..operators.leases import (
+    apply_checkpoints,
+    close_shards,
+    create_leases,
+    lease_actions,
+    renew_leases,
+    take_leases,
+)
 from ..operators.lineage import ready_shards
 from ..operators.messages import (
     DEFAULT_BATCH_SIZE,
@@ -58,6 +65,15 @@ LAST_OK = T.StructType(
         T.StructField("ack_ts", T.TimestampNTZType()),
     ]
 )
+# leases of other workers, as last seen: a count that stands still has been left behind
+TRACKED = T.StructType(
+    [
+        T.StructField("app_name", T.StringType()),
+        T.StructField("shard_id", T.StringType()),
+        T.StructField("tracked_count", T.LongType()),
+        T.StructField("counted_at_ms", T.LongType()),
+    ]
+)
 MAX_STEPS = 1_000_000  # of one micro-batch; numbers its versions of the state
 _INPUT = [f.name for f in PENDING.fields]
 
@@ -89,6 +105,7 @@ class ConsumeState(NamedTuple):
     leases: DataFrame
     pending: DataFrame
     last_ok: DataFrame
+    tracked: DataFrame | None = None
 
     @staticmethod
     def empty(spark: SparkSession) -> "ConsumeState":
@@ -96,6 +113,7 @@ class ConsumeState(NamedTuple):
             spark.createDataFrame([], LEASES),
             spark.createDataFrame([], PENDING),
             spark.createDataFrame([], LAST_OK),
+            spark.createDataFrame([], TRACKED),
         )
 
 
@@ -108,6 +126,37 @@ class StepResult(NamedTuple):
     state: ConsumeState
 
 
+def keep_leases(
+    state: ConsumeState, app_name: str, worker: str, as_of: datetime, lease_expiry_ms: int
+) -> ConsumeState:
+    """Renew the worker's leases, take those of others whose count has stood
+    still for longer than the expiry, and note the counts of the rest.  Many
+    workers may share a lease table: what one of them does depends on counts
+    alone, and a write holds only if the count is as expected."""
+    now = int(as_of.timestamp() * 1000)
+    key = ["app_name", "shard_id"]
+    live = state.leases.where((F.col("app_name") == app_name) & ~F.col("completed"))
+    seen = live.select(*key).join(state.tracked, key, "left")
+    seen = seen.select(*key, F.lit(worker).alias("worker"), F.lit(now).alias("now_ms"), "tracked_count", "counted_at_ms")
+    actions = cut_lineage(lease_actions(state.leases, seen, lease_expiry_ms))
+
+    def requests(action: str) -> DataFrame:
+        chosen = actions.where(F.col("action") == action)
+        return chosen.select(*key, F.lit(0).cast("long").alias("request_seq"), "worker", "expected_count")
+
+    leases = renew_leases(state.leases, requests("renew")).leases
+    leases = cut_lineage(take_leases(leases, requests("take")).leases)
+    others = leases.where((F.col("app_name") == app_name) & ~F.col("completed") & (F.col("lease_owner") != worker))
+    stood = F.col("tracked_count").eqNullSafe(F.col("lease_count"))
+    tracked = others.join(state.tracked, key, "left").select(
+        *key,
+        F.when(stood, F.col("counted_at_ms")).otherwise(F.lit(now)).alias("counted_at_ms"),
+        F.col("lease_count").alias("tracked_count"),
+    )
+    rest = state.tracked.where(F.col("app_name") != app_name)
+    return state._replace(leases=leases, tracked=cut_lineage(tracked.unionByName(rest)))
+
+
 def held_leases(
     shards: DataFrame, leases: DataFrame, app_name: str, worker: str
 ) -> tuple[DataFrame, DataFrame]:
@@ -299,7 +348,7 @@ def settle(
         )
     )
     leases = close_shards(leases, done).leases
-    return dead, ConsumeState(leases, pending, last_ok)
+    return dead, ConsumeState(leases, pending, last_ok, state.tracked)
 
 
 def consume_once(
@@ -313,10 +362,14 @@ def consume_once(
     limit: int | None = None,
     max_attempts: int | None = None,
     shutdown_delay_ms: int = SHUTDOWN_DELAY_MS,
+    lease_expiry_ms: int | None = None,
 ) -> StepResult:
-    """One step over tables.  The messages are written to the checkpoint folder
+    """One step over tables; with ``lease_expiry_ms`` it begins by
+    :func:`keep_leases`.  The messages are written to the checkpoint folder
     as soon as the callbacks return them, so that these run once and all results
     are of one run; so is the state, which the next step starts from."""
+    if lease_expiry_ms is not None:
+        state = keep_leases(state, app_name, worker, as_of, lease_expiry_ms)
     leases, mine = held_leases(shards, state.leases, app_name, worker)
     to_do = read_input(records, mine, state.pending, app_name, limit)
     total = input_bound(mine, state.pending, limit)
@@ -333,7 +386,8 @@ def consume_once(
         max_attempts,
         shutdown_delay_ms,
     )
-    return StepResult(messages, dead, ConsumeState(*map(cut_lineage, after)))
+    cut = [None if table is None else cut_lineage(table) for table in after]
+    return StepResult(messages, dead, ConsumeState(*cut))
 
 
 def _write_step(table: DataFrame, path: str, n: int) -> None:
@@ -361,6 +415,7 @@ def consume(
     max_files_per_trigger: int | None = None,
     clock: Callable[[], datetime] = lambda: datetime.now(UTC),
     stream_name: str | None = None,
+    lease_expiry_ms: int | None = None,
 ) -> StreamingQuery:
     """Start a streaming query that consumes the table at ``records_path``
     (written by ``write_records``).  All paths are folders every executor sees.
@@ -373,7 +428,8 @@ def consume(
     number of the micro-batch and the step, then dead letters, then the state: a
     repeated micro-batch starts from the state before it and replaces its own
     output.  ``listing`` gives the current shard listing, once per step; records
-    and leases are of one stream, which ``stream_name`` picks from a listing of several.
+    and leases are of one stream, which ``stream_name`` picks from a listing of several.  With ``lease_expiry_ms``
+    a wake-up renews the worker's leases and takes those left behind by others.
     """
     for name, value in (("app_name", app_name), ("worker", worker)):
         if not isinstance(value, str) or not value:
@@ -382,6 +438,7 @@ def consume(
         LeaseStore(spark, f"{state_path}/leases", LEASES),
         LeaseStore(spark, f"{state_path}/pending", PENDING),
         LeaseStore(spark, f"{state_path}/last_ok", LAST_OK),
+        LeaseStore(spark, f"{state_path}/tracked", TRACKED),
     )
 
     def wake_up(_rows: DataFrame, batch_id: int) -> None:
@@ -401,6 +458,9 @@ def consume(
         shards = listing()
         if stream_name is not None:
             shards = shards.where(F.col("stream_name") == stream_name)
+        now = clock()
+        if lease_expiry_ms is not None and n == 0:
+            before = keep_leases(before, app_name, worker, now, lease_expiry_ms)
         leases, mine = held_leases(shards, before.leases, app_name, worker)
         records = read_table(spark, records_path)
         unread = read_unread(spark, records_path, mine, app_name)
@@ -416,7 +476,7 @@ def consume(
             records,
             app_name,
             worker,
-            clock(),
+            now,
             max_attempts,
             shutdown_delay_ms,
         )

@@ -482,6 +482,12 @@ ORACLES["encode_payload"] = """SELECT '{"c_custkey":' || c_custkey || ',"c_mktse
     CAST(c_custkey AS VARCHAR) AS partition_key
   FROM customer"""
 ORACLES["write_records"] = _with("user_records") + f"SELECT {_RECORD} FROM user_records"
+ORACLES["consume_takeover"] = _with("records") + """SELECT shard_id, sequence_number, 'ok' AS status
+    FROM records WHERE shard_id = 'shardId-000000000000'"""
+ORACLES["consume_dead_letters"] = (
+    _with("records", "leases", "shards", more=_HELD)
+    + """SELECT shard_id, sequence_number, CAST(0 AS BIGINT) AS attempt FROM fresh WHERE bad"""
+)
 # the same results by the plans that large tables get
 for plain, twin in {
     "lease_lookup": "lookup_salted",

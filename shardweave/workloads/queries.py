@@ -1,7 +1,7 @@
 """Registered queries: name -> function of (spark, sf_dir)."""
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 from uuid import uuid4
 
 import pandas as pd
@@ -600,3 +600,28 @@ def consume_pending(t) -> DataFrame:
 def consume_leases(t) -> DataFrame:
     """The lease table after a step that reads all and gives up on failures."""
     return _step(t, max_attempts=1, shutdown_delay_ms=0).state.leases
+
+
+@query
+def consume_takeover(t) -> DataFrame:
+    """A second step, after the lease of another worker has stood still for too
+    long: the worker takes it and reads its shard on."""
+    state = ConsumeState.empty(t("records").sparkSession)._replace(leases=t("leases"))
+    for minutes in (0, 10):
+        step = consume_once(
+            t("records"), t("shards"), state, "app-a", "worker-1", AS_OF + timedelta(minutes=minutes), lease_expiry_ms=300_000
+        )
+        state = step.state
+    return step.messages.select("shard_id", "sequence_number", "status")
+
+
+@query
+def consume_dead_letters(t) -> DataFrame:
+    """Dead letters of three steps that try every message once."""
+    state = ConsumeState.empty(t("records").sparkSession)._replace(leases=t("leases"))
+    dead = []
+    for _ in range(3):
+        step = consume_once(t("records"), t("shards"), state, "app-a", "worker-1", AS_OF, _handlers(), max_attempts=1)
+        state = step.state
+        dead.append(step.dead_letters.select("shard_id", "sequence_number", "attempt"))
+    return dead[0].union(dead[1]).union(dead[2])

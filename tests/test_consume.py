@@ -233,3 +233,29 @@ def test_a_closed_shard_without_records_completes(spark):
     assert marks(state) == {0: (None, False)}
     state = consume_once(recs, shards, state, APP, ME, NOW + timedelta(seconds=300)).state
     assert marks(state) == {0: (None, True)}
+
+
+def test_leases_left_behind_are_taken_and_read_on(spark, rows):
+    recs = records(spark, range(10))
+    shards = listing(spark, (0, None, False), (1, None, False))
+    other = spark.createDataFrame([(APP, shard_id(0), seq(4), "worker-2", 3, False)], LEASES)
+    state = ConsumeState.empty(spark)._replace(leases=other)
+
+    def step(state, seconds):
+        return consume_once(
+            recs, shards, state, APP, ME, NOW + timedelta(seconds=seconds), lease_expiry_ms=90_000
+        )
+
+    first = step(state, 0)
+    assert rows(first.messages.select("shard_id").distinct()) == [(shard_id(1),)]
+    moved = first.state.leases.withColumn(
+        "lease_count", F.when(F.col("lease_owner") == "worker-2", 4).otherwise(F.col("lease_count")).cast("long")
+    )
+    second = step(first.state._replace(leases=moved), 80)  # the other worker renewed it
+    third = step(second.state, 160)
+    assert third.messages.count() == 0
+    fourth = step(third.state, 171)
+    assert rows(fourth.messages, "data") == [("6",), ("8",)]
+    assert rows(fourth.state.leases, "shard_id", "lease_owner", "lease_count") == [
+        (shard_id(0), ME, 5), (shard_id(1), ME, 4),
+    ]
