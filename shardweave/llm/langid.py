@@ -61,7 +61,7 @@ def _buckets(text: str):
             yield (h * np.uint32(0x85EBCA6B)) >> np.uint32(32 - BITS)
 
 
-_LEARNED = "kind int, place long, lang string, buckets array<int>, counts array<long>"
+_LEARNED = "kind int, place long, lang string, buckets array<int>, counts array<int>"
 
 
 def _read_training(docs: DataFrame) -> DataFrame:
@@ -76,7 +76,7 @@ def _read_training(docs: DataFrame) -> DataFrame:
                 pa.array(places, type=pa.int64()),
                 pa.array(langs, type=pa.string()),
                 pa.array([b.astype(np.int32) for b in buckets], type=pa.list_(pa.int32())),
-                pa.array([c.astype(np.int64) for c in counts], type=pa.list_(pa.int64())),
+                pa.array([c.astype(np.int32) for c in counts], type=pa.list_(pa.int32())),
             ],
             names=["kind", "place", "lang", "buckets", "counts"],
         )
@@ -192,23 +192,34 @@ def train(
         .select(F.explode(F.arrays_zip("buckets", "counts")).alias("x"))
         .groupBy("x.buckets")
         .agg(F.sum("x.counts").alias("n"))
-        .collect()
+        .toArrow()
     )
     frequency = np.zeros(1 << BITS)
-    for r in counted:
-        frequency[r["buckets"]] = r["n"]
+    frequency[counted["buckets"].to_numpy()] = counted["n"].to_numpy()
     idf = np.log((1 + sum(sizes.values())) / (1 + frequency)) + 1
-    sample = sorted(read.where("kind = 1").select("place", "lang", "buckets", "counts").collect(), key=lambda r: (r["place"], r["lang"]))
+    sample = _as_arrays(read.where("kind = 1").select("place", "lang", "buckets", "counts").toArrow())
     return fit(sample, idf, tuple(sorted(sizes)), training)
 
 
+def _as_arrays(table: pa.Table) -> list[tuple]:
+    """(place, lang, buckets, counts) of every row in the order of place and lang, without an object for every number."""
+    rows = []
+    for batch in table.to_batches():
+        place, lang, buckets, counts = batch.columns
+        ends, flat, values = buckets.offsets.to_numpy(), buckets.values.to_numpy(), counts.values.to_numpy()
+        other = counts.offsets.to_numpy()
+        for k, (p, name) in enumerate(zip(place.to_pylist(), lang.to_pylist(), strict=True)):
+            rows.append((p, name, flat[ends[k] : ends[k + 1]], values[other[k] : other[k + 1]]))
+    return sorted(rows, key=lambda r: r[:2])
+
+
 def fit(sample, idf: np.ndarray, languages: tuple[str, ...], training: Training) -> LanguageModel:
     """``sample``: rows of (place, lang, buckets, counts)."""
     index = {lang: k for k, lang in enumerate(languages)}
     items = []
     for _, lang, buckets, counts in sample:
-        at = np.array(buckets, dtype=np.int64)
-        x = np.array(counts, dtype=np.float64) * idf[at]
+        at = np.asarray(buckets, dtype=np.int64)
+        x = np.asarray(counts, dtype=np.float64) * idf[at]
         if len(at):
             items.append((at, training.scale * x / x.sum(), index[lang]))
     held = [i for k, i in enumerate(items) if k % 5 == 4]
