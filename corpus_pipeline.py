@@ -8,7 +8,7 @@ benchmark stage, which drops all its rows or none.  Further columns, whatever
 their names, are passed on up to the last stage.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shardweave.llm import decontamination, jaccard_join, langid, packing, secret_scan
@@ -30,10 +30,13 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the least id."""
+    """One document of each group of near duplicates, the one with the least id;
+    of rows that repeat an id, the one with the least text."""
     found = jaccard_join.similar_components(docs, NEAR)
     kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
-    one = docs.where("doc_id is not null").join(kept, F.col("doc_id") == F.col("__id"), "left_semi").dropDuplicates(["doc_id"])
+    one = docs.where("doc_id is not null").join(kept, F.col("doc_id") == F.col("__id"), "left_semi")
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    one = one.withColumn("__row", first).where("__row = 1").drop("__row")
     return one.unionByName(docs.where("doc_id is null"))
 
 
