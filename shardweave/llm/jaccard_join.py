@@ -52,7 +52,7 @@ class Similarity:
 
     @property
     def share(self) -> float:
-        return min(1.0, 1.6 * (1 - self.percent / 100) + 0.01)
+        return min(1.0, 1.06 - self.percent / 100)  # somewhat more than a prefix
 
     def prefix(self, n):
         """Shingles in the prefix of ``n``, in integers."""
