@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans import lookup_join, slice_groups
+from ..plans import lookup_join, ship, slice_groups
 from ..schemas import LEASES
 
 KEY = ["app_name", "shard_id"]
@@ -212,6 +212,7 @@ def _chain(summaries: pd.DataFrame, first: pd.DataFrame) -> pd.DataFrame:
 
 
 def _starts_of_cut_logs(rows: DataFrame, initial: DataFrame) -> DataFrame:
+    ship(rows.sparkSession)
     summaries = (
         rows.where("_cut")
         .select(*KEY, "_slice", "seq", "op", "worker", "expected_count")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
+from ..plans import ship
 from ..schemas import LEASES
 from ..sources.records import table_schema
 
@@ -65,10 +66,15 @@ class _LeaseFold(StatefulProcessor):
         self._lease = handle.getValueState(
             "lease", "lease_owner string, lease_count bigint, checkpoint string, completed boolean"
         )
+        self._seq = handle.getValueState("seq", "seq bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         lease = self._lease.get() if self._lease.exists() else None
         commands = pd.concat(list(rows)).sort_values("seq")
+        if self._seq.exists() and commands["seq"].iloc[0] <= self._seq.get()[0]:
+            late = int(commands["seq"].iloc[0])
+            raise ValueError(f"command {late} of {tuple(key)} came after command {self._seq.get()[0]}")
+        self._seq.update((int(commands["seq"].iloc[-1]),))
         columns = ("op", "worker", "expected_count", "checkpoint")
         for op, worker, expected, checkpoint in zip(*(commands[c] for c in columns), strict=True):
             lease = _after(lease, op, worker, expected, checkpoint)
@@ -101,8 +107,9 @@ def _after(lease, op, worker, expected, checkpoint):
 def fold_leases_stream(commands: DataFrame) -> DataFrame:
     """:func:`fold_leases` of a stream of commands: each micro-batch emits the
     new state of the leases it touches (output mode ``update``).  Commands of a
-    lease have to arrive in order of ``seq`` from one micro-batch to the next.
-    Needs the RocksDB state store provider."""
+    lease have to arrive in order of ``seq`` from one micro-batch to the next; one
+    that comes too late fails the query, since its lease would be wrong.  Needs the RocksDB state store provider."""
+    ship(commands.sparkSession)
     return commands.groupBy(*KEY).transformWithStateInPandas(
         statefulProcessor=_LeaseFold(),
         outputStructType=LEASES,
