@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans import ship
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?>[^>\"']+|\"[^\"]*\"|'[^']*')*+|[^>]*)>",
@@ -430,4 +432,5 @@ def extract(pages: DataFrame, model: TreeModel, html_col: str = "html", out_col:
             texts = [model.text(p) if p else "" for p in batch.column(place).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, type=pa.string())], names=names)
 
+    ship(pages.sparkSession)
     return pages.mapInArrow(run, T.StructType([*pages.schema.fields, T.StructField(out_col, T.StringType())]))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans import cut_lineage
+from ..plans import cut_lineage, ship
 from .common import id_and_text
 from .components import components
 from .wordhash import mix, windows, word_hashes
@@ -270,6 +270,7 @@ def similar_components(
     doc_id are each returned; if their texts differ they may belong to different
     components.  A row without doc_id gets the component of its links, or null.
     An empty table gives no rows; further columns are ignored."""
+    ship(docs.sparkSession)
     docs = id_and_text(docs, id_col, text_col)
     signed = cut_lineage(_signatures(docs, sim))
     classes = cut_lineage(signed.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")))

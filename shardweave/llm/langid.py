@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans import cut_lineage
+from ..plans import cut_lineage, ship
 
 BITS = 16
 ORDERS = 3
@@ -102,6 +102,7 @@ def _read_training(docs: DataFrame) -> DataFrame:
         at = np.flatnonzero(frequency)
         yield rows([(0, 0, None, at, frequency[at])])
 
+    ship(docs.sparkSession)
     return docs.mapInArrow(run, _LEARNED)
 
 
@@ -271,5 +272,6 @@ def predict(
                 names=names,
             )
 
+    ship(docs.sparkSession)
     added = [T.StructField(lang_out, T.StringType()), T.StructField(score_out, T.DoubleType())]
     return rows.mapInArrow(run, T.StructType([*docs.schema.fields, *added]))

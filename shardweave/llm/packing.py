@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from ..plans import ship
+
 POOL = 2048  # items that wait at a time
 FLUSH_TOKENS = 1 << 20  # tokens of finished pieces that are kept before they are handed on
 
@@ -159,6 +161,7 @@ def _read_items(batch, tokenizer: str | None, end_id: int | None) -> Iterator[_I
 
 
 def _pack(df: DataFrame, limits: Limits, cut: bool, min_piece: int, tokenizer, end_id) -> DataFrame:
+    ship(df.sparkSession)
     key_type = df.schema[0].dataType.simpleString()
 
     def run(batches):

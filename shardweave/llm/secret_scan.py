@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from ..plans import ship
+
 try:  # the parser of regular expressions has moved between versions of Python
     from re import _constants as sre
     from re import _parser as parser
@@ -211,6 +213,7 @@ _SPANS_ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()),
 
 
 def _scan(docs: DataFrame, text_col: str, rules: tuple[Rule, ...], schema: T.StructType, finish) -> DataFrame:
+    ship(docs.sparkSession)
     place, names = docs.columns.index(text_col), schema.names
 
     def run(batches):

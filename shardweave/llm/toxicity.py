@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans import ship
+
 ROWS = 1 << 15  # of either embedding
 WORD = re.compile(r"\w{1,24}")
 CACHED_WORDS = 150_000
@@ -405,4 +407,5 @@ def score(docs: DataFrame, model: ToxicityModel | None, text_col: str = "text",
                 found = model.scores([t or "" for t in batch.column(place).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, type=pa.float64())], names=names)
 
+    ship(docs.sparkSession)
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out_col, T.DoubleType())]))
