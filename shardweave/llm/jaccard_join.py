@@ -38,7 +38,7 @@ from .wordhash import mix, windows, word_hashes
 SKETCH = 16  # longs of a parity sketch
 ROWS = 512  # documents that are hashed at a time
 PIVOTS = 32  # groups of a prefix shingle that the others of it are compared with in a round
-MAX_ROUNDS = 6  # of these comparisons; they save work, what they do not connect is compared in full
+MAX_ROUNDS = 3  # of these comparisons; they save work, what they do not connect is compared in full
 WORTH = 0.005  # links for each group that a round must find for another one
 
 
@@ -199,9 +199,15 @@ def _group_heads(members: DataFrame) -> DataFrame:
     return heads.join(far, "gid", "left").withColumn("radius", F.coalesce("radius", F.lit(0)))
 
 
-def _labels(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    found = components(links).withColumnRenamed("node", "gid")
-    return nodes.join(found, "gid", "left").withColumn("component", F.coalesce("component", "gid"))
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (gid, component) after links between groups: only the
+    components that links touch are looked at again."""
+    of = labels.withColumnRenamed("gid", "a").withColumnRenamed("component", "ca")
+    to = labels.withColumnRenamed("gid", "b").withColumnRenamed("component", "cb")
+    touched = links.join(of, "a").join(to, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    found = components(touched).select(F.col("node").alias("component"), F.col("component").alias("least"))
+    out = labels.join(found, "component", "left")
+    return out.select("gid", F.coalesce("least", "component").alias("component"))
 
 
 def _nearest(tokens: DataFrame, groups: DataFrame, labels: DataFrame, sim: Similarity, turn: int) -> DataFrame:
@@ -282,6 +288,7 @@ def similar_components(
     links = cut_lineage(_verified(to_head, prefixes, docs, classes, sim))
     members = prefixes.join(links.select(F.col("a").alias("cid"), F.lit(True).alias("linked")), "cid", "left")
     members = members.withColumn("gid", F.when(F.col("linked"), F.col("gid")).otherwise(F.col("cid"))).drop("linked")
+    members = cut_lineage(members)
     groups = cut_lineage(_group_heads(members))
     tokens = members.where("cid = gid").select(
         "gid", F.floor(F.log("n") / float(np.log(100 / sim.percent))).alias("band"), F.explode("tokens").alias("h")
@@ -291,12 +298,10 @@ def similar_components(
 
     # groups with a few others of each prefix shingle, the nearest first
     labels = groups.select("gid", F.col("gid").alias("component"))
-    between = links.limit(0)
     total = groups.count()
     for turn in range(MAX_ROUNDS):
         new = cut_lineage(_verified(_nearest(tokens, groups, labels, sim, turn), prefixes, docs, classes, sim))
-        between = between.union(new)
-        labels = cut_lineage(_labels(groups.select("gid"), between))
+        labels = cut_lineage(_merged(labels, new))
         if new.count() < WORTH * total:
             break
 
@@ -310,9 +315,10 @@ def similar_components(
         .select("a", "b")
     )
     more = cut_lineage(_verified(expanded, prefixes, docs, classes, sim))
-    found = components(links.union(between).union(more))
-    final = classes.select("cid", "doc_id").join(found.withColumnRenamed("node", "cid"), "cid", "left")
-    final = cut_lineage(final.withColumn("component", F.coalesce("component", "cid")))
+    of_member = members.select("cid", "gid")
+    more = more.join(of_member.toDF("a", "ga"), "a").join(of_member.toDF("b", "gb"), "b").select(F.col("ga").alias("a"), F.col("gb").alias("b"))
+    labels = _merged(labels, more)
+    final = cut_lineage(classes.select("cid", "doc_id").join(of_member, "cid").join(labels, "gid").select("cid", "doc_id", "component"))
     least = final.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = final.join(least, "component").select("cid", "component_id")
     return (

@@ -198,31 +198,35 @@ def train(
     frequency = np.zeros(1 << BITS)
     frequency[counted["buckets"].to_numpy()] = counted["n"].to_numpy()
     idf = np.log((1 + sum(sizes.values())) / (1 + frequency)) + 1
-    sample = _as_arrays(read.where("kind = 1").select("place", "lang", "buckets", "counts").toArrow())
+    sample = read.where("kind = 1").select("place", "lang", "buckets", "counts").toArrow().combine_chunks()
     return fit(sample, idf, tuple(sorted(sizes)), training)
 
 
-def _as_arrays(table: pa.Table) -> list[tuple]:
-    """(place, lang, buckets, counts) of every row in the order of place and lang, without an object for every number."""
-    rows = []
-    for batch in table.to_batches():
-        place, lang, buckets, counts = batch.columns
-        ends, flat, values = buckets.offsets.to_numpy(), buckets.values.to_numpy(), counts.values.to_numpy()
-        other = counts.offsets.to_numpy()
-        for k, (p, name) in enumerate(zip(place.to_pylist(), lang.to_pylist(), strict=True)):
-            rows.append((p, name, flat[ends[k] : ends[k + 1]], values[other[k] : other[k + 1]]))
-    return sorted(rows, key=lambda r: r[:2])
+def _items(sample: pa.Table, idf: np.ndarray, languages: tuple[str, ...], scale: float) -> list[tuple]:
+    """(n-grams, features, place of the language) of every row that has n-grams,
+    in the order of place and language.  All are parts of a few large arrays,
+    whose memory goes back when the fit is done."""
+    if not sample.num_rows:
+        return []
+    index = {lang: k for k, lang in enumerate(languages)}
+    place, lang = sample["place"].to_pylist(), sample["lang"].to_pylist()
+    buckets, counts = (sample[c].combine_chunks() for c in ("buckets", "counts"))
+    buckets, counts = (c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in (buckets, counts))
+    at = buckets.flatten().to_numpy().astype(np.int64)
+    x = counts.flatten().to_numpy() * idf[at]
+    ends = np.cumsum(buckets.value_lengths().to_numpy())
+    items = []
+    for k in sorted(range(len(place)), key=lambda k: (place[k], lang[k])):
+        part = slice(ends[k - 1] if k else 0, ends[k])
+        if part.stop > part.start:
+            x[part] *= scale / x[part].sum()
+            items.append((at[part], x[part], index[lang[k]]))
+    return items
 
 
-def fit(sample, idf: np.ndarray, languages: tuple[str, ...], training: Training) -> LanguageModel:
+def fit(sample: pa.Table, idf: np.ndarray, languages: tuple[str, ...], training: Training) -> LanguageModel:
     """``sample``: rows of (place, lang, buckets, counts)."""
-    index = {lang: k for k, lang in enumerate(languages)}
-    items = []
-    for _, lang, buckets, counts in sample:
-        at = np.asarray(buckets, dtype=np.int64)
-        x = np.asarray(counts, dtype=np.float64) * idf[at]
-        if len(at):
-            items.append((at, training.scale * x / x.sum(), index[lang]))
+    items = _items(sample, idf, languages, training.scale)
     held = [i for k, i in enumerate(items) if k % 5 == 4]
     used = [i for k, i in enumerate(items) if k % 5 != 4]
     model = Ftrl(len(languages), training)
