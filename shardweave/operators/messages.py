@@ -142,11 +142,14 @@ def map_batches(
     return together.mapInPandas(run, schema)
 
 
-def split_failed(msgs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_failed(
+    msgs: DataFrame, fn: Callable[[DataFrame], DataFrame] | None = None
+) -> tuple[DataFrame, DataFrame]:
     """The messages that went well, and those that failed (for a dead-letter
-    table or a retry)."""
+    table or a retry), the latter as ``fn`` leaves them."""
     bad = F.col("status") == FAILED
-    return msgs.where(~bad), msgs.where(bad)
+    failed = msgs.where(bad)
+    return msgs.where(~bad), failed if fn is None else fn(failed)
 
 
 def partition_by(

@@ -103,3 +103,9 @@ def test_partition_by_keeps_keys_together(records, rows):
         mine = plain.where(F.col("processor") == p).orderBy("processor_pos").collect()
         assert [r.processor_pos for r in mine] == list(range(1, len(mine) + 1))
         assert [r.sequence_number for r in mine] == sorted(r.sequence_number for r in mine)
+
+
+def test_failed_messages_are_left_as_the_callback_leaves_them(spark, rows):
+    msgs = spark.createDataFrame([(1, "ok"), (2, "failed"), (3, "failed")], "n int, status string")
+    good, bad = split_failed(msgs, lambda df: df.withColumn("reason", F.lit("late")))
+    assert rows(good, "n") == [(1,)] and rows(bad, "n", "reason") == [(2, "late"), (3, "late")]
