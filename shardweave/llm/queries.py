@@ -143,4 +143,44 @@ QUERIES = {
     "op9_url_filter": op9_url_filter,
     "op10_jaccard_join": op10_jaccard_join,
 }
-ORACLES: dict[str, str] = {}
+#: SQL that DuckDB can run.  The other operators learn, tokenize or tell positions
+#: of matches, and are tested against brute force instead.
+ORACLES: dict[str, str] = {
+    "op1_chat_format": r"""WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+  escaped AS (
+    SELECT *, regexp_replace(text,
+        '([<\[])(\\*)(/?s>|/?(?:INST|OUT|SYS|ROLE)(?: [0-9A-F]*)?\])', '\1\\\2\3', 'g') AS body,
+      CASE role WHEN 'user' THEN 22 WHEN 'assistant' THEN 20 WHEN 'system' THEN 20
+        ELSE 23 + length(hex(role)) END AS marks
+    FROM turns)
+  SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(length(body) + marks) AS BIGINT) AS formatted_chars
+  FROM escaped GROUP BY conv_id""",
+    "op10_jaccard_join": r"""WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x20\x09-\x0D]+'), lambda x: x <> '') AS l FROM documents),
+  shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(l) = 0 THEN [] WHEN len(l) < 3 THEN [array_to_string(l, ' ')]
+      ELSE list_transform(range(1, len(l) - 1), lambda i: l[i] || ' ' || l[i + 1] || ' ' || l[i + 2]) END) AS g
+    FROM words),
+  sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+  common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+    FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+  links AS (
+    SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * c >= 90 * (x.n + y.n - c)),
+  both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+  reach AS (
+    SELECT doc_id, doc_id AS r FROM documents
+    UNION SELECT l.b, reach.r FROM reach JOIN both_ways l ON l.a = reach.doc_id)
+  SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(r) AS component_id
+  FROM documents d JOIN reach USING (doc_id) LEFT JOIN sizes USING (doc_id) GROUP BY d.doc_id""",
+}
