@@ -24,3 +24,10 @@ def crc_remainder(id_col: Column | str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as an empty text."""
     column = F.col(id_col) if isinstance(id_col, str) else id_col
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+def in_slices(batches, rows: int = 512):
+    """Arrow batches in slices of at most ``rows`` rows, which bound what a worker holds at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

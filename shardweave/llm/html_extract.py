@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans import ship
+from .common import in_slices
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
@@ -428,7 +429,7 @@ def extract(pages: DataFrame, model: TreeModel, html_col: str = "html", out_col:
     place, names = pages.columns.index(html_col), [*pages.columns, out_col]
 
     def run(batches):
-        for batch in batches:
+        for batch in in_slices(batches):
             texts = [model.text(p) if p else "" for p in batch.column(place).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, type=pa.string())], names=names)
 

@@ -31,12 +31,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans import cut_lineage, ship
-from .common import id_and_text
+from .common import id_and_text, in_slices
 from .components import components
 from .wordhash import mix, windows, word_hashes
 
 SKETCH = 16  # longs of a parity sketch
-ROWS = 512  # documents that are hashed at a time
 PIVOTS = 32  # groups of a prefix shingle that the others of it are compared with in a round
 MAX_ROUNDS = 3  # of these comparisons; they save work, what they do not connect is compared in full
 WORTH = 0.005  # links for each group that a round must find for another one
@@ -65,11 +64,6 @@ def _sets(texts: list[str], words: int) -> list[np.ndarray]:
     return [np.unique(windows(hashes[a:b], words)) for a, b in zip(starts, ends, strict=True)]
 
 
-def _chunks(batch: pa.RecordBatch):
-    for at in range(0, batch.num_rows, ROWS):
-        yield batch.slice(at, ROWS)
-
-
 def _long_lists(arrays: list[np.ndarray]) -> pa.Array:
     flat = np.concatenate([*arrays, np.empty(0, dtype=np.uint64)]).astype(np.uint64).view(np.int64)
     return pa.ListArray.from_arrays(np.cumsum([0, *map(len, arrays)], dtype=np.int32), pa.array(flat))
@@ -85,27 +79,26 @@ def _signatures(docs: DataFrame, sim: Similarity) -> DataFrame:
     limit = np.uint64(int(sim.share * (1 << 64)) - 1 if sim.share < 1 else (1 << 64) - 1)
 
     def run(batches):
-        for whole in batches:
-            for batch in _chunks(whole):
-                sets = _sets(batch.column(1).to_pylist(), sim.words)
-                sampled = [int(np.searchsorted(s, limit, side="right")) for s in sets]
-                low = [s[: max(k, sim.prefix(len(s)))] if len(s) else s for s, k in zip(sets, sampled, strict=True)]
-                sketches = []
-                for s in sets:
-                    bits = np.bincount((mix(s) >> np.uint64(54)).astype(np.int64), minlength=64 * SKETCH) & 1
-                    sketches.append(np.packbits(bits.astype(bool)).view(np.uint64))
-                ids = np.array([_class_id(s) for s in sets], dtype=np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0),
-                        pa.array(ids),
-                        pa.array([len(s) for s in sets], type=pa.int64()),
-                        pa.array(sampled, type=pa.int64()),
-                        _long_lists(low),
-                        _long_lists(sketches),
-                    ],
-                    names=["doc_id", "cid", "n", "s", "low", "sketch"],
-                )
+        for batch in in_slices(batches):
+            sets = _sets(batch.column(1).to_pylist(), sim.words)
+            sampled = [int(np.searchsorted(s, limit, side="right")) for s in sets]
+            low = [s[: max(k, sim.prefix(len(s)))] if len(s) else s for s, k in zip(sets, sampled, strict=True)]
+            sketches = []
+            for s in sets:
+                bits = np.bincount((mix(s) >> np.uint64(54)).astype(np.int64), minlength=64 * SKETCH) & 1
+                sketches.append(np.packbits(bits.astype(bool)).view(np.uint64))
+            ids = np.array([_class_id(s) for s in sets], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array(ids),
+                    pa.array([len(s) for s in sets], type=pa.int64()),
+                    pa.array(sampled, type=pa.int64()),
+                    _long_lists(low),
+                    _long_lists(sketches),
+                ],
+                names=["doc_id", "cid", "n", "s", "low", "sketch"],
+            )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.mapInArrow(run, f"doc_id {kind}, cid long, n long, s long, low array<long>, sketch array<long>")
@@ -117,15 +110,14 @@ def _full_sets(docs: DataFrame, classes: DataFrame, cids: DataFrame, sim: Simila
     texts = docs.join(wanted, "doc_id").select("cid", "text")
 
     def run(batches):
-        for whole in batches:
-            for batch in _chunks(whole):
-                sets = _sets(batch.column(1).to_pylist(), sim.words)
-                own = np.array([_class_id(s) for s in sets], dtype=np.uint64).view(np.int64)
-                right = own == batch.column(0).to_numpy()  # an id may stand for several texts
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(own[right]), _long_lists([s for s, r in zip(sets, right, strict=True) if r])],
-                    names=["cid", "shingles"],
-                )
+        for batch in in_slices(batches):
+            sets = _sets(batch.column(1).to_pylist(), sim.words)
+            own = np.array([_class_id(s) for s in sets], dtype=np.uint64).view(np.int64)
+            right = own == batch.column(0).to_numpy()  # an id may stand for several texts
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(own[right]), _long_lists([s for s, r in zip(sets, right, strict=True) if r])],
+                names=["cid", "shingles"],
+            )
 
     return texts.mapInArrow(run, "cid long, shingles array<long>").dropDuplicates(["cid"])
 

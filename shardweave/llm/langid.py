@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans import cut_lineage, ship
+from .common import in_slices
 
 BITS = 16
 ORDERS = 3
@@ -84,7 +85,7 @@ def _read_training(docs: DataFrame) -> DataFrame:
     def run(batches):
         frequency = np.zeros(1 << BITS, dtype=np.int64)
         seen = np.zeros(1 << BITS, dtype=bool)
-        for batch in batches:
+        for batch in in_slices(batches):
             place, lang, text, chosen = (batch.column(i).to_pylist() for i in range(4))
             out = []
             for p, name, t, c in zip(place, lang, text, chosen, strict=True):
@@ -264,7 +265,7 @@ def predict(
     place, names = docs.columns.index(text_col), [*docs.columns, lang_out, score_out]
 
     def run(batches):
-        for batch in batches:
+        for batch in in_slices(batches):
             texts, letters = batch.column(place).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
             found = [model.predict(t) if y else (UNDETERMINED, 0.0) for t, y in zip(texts, letters, strict=True)]
             yield pa.RecordBatch.from_arrays(

@@ -2,13 +2,13 @@
 
 From each rule's regular expression a Boolean query over trigrams is derived:
 what text must hold for the rule to match at all.  Documents are indexed in
-segments (one Arrow batch each): a posting list per trigram that some rule asks
+segments (512 at a time): a posting list per trigram that some rule asks
 for, built in one pass over the segment's bytes.  The lists are intersected and
 united as the queries say, and only the documents that remain are searched with
 the expression itself.  A rule without a mandatory trigram scans its segment fully.
 
-Segments are as large as Arrow batches, whatever the input, and a task keeps
-one at a time; nothing is shuffled and a lost task is simply run again.
+Segments have the same size whatever the input, and a task keeps one at a time;
+nothing is shuffled and a lost task is simply run again.
 """
 
 import re
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ..plans import ship
+from .common import in_slices
 
 try:  # the parser of regular expressions has moved between versions of Python
     from re import _constants as sre
@@ -217,7 +218,7 @@ def _scan(docs: DataFrame, text_col: str, rules: tuple[Rule, ...], schema: T.Str
     place, names = docs.columns.index(text_col), schema.names
 
     def run(batches):
-        for batch in batches:
+        for batch in in_slices(batches):
             texts = [t or "" for t in batch.column(place).to_pylist()]
             yield pa.RecordBatch.from_arrays(finish(batch, texts, scan_segment(texts, rules)), names=names)
 

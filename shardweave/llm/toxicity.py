@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans import ship
+from .common import in_slices
 
 ROWS = 1 << 15  # of either embedding
 WORD = re.compile(r"\w{1,24}")
@@ -401,11 +402,9 @@ def score(docs: DataFrame, model: ToxicityModel | None, text_col: str = "text",
     place, names = docs.columns.index(text_col), [*docs.columns, out_col]
 
     def run(batches):
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                found = model.scores([t or "" for t in batch.column(place).to_pylist()])
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, type=pa.float64())], names=names)
+        for batch in in_slices(batches, 256):
+            found = model.scores([t or "" for t in batch.column(place).to_pylist()])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, type=pa.float64())], names=names)
 
     ship(docs.sparkSession)
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out_col, T.DoubleType())]))
