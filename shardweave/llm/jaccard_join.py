@@ -136,16 +136,20 @@ def _difference_allows(sim: Similarity, difference: Column) -> Column:
     return difference * (100 + sim.percent) <= (F.col("na") + F.col("nb")) * (100 - sim.percent)
 
 
-def _verified(pairs: DataFrame, prefixes: DataFrame, docs: DataFrame, classes: DataFrame, sim: Similarity) -> DataFrame:
-    """The pairs (a, b) of classes that link."""
+def _near(pairs: DataFrame, prefixes: DataFrame, sim: Similarity) -> DataFrame:
+    """(a, b, na, nb): the pairs that sizes and sketches do not rule out."""
     side = prefixes.select("cid", "n", "sketch")
-    close = (
+    return (
         pairs.join(side.toDF("a", "na", "sa"), "a")
         .join(side.toDF("b", "nb", "sb"), "b")
         .where(_sizes_allow(sim, "na", "nb") & _difference_allows(sim, _distance("sa", "sb")))
         .select("a", "b", "na", "nb")
     )
-    close = cut_lineage(close)
+
+
+def _verified(near: DataFrame, docs: DataFrame, classes: DataFrame, sim: Similarity) -> DataFrame:
+    """The pairs (a, b) of classes that link, of pairs with their sizes."""
+    close = cut_lineage(near)
     sets = cut_lineage(
         _full_sets(docs, classes, close.select(F.col("a").alias("cid")).union(close.select("b")).distinct(), sim)
     )
@@ -220,9 +224,9 @@ def _nearest(tokens: DataFrame, groups: DataFrame, labels: DataFrame, sim: Simil
     )
     return (
         left.join(right, near)
-        .groupBy("a")
-        .agg(F.min_by("b", F.struct(_distance("sa", "sb"), F.col("b"))).alias("b"))
-        .select("a", "b")
+        .groupBy("a", "na")
+        .agg(F.min_by(F.struct("b", "nb"), F.struct(_distance("sa", "sb"), F.col("b"))).alias("p"))
+        .select("a", "p.b", "na", "p.nb")
     )
 
 
@@ -277,7 +281,7 @@ def similar_components(
 
     # members with the heads of their groups; those that do not link stand alone
     to_head = prefixes.select(F.col("cid").alias("a"), F.col("gid").alias("b")).where("a <> b")
-    links = cut_lineage(_verified(to_head, prefixes, docs, classes, sim))
+    links = cut_lineage(_verified(_near(to_head, prefixes, sim), docs, classes, sim))
     members = prefixes.join(links.select(F.col("a").alias("cid"), F.lit(True).alias("linked")), "cid", "left")
     members = members.withColumn("gid", F.when(F.col("linked"), F.col("gid")).otherwise(F.col("cid"))).drop("linked")
     members = cut_lineage(members)
@@ -292,7 +296,7 @@ def similar_components(
     labels = groups.select("gid", F.col("gid").alias("component"))
     total = groups.count()
     for turn in range(MAX_ROUNDS):
-        new = cut_lineage(_verified(_nearest(tokens, groups, labels, sim, turn), prefixes, docs, classes, sim))
+        new = cut_lineage(_verified(_nearest(tokens, groups, labels, sim, turn), docs, classes, sim))
         labels = cut_lineage(_merged(labels, new))
         if new.count() < WORTH * total:
             break
@@ -304,9 +308,9 @@ def similar_components(
         pairs.join(side.toDF("ga", "a", "na", "sa"), "ga")
         .join(side.toDF("gb", "b", "nb", "sb"), "gb")
         .where(_difference_allows(sim, _distance("sa", "sb")))
-        .select("a", "b")
+        .select("a", "b", "na", "nb")
     )
-    more = cut_lineage(_verified(expanded, prefixes, docs, classes, sim))
+    more = cut_lineage(_verified(expanded, docs, classes, sim))
     of_member = members.select("cid", "gid")
     more = more.join(of_member.toDF("a", "ga"), "a").join(of_member.toDF("b", "gb"), "b").select(F.col("ga").alias("a"), F.col("gb").alias("b"))
     labels = _merged(labels, more)

@@ -200,7 +200,10 @@ def train(
     frequency[counted["buckets"].to_numpy()] = counted["n"].to_numpy()
     idf = np.log((1 + sum(sizes.values())) / (1 + frequency)) + 1
     sample = read.where("kind = 1").select("place", "lang", "buckets", "counts").toArrow().combine_chunks()
-    return fit(sample, idf, tuple(sorted(sizes)), training)
+    model = fit(sample, idf, tuple(sorted(sizes)), training)
+    del sample, counted
+    pa.default_memory_pool().release_unused()  # the driver goes on with other work
+    return model
 
 
 def _items(sample: pa.Table, idf: np.ndarray, languages: tuple[str, ...], scale: float) -> list[tuple]:
