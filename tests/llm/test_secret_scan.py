@@ -61,6 +61,17 @@ def test_any_pattern_keeps_its_matches(pattern):
     assert [[(s, e) for s, _, e in f] for f in found] == [[m.span() for m in rule.regex.finditer(t)] for t in texts]
 
 
+@pytest.mark.parametrize("kind", ["", "RSA ", "EC "])
+@pytest.mark.parametrize("ended", [True, False])
+@pytest.mark.parametrize("line", ["\n", "\r\n", "\\n"])
+def test_no_body_of_a_key_is_left(kind, ended, line):
+    lines = ["Ab+/" * 16] * 20 + ["Zz9/Qw8="]
+    end = f"{line}-----END {kind}PRIVATE KEY-----" if ended else ""
+    text = f"see -----BEGIN {kind}PRIVATE KEY-----{line}" + line.join(lines) + end + "\n\nand then more"
+    spans = ss.scan_segment([text], ss.RULES)[0]
+    assert ss.redact(text, spans, ss.RULES) == "see [pem]\n\nand then more"
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.01"
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
