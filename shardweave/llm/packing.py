@@ -130,7 +130,8 @@ def byte_bpe(path: str):
     import tiktoken
     from public_tokenizers import PATTERN
 
-    model = json.load(open(path, encoding="utf-8"))["model"]
+    file = json.load(open(path, encoding="utf-8"))
+    model, added = file["model"], {t["content"]: t["id"] for t in file.get("added_tokens", [])}
     # bytes that print stand for themselves in such files, the others for 256 and on
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [b for b in range(256) if b not in set(plain)]
@@ -138,18 +139,18 @@ def byte_bpe(path: str):
     ranks = {
         bytes(map(to_byte.__getitem__, token)): i
         for token, i in model["vocab"].items()
-        if all(c in to_byte for c in token) and not (token.startswith("<|") and token.endswith("|>"))
+        if all(c in to_byte for c in token) and token not in added
     }
-    return tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added)
 
 
 def _read_items(batch, tokenizer: str | None, end_id: int | None) -> Iterator[_Item]:
     columns = [batch.column(i) for i in range(batch.num_columns)]
-    encode = byte_bpe(tokenizer).encode_ordinary if tokenizer else None
+    encoder = byte_bpe(tokenizer) if tokenizer else None
     for row in range(batch.num_rows):
         key, value = columns[0][row].as_py(), columns[1][row].as_py()
-        if encode:
-            ids = np.array(encode(value or ""), dtype="<u4")
+        if encoder:  # added tokens are themselves wherever their text is, as in ``tokenizers``
+            ids = np.array(encoder.encode(value or "", allowed_special="all"), dtype="<u4")
         else:
             ids = np.array(value or [], dtype="<u4")
         loss = np.ones(len(ids), dtype=np.int8)

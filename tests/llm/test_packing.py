@@ -54,6 +54,15 @@ def test_special_strings_and_odd_characters_are_text(tokenizer):
         assert encoder.encode_ordinary(text) == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_are_as_in_an_unchanged_tokenizer(spark):
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["<|endoftext|> a", "a <|endoftext|><|endoftext|>b\n", "<|endoftext| >", "don't  <|endoftext|>", "\x00 漢字🙂", ""]
+    expected = {i: [[*plain.encode(t, add_special_tokens=False).ids, 0]] for i, t in enumerate(texts)}
+    assert expected[0][0][:2] == [50256, 257]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    check_pieces(packing.pack_documents(docs, TOKENIZER).collect(), expected)
+
+
 def test_empty_table(spark):
     assert packing.pack_documents(nothing(spark, DOCS), TOKENIZER).collect() == []
 
