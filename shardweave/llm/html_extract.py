@@ -33,7 +33,7 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-_RAW = {"script", "style", "textarea", "noscript", "iframe", "svg", "template", "math", "title", "object", "select"}
+_RAW = {"script", "style", "textarea", "iframe", "svg", "template", "title", "select"}
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = set(
     "a abbr acronym b bdi bdo big br button cite code data del dfn em font i img input ins kbd label mark meter nobr "
@@ -77,7 +77,7 @@ def _names(rest: str) -> list[str]:
     for name, value in _ATTRIBUTE.findall(rest):
         name = name.lower()
         if name in ("class", "id", "role"):
-            found += [f"name={w.lower()}" for w in _WORDS.findall(value)[:12]]
+            found += [f"name={w.lower()}" for w in _WORDS.findall(value)]
         elif name == "hidden" or (name == "aria-hidden" and "true" in value.lower()):
             found.append("hidden")
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
@@ -138,8 +138,16 @@ def parse(page: str) -> list[Node]:
                     break
             continue
         if tag in _RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = end.end() if end else size
+            if tag == "svg" and m["rest"].endswith("/"):  # closed by itself
+                end = m
+            else:
+                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            if end:
+                at = end.end()
+            else:  # never closed: it ends with the block around it
+                around = "|".join({re.escape(nodes[k].tag) for k in stack[1:]})
+                end = re.compile(rf"</(?:{around})\s*>", re.I).search(page, at) if around else None
+                at = end.start() if end else size
             add(" ")
             continue
         if tag in _INLINE or tag in _VOID:
@@ -161,7 +169,7 @@ def parse(page: str) -> list[Node]:
                 if nodes[stack[k]].tag in _SCOPE:
                     break
         nodes.append(Node(tag, stack[-1], [f"tag={tag}", *_with_lists(_names(m["rest"]))]))
-        if not m["rest"].endswith("/") or tag in _SCOPE or tag == "p":
+        if not m["rest"].endswith("/") or tag in _SCOPE or tag in ("p", "object", "noscript"):
             stack.append(len(nodes) - 1)
     flush()
     for n in nodes:

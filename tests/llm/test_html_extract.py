@@ -63,6 +63,17 @@ def test_held_out_layouts(model):
     assert right >= 0.97 * total
 
 
+def test_raw_elements_lose_no_more_than_themselves(model):
+    text = "A long enough sentence that tells the reader something worth reading, twice over."
+    for inside in ('<svg width="9"/>', "<math/>", "<svg><text>no</text></svg>", "<select><option>no"):
+        page = f"<html><body><article><p>{text}</p><div>{inside}</div><p>After it: {text}</p></article></body></html>"
+        got = model.text(page)
+        assert got.startswith(text) and got.endswith(f"After it: {text}") and "no" not in got.split(), inside
+    for tag in ("object", "noscript", "math"):
+        assert model.text(f"<article><p>{text}</p><{tag}>{text}</{tag}><p>{text}</p></article>").count(text) == 3, tag
+    assert "name=sidebar" in he._names('class="' + "p-4 flex m-2 " * 6 + 'sidebar"')
+
+
 def test_parts_that_are_no_article(model):
     text = "A long enough sentence that tells the reader something worth reading, twice over."
     page = f"""<!DOCTYPE html><title>T</title><script>var a = "<p>no</p>";</script><style>p {{}}</style>
