@@ -2,9 +2,9 @@
 read again: language, near duplicates, benchmark passages, secrets, packing.
 
 Every stage takes all rows that the one before it kept.  Rows without a doc_id
-are never dropped by a decision about other rows; a repeated doc_id is one
-document to the near-duplicate stage, which keeps one row of it, and to the
-benchmark stage, which drops all its rows or none.  Further columns, whatever
+are never dropped by a decision about other rows.  Of rows that repeat a doc_id
+the near-duplicate stage judges each text on its own; the benchmark stage drops
+all or none.  Further columns, whatever
 their names, are passed on up to the last stage.
 """
 
@@ -30,14 +30,17 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the least id;
-    of rows that repeat an id, the one with the least text."""
-    found = jaccard_join.similar_components(docs, NEAR)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
-    one = docs.where("doc_id is not null").join(kept, F.col("doc_id") == F.col("__id"), "left_semi")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    one = one.withColumn("__row", first).where("__row = 1").drop("__row")
-    return one.unionByName(docs.where("doc_id is null"))
+    """One row of each group of near duplicates, the one with the least id, and of
+    equal ids the least hash of the text.  Rows that repeat an id with another
+    text are judged on their own."""
+    key, kept_key = "__key", "__kept"
+    hashed = F.struct(F.col("doc_id"), F.xxhash64("text").alias("text_hash"))
+    keyed = docs.withColumn(key, F.when(F.col("doc_id").isNotNull(), hashed))
+    found = jaccard_join.similar_components(keyed, NEAR, id_col=key)
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias(kept_key)).distinct()
+    one = keyed.where(F.col(key).isNotNull()).join(kept, F.col(key) == F.col(kept_key), "left_semi")
+    one = one.withColumn("__row", F.row_number().over(Window.partitionBy(key).orderBy("text"))).where("__row = 1")
+    return one.drop("__row", key).unionByName(docs.where("doc_id is null"))
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -52,3 +52,11 @@ def test_clean_documents_stay_and_others_go(spark, stages):
     item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
     leaked = left.union(spark.createDataFrame([(60, prose(90, 20) + ". " + item, "en", None, None)], DOCS))
     assert sorted(r.doc_id for r in stages["decontamination"](spark, leaked, SF).collect()) == list(range(30))
+
+
+def test_other_texts_under_one_id_are_judged_on_their_own(spark, stages):
+    copied = prose(3, 80)
+    rows = [(3, copied), (5, "z " + prose(5, 80)), (5, copied + " more"), (6, prose(6, 80)), (6, "a " + prose(7, 80)), (6, prose(6, 80)), (None, copied)]
+    docs = spark.createDataFrame([(i, t, "en", None, None) for i, t in rows], DOCS)
+    left = [(r.doc_id, r.text) for r in stages["near_duplicates"](spark, docs, SF).collect()]
+    assert sorted(left, key=repr) == sorted([rows[0], rows[1], rows[3], rows[4], rows[6]], key=repr)
