@@ -6,8 +6,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontamination, html_extract, jaccard_join, langid, packing, quality_rules, secret_scan, toxicity, url_filter
+from . import (
+    chat_format,
+    conversation_repair,
+    decontamination,
+    fill_in_middle,
+    html_extract,
+    jaccard_join,
+    langid,
+    license_scan,
+    packing,
+    quality_rules,
+    secret_scan,
+    toxicity,
+    url_filter,
+)
 from .common import crc_remainder, id_and_text, table
+from .oracles import CONVERSATION_REPAIR, FILL_IN_MIDDLE, license_sql
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -131,6 +146,45 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_components(table(spark, sf_dir, "documents"), jaccard_join.Similarity(words=3, percent=90))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
+    return conversation_repair.repair_report(rows, present=F.col("present"))
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.find_licenses(id_and_text(table(spark, sf_dir, "documents")))
+    places = F.col("license_places")
+    base = F.filter(places, lambda p: p["base"])
+
+    def labels(of):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(of, lambda p: p["label"]))), ",")
+
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(F.transform(base, lambda p: p["start"])).alias("first_word"),
+        F.array_max(F.transform(base, lambda p: p["start"])).alias("last_word"),
+        labels(base).alias("base_labels"),
+        labels(places).alias("labels"),
+        license_scan.covered_share(places, F.col("n_words")).alias("score"),
+    )
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    back = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id",
+        F.col("n_units").alias("n"),
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_packing": op2_packing,
@@ -142,6 +196,9 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_url_filter": op9_url_filter,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_license_scan": op12_license_scan,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 #: SQL that DuckDB can run.  The other operators learn, tokenize or tell positions
 #: of matches, and are tested against brute force instead.
@@ -183,4 +240,7 @@ ORACLES: dict[str, str] = {
     UNION SELECT l.b, reach.r FROM reach JOIN both_ways l ON l.a = reach.doc_id)
   SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(r) AS component_id
   FROM documents d JOIN reach USING (doc_id) LEFT JOIN sizes USING (doc_id) GROUP BY d.doc_id""",
+    "op11_conversation_repair": CONVERSATION_REPAIR,
+    "op12_license_scan": license_sql(license_scan.BASE_PHRASES, license_scan.TEMPLATES),
+    "op13_fill_in_middle": FILL_IN_MIDDLE,
 }
