@@ -13,6 +13,7 @@ again replaces all of its sequences.  Per task at most the last few sequences
 are padded.
 """
 
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -144,13 +145,43 @@ def byte_bpe(path: str):
     return tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added)
 
 
+#: What ``\s`` of the tokenizer's pattern is.  Its look-ahead keeps a place to go
+#: back to for each character of a run, which tiktoken refuses from some 900,000 on.
+_LONG_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{10000,}")
+
+_LONG_TEXT = 100_000  # shorter texts have no such run; they are not searched
+
+
+def encode(encoder, text: str) -> list[int]:
+    """The ids of a text; added tokens are themselves wherever their text is, as
+    in ``tokenizers``.  A long run of white space is cut out where the pattern cuts
+    too: it is one piece, less its last character if something follows."""
+    if len(text) < _LONG_TEXT or not _LONG_SPACE.search(text):
+        return encoder.encode(text, allowed_special="all")
+    added = sorted(encoder.special_tokens_set, key=len, reverse=True)
+    parts = re.split(f"({'|'.join(map(re.escape, added))})", text) if added else [text]
+    ids: list[int] = []
+    for k, part in enumerate(parts):
+        if k % 2:
+            ids.append(encoder.encode_single_token(part))
+            continue
+        at = 0
+        for run in _LONG_SPACE.finditer(part):
+            end = run.end() - (run.end() < len(part))
+            ids += encoder.encode_ordinary(part[at : run.start()])
+            ids += encoder._encode_single_piece(part[run.start() : end])
+            at = end
+        ids += encoder.encode_ordinary(part[at:])
+    return ids
+
+
 def _read_items(batch, tokenizer: str | None, end_id: int | None) -> Iterator[_Item]:
     columns = [batch.column(i) for i in range(batch.num_columns)]
     encoder = byte_bpe(tokenizer) if tokenizer else None
     for row in range(batch.num_rows):
         key, value = columns[0][row].as_py(), columns[1][row].as_py()
-        if encoder:  # added tokens are themselves wherever their text is, as in ``tokenizers``
-            ids = np.array(encoder.encode(value or "", allowed_special="all"), dtype="<u4")
+        if encoder:
+            ids = np.array(encode(encoder, value or ""), dtype="<u4")
         else:
             ids = np.array(value or [], dtype="<u4")
         loss = np.ones(len(ids), dtype=np.int8)

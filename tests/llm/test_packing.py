@@ -63,6 +63,23 @@ def test_added_tokens_are_as_in_an_unchanged_tokenizer(spark):
     check_pieces(packing.pack_documents(docs, TOKENIZER).collect(), expected)
 
 
+@pytest.mark.parametrize("space", [" ", "\n", "\t", "\u3000", " \n"])
+def test_long_white_space_is_as_in_tokenizers(space):
+    plain, encoder = Tokenizer.from_file(TOKENIZER), packing.byte_bpe(TOKENIZER)
+    run = space * (1_200_000 // len(space))
+    short = space * (60_000 // len(space))
+    for text in (run, f"word{run}next", f"a{short}'s {short}<|endoftext|>{short}<|endoftext|> b{short}", f"{short}\x1c{short}x", f"{short}\n1"):
+        assert packing.encode(encoder, text) == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_ten_million_spaces_in_a_document(spark):
+    plain = Tokenizer.from_file(TOKENIZER)
+    texts = ["a" + " " * 10_000_000 + "b", "\n" * 10_000_000]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    expected = {i: [[*plain.encode(t, add_special_tokens=False).ids, 0]] for i, t in enumerate(texts)}
+    check_pieces(packing.pack_documents(docs, TOKENIZER).collect(), expected)
+
+
 def test_empty_table(spark):
     assert packing.pack_documents(nothing(spark, DOCS), TOKENIZER).collect() == []
 
@@ -70,8 +87,9 @@ def test_empty_table(spark):
 def test_query_covers_every_id_and_pads_little(spark, tokenizer):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     rows = QUERIES["op2_packing"](spark, SF).collect()
-    for r in rows[:300]:
-        ids = [*tokenizer.encode(docs[r.doc_id], add_special_tokens=False).ids, 0]
+    whole = {i: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0] for i, t in docs.items()}
+    for r in rows:
+        ids = whole[r.doc_id]
         piece = np.array(ids[r.start : r.start + r.length], dtype="<u4")
         assert (r.ids_crc32, r.doc_tokens) == (zlib.crc32(piece.tobytes()), len(ids))
     total = sum(r.length for r in rows)
