@@ -62,12 +62,14 @@ MORE_RULES = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    # up to the END line, if no prose is between; else the headers and lines of base64 that follow
+    # up to the END line, if no prose is between; else the headers and lines of base64 that follow;
+    # nothing is gone back over, and no scan passes the next header, so time grows with the text
     Rule(
         "pem",
         r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"
-        r"(?:(?:(?!-----BEGIN )[A-Za-z0-9+/=\s\\:,\"'>|#*-]){0,65536}?-----END (?:[A-Z]+ )*PRIVATE KEY-----"
-        r"|(?:(?:\s|\\[nr])+(?:[A-Za-z-]+: [^\r\n]*|[A-Za-z0-9+/=]{16,}|[A-Za-z0-9+/]{2,}={1,2}))*)",
+        r"(?:(?:[A-Za-z0-9+/=\s\\:,\"'<>|#*&;_]++|-(?!----(?:BEGIN |END (?:[A-Z]+ )*PRIVATE KEY-----)))*+"
+        r"-----END (?:[A-Z]+ )*PRIVATE KEY-----"
+        r"|(?:(?:[\s>|#*\"',]|\\[nr])++(?:[A-Za-z-]++: [^\r\n]*+|[A-Za-z0-9+/=]{16,}+|[A-Za-z0-9+/]{2,}+={1,2}))*+)",
     ),
 )
 RULES = BASE_RULES + MORE_RULES

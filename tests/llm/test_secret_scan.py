@@ -1,4 +1,5 @@
 import re
+import time
 from hashlib import sha256
 
 import pytest
@@ -72,6 +73,35 @@ def test_no_body_of_a_key_is_left(kind, ended, line):
     assert ss.redact(text, spans, ss.RULES) == "see [pem]\n\nand then more"
 
 
+LINES = [
+    "Ab+/" * 16, "Ab+/ Zz9, " * 6, "> " + "Ab+/" * 16, '"' + "Ab+/" * 16 + '\\\\n"', "# " + "aB3=" * 10, "Ab+/" * 16 + "&#10;", "DEK-Info: AES-128-CBC,0A", "-- " + "Ab+/" * 8, "a" * 64,
+]
+
+
+@pytest.mark.parametrize("line", LINES)
+@pytest.mark.parametrize("ended", [True, False])
+def test_long_bodies_of_any_form_go_in_linear_time(line, ended):
+    if not ended and not re.fullmatch(r"[>#\"' ]*[A-Za-z0-9+/=]{16,}", line):
+        return  # without an END line only headers and plain lines are known to belong to the key
+    times = []
+    for size in (250_000, 1_000_000):
+        body = "\n".join([line] * (size // len(line)))
+        text = f"x -----BEGIN RSA PRIVATE KEY-----\n{body}\n" + ("-----END RSA PRIVATE KEY-----" if ended else "") + "\n(and more.)"
+        start = time.time()
+        spans = ss.scan_segment([text], ss.RULES)[0]
+        times.append(time.time() - start)
+        left = ss.redact(text, spans, ss.RULES)
+        assert re.sub(r"\s+", " ", left) == "x [pem] (and more.)"
+    assert times[1] < 16 * max(times[0], 0.05)
+
+
+def test_headers_without_bodies_take_linear_time():
+    start = time.time()
+    for text in ("-----BEGIN PRIVATE KEY-----" * 40_000, "-----BEGIN PRIVATE KEY-----\n" + "-----END A B C " * 60_000, "-----BEGIN " + "A " * 500_000):
+        ss.scan_segment([text], ss.RULES)
+    assert time.time() - start < 30
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.01"
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
