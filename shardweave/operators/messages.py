@@ -39,7 +39,8 @@ def map_messages(
     DataFrame to DataFrame; both stay inside the JVM.  ``pandas_fn`` gets Arrow
     batches as pandas frames and needs the output ``schema``.  Keyword
     arguments are the handler context and are passed on to the function.  A
-    callback marks a message as failed by setting ``status`` to ``failed``.
+    callback marks a message as failed by setting ``status`` to ``failed``; NULL
+    stands for ``ok``, and any other status fails the message (:func:`with_outcome`).
     """
     if pandas_fn is not None:
         if schema is None:
@@ -56,11 +57,36 @@ def map_messages(
         out = msgs.withColumns(dict(fn))
     else:
         out = fn(msgs, **context)
-    if "status" not in out.columns:
-        out = out.withColumn("status", F.lit(OK))
-    if "error" not in out.columns:
-        out = out.withColumn("error", F.lit(None).cast("string"))
-    return out.withColumn("status", F.coalesce("status", F.lit(OK)))
+    return with_outcome(out)
+
+
+def with_outcome(msgs: DataFrame) -> DataFrame:
+    """Messages as a callback left them, with a ``status`` that is ``ok`` or
+    ``failed``, and ``error``.  No status stands for ``ok``; one that is neither
+    fails the message and is told in ``error``, unless the callback said why."""
+    if "status" not in msgs.columns:
+        msgs = msgs.withColumn("status", F.lit(OK))
+    if "error" not in msgs.columns:
+        msgs = msgs.withColumn("error", F.lit(None).cast("string"))
+    status = F.coalesce(F.col("status").cast("string"), F.lit(OK))
+    odd = ~status.isin(OK, FAILED)
+    told = F.concat(F.lit("unknown status "), status)
+    return msgs.withColumns(
+        {
+            "error": F.when(odd, F.coalesce("error", told)).otherwise(F.col("error")),
+            "status": F.when(odd, F.lit(FAILED)).otherwise(status),
+        }
+    )
+
+
+def with_dropped(given: DataFrame, left: DataFrame, keys: Iterable[str]) -> DataFrame:
+    """What a callback ``left`` of the messages it was ``given``, and those it
+    dropped, as failed: a message that is neither acknowledged nor failed would be
+    lost or read for ever."""
+    dropped = given.join(left.select(*keys), list(keys), "left_anti").withColumns(
+        {"status": F.lit(FAILED), "error": F.lit("dropped by a callback")}
+    )
+    return left.unionByName(dropped, allowMissingColumns=True)
 
 
 def route_batchers(msgs: DataFrame, rule: Column | None = None) -> DataFrame:
@@ -145,9 +171,9 @@ def map_batches(
 def split_failed(
     msgs: DataFrame, fn: Callable[[DataFrame], DataFrame] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """The messages that went well, and those that failed (for a dead-letter
-    table or a retry), the latter as ``fn`` leaves them."""
-    bad = F.col("status") == FAILED
+    """The messages that went well (those without a status too), and those that
+    failed (for a dead-letter table or a retry), the latter as ``fn`` leaves them."""
+    bad = F.col("status").eqNullSafe(FAILED)
     failed = msgs.where(bad)
     return msgs.where(~bad), failed if fn is None else fn(failed)
 

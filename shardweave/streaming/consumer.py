@@ -38,6 +38,8 @@ from ..operators.messages import (
     route_batchers,
     split_failed,
     union_all,
+    with_dropped,
+    with_outcome,
 )
 from ..operators.resume import resume_read
 from ..plans import cut_lineage, cuts_in, fits_broadcast, lookup_join
@@ -74,7 +76,7 @@ TRACKED = T.StructType(
         T.StructField("counted_at_ms", T.LongType()),
     ]
 )
-MAX_STEPS = 1_000_000  # of one micro-batch; numbers its versions of the state
+_MESSAGE = ["app_name", "shard_id", "sequence_number"]
 _INPUT = [f.name for f in PENDING.fields]
 
 
@@ -225,18 +227,24 @@ def deliver(messages: DataFrame, handlers: Handlers, total: int | None = None) -
     batch (``batcher``, ``batch_no`` and ``position`` are NULL).
 
     The outcome of ``on_message`` is read more than once, so it is written
-    first: the callback runs once, and what it said of a message holds.
+    first: the callback runs once, and what it said of a message holds.  Statuses
+    are as in :func:`with_outcome`; a message that a function drops has failed.
     ``total`` is a bound on their number, if known.
     """
-    if total is None:
-        total = messages.count()
-    mapped = cut_lineage(map_messages(messages, handlers.on_message, **handlers.context))
+    if callable(handlers.on_message):  # a function may leave rows out
+        messages = cut_lineage(messages)
+    mapped = map_messages(messages, handlers.on_message, **handlers.context)
+    if callable(handlers.on_message):
+        mapped = with_dropped(messages, cut_lineage(mapped), _MESSAGE)
+    mapped = cut_lineage(mapped)
     good, bad = split_failed(mapped)
     batched = micro_batches(
         route_batchers(good, handlers.batcher), handlers.batch_size, total=total
     )
     if handlers.on_batch is not None:
-        batched = handlers.on_batch(batched, **handlers.context)
+        batched = cut_lineage(batched)
+        left = cut_lineage(with_outcome(handlers.on_batch(batched, **handlers.context)))
+        batched = with_dropped(batched, left, _MESSAGE)
     return union_all([batched, bad])
 
 
@@ -436,24 +444,23 @@ def consume(
             raise ValueError(f"{name} must be a non-empty string")
     stores = ConsumeState(
         LeaseStore(spark, f"{state_path}/leases", LEASES),
-        LeaseStore(spark, f"{state_path}/pending", PENDING),
+        LeaseStore(spark, f"{state_path}/pending", PENDING, _MESSAGE),
         LeaseStore(spark, f"{state_path}/last_ok", LAST_OK),
         LeaseStore(spark, f"{state_path}/tracked", TRACKED),
     )
 
     def wake_up(_rows: DataFrame, batch_id: int) -> None:
+        read = None
         for n in count():
             with cuts_in(f"{state_path}/work"):
-                if not run_step(batch_id, n):
-                    break
-        # what a repeated micro-batch left under higher numbers is out of date
-        last = (batch_id + 1) * MAX_STEPS - 1
-        for store in stores:
-            store.write(last, store.read(before=batch_id * MAX_STEPS + n + 1))
-
-    def run_step(batch_id: int, n: int) -> bool:
-        """One step; whether it read anything new."""
-        version = batch_id * MAX_STEPS + n
+                last, read = read, run_step(batch_id, n)
+            # the same messages again: a lease that no longer can be written; the next wake-up tries anew
+            if read[0] == 0 or read == last:
+                break
+
+    def run_step(batch_id: int, n: int) -> tuple:
+        """One step; how many new messages it read, and a sum that tells them from others."""
+        version = (batch_id, n)
         before = ConsumeState(*(s.read(before=version) for s in stores))
         shards = listing()
         if stream_name is not None:
@@ -483,7 +490,10 @@ def consume(
         _write_step(dead, f"{output_path}/dead_letters/app={app_name}/batch={batch_id}", n)
         for store, table in zip(stores, after, strict=True):
             store.write(version, table)
-        return not messages.where("attempt = 0").isEmpty()
+        for store in stores:  # now that nothing is read from their state before the step
+            store.compact()
+        told = F.bit_xor(F.xxhash64("shard_id", "sequence_number"))
+        return tuple(messages.where("attempt = 0").agg(F.count(F.lit(1)), told).first())
 
     reader = spark.readStream.schema(read_table(spark, records_path).schema)
     if max_files_per_trigger is not None:

@@ -259,3 +259,39 @@ def test_leases_left_behind_are_taken_and_read_on(spark, rows):
     assert rows(fourth.state.leases, "shard_id", "lease_owner", "lease_count") == [
         (shard_id(0), ME, 5), (shard_id(1), ME, 4),
     ]
+
+
+def _mark_as_the_readme_does(df, **_):
+    return df.withColumn("status", F.when(F.col("data") == "7", "failed"))
+
+
+def test_batch_callback_may_leave_the_status_out(spark, tmp_path, rows):
+    root = str(tmp_path)
+    shards = listing(spark, (0, None, False), (1, None, False))
+    write_records(records(spark, range(11)), f"{root}/records")
+    handlers = Handlers(on_batch=_mark_as_the_readme_does, batch_size=4)
+    _drain(spark, root, lambda: NOW, shards, handlers=handlers, limit=50, max_attempts=1)
+    got = rows(spark.read.parquet(f"{root}/out/messages"), "data", "status")
+    assert got == sorted((str(n), "failed" if n == 7 else "ok") for n in range(11))
+    assert rows(spark.read.parquet(f"{root}/out/dead_letters"), "data") == [("7",)]
+
+
+def test_what_callbacks_drop_or_misname_has_failed(spark, rows):
+    recs = records(spark, range(12))
+    shards = listing(spark, (0, None, False), (1, None, False))
+
+    def on_message(df, **_):
+        odd = F.when(F.col("data") == "3", "broken").when(F.col("data") == "5", F.lit(None))
+        return df.where("data <> '2'").withColumn("status", odd.otherwise("ok"))
+
+    def on_batch(df, **_):
+        return df.where("data <> '8'").drop("status", "batch_no")
+
+    handlers = Handlers(on_message=on_message, on_batch=on_batch, batch_size=4)
+    out = consume_once(recs, shards, ConsumeState.empty(spark), APP, ME, NOW, handlers)
+    bad = {"2": "dropped by a callback", "3": "unknown status broken", "8": "dropped by a callback"}
+    want = sorted((str(n), "failed" if str(n) in bad else "ok", bad.get(str(n))) for n in range(12))
+    assert rows(out.messages, "data", "status", "error") == want
+    assert rows(out.state.pending, "data") == [("2",), ("3",), ("8",)]
+    again = consume_once(recs, shards, out.state, APP, ME, NOW)
+    assert rows(again.messages, "data") == [("2",), ("3",), ("8",)] and again.state.pending.count() == 0

@@ -109,3 +109,9 @@ def test_failed_messages_are_left_as_the_callback_leaves_them(spark, rows):
     msgs = spark.createDataFrame([(1, "ok"), (2, "failed"), (3, "failed")], "n int, status string")
     good, bad = split_failed(msgs, lambda df: df.withColumn("reason", F.lit("late")))
     assert rows(good, "n") == [(1,)] and rows(bad, "n", "reason") == [(2, "late"), (3, "late")]
+
+
+def test_messages_without_a_status_went_well(spark):
+    msgs = spark.createDataFrame([("a", "ok"), ("b", None), ("c", "failed")], "data string, status string")
+    good, bad = split_failed(msgs)
+    assert sorted(r.data for r in good.collect()) == ["a", "b"] and [r.data for r in bad.collect()] == ["c"]

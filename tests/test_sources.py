@@ -238,3 +238,51 @@ def test_lease_store_versions(spark, tmp_path, rows):
     assert rows(store.read(), *one.columns) == rows(one)
     store.write(11, one.limit(0))
     assert store.versions() == [0, 10, 11] and store.read().count() == 0
+
+
+def _table(spark, rows):
+    return spark.createDataFrame([("a", shard_id(k), None, "w", n, False) for k, n in sorted(rows.items())], LEASES)
+
+
+def test_lease_store_writes_in_proportion_to_changes(spark, tmp_path, rows):
+    """A thousand leases, then steps that change, add or drop one: the state is
+    right after each, and a step does not write the table anew."""
+    store = LeaseStore(spark, str(tmp_path / "leases"))
+    state = {k: 1 for k in range(1000)}
+    store.write((0, 0), _table(spark, state))
+    whole = store.folder.size(store._all()[0].name)
+    for n in range(1, 21):
+        batch, step = divmod(n, 8)
+        if n % 7 == 3:
+            del state[n]
+        else:
+            state[n % 5 + (2000 if n % 6 == 0 else 0)] = n
+        store.write((batch, step), _table(spark, state))
+        if n % 10 == 0:
+            assert rows(store.read().select("shard_id", "lease_count")) == sorted((shard_id(k), v) for k, v in state.items())
+        store.compact()
+    assert rows(store.read().select("shard_id", "lease_count")) == sorted((shard_id(k), v) for k, v in state.items())
+    store.compact()
+    changes = [p for p in store._all() if p.level == 0 and p.first != (0, 0)]
+    assert len(store.folder.names()) < 18 and all(store.folder.size(p.name) < whole / 2 for p in changes)
+
+
+def test_lease_store_repeats_a_micro_batch(spark, tmp_path, rows):
+    store = LeaseStore(spark, str(tmp_path / "leases"))
+    store.write((0, 0), _table(spark, {1: 1, 2: 1}))
+    for step in range(9):
+        store.write((1, step), _table(spark, {1: 1, 3: step}))
+        store.compact()
+    assert rows(store.read((1, 0)).select("lease_count")) == [(1,), (1,)]
+    store.write((1, 0), _table(spark, {1: 5}))  # the repetition; it takes one step
+    assert rows(store.read().select("shard_id", "lease_count")) == [(shard_id(1), 5)]
+    store.write((2, 0), _table(spark, {}))
+    assert store.read().count() == 0
+
+
+def test_lease_store_passes_over_what_was_not_committed(spark, tmp_path, rows):
+    store = LeaseStore(spark, str(tmp_path / "leases"))
+    store.write(0, _table(spark, {1: 1}))
+    store.write(1, _table(spark, {1: 2}))
+    (tmp_path / "leases" / store._all()[1].name / "_SUCCESS").unlink()
+    assert rows(store.read().select("lease_count")) == [(1,)] and store.versions() == [0]
