@@ -73,11 +73,15 @@ def completed_shards(
     app_name: str,
     as_of: datetime | Column,
     shutdown_delay_ms: int = SHUTDOWN_DELAY_MS,
+    newest: DataFrame | None = None,
 ) -> DataFrame:
     """Closed shards the application is done with: nothing unread after the
     checkpoint, no pending retry, and the last successful ack at least the
     shutdown delay before ``as_of``.  One row per closed shard whose lease is
-    not completed yet, with the three findings and ``completed``."""
+    not completed yet, with the three findings and ``completed``.
+
+    ``newest``: per shard the greatest sequence number, where it is known without
+    the records (``newest_records`` of a table with a zone map)."""
     now = as_of if isinstance(as_of, Column) else wall_clock(as_of)
     mine_open = leases.where((F.col("app_name") == app_name) & ~F.col("completed"))
     held = (
@@ -85,18 +89,11 @@ def completed_shards(
         .select("shard_id")
         .join(mine_open.select("shard_id", "checkpoint", "lease_owner"), "shard_id")
     )
-    # only closed shards are read, which prunes folders of a table kept per shard
-    newest = (
-        lookup_join(
-            records.select("shard_id", "sequence_number"),
-            held.select("shard_id"),
-            ["shard_id"],
-            "left_semi",
-            salt_by=["sequence_number"],
+    if newest is None:  # one record per shard of a map task is shuffled; only closed shards are read
+        rows = records.select("shard_id", "sequence_number").join(held.select("shard_id"), "shard_id", "left_semi")
+        newest = rows.groupBy("shard_id").agg(
+            F.max_by("sequence_number", seq_order("sequence_number")).alias("newest")
         )
-        .groupBy("shard_id")
-        .agg(F.max_by("sequence_number", seq_order("sequence_number")).alias("newest"))
-    )
     mine = acks.where(F.col("app_name") == app_name)
     retries = (
         pending_retries(mine).groupBy("shard_id").agg(F.count(F.lit(1)).alias("n_pending"))

@@ -12,19 +12,24 @@ from .records import (
     write_records,
 )
 from .routing import route_to_shard
+from .zones import index_zones, newest_records, read_zones, unread_files
 
 __all__ = [
     "LeaseStore",
     "active_streams",
     "encode_records",
+    "index_zones",
     "lease_lookup",
     "listing_pages",
+    "newest_records",
     "poll_pacing",
     "read_limited",
     "read_records",
     "read_table",
     "read_unread",
+    "read_zones",
     "route_to_shard",
     "shard_listing",
+    "unread_files",
     "write_records",
 ]

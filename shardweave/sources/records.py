@@ -1,14 +1,16 @@
 """Records: encoding rows as payloads, tables of records, positioned reads."""
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import seq_after, seq_at_or_after, seq_order
-from ..plans import lookup_join, number_rows
+from ..plans import number_rows
 from ..plans.numbering import SLICE_ROWS
+from .zones import unread_by_start
 
 POSITIONS = ("trim_horizon", "at_sequence_number", "after_sequence_number", "latest")
 POLL_INTERVAL_MS = 5_000
@@ -54,10 +56,14 @@ def table_schema(spark: SparkSession, path: str) -> T.StructType:
     return T.StructType(fields)
 
 
-def read_table(spark: SparkSession, path: str, lowest: str | None = None) -> DataFrame:
-    """Read a table written by :func:`write_records`.  ``lowest`` is a sequence
-    number no wanted record is at or below; it is pushed to the scan."""
-    df = spark.read.schema(table_schema(spark, path)).parquet(path)
+def read_table(
+    spark: SparkSession, path: str, lowest: str | None = None, files: Sequence[str] | None = None
+) -> DataFrame:
+    """Read a table written by :func:`write_records`, or the given files of it.
+    ``lowest`` is a sequence number no wanted record is at or below; it is pushed
+    to the scan."""
+    reader = spark.read.schema(table_schema(spark, path))
+    df = reader.parquet(path) if files is None else reader.option("basePath", path).parquet(*files)
     if lowest is not None:
         df = df.where(
             (F.col("seq_len") > len(lowest))
@@ -70,43 +76,43 @@ def read_unread(spark: SparkSession, path: str, leases: DataFrame, app_name: str
     """The part of a table written by :func:`write_records` in which unread
     records of ``app_name`` can be; :func:`resume_read` then picks them.
 
-    Shards with a checkpoint are read from the least of their checkpoints on,
-    which the scan skips to; shards without one are read whole.  Folders of
-    shards without a lease are not opened.
+    Each shard is read from its own checkpoint on: the zone map
+    (:func:`index_zones`) names the files that reach beyond it, and no other is
+    opened.  The least checkpoint of all is pushed to the scan as well.
     """
     mine = leases.where(F.col("app_name") == app_name)
+    files = unread_by_start(spark, path, mine, app_name)
     begun = F.col("checkpoint").isNotNull()
-    lowest = mine.where(begun).agg(F.min_by("checkpoint", seq_order("checkpoint"))).first()[0]
-    parts = [(mine.where(~begun), None)]
-    if lowest is not None:
-        parts.append((mine.where(begun), lowest))
-    whole, *begun_parts = [
-        lookup_join(
-            read_table(spark, path, low),
-            held.select("shard_id"),
-            ["shard_id"],
-            "left_semi",
-            salt_by=["sequence_number"],
-        )
-        for held, low in parts
+    lowest = mine.agg(F.min_by("checkpoint", F.when(begun, seq_order("checkpoint")))).first()[0]
+    parts = [
+        read_table(spark, path, low, names).join(mine.where(held).select("shard_id"), "shard_id", "left_semi")
+        for held, low, names in ((begun, lowest, files[True]), (~begun, None, files[False]))
+        if names
     ]
-    return whole.unionByName(begun_parts[0]) if begun_parts else whole
+    return reduce(DataFrame.unionByName, parts) if parts else read_table(spark, path).where(F.lit(False))
 
 
-def read_records(records: DataFrame, position: str, seq: str | None = None) -> DataFrame:
+def read_records(
+    records: DataFrame, position: str, seq: str | None = None, newest: DataFrame | None = None
+) -> DataFrame:
     """The records of each shard from a position on.
 
     ``trim_horizon``: all; ``at_sequence_number`` / ``after_sequence_number``:
-    from ``seq`` inclusive / exclusive; ``latest``: what comes after the
-    greatest sequence number of each shard now in the table, that is nothing
-    of the table itself.
+    from ``seq`` inclusive / exclusive; ``latest``: what came after the reader
+    began, when the shards ended at ``newest`` (``shard_id`` and ``newest``, as
+    ``newest_records`` gives them); all of a shard that did not exist then.
+    Without ``newest`` the reader begins now: there is nothing yet.
     """
     if position not in POSITIONS:
         raise ValueError(f"position must be one of {POSITIONS}, not {position!r}")
     if position == "trim_horizon":
         return records
     if position == "latest":
-        return records.where(F.lit(False))
+        if newest is None:
+            return records.where(F.lit(False))
+        began = newest.select("shard_id", F.col("newest").alias("_began"))
+        later = F.col("_began").isNull() | seq_after("sequence_number", "_began")
+        return records.join(began, "shard_id", "left").where(later).select(*records.columns)
     if seq is None:
         raise ValueError(f"{position} needs a sequence number")
     test = seq_at_or_after if position == "at_sequence_number" else seq_after

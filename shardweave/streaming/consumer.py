@@ -46,6 +46,7 @@ from ..plans import cut_lineage, cuts_in, fits_broadcast, lookup_join
 from ..schemas import LEASES
 from ..sources.lease_store import LeaseStore
 from ..sources.records import read_limited, read_table, read_unread
+from ..sources.zones import index_zones, newest_records
 
 # messages waiting for another attempt
 PENDING = T.StructType(
@@ -263,8 +264,9 @@ def settle(
     as_of: datetime,
     max_attempts: int | None = None,
     shutdown_delay_ms: int = SHUTDOWN_DELAY_MS,
+    newest: DataFrame | None = None,
 ) -> tuple[DataFrame, ConsumeState]:
-    """Dead letters and the state after a step.
+    """Dead letters and the state after a step; ``newest`` as in :func:`completed_shards`.
 
     The checkpoint of a shard becomes its last finished message: one that
     succeeded or was given up.  It never goes back: a retry that is finished does
@@ -346,7 +348,7 @@ def settle(
         ]
     )
     done = (
-        completed_shards(shards, leases, records, known, app_name, now, shutdown_delay_ms)
+        completed_shards(shards, leases, records, known, app_name, now, shutdown_delay_ms, newest)
         .where("completed")
         .select(
             "app_name",
@@ -469,6 +471,8 @@ def consume(
         if lease_expiry_ms is not None and n == 0:
             before = keep_leases(before, app_name, worker, now, lease_expiry_ms)
         leases, mine = held_leases(shards, before.leases, app_name, worker)
+        if n == 0:
+            index_zones(spark, records_path)
         records = read_table(spark, records_path)
         unread = read_unread(spark, records_path, mine, app_name)
         to_do = read_input(unread, mine, before.pending, app_name, limit, retry=n == 0)
@@ -486,6 +490,7 @@ def consume(
             now,
             max_attempts,
             shutdown_delay_ms,
+            newest_records(spark, records_path),
         )
         _write_step(dead, f"{output_path}/dead_letters/app={app_name}/batch={batch_id}", n)
         for store, table in zip(stores, after, strict=True):

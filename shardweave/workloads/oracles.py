@@ -488,6 +488,16 @@ ORACLES["consume_dead_letters"] = (
     _with("records", "leases", "shards", more=_HELD)
     + """SELECT shard_id, sequence_number, CAST(0 AS BIGINT) AS attempt FROM fresh WHERE bad"""
 )
+ORACLES["read_latest"] = _with("records") + f"""SELECT {_RECORD} FROM (
+    SELECT *, row_number() OVER (PARTITION BY shard_id ORDER BY sequence_number) AS rn FROM records)
+  WHERE rn > 70"""
+ORACLES["resume_read_zones"] = _with("user_records", "user_leases") + f"""SELECT l.app_name, {_R}
+  FROM user_records r JOIN user_leases l USING (shard_id)
+  WHERE l.checkpoint IS NULL OR r.sequence_number > l.checkpoint"""
+ORACLES["consume_batch_failures"] = _with("records", "leases", "shards", more=_HELD) + """SELECT shard_id, sequence_number,
+    CASE WHEN data LIKE '%|error' OR data LIKE '%|signup' THEN 'failed' ELSE 'ok' END AS status,
+    CASE WHEN data LIKE '%|signup' THEN 'dropped by a callback' END AS error
+  FROM fresh WHERE rn <= 500"""
 # the same results by the plans that large tables get
 for plain, twin in {
     "lease_lookup": "lookup_salted",

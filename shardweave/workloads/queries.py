@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import operators as op
 from .. import sources as src
+from ..plans import cut_lineage
 from ..plans.lineage_cut import checkpoint_dir
 from ..streaming import (
     ConsumeState,
@@ -144,6 +145,29 @@ def read_at_sequence(t) -> DataFrame:
     return src.read_records(t("records"), "at_sequence_number", AFTER_SEQ).select(*RECORD)
 
 
+def _stored(t, name: str) -> str:
+    """An input as a table kept per shard."""
+    records = t(name)
+    path = f"{checkpoint_dir(records.sparkSession)}/records-{uuid4().hex}"
+    src.write_records(records, path)
+    return path
+
+
+@query
+def read_latest(t) -> DataFrame:
+    """What is written after a reader began at the end of the first 70 records of
+    each shard; the zone map tells where the shards ended."""
+    records = t("records")
+    spark = records.sparkSession
+    path = f"{checkpoint_dir(spark)}/records-{uuid4().hex}"
+    numbered = op.micro_batches(op.route_batchers(records), 70)
+    src.write_records(numbered.where("batch_no = 0").select(*RECORD), path)
+    src.index_zones(spark, path)
+    newest = cut_lineage(src.newest_records(spark, path))
+    src.write_records(numbered.where("batch_no > 0").select(*RECORD), path)
+    return src.read_records(src.read_table(spark, path), "latest", newest=newest).select(*RECORD)
+
+
 @query
 def read_limited(t) -> DataFrame:
     return src.read_limited(t("records"), LIMIT).select(*RECORD)
@@ -324,6 +348,17 @@ def resume_read_shuffled(t) -> DataFrame:
     return unread.select("app_name", *RECORD)
 
 
+@query
+def resume_read_zones(t) -> DataFrame:
+    """Every shard read on from its own checkpoint: of a table with a zone map only
+    files that reach beyond it are opened."""
+    path = _stored(t, "user_records")
+    leases = t("user_leases")
+    src.index_zones(leases.sparkSession, path)
+    unread = src.read_unread(leases.sparkSession, path, leases, "app-a")
+    return op.resume_read(unread, leases, "app-a").select("app_name", *RECORD)
+
+
 @query
 def missing_leases(t) -> DataFrame:
     return op.missing_leases(t("records"), t("leases"), "app-a").select("app_name", *RECORD)
@@ -590,6 +625,22 @@ def consume(t) -> DataFrame:
     )
 
 
+@query
+def consume_batch_failures(t) -> DataFrame:
+    """The outcome of a step whose batch callback marks failures and leaves the
+    status of the rest out, and drops some messages."""
+
+    def on_batch(batched: DataFrame) -> DataFrame:
+        kept = batched.where(~F.col("data").endswith("|signup"))
+        return kept.withColumn("status", F.when(F.col("data").endswith("|error"), "failed"))
+
+    records = t("records")
+    state = ConsumeState.empty(records.sparkSession)._replace(leases=t("leases"))
+    handlers = Handlers(on_batch=on_batch, batch_size=40)
+    step = consume_once(records, t("shards"), state, "app-a", "worker-1", AS_OF, handlers, limit=500)
+    return step.messages.select("shard_id", "sequence_number", "status", "error")
+
+
 @query
 def consume_pending(t) -> DataFrame:
     """What one step leaves to be retried."""
