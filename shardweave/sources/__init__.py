@@ -12,10 +12,12 @@ from .records import (
     write_records,
 )
 from .routing import route_to_shard
+from .shard_source import ShardRecords, read_shards, stream_shards
 from .zones import index_zones, newest_records, read_zones, unread_files
 
 __all__ = [
     "LeaseStore",
+    "ShardRecords",
     "active_streams",
     "encode_records",
     "index_zones",
@@ -25,11 +27,13 @@ __all__ = [
     "poll_pacing",
     "read_limited",
     "read_records",
+    "read_shards",
     "read_table",
     "read_unread",
     "read_zones",
     "route_to_shard",
     "shard_listing",
+    "stream_shards",
     "unread_files",
     "write_records",
 ]

@@ -18,6 +18,7 @@ from .stateful import (
     stream_records,
     write_record_stream,
 )
+from .timers import watch_shards
 
 __all__ = [
     "ConsumeState",
@@ -33,5 +34,6 @@ __all__ = [
     "read_input",
     "settle",
     "stream_records",
+    "watch_shards",
     "write_record_stream",
 ]

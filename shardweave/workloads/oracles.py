@@ -498,6 +498,11 @@ ORACLES["consume_batch_failures"] = _with("records", "leases", "shards", more=_H
     CASE WHEN data LIKE '%|error' OR data LIKE '%|signup' THEN 'failed' ELSE 'ok' END AS status,
     CASE WHEN data LIKE '%|signup' THEN 'dropped by a callback' END AS error
   FROM fresh WHERE rn <= 500"""
+ORACLES["read_source"] = _with("records", "leases") + f"""SELECT {_RECORD} FROM (
+    SELECT r.*, row_number() OVER (PARTITION BY r.shard_id ORDER BY r.sequence_number) AS rn
+    FROM records r LEFT JOIN leases l ON l.shard_id = r.shard_id AND l.app_name = 'app-a'
+    WHERE l.checkpoint IS NULL OR r.sequence_number > l.checkpoint)
+  WHERE rn <= 100"""
 # the same results by the plans that large tables get
 for plain, twin in {
     "lease_lookup": "lookup_salted",

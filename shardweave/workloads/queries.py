@@ -179,6 +179,15 @@ def read_limited_large(t) -> DataFrame:
     return src.read_limited(t("records"), 2_000).select("shard_id", "sequence_number")
 
 
+@query
+def read_source(t) -> DataFrame:
+    """The next 100 records of each shard after the checkpoints of app-a, through
+    the data source."""
+    leases = t("leases").where("app_name = 'app-a' AND checkpoint IS NOT NULL")
+    after = {r.shard_id: r.checkpoint for r in leases.collect()}
+    return src.read_shards(leases.sparkSession, _stored(t, "records"), after, LIMIT).select(*RECORD)
+
+
 @query
 def poll_pacing(t) -> DataFrame:
     read = src.read_limited(t("user_records"), 70)

@@ -1,0 +1,96 @@
+"""The data source: positions, limits, restarts."""
+
+from collections import Counter
+from datetime import datetime
+
+from conftest import seq, shard_id
+from pyspark.sql import functions as F
+
+from shardweave.schemas import RECORDS
+from shardweave.sources import read_shards, stream_shards, write_records
+
+NOW = datetime(2024, 1, 1)
+
+
+def write(spark, path, numbers, shards):
+    rows = [("s", name, seq(n), str(n), f"{name}|{n}", NOW) for name in shards for n in numbers]
+    write_records(spark.createDataFrame(rows, RECORDS), path)
+
+
+def test_batch_reads_from_positions(spark, tmp_path, rows):
+    path = str(tmp_path / "records")
+    odd = "a b%c:d"
+    write(spark, path, range(30), [shard_id(0), shard_id(1), odd])
+    write(spark, path, range(30, 40), [shard_id(0)])
+    every = read_shards(spark, path)
+    assert sorted(every.columns) == sorted(f.name for f in RECORDS) and every.count() == 100
+    assert every.schema["arrival_ts"].dataType == RECORDS["arrival_ts"].dataType
+    some = read_shards(spark, path, {shard_id(0): seq(24), odd: seq(29)}, limit=8)
+    want = [(shard_id(0), n) for n in range(25, 33)] + [(shard_id(1), n) for n in range(8)]
+    assert rows(some, "data") == sorted((f"{s}|{n}",) for s, n in want)
+
+
+def test_numbers_of_other_lengths_keep_their_order(spark, tmp_path, rows):
+    path = str(tmp_path / "records")
+    numbers = ["9", "10", "2", "100", "99"]
+    write_records(spark.createDataFrame([("s", "x", n, n, n, NOW) for n in numbers], RECORDS), path)
+    assert rows(read_shards(spark, path, {"x": "9"}, limit=2), "data") == [("10",), ("99",)]
+
+
+def _run(spark, path, root, out, limit, batches, fail_at=None):
+    """Run until so many micro-batches are done, or one fails after it was read."""
+    seen = []
+
+    def each(df, batch_id):
+        rows = df.select("shard_id", "data").collect()
+        if fail_at is not None and len(seen) == fail_at:
+            raise RuntimeError("stopped on purpose")
+        out[batch_id] = [tuple(r) for r in rows]  # a repeated batch replaces its rows
+        seen.append(batch_id)
+
+    stream = stream_shards(spark, path, root, limit)
+    query = stream.writeStream.option("checkpointLocation", root).trigger(processingTime="0 seconds").foreachBatch(each).start()
+    try:
+        for _ in range(600):
+            if len(seen) >= batches or not query.isActive:
+                break
+            query.awaitTermination(0.1) if query.isActive else None
+    except Exception as error:  # noqa: BLE001 - the failure that was asked for
+        assert "stopped on purpose" in str(error)
+    query.stop()
+
+
+def test_each_micro_batch_is_bounded_and_a_restart_loses_none(spark, tmp_path):
+    path, root, out = str(tmp_path / "records"), str(tmp_path / "query"), {}
+    write(spark, path, range(23), [shard_id(0)])
+    write(spark, path, range(4), [shard_id(1)])
+    _run(spark, path, root, out, 5, batches=2)
+    _run(spark, path, root, out, 5, batches=9, fail_at=1)  # one batch, then one that fails after it was logged
+    write(spark, path, range(4, 17), [shard_id(1), shard_id(2)])  # more, and a shard that begins
+    _run(spark, path, root, out, 5, batches=5)
+    for rows in out.values():
+        assert max(Counter(s for s, _ in rows).values(), default=0) <= 5
+    got = sorted(d for rows in out.values() for _, d in rows)
+    want = [(shard_id(0), n) for n in range(23)] + [(shard_id(1), n) for n in range(17)] + [(shard_id(2), n) for n in range(4, 17)]
+    assert got == sorted(f"{s}|{n}" for s, n in want)
+    assert len([rows for rows in out.values() if rows]) >= 5
+
+
+def test_a_query_that_stops_between_batches_goes_on_where_it_was(spark, tmp_path):
+    path, root, out = str(tmp_path / "records"), str(tmp_path / "query"), {}
+    write(spark, path, range(12), [shard_id(0)])
+    for _ in range(3):  # each run takes what one trigger gives
+        stream = stream_shards(spark, path, root, 5)
+        query = (
+            stream.select("data").writeStream.option("checkpointLocation", root).trigger(availableNow=True)
+            .foreachBatch(lambda df, b: out.__setitem__(b, [r.data for r in df.collect()])).start()
+        )
+        query.awaitTermination()
+    assert [len(v) for _, v in sorted(out.items())] == [5, 5, 2]
+    assert sorted(int(d.split("|")[1]) for v in out.values() for d in v) == list(range(12))
+
+
+def test_filters_of_the_query_act_on_what_was_read(spark, tmp_path):
+    path = str(tmp_path / "records")
+    write(spark, path, range(10), [shard_id(0)])
+    assert read_shards(spark, path).where(F.col("partition_key") == "7").count() == 1
