@@ -3,9 +3,9 @@
 Paths that a rule decides are labelled.  Per host, level by level, a segment
 that holds a fair share of its parent's pages stays as it is; the others are
 variable and become a wildcard that keeps only their kind.  Branches beside each
-other whose pages divide alike, over what follows and over labels, are merged
-into the largest of them.  A template is rejected where its labelled share of
-blocked pages, smoothed towards one half, is high.
+other whose pages divide alike over what follows, and whose labelled pages divide
+alike over labels, are merged.  A template is rejected where its labelled share of
+blocked pages, smoothed towards one half, is high: its unlabelled pages go too.
 
 Built-in functions only.  Pages are counted by host and path before anything
 else is done, so a host or an address with a third of all rows costs little more
@@ -102,48 +102,62 @@ def _templates(paths: DataFrame, o: TreeOptions) -> DataFrame:
 
 
 def _merge(paths: DataFrame, level: int, o: TreeOptions) -> DataFrame:
-    """Merge the branches of one level into the largest of those beside them
-    that have the same most frequent cell, where they are like it."""
+    """Merge the branches of one level into one of those beside them with the same
+    most frequent rest, where they are like it: into the largest that has labelled
+    pages, or the largest if none has.  What follows is compared over all pages, the
+    labels over labelled pages alone, so a branch without labels can join one whose
+    pages divide alike, and opposite labels keep branches apart."""
     here = F.get("tpl", F.lit(level))
     inner = here.isNotNull() & ~here.rlike(r"^\{") & (F.size("tpl") > level + 1)  # literal, with something below
     rows = paths.withColumn("up", F.slice("tpl", 1, level)).withColumn("seg", F.when(inner, here))
-    kinds = F.array(
-        *[F.struct(F.lit(name).alias("label"), F.col(name).alias("c")) for name in ("blocked", "allowed", "unknown")]
-    )
     cells = (
         rows.where("seg is not null")
-        .select("host", "up", "seg", F.expr(f"slice(tpl, {level + 2}, size(tpl))").alias("rest"), F.explode(kinds).alias("k"))
-        .groupBy("host", "up", "seg", "rest", "k.label")
-        .agg(F.sum("k.c").alias("c"))
-        .where("c > 0")
+        .groupBy("host", "up", "seg", F.expr(f"slice(tpl, {level + 2}, size(tpl))").alias("rest"))
+        .agg(F.sum("n").alias("c"), F.sum("blocked").alias("b"), F.sum("allowed").alias("a"))
+    )
+    sizes = cells.groupBy("host", "up", "seg").agg(
+        F.sum("c").alias("size"), F.sum("b").alias("b"), F.sum("a").alias("a"), F.max(F.struct("c", "rest"))["rest"].alias("most")
+    )
+    labelled = (F.col("b") + F.col("a") > 0).alias("labelled")
+    top = F.max(F.struct(labelled, "size", "seg", "b", "a")).alias("t")
+    largest = sizes.groupBy("host", "up", "most").agg(top).select(
+        "host", "up", "most", *[F.col(f"t.{c}").alias(f"top_{c}") for c in ("size", "seg", "b", "a")]
     )
-    most = F.max(F.struct("c", "rest", "label")).alias("m")
-    sizes = cells.groupBy("host", "up", "seg").agg(F.sum("c").alias("size"), most)
-    sizes = sizes.select("host", "up", "seg", "size", F.struct("m.rest", "m.label").alias("most"))
-    largest = sizes.groupBy("host", "up", "most").agg(F.max(F.struct("size", "seg")).alias("top"))
-    largest = largest.select("host", "up", "most", F.col("top.size").alias("top_size"), F.col("top.seg").alias("top"))
-    others = sizes.join(largest, ["host", "up", "most"]).where("seg <> top").drop("most")
-    top_cells = cells.select("host", "up", F.col("seg").alias("top"), "rest", "label", F.col("c").alias("top_c"))
-    # a row per branch and cell of its own or of the largest one
-    own = others.join(cells, ["host", "up", "seg"]).select("host", "up", "seg", "top", "rest", "label", "c", F.lit(0).cast("long").alias("top_c"))
-    theirs = others.join(top_cells, ["host", "up", "top"]).select("host", "up", "seg", "top", "rest", "label", F.lit(0).cast("long").alias("c"), "top_c")
-    table = own.union(theirs).groupBy("host", "up", "seg", "top", "rest", "label").agg(F.sum("c").alias("c"), F.sum("top_c").alias("top_c"))
+    others = sizes.join(largest, ["host", "up", "most"]).where("seg <> top_seg").drop("most")
+    # a row per branch and rest of its own or of the one it is compared with
+    key = ["host", "up", "seg", "top_seg", "rest"]
+    zero = F.lit(0).cast("long")
+    own = others.join(cells.drop("b", "a"), ["host", "up", "seg"]).select(*key, "c", zero.alias("top_c"))
+    top_cells = cells.select("host", "up", F.col("seg").alias("top_seg"), "rest", F.col("c").alias("top_c"))
+    theirs = others.join(top_cells, ["host", "up", "top_seg"]).select(*key, zero.alias("c"), "top_c")
+    table = own.union(theirs).groupBy(*key).agg(F.sum("c").alias("c"), F.sum("top_c").alias("top_c"))
     table = table.join(others.select("host", "up", "seg", "size", "top_size"), ["host", "up", "seg"])
-    expected = (F.col("c") + F.col("top_c")) * F.col("size") / (F.col("size") + F.col("top_size"))
-    top_expected = F.col("c") + F.col("top_c") - expected
-    chi = (F.col("c") - expected) ** 2 / expected + (F.col("top_c") - top_expected) ** 2 / top_expected
+    rests = table.groupBy("host", "up", "seg").agg(
+        F.sum(_chi("c", "top_c", "size", "top_size")).alias("chi"), (F.count("*") - 1).alias("df")
+    )
+    both = (F.col("b") + F.col("a") > 0) & (F.col("top_b") + F.col("top_a") > 0)
+    known, top_known = F.col("b") + F.col("a"), F.col("top_b") + F.col("top_a")
+    of_labels = F.when(both, _chi("b", "top_b", known, top_known) + _chi("a", "top_a", known, top_known)).otherwise(0.0)
     alike = (
-        table.groupBy("host", "up", "seg", "top")
-        .agg(F.sum(chi).alias("chi"), (F.count("*") - 1).alias("df"))
+        others.join(rests, ["host", "up", "seg"])
+        .select("host", "up", "seg", "top_seg", (F.col("chi") + of_labels).alias("chi"), (F.col("df") + both.cast("long")).alias("df"))
         .where(F.col("chi") <= F.col("df") + o.spread * F.sqrt(2.0 * F.col("df")))
-        .select("host", "up", "seg", "top")
+        .select("host", "up", "seg", "top_seg")
     )
-    into = alike.union(alike.select("host", "up", F.col("top").alias("seg"), "top").distinct())
+    into = alike.union(alike.select("host", "up", F.col("top_seg").alias("seg"), "top_seg").distinct())
     merged = F.concat(
-        F.slice("tpl", 1, level), F.array(F.concat(F.lit("{~"), "top", F.lit("}"))), F.expr(f"slice(tpl, {level + 2}, size(tpl))")
+        F.slice("tpl", 1, level), F.array(F.concat(F.lit("{~"), "top_seg", F.lit("}"))), F.expr(f"slice(tpl, {level + 2}, size(tpl))")
     )
-    out = rows.join(into, ["host", "up", "seg"], "left").withColumn("tpl", F.when(F.col("top").isNotNull(), merged).otherwise(F.col("tpl")))
-    return cut_lineage(out.drop("up", "seg", "top"))
+    out = rows.join(into, ["host", "up", "seg"], "left").withColumn("tpl", F.when(F.col("top_seg").isNotNull(), merged).otherwise(F.col("tpl")))
+    return cut_lineage(out.drop("up", "seg", "top_seg"))
+
+
+def _chi(c, top_c, size, top_size) -> Column:
+    """What one cell adds to chi-square between a branch and the one it is compared with."""
+    c, top_c, size, top_size = (F.col(x) if isinstance(x, str) else x for x in (c, top_c, size, top_size))
+    expected = (c + top_c) * size / (size + top_size)
+    other = c + top_c - expected
+    return F.when(c + top_c > 0, (c - expected) ** 2 / expected + (top_c - other) ** 2 / other).otherwise(0.0)
 
 
 def judge(

@@ -1,5 +1,7 @@
 import re
+from collections import Counter, defaultdict
 
+import pytest
 from fixtures import SF, nothing
 
 from shardweave.llm import url_filter as uf
@@ -61,6 +63,116 @@ def test_like_branches_merge(spark):
     assert templates["en"] == templates["de"] == templates["fr"] != templates["tags"]
 
 
+def test_unlabelled_branches_join_labelled_ones_and_opposite_labels_stay_apart(spark):
+    rules = (uf.Rule("block", "h.net/es/"), uf.Rule("allow", "h.net/blog/"))
+    urls = [f"http://h.net/{a}/{k}" for a in ("es", "en") for k in range(100, 160)]
+    urls += [f"http://h.net/{a}/{k}.html" for a in ("blog", "news") for k in range(100, 160)]
+    urls += [f"http://h.net/tags/t{k}/x" for k in range(40)]
+    rows = [(i, u, None, None, None, None, None) for i, u in enumerate(urls)]
+    out = uf.judge(spark.createDataFrame(rows, PAGES), rules).collect()
+    assert {(r.path.split("/")[1], r.verdict) for r in out if r.rule is None} == {("en", "block"), ("news", "allow"), ("tags", "allow")}
+    mixed = (uf.Rule("block", "h.net/es/"), uf.Rule("allow", "h.net/en/"))
+    out = uf.judge(spark.createDataFrame(rows, PAGES), mixed).collect()
+    assert len({r.template for r in out if r.path.split("/")[1] in ("es", "en")}) == 2
+
+
+def kind(segment):
+    ext = re.search(r"(\.[A-Za-z]{1,5})$", segment)
+    ext = ext.group(1) if ext else ""
+    body = re.sub(r"\.[A-Za-z]{1,5}$", "", segment)
+    return ("{n}" if re.fullmatch("[0-9]+", body) else "{*}") + ext
+
+
+def chi(c, t, size, t_size):
+    if not c + t:
+        return 0.0
+    e = (c + t) * size / (size + t_size)
+    o = c + t - e
+    return (c - e) ** 2 / e + (t - o) ** 2 / o
+
+
+def verdicts_of_host(paths, o=uf.TreeOptions()):
+    """path -> (template, purity); ``paths``: path -> [pages, blocked, allowed]."""
+    segs = {p: [x for x in p.split("/") if x] for p in paths}
+    tpl = {p: () for p in paths}
+    for k in range(o.depth):
+        here, total = Counter(), Counter()
+        for p, (n, _, _) in paths.items():
+            if len(segs[p]) > k:
+                here[tpl[p], segs[p][k]] += n
+                total[tpl[p]] += n
+        new = {}
+        for p in paths:
+            if len(segs[p]) > k:
+                c = here[tpl[p], segs[p][k]]
+                literal = c >= o.least and c >= o.share * total[tpl[p]]
+                new[p] = (*tpl[p], segs[p][k] if literal else kind(segs[p][k]))
+        tpl |= new
+    for p in paths:
+        tpl[p] += ("{**}",) if len(segs[p]) > o.depth else ("",) if p.endswith("/") else ()
+    for level in range(o.depth - 1):
+        cells, branch = defaultdict(Counter), {}
+        known = defaultdict(lambda: [0, 0])
+        for p, (n, b, a) in paths.items():
+            t = tpl[p]
+            if len(t) > level + 1 and not t[level].startswith("{"):
+                at = branch[p] = (t[:level], t[level])
+                cells[at][t[level + 1 :]] += n
+                known[at][0] += b
+                known[at][1] += a
+        most = {at: max((c, rest) for rest, c in cells[at].items())[1] for at in cells}
+        size = {at: sum(cells[at].values()) for at in cells}
+        groups = defaultdict(list)
+        for at in cells:
+            groups[at[0], most[at]].append(at)
+        into = {}
+        for members in groups.values():
+            top = max(members, key=lambda at: (sum(known[at]) > 0, size[at], at[1]))
+            for at in members:
+                if at == top:
+                    continue
+                rests = set(cells[at]) | set(cells[top])
+                x = sum(chi(cells[at][r], cells[top][r], size[at], size[top]) for r in rests)
+                df = len(rests) - 1
+                if sum(known[at]) and sum(known[top]):
+                    x += sum(chi(known[at][k], known[top][k], sum(known[at]), sum(known[top])) for k in (0, 1))
+                    df += 1
+                if x <= df + o.spread * (2 * df) ** 0.5:
+                    into[at] = into[top] = top
+        for p, at in branch.items():
+            if at in into:
+                tpl[p] = (*tpl[p][:level], "{~" + into[at][1] + "}", *tpl[p][level + 1 :])
+    counts = defaultdict(lambda: [0, 0])
+    for p, (_, b, a) in paths.items():
+        counts[tpl[p]][0] += b
+        counts[tpl[p]][1] += a
+    purity = {t: (b + o.prior / 2) / (b + a + o.prior) for t, (b, a) in counts.items()}
+    return {p: ("/" + "/".join(t), purity[t]) for p, t in tpl.items()}
+
+
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_verdicts_next_to_brute_force(spark, sf):
+    pages = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url")
+    hosts = defaultdict(lambda: defaultdict(lambda: [0, 0, 0]))
+    for r in pages.collect():
+        host, path = parts(r.url)
+        rule = by_rule(host, path)
+        n = hosts[host][path]
+        n[0] += 1
+        n[1] += bool(rule and rule.verdict == "block")
+        n[2] += bool(rule and rule.verdict == "allow")
+    told = {h: verdicts_of_host(p) for h, p in hosts.items()}
+    blocked = 0
+    for r in uf.judge(pages, URL_RULES).collect():
+        template, purity = told[r.host][r.path]
+        assert (r.template, round(r.purity, 9)) == (template, round(purity, 9))
+        if r.rule is None:
+            assert r.verdict == ("block" if purity >= uf.TreeOptions().reject else "allow")
+            blocked += r.verdict == "block"
+    if sf.endswith("sf0.1"):
+        assert blocked > 0  # the tree decides pages that no rule does
+
+
 def test_empty(spark):
     assert uf.judge(nothing(spark, PAGES), URL_RULES).collect() == []
 
