@@ -1,9 +1,9 @@
 """Chat formatting: records of any known layout become canonical turns, turns
 become one training text with a loss mask.
 
-A record is a VARIANT.  Its nested field paths, as one normalised text, are
-hashed; the hash selects a declarative mapping to turns.  Conversations are then
-written in one template whose control strings are escaped inside texts, so the
+A record is a VARIANT.  Of its nested field paths those that a mapping knows are
+hashed; the hash selects the declarative mapping to turns, whatever ids, sources or
+tool fields lie beside them.  Conversations are then written in one template whose control strings are escaped inside texts, so the
 text can be read back exactly.
 
 Built-in functions only.  Turns are mapped and escaped row by row; only finished
@@ -21,13 +21,37 @@ TURNS = "array<struct<turn:bigint,role:string,text:string>>"
 
 @dataclass(frozen=True)
 class Mapping:
-    """``shapes``: the normalised field paths of the layout's records;
-    ``turns``: record -> array of (turn, role, text)."""
+    """``paths``: the field paths that the layout knows (``list[].field`` is there if
+    some member has it, ``list[]`` if the list is empty); ``shapes``: which of them
+    together make the layout; ``turns``: record -> array of (turn, role, text)."""
 
     name: str
-    shapes: tuple[str, ...]
+    paths: tuple[str, ...]
+    shapes: tuple[tuple[str, ...], ...]
     turns: Callable[[Column], Column]
 
+    def fits(self, record: Column) -> Column:
+        return known_print(record, self.paths).isin([_print(s, self.paths) for s in self.shapes])
+
+
+def _has(record: Column, path: str) -> Column:
+    if "[]" not in path:
+        return _field(record, f"$.{path}", "variant").isNotNull()
+    name, _, field = path.partition("[]")
+    members = _field(record, f"$.{name}", "array<variant>")
+    there = F.exists(members, lambda m: _field(m, f"${field}", "variant").isNotNull()) if field else F.size(members) == 0
+    return F.coalesce(members.isNotNull() & there, F.lit(False))
+
+
+def known_print(record: Column, paths: tuple[str, ...]) -> Column:
+    """The fingerprint of a record as far as ``paths`` tell it."""
+    there = F.array(*[F.when(_has(record, p), F.lit(p)) for p in paths])
+    return F.md5(F.array_join(there, "\n").cast("binary"))
+
+
+def _print(shape: tuple[str, ...], paths: tuple[str, ...]) -> str:
+    return hashlib.md5("\n".join(p for p in paths if p in shape).encode()).hexdigest()
+
 
 def _field(record: Column, path: str, kind: str = "string") -> Column:
     return F.try_variant_get(record, path, kind)
@@ -37,12 +61,25 @@ def _turn(turn, role, text) -> Column:
     return F.struct(turn.cast("long").alias("turn"), role.alias("role"), F.coalesce(text, F.lit("")).alias("text"))
 
 
-def _list(path: str, role: str, text: str) -> Callable[[Column], Column]:
-    """Turns from an array of messages."""
-    kind = f"array<struct<{role}:string,{text}:string>>"
-    return lambda record: F.transform(
-        _field(record, path, kind), lambda m, i: _turn(i, _role(m[role]), m[text])
-    )
+def _text(value: Column) -> Column:
+    """The text of a message: a string, or the texts of a list of parts, of which
+    those without text are left out."""
+    parts = _field(value, "$", "array<variant>")
+    of_part = lambda p: F.when(F.schema_of_variant(p) == "STRING", _field(p, "$")).otherwise(_field(p, "$.text"))
+    texts = F.filter(F.transform(parts, of_part), lambda t: t.isNotNull())
+    return F.when(parts.isNotNull(), F.array_join(texts, "\n\n")).otherwise(F.coalesce(_field(value, "$.text"), _field(value, "$")))
+
+
+def _list(name: str, role: str, text: str) -> Mapping:
+    """The layout with a list of messages under ``name``."""
+    paths = (f"{name}[].{role}", f"{name}[].{text}", f"{name}[]")
+    shapes = (paths[:2], paths[:1], paths[2:])
+
+    def turns(record):
+        members = _field(record, f"$.{name}", "array<variant>")
+        return F.transform(members, lambda m, i: _turn(i, _role(_field(m, f"$.{role}")), _text(_field(m, f"$.{text}", "variant"))))
+
+    return Mapping(name, paths, shapes, turns)
 
 
 def _fixed(*parts: tuple[str, tuple[str, ...]]) -> Callable[[Column], Column]:
@@ -73,22 +110,25 @@ def _role(role: Column) -> Column:
 MAPPINGS = (
     Mapping(
         "turn rows",
-        ("OBJECT<role, text, turn>",),
+        ("role", "text", "turn"),
+        (("role", "text", "turn"),),
         lambda r: F.array(_turn(_field(r, "$.turn", "long"), _field(r, "$.role"), _field(r, "$.text"))),
     ),
-    Mapping("messages", ("OBJECT<messages: ARRAY<OBJECT<content, role>>>",), _list("$.messages", "role", "content")),
-    Mapping("conversations", ("OBJECT<conversations: ARRAY<OBJECT<from, value>>>",), _list("$.conversations", "from", "value")),
-    Mapping("prompt", ("OBJECT<prompt, response>", "OBJECT<completion, prompt>"), lambda r: _prompt(r)),
+    _list("messages", "role", "content"),
+    _list("conversations", "from", "value"),
     Mapping(
         "instruction",
-        ("OBJECT<input, instruction, output>", "OBJECT<instruction, output>"),
+        ("instruction", "input", "output"),
+        (("instruction", "output"), ("instruction", "input", "output")),
         _fixed(("user", ("$.instruction", "$.input")), ("assistant", ("$.output",))),
     ),
     Mapping(
         "question",
-        ("OBJECT<question, response, system_prompt>", "OBJECT<answer, question>"),
+        ("question", "response", "answer", "system_prompt"),
+        tuple((*s, a) for s in (("question",), ("question", "system_prompt")) for a in ("response", "answer")),
         lambda r: _question(r),
     ),
+    Mapping("prompt", ("prompt", "response", "completion"), (("prompt", "response"), ("prompt", "completion")), lambda r: _prompt(r)),
 )
 
 
@@ -120,23 +160,41 @@ def fingerprint(record: Column) -> Column:
     return F.md5(field_paths(record).cast("binary"))
 
 
+def _layout(record: Column, mappings: tuple[Mapping, ...]) -> Column:
+    out = F.lit(None).cast("string")
+    for m in reversed(mappings):  # the first that fits counts
+        out = F.when(m.fits(record), F.lit(m.name)).otherwise(out)
+    return out
+
+
 def canonical_turns(
-    records: DataFrame, id_col: str, record_col: str, mappings: tuple[Mapping, ...] = MAPPINGS
+    records: DataFrame, id_col: str, record_col: str, mappings: tuple[Mapping, ...] = MAPPINGS, strict: bool = False
 ) -> DataFrame:
     """(conv_id, layout, turn, role, text), a row per turn.
 
-    Null texts are empty, null roles stay.  A record whose fingerprint no mapping
-    has gives one row with layout, turn, role and text null, so that nothing is
-    lost unseen.  Repeated records give their turns again."""
-    rows = records.select(records[id_col].alias("conv_id"), records[record_col].alias("record")).withColumn(
-        "print", fingerprint(F.col("record"))
-    )
-    layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
+    Null texts are empty, null roles stay.  An empty list of messages has no turns
+    and no rows.  A record that fits no mapping gives one row with layout, turn,
+    role and text null, so that nothing is lost unseen (:func:`layouts` counts
+    them); with ``strict`` it fails the job.  Repeated records give their turns
+    again."""
+    rows = records.select(records[id_col].alias("conv_id"), records[record_col].alias("record"))
+    rows = rows.withColumn("layout", _layout(F.col("record"), mappings))
+    if strict:
+        told = F.concat(F.lit("no mapping for "), F.coalesce(field_paths(F.col("record")), F.lit("a null record")))
+        rows = rows.withColumn("layout", F.coalesce("layout", F.raise_error(told).cast("string")))
+    turns = F.lit(None).cast(TURNS)
     for m in mappings:
-        hashes = [hashlib.md5(s.encode()).hexdigest() for s in m.shapes]
-        layout = F.when(F.col("print").isin(hashes), F.lit(m.name)).otherwise(layout)
-        turns = F.when(F.col("print").isin(hashes), m.turns(F.col("record"))).otherwise(turns)
-    return rows.select("conv_id", layout.alias("layout"), F.inline_outer(turns))
+        turns = F.when(F.col("layout") == m.name, m.turns(F.col("record")).cast(TURNS)).otherwise(turns)
+    nothing = F.when(F.col("layout").isNull(), F.array(F.lit(None).cast(TURNS[6:-1])))
+    return rows.select("conv_id", "layout", F.inline(F.coalesce(turns, nothing)))
+
+
+def layouts(records: DataFrame, record_col: str, mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
+    """(layout, paths, n): how many records have each layout and set of nested field
+    paths; those that no mapping takes have layout null."""
+    record = records[record_col]
+    told = records.select(_layout(record, mappings).alias("layout"), field_paths(record).alias("paths"))
+    return told.groupBy("layout", "paths").agg(F.count("*").alias("n"))
 
 
 def turn_records(df: DataFrame, id_col: str = "conv_id") -> DataFrame:

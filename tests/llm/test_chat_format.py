@@ -1,5 +1,5 @@
 import json
-from collections import defaultdict
+from collections import Counter, defaultdict
 from hashlib import sha256
 
 import pytest
@@ -60,6 +60,15 @@ LAYOUTS = [
     ("question", {"system_prompt": "s", "question": "q", "response": "a"}, [("system", "s"), ("user", "q"), ("assistant", "a")]),
     ("question", {"question": "q", "answer": "a"}, [("user", "q"), ("assistant", "a")]),
     ("turn rows", {"turn": 3, "role": "user", "text": None}, [("user", "")]),
+    ("messages", {"id": "a", "source": "x", "messages": [{"role": "user", "content": "q", "name": "n", "tool_calls": [{"id": 1}]}, {"role": "tool", "content": None}]}, [("user", "q"), ("tool", "")]),
+    ("messages", {"messages": [{"role": "user", "content": [{"type": "text", "text": "a"}, {"type": "image", "url": "u"}, "b"]}, {"role": "model", "content": "c"}]}, [("user", "a\n\nb"), ("assistant", "c")]),
+    ("messages", {"messages": [], "id": 3}, []),
+    ("conversations", {"id": 1, "conversations": [{"from": "human", "value": "q", "weight": 0.5}], "prompt": "p"}, [("user", "q")]),
+    ("instruction", {"id": 1, "instruction": "do", "output": "done", "meta": {"prompt": "no"}}, [("user", "do"), ("assistant", "done")]),
+    ("prompt", {"prompt": "q", "response": "a", "scores": [1, 2], "messages": None}, [("user", "q"), ("assistant", "a")]),
+    ("turn rows", {"turn": 1, "role": "user", "text": "t", "lang": "en"}, [("user", "t")]),
+    (None, {"messages": [1, "x"]}, [(None, None)]),
+    (None, {"prompt": "q"}, [(None, None)]),
     (None, {"unknown": {"messages": [1]}}, [(None, None)]),
     (None, [1, 2], [(None, None)]),
     (None, "text", [(None, None)]),
@@ -76,10 +85,23 @@ def test_layouts_become_turns(spark, one_table):
     for part in parts[: 1 if one_table else 3]:
         for r in cf.canonical_turns(part, "id", "rec").collect():
             got[r.conv_id].append((r.turn, r.layout, r.role, r.text))
-    for i, found in got.items():
-        layout, _, expected = LAYOUTS[i]
+    for i in range(len(rows)) if one_table else range(3):
+        (layout, _, expected), found = LAYOUTS[i], got[i]
         assert [(x[2], x[3]) for x in sorted(found, key=str)] == expected
-        assert {x[1] for x in found} == {layout}
+        assert {x[1] for x in found} <= {layout}
+
+
+def test_records_without_a_mapping_are_counted_or_refused(spark):
+    rows = [(i, json.dumps(r)) for i, (_, r, _) in enumerate(LAYOUTS)]
+    df = spark.createDataFrame(rows, "id long, raw string").select("id", F.parse_json("raw").alias("rec"))
+    counted = Counter()
+    for r in cf.layouts(df, "rec").collect():
+        counted[r.layout] += r.n
+    assert counted == Counter(layout for layout, _, _ in LAYOUTS)
+    with pytest.raises(Exception, match="no mapping for"):
+        cf.canonical_turns(df, "id", "rec", strict=True).collect()
+    known = df.where(F.col("id").isin([i for i, (layout, _, _) in enumerate(LAYOUTS) if layout]))
+    assert cf.canonical_turns(known, "id", "rec", strict=True).count() == sum(len(t) for layout, _, t in LAYOUTS if layout)
 
 
 def test_fingerprints_tell_paths_not_types(spark):
