@@ -37,6 +37,7 @@ from .wordhash import mix, windows, word_hashes
 
 SKETCH = 16  # longs of a parity sketch
 PIVOTS = 32  # groups of a prefix shingle that the others of it are compared with in a round
+SALTS = 16  # parts in which the groups of a prefix shingle are ranked
 MAX_ROUNDS = 3  # of these comparisons; they save work, what they do not connect is compared in full
 WORTH = 0.005  # links for each group that a round must find for another one
 
@@ -75,7 +76,7 @@ def _class_id(s: np.ndarray) -> np.uint64:
 
 
 def _signatures(docs: DataFrame, sim: Similarity) -> DataFrame:
-    """doc_id, cid, n, s (sampled shingles), low (the first of them by hash) and sketch."""
+    """doc_id, text_hash, cid, n, s (sampled shingles), low (the first of them by hash) and sketch."""
     limit = np.uint64(int(sim.share * (1 << 64)) - 1 if sim.share < 1 else (1 << 64) - 1)
 
     def run(batches):
@@ -91,29 +92,30 @@ def _signatures(docs: DataFrame, sim: Similarity) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(2),
                     pa.array(ids),
                     pa.array([len(s) for s in sets], type=pa.int64()),
                     pa.array(sampled, type=pa.int64()),
                     _long_lists(low),
                     _long_lists(sketches),
                 ],
-                names=["doc_id", "cid", "n", "s", "low", "sketch"],
+                names=["doc_id", "text_hash", "cid", "n", "s", "low", "sketch"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, cid long, n long, s long, low array<long>, sketch array<long>")
+    return docs.mapInArrow(run, f"doc_id {kind}, text_hash long, cid long, n long, s long, low array<long>, sketch array<long>")
 
 
 def _full_sets(docs: DataFrame, classes: DataFrame, cids: DataFrame, sim: Similarity) -> DataFrame:
     """(cid, shingles) of the classes in ``cids``, from the text of one member each."""
-    wanted = classes.join(cids, "cid", "left_semi").select("cid", "doc_id")
-    texts = docs.join(wanted, "doc_id").select("cid", "text")
+    wanted = classes.join(cids, "cid", "left_semi").select("cid", "rep.*")
+    texts = docs.join(wanted, _same_row(docs, wanted)).select("cid", "text")
 
     def run(batches):
         for batch in in_slices(batches):
             sets = _sets(batch.column(1).to_pylist(), sim.words)
             own = np.array([_class_id(s) for s in sets], dtype=np.uint64).view(np.int64)
-            right = own == batch.column(0).to_numpy()  # an id may stand for several texts
+            right = own == batch.column(0).to_numpy()  # two texts may have one hash
             yield pa.RecordBatch.from_arrays(
                 [pa.array(own[right]), _long_lists([s for s, r in zip(sets, right, strict=True) if r])],
                 names=["cid", "shingles"],
@@ -122,6 +124,12 @@ def _full_sets(docs: DataFrame, classes: DataFrame, cids: DataFrame, sim: Simila
     return texts.mapInArrow(run, "cid long, shingles array<long>").dropDuplicates(["cid"])
 
 
+def _same_row(rows: DataFrame, rep: DataFrame) -> Column:
+    """Whether a row has the id and the text of a class's representative; ids may
+    be null, and one id may stand for several texts."""
+    return rows["doc_id"].eqNullSafe(rep["rep_id"]) & (rows["text_hash"] == rep["rep_hash"])
+
+
 def _sizes_allow(sim: Similarity, a: str, b: str) -> Column:
     return (F.col(a) * 100 >= F.col(b) * sim.percent) & (F.col(b) * 100 >= F.col(a) * sim.percent)
 
@@ -211,10 +219,12 @@ def _nearest(tokens: DataFrame, groups: DataFrame, labels: DataFrame, sim: Simil
     sizes) that share a prefix shingle with it, are in another component and are
     not ruled out."""
     known = tokens.join(labels, "gid").join(groups.select("gid", "n", "sketch"), "gid")
-    place = F.row_number().over(Window.partitionBy("h", "band").orderBy(F.xxhash64("gid", F.lit(turn)), "gid"))
-    picked = known.withColumn("place", place).where(F.col("place") <= PIVOTS)
+    picked = known.withColumn("salt", F.pmod(F.hash("gid"), F.lit(SALTS)))
+    for part in (("h", "band", "salt"), ("h", "band")):  # a hot shingle's groups are ranked in parts first
+        place = F.row_number().over(Window.partitionBy(*part).orderBy(F.xxhash64("gid", F.lit(turn)), "gid"))
+        picked = picked.withColumn("place", place).where(F.col("place") <= PIVOTS)
     left = known.toDF("a", "band", "h", "ca", "na", "sa")
-    right = picked.drop("place").toDF("b", "band", "h", "cb", "nb", "sb")
+    right = picked.drop("place", "salt").toDF("b", "band", "h", "cb", "nb", "sb")
     near = (
         (left["h"] == right["h"])
         & (left["band"] == right["band"])
@@ -273,10 +283,13 @@ def similar_components(
     components.  A row without doc_id gets the component of its links, or null.
     An empty table gives no rows; further columns are ignored."""
     ship(docs.sparkSession)
-    docs = id_and_text(docs, id_col, text_col)
+    docs = id_and_text(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
     signed = cut_lineage(_signatures(docs, sim))
-    classes = cut_lineage(signed.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")))
-    heads = signed.join(classes.select("cid", "doc_id"), ["doc_id", "cid"], "left_semi").dropDuplicates(["doc_id", "cid"])
+    rep = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("rep_id"), F.col("text_hash").alias("rep_hash")))
+    classes = signed.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("doc_id"), rep.alias("rep"))
+    classes = cut_lineage(classes.withColumn("rep", F.struct("rep.rep_id", "rep.rep_hash")))
+    reps = classes.select(F.col("cid").alias("rep_cid"), "rep.*")
+    heads = signed.join(reps, (signed["cid"] == reps["rep_cid"]) & _same_row(signed, reps), "left_semi").dropDuplicates(["cid"])
     prefixes = _prefixes(heads, sim)
 
     # members with the heads of their groups; those that do not link stand alone

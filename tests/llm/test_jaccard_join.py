@@ -65,3 +65,26 @@ def test_components_of_paths_and_stars(spark):
     got = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert got == {i: 0 for i in range(31)} | {100 + i: 100 for i in range(20)}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_rows_without_an_id_carry_links(spark):
+    words = prose(9, 120).split()
+    texts = [" ".join(words), " ".join([*words[:-1], "q"]), " ".join([*words[:-1], "q", "r"])]  # 1-2-3, 1 and 3 apart
+    sim = jj.Similarity(words=3, percent=98)
+    whole = [(k, t) for k, t in enumerate(texts, 1)]
+    assert len({c for _, c in linked(whole, 3, 98).values()}) == 1 and len({c for _, c in linked(whole[::2], 3, 98).values()}) == 2
+    for missing in ([], [2], [1], [1, 2, 3]):
+        rows = [(None if k in missing else k, t, None, None, None) for k, t in whole] * 2
+        rows += [(None, prose(30 + k, 50), None, None, None) for k in range(3)]  # others without an id stay apart
+        out = jj.similar_components(spark.createDataFrame(rows, DOCS), sim).collect()
+        comps = linked(whole, 3, 98)
+        least = {k: min((j for j in comps if comps[j][1] == comps[k][1] and j not in missing), default=None) for k, _ in whole}
+        want = sorted([(None if k in missing else k, least[k]) for k, _ in whole] * 2 + [(None, None)] * 3, key=repr)
+        assert sorted(((r.doc_id, r.component_id) for r in out), key=repr) == want
+
+
+def test_texts_under_one_id_keep_their_own_links(spark):
+    texts = [prose(40 + k, 60) for k in range(12)]
+    rows = [(7, t, None, None, None) for t in texts] + [(100 + k, t, None, None, None) for k, t in enumerate(texts[:4])]
+    out = jj.similar_components(spark.createDataFrame(rows, DOCS), jj.Similarity(words=3, percent=90)).collect()
+    assert len(out) == 16 and {r.component_id for r in out} == {7}
