@@ -44,6 +44,8 @@ _CLOSES = {
     "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"},
     "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}, "body": {"head"},
 }
+_TOPS = {"#root", "html", "body"}
+_SECTIONS = set("article main nav aside header footer form dialog menu".split())
 _SCOPE = set("table ul ol dl div section article aside nav header footer main form body html blockquote".split())
 
 
@@ -61,7 +63,10 @@ OTHER_NAMES = {
     "form": "form search login contact feedback".split(),
     "section": "comments comment replies reply respond disqus discussion reviews thread".split(),
 }
-_CONTENT, _OTHER = set(CONTENT_NAMES), set().union(*OTHER_NAMES.values())
+#: Those of them that parts of an article bear as well: they tell nothing alone.
+WEAK_NAMES = "discussion reviews thread notice alert legal disclaimer contact feedback tags site related".split()
+_CONTENT, _WEAK = set(CONTENT_NAMES), set(WEAK_NAMES)
+_OTHER = set().union(*OTHER_NAMES.values()) - _WEAK
 
 
 class Node:
@@ -88,7 +93,8 @@ def _names(rest: str) -> list[str]:
 def _with_lists(names: list[str]) -> list[str]:
     """The features with those that names of one list share."""
     words = {n[5:] for n in names if n.startswith("name=")}
-    return [*names, *["list=other"] * bool(words & _OTHER), *["list=content"] * bool(words & _CONTENT)]
+    lists = (("other", _OTHER), ("weak", _WEAK), ("content", _CONTENT))
+    return [*names, *[f"list={name}" for name, listed in lists if words & listed]]
 
 
 def parse(page: str) -> list[Node]:
@@ -172,9 +178,13 @@ def parse(page: str) -> list[Node]:
         if not m["rest"].endswith("/") or tag in _SCOPE or tag in ("p", "object", "noscript"):
             stack.append(len(nodes) - 1)
     flush()
+    # a page without sections or names is told as such at its top
+    bare = not any(n.tag in _SECTIONS or any(f.startswith("list=") for f in n.features) for n in nodes)
     for n in nodes:
         if n.text is not None:
             n.features = _text_features(n, nodes[n.parent].tag)
+        elif bare and n.tag in _TOPS:
+            n.features.append("page=bare")
     return nodes
 
 
@@ -277,18 +287,27 @@ _INSIDE = {"nav", "aside", "footer", "form", "dialog", "menu"}  # of an article,
 
 def mark(nodes: list[Node]) -> list[Node] | None:
     """Label a page by its own ``article`` or ``main`` elements: what they hold
-    is content, but for other sections in them.  None if it has none."""
+    is content, but for other sections in them.  None if it has none.  Names that
+    parts of an article bear as well make another section only of what is mostly links."""
     found = False
-    for n in nodes:
+    texts, linked = [0] * len(nodes), [0.0] * len(nodes)  # of what each node holds
+    for i in range(len(nodes) - 1, -1, -1):
+        if nodes[i].text is not None:
+            texts[i], linked[i] = len(nodes[i].text), nodes[i].links * len(nodes[i].text)
+        if nodes[i].parent >= 0:
+            texts[nodes[i].parent] += texts[i]
+            linked[nodes[i].parent] += linked[i]
+    for i, n in enumerate(nodes):
         inside = n.parent >= 0 and nodes[n.parent].label == 1
         begins = n.tag in ("article", "main")
         found |= begins
-        other = n.tag in _INSIDE or any(f[5:] in _OTHER for f in n.features if f.startswith("name="))
+        names = {f[5:] for f in n.features if f.startswith("name=")}
+        other = n.tag in _INSIDE or bool(names & _OTHER) or (bool(names & _WEAK) and 2 * linked[i] > texts[i])
         n.label = int((inside or begins) and not other)
     return nodes if found else None
 
 
-def written_pages(count: int = 300, seed: int = 3) -> list[list[Node]]:
+def written_pages(count: int = 400, seed: int = 3) -> list[list[Node]]:
     """Labelled pages of many layouts, made by rule."""
     rng = random.Random(seed)
 
@@ -312,9 +331,21 @@ def written_pages(count: int = 300, seed: int = 3) -> list[list[Node]]:
         n = rng.choice([n, n, f"{n}-{words(1, 1)}", f"{words(1, 1)}_{n}", n.capitalize()])
         return rng.choice([f' class="{n}"', f' id="{n}"', f' class="{words(1, 1)} {n}"'])
 
-    def other(kind):
+    def references():
+        links = [f'<li><a href="/{words(1, 1)}">{words(1, 6)}</a>{rng.choice(["", ", " + words(1, 6)])}</li>' for _ in range(rng.randint(1, 6))]
+        tag = rng.choice(["ul", "ol"])
+        line = f'<p><a href="/{words(1, 1)}">{words(2, 9)}</a></p>'
+        return rng.choice([f"<{tag}>{''.join(links)}</{tag}>", line, f"<h3>{words(1, 2)}</h3><{tag}>{''.join(links)}</{tag}>"])
+
+    def aside_by_name():  # a part of the article, whatever its name
+        tag = rng.choice(["div", "section"])
+        heading = rng.choice(["", f"<h2>{words(1, 3)}</h2>"])
+        return f"<{tag}{name(WEAK_NAMES)}>{heading}{''.join(paragraph() for _ in range(rng.randint(1, 3)))}</{tag}>"
+
+    def other(kind, outside=True):
         tag = rng.choice([kind, kind, "div", "div", "section"])
-        label = name(OTHER_NAMES[kind]) if tag != kind or kind in ("div", "section") or rng.random() < 0.5 else ""
+        named = tag != kind or kind in ("div", "section") or rng.random() < 0.5
+        label = name([n for n in OTHER_NAMES[kind] if outside or n not in _WEAK]) if named else ""
         if kind == "nav" or rng.random() < 0.25:
             inner = "".join(f'<li><a href="/{words(1, 1)}">{words(1, 3)}</a></li>' for _ in range(rng.randint(2, 9)))
             inner = f"<ul>{inner}</ul>"
@@ -326,27 +357,41 @@ def written_pages(count: int = 300, seed: int = 3) -> list[list[Node]]:
             inner = "".join(rng.choice([paragraph, lambda: sentence(2, 15), lambda: f"<h3>{words(1, 4)}</h3>"])() for _ in range(rng.randint(1, 4)))
         return f"<{tag}{label}>{inner}</{tag}>"
 
+    def bare():  # a page that is nothing but its text
+        shape = rng.random()
+        text = " ".join(sentence(1, 12) for _ in range(rng.choice([1, 1, 2, 4])))
+        if shape < 0.4:
+            return f"\2{text}\3"
+        inner = f"<p>{text}</p>" if shape < 0.6 else "".join(paragraph() for _ in range(rng.randint(1, 4)))
+        return f"\2{inner}\3" if shape < 0.8 else f"\2<html><body>{inner}</body></html>\3"
+
     def content():
         parts = [f"<h1>{words(2, 8)}</h1>"] if rng.random() < 0.7 else []
         for _ in range(rng.randint(1, 9)):
             kind = rng.random()
-            if kind < 0.7:
+            if kind < 0.52:
                 parts.append(paragraph())
-            elif kind < 0.75:
+            elif kind < 0.57:
+                parts.append(references())
+            elif kind < 0.62:
+                parts.append(aside_by_name())
+            elif kind < 0.67:
                 parts.append(f"<h2>{words(1, 6)}</h2>")
-            elif kind < 0.79:
+            elif kind < 0.71:
                 parts.append("<ul>" + "".join(f"<li>{sentence(2, 12)}</li>" for _ in range(rng.randint(2, 5))) + "</ul>")
-            elif kind < 0.82:
+            elif kind < 0.74:
                 parts.append(f"<blockquote>{paragraph()}</blockquote>")
-            elif kind < 0.84:
+            elif kind < 0.76:
                 parts.append(f"<pre>{words(3, 20)}</pre>")
-            elif kind < 0.86:
+            elif kind < 0.78:
                 cells = "".join(f"<td>{words(1, 4)}</td>" for _ in range(3))
                 parts.append(f"<table><tr>{cells}</tr></table>")
             else:  # something else within the article
-                parts.append("\0" + other(rng.choice(["div", "aside", "div", "nav", "form", "section"])) + "\1")
+                parts.append("\0" + other(rng.choice(["div", "aside", "div", "nav", "form", "section"]), outside=False) + "\1")
         inner = "".join(parts)
         shape = rng.random()
+        if shape < 0.06:  # in no element of its own
+            return f"\2{inner}\3"
         if shape < 0.4:
             tag, label = rng.choice(["article", "main"]), rng.choice(["", name(CONTENT_NAMES)])
         elif shape < 0.8:
@@ -358,6 +403,9 @@ def written_pages(count: int = 300, seed: int = 3) -> list[list[Node]]:
 
     pages = []
     for _ in range(count):
+        if rng.random() < 0.1:
+            pages.append(_labelled(bare()))
+            continue
         before = [other(rng.choice(["header", "nav", "div", "aside", "div", "form"])) for _ in range(rng.randint(0, 4))]
         after = [other(rng.choice(["section", "footer", "aside", "div", "nav", "footer"])) for _ in range(rng.randint(0, 4))]
         body = "".join([*before, content(), *after])
@@ -387,7 +435,8 @@ def _labelled(page: str) -> list[Node]:
     text = "".join(plain)
     nodes = parse(text)
     for n, at in zip(nodes, _places(text, nodes), strict=True):
-        n.label = int(spans[0] <= at < spans[1] and not any(a <= at < b for a, b in holes))
+        whole = n.tag == "#root" and spans[0] == 0  # of a page that is its text
+        n.label = int((whole or spans[0] <= at < spans[1]) and not any(a <= at < b for a, b in holes))
     return nodes
 
 
@@ -410,16 +459,20 @@ def _places(page: str, nodes: list[Node]) -> list[int]:
     return out
 
 
+SAMPLE_CHARS = 200_000  # longer pages are not fitted on
+
+
 def train(pages: DataFrame | None = None, html_col: str = "html", id_col: str = "page_id", sample: int = 120) -> TreeModel:
     """Fit on the pages written by rule and on those that mark their article
-    among ``sample`` pages of the table (in the mean), picked by hash of the id."""
+    among ``sample`` pages of the table (in the mean), picked by hash of the id;
+    pages of more than ``SAMPLE_CHARS`` are left out of the sample."""
     labelled = written_pages()
     if pages is not None and sample:
         span = 1 << 30
         rate = int(span * min(1.0, sample / max(1, pages.count())))
         place = F.xxhash64(F.lit("sample"), pages[id_col].cast("string"))
         chosen = pages.select(pages[html_col].cast("string").alias("html"), place.alias("place"))
-        chosen = chosen.where(F.pmod("place", F.lit(span)) < rate).where(F.lower("html").rlike("<(article|main)[ >]"))
+        chosen = chosen.where((F.pmod("place", F.lit(span)) < rate) & (F.char_length("html") <= SAMPLE_CHARS)).where(F.lower("html").rlike("<(article|main)[ >]"))
         for r in sorted(chosen.collect(), key=lambda r: (r["place"], r["html"])):
             if nodes := mark(parse(r["html"])):
                 labelled.append(nodes)

@@ -87,6 +87,43 @@ def test_parts_that_are_no_article(model):
     assert model.text(page) == f"Head & line\n\n{text}\n\nSecond one: {text} after that"
 
 
+PROSE = "A long enough sentence that tells the reader something worth reading, twice over."
+SHORT = "Two words."
+NAV = "<nav><ul><li><a href=/a>One</a><li><a href=/b>Two</a></ul></nav>"
+
+
+@pytest.mark.parametrize(
+    ("page", "blocks"),
+    [
+        (PROSE, [PROSE]),
+        (f"{PROSE}\n{PROSE}", [f"{PROSE} {PROSE}"]),
+        (f"<p>{SHORT}</p>", [SHORT]),
+        (f"<p>{PROSE}</p>", [PROSE]),
+        (f"<html><body><p>{PROSE}</p></body></html>", [PROSE]),
+        (f"<article><p>{PROSE}</p><p><a href=/x>A linked line</a></p><ul><li><a href=/1>One source</a></li><li><a href=/2>Other source</a></li></ul></article>",
+         [PROSE, "A linked line", "One source", "Other source"]),
+        (f"<html><body>{NAV}<article><h1>Head</h1><p>{PROSE}</p><h2>References</h2><ol><li><a href=/1>One source</a>, 1999</li><li><a href=/2>Other</a></li></ol></article></body></html>",
+         ["Head", PROSE, "References", "One source, 1999", "Other"]),
+        (f"<article><p>{PROSE}</p><section class=discussion><h2>Discussion</h2><p>{PROSE}</p></section><div class=notice-of-intent><p>{PROSE}</p></div></article>",
+         [PROSE, "Discussion", PROSE, PROSE]),
+        (f"<html><body>{NAV}<main><p>{PROSE}</p><p>{PROSE}</p><p>{PROSE}</p><div id=legal-notice><p>{PROSE}</p></div><section class=discussion><p>{PROSE}</p></section>"
+         f"<ul><li><a href=/1>One source</a></li></ul></main><footer>&copy; x</footer></body></html>", [PROSE] * 5 + ["One source"]),
+    ],
+)
+def test_no_text_of_an_article_is_lost(spark, model, page, blocks):
+    assert model.text(page) == "\n\n".join(blocks)
+
+
+def test_no_text_is_lost_with_the_model_of_the_tables_pages(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    model = he.train(pages)
+    test = test_no_text_of_an_article_is_lost
+    for mark in test.pytestmark:
+        for page, blocks in mark.args[1]:
+            assert model.text(page) == "\n\n".join(blocks)
+    test_parts_that_are_no_article(model)
+
+
 @pytest.mark.parametrize(
     "page",
     [
