@@ -13,7 +13,8 @@ matches are shuffled.  Of windows that several items share word for word, values
 included, the least item holds them, so a preamble of many items does not
 multiply matches; windows that differ in values are each item's own.  What is a
 name depends on the case of letters, so windows with values are also matched by
-their lower-cased words alone."""
+their lower-cased words alone.  An item shorter than a window that holds values is
+looked for at its own length."""
 
 from dataclasses import dataclass
 
@@ -35,6 +36,17 @@ UNITS = (
 ).split()
 
 
+#: Words that are numbers, one by one ("one" is rather a pronoun).
+NUMBER_WORDS = dict(
+    zip(
+        "two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty "
+        "thirty forty fifty sixty seventy eighty ninety hundred thousand million".split(),
+        [*range(2, 20), *range(20, 100, 10), 100, 1000, 1_000_000],
+        strict=True,
+    )
+)
+
+
 @dataclass(frozen=True)
 class Options:
     """``literal``: words of a window that must not be placeholders."""
@@ -62,22 +74,34 @@ def template_words(text: Column) -> Column:
     return F.filter(F.split(F.lower(with_names), rf"[^\p{{L}}\p{{N}}%{NUMBER}{NAME}{UNIT}]+", -1), lambda w: w != "")
 
 
-def _is_value(word: Column) -> Column:
+def _is_marked(word: Column) -> Column:
     return word.startswith(NUMBER) | word.startswith(NAME) | word.startswith(UNIT)
 
 
+def _is_value(word: Column) -> Column:
+    return _is_marked(word) | word.isin(*NUMBER_WORDS)
+
+
 def _word_hash(word: Column) -> Column:
-    return F.xxhash64(F.when(_is_value(word), F.substring(word, 1, 1)).otherwise(word))
+    kind = F.when(_is_marked(word), F.substring(word, 1, 1)).when(word.isin(*NUMBER_WORDS), NUMBER)
+    return F.xxhash64(kind.otherwise(word))
 
 
 def _literal(word: Column) -> Column:
-    return F.when(_is_value(word), F.substring(word, 2, 1 << 30)).otherwise(word)
+    return F.when(_is_marked(word), F.substring(word, 2, 1 << 30)).otherwise(word)
 
 
-def _with_windows(df: DataFrame) -> DataFrame:
+def _value(word: Column) -> Column:
+    """A marked word; words that are numbers as those in digits."""
+    digits = F.create_map(*[F.lit(x) for w, n in NUMBER_WORDS.items() for x in (w, f"{NUMBER}{n}")])
+    return F.coalesce(digits[word], word)
+
+
+def _with_windows(df: DataFrame, lengths: tuple[int, ...] = ()) -> DataFrame:
     """``df`` with ``words``, ``has_values`` and ``windows``, the hashes of every
     window, of the whole text where it has fewer words: ``h`` of its template
-    words and, in texts with values, ``l`` of the words themselves, in any case."""
+    words and, in texts with values, ``l`` of the words themselves, in any case.
+    ``inner``: the same of windows of other ``lengths`` within texts with values."""
     df = df.withColumn("words", template_words(F.col("text"))).drop("text")
     df = df.withColumn("has_values", F.exists("words", _is_value))
     kept = df.columns
@@ -93,15 +117,28 @@ def _with_windows(df: DataFrame) -> DataFrame:
 
         df = df.withColumn(name, F.zip_with(of, F.slice(of, F.lit(1 + apart), F.lit(1 << 30)), both))
     n = F.size("words")
-    whole = hashes(
-        F.xxhash64(F.transform("h1", lambda w: w["h"])), F.when(F.col("has_values"), F.xxhash64(F.transform("h1", lambda w: w["l"])))
-    )
+
+    def of_all(pairs):
+        literal = F.when(F.col("has_values"), F.xxhash64(F.transform(pairs, lambda w: w["l"])))
+        return hashes(F.xxhash64(F.transform(pairs, lambda w: w["h"])), literal)
+
+    def inside(m):
+        def at(i):
+            return F.struct(i.alias("pos"), F.lit(m).alias("m"), of_all(F.slice("h1", i + 1, F.lit(m))).alias("w"))
+
+        return F.when(F.col("has_values") & (n > m), F.transform(F.sequence(F.lit(0), n - m), at))
+
+    if lengths:
+        nothing = F.array().cast("array<struct<pos:int,m:int,w:struct<h:bigint,l:bigint>>>")
+        df = df.withColumn("inner", F.concat(*[F.coalesce(inside(m), nothing) for m in lengths]))
+        kept = [*kept, "inner"]
+    whole = of_all(F.col("h1"))
     windows = F.when(n >= WINDOW, F.slice("h8", F.lit(1), F.greatest(n - F.lit(WINDOW - 1), F.lit(0))))
     return df.select(*kept, windows.when(n > 0, F.array(whole)).otherwise(F.filter(F.array(whole), lambda w: F.lit(False))).alias("windows"))
 
 
 def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text", options: Options = Options()) -> DataFrame:
-    """(h, item_id, item_pos, item_words, item_windows, verbatim): every window of
+    """(h, item_id, item_pos, item_words, item_windows, verbatim, valued): every window of
     the items once for each of its values, with the least item that has it so;
     windows with values also as they are, without placeholders: ``verbatim``.  An item whose
     windows would all be others' keeps its own; of items of the same words the
@@ -114,15 +151,16 @@ def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str =
         .select("item_id", F.xxhash64("words").alias("whole"), "words", "item_windows", F.posexplode("windows").alias("item_pos", "w"))
         .withColumn("item_words", F.expr(f"slice(words, item_pos + 1, {WINDOW})"))
     )
+    valued = F.exists("item_words", _is_value)
     literal = F.size(F.filter("item_words", lambda w: ~_is_value(w)))
     enough = literal >= F.least(F.lit(options.literal), F.size("item_words"))
     template = F.struct(F.col("w.h").alias("h"), "item_words", F.lit(False).alias("verbatim"))
     verbatim = F.struct(F.col("w.l").alias("h"), F.transform("item_words", _literal).alias("item_words"), F.lit(True).alias("verbatim"))
-    both = F.when(~enough, F.array(verbatim)).when(F.exists("item_words", _is_value), F.array(template, verbatim)).otherwise(F.array(template))
-    each = cut_lineage(each.select("item_id", "whole", "item_pos", "item_windows", F.inline(both)))
+    both = F.when(~enough, F.array(verbatim)).when(valued, F.array(template, verbatim)).otherwise(F.array(template))
+    each = cut_lineage(each.select("item_id", "whole", "item_pos", "item_windows", valued.alias("valued"), F.inline(both)))
 
     def first(df):  # by the words too: windows with other values are other windows
-        least = F.min(F.struct("item_id", "item_pos", "item_windows", "verbatim")).alias("w")
+        least = F.min(F.struct("item_id", "item_pos", "item_windows", "verbatim", "valued")).alias("w")
         return df.groupBy("h", "item_words", *[c for c in ("own",) if c in df.columns]).agg(least).select("h", "w.*", "item_words")
 
     held = cut_lineage(first(each))
@@ -146,27 +184,33 @@ def contaminated(
     is_exact (no value differs).  Windows of the same words match in any case of
     letters, unless values elsewhere along the alignment disagree.
 
-    A text of fewer than eight words is one window, so a short item is found
-    only in a text that is it.  Null and empty texts match nothing, and rows
+    A text of fewer than eight words is one window.  An item that short is found
+    within longer texts if it holds values, otherwise only in a text that is it.  Null and empty texts match nothing, and rows
     without an id are left out.  Rows with the same doc_id are one document; an
     empty table gives no rows."""
     known = cut_lineage(benchmark_windows(items, item_id_col, item_text_col, options))
+    short = known.where(F.col("valued") & (F.size("item_words") < WINDOW)).select(F.size("item_words")).distinct()
+    lengths = tuple(sorted(r[0] for r in short.collect()))  # fewer than WINDOW
     if known.count() <= MAX_BROADCAST_WINDOWS:
         known = F.broadcast(known)
     rows = docs.select(docs[id_col].alias("doc_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
-    rows = _with_windows(rows.where("doc_id is not null"))
+    rows = _with_windows(rows.where("doc_id is not null"), lengths)
 
-    def probes(w, i):  # only windows of texts with values carry their words; one without values is the same in both
-        own = F.when(F.col("has_values"), F.slice("words", i + 1, WINDOW))
-        template = F.struct(i.alias("pos"), w["h"].alias("h"), own.alias("own"))
-        literal = F.struct(i.alias("pos"), w["l"].alias("h"), F.lit(None).cast("array<string>").alias("own"))
+    def probe(w, i, size, within):  # only windows of texts with values carry their words; one without values is the same in both
+        own, inside = F.when(F.col("has_values"), F.slice("words", i + 1, size)), F.lit(within).alias("within")
+        template = F.struct(i.alias("pos"), w["h"].alias("h"), own.alias("own"), inside)
+        literal = F.struct(i.alias("pos"), w["l"].alias("h"), F.lit(None).cast("array<string>").alias("own"), inside)
         return F.when(w["l"] != w["h"], F.array(template, literal)).otherwise(F.array(template))
 
-    windows = rows.select("doc_id", F.inline(F.flatten(F.transform("windows", probes))))
-    pairs = F.zip_with("item_words", "own", lambda a, b: F.struct(a.alias("item"), b.alias("doc")))
-    values = F.coalesce(F.filter(pairs, lambda p: _is_value(p["item"])), F.array().cast(_PAIRS))
+    asked = F.flatten(F.transform("windows", lambda w, i: probe(w, i, WINDOW, False)))
+    if lengths:
+        asked = F.concat(asked, F.flatten(F.transform("inner", lambda x: probe(x["w"], x["pos"], x["m"], True))))
+    windows = rows.select("doc_id", F.inline(asked))
+    pairs = F.zip_with("item_words", "own", lambda a, b: F.struct(_value(a).alias("item"), _value(b).alias("doc")))
+    values = F.coalesce(F.filter(pairs, lambda p: _is_marked(p["item"])), F.array().cast(_PAIRS))
     same_kind = F.forall(values, lambda p: F.substring(p["item"], 1, 1) == F.substring(p["doc"], 1, 1))
-    matches = windows.join(known, "h").select(
+    found = windows.join(known, "h").where(~F.col("within") | F.col("valued"))
+    matches = found.select(
         "doc_id", "item_id", "item_windows", "item_pos", "verbatim", (F.col("pos") - F.col("item_pos")).alias("shift"), same_kind.alias("same"), values.alias("values")
     )
     matches = matches.where("same").drop("same")

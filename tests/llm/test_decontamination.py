@@ -1,3 +1,4 @@
+import random
 import re
 
 from fixtures import DOCS, awkward, nothing, prose
@@ -46,6 +47,49 @@ def test_short_items_match_whole_texts_only(spark):
     assert set(got) == {(1, 1), (3, 1)}
 
 
+def test_short_items_with_values_are_found_in_longer_texts(spark):
+    items = [(1, "Compute 17 + 25"), (2, "Add 3 apples to 4 green pears"), (3, "What is love")]
+    docs = [
+        (1, "Question: Compute 17 + 25 Answer 42"), (2, "Question: Compute 17 + 26 Answer 43"), (3, prose(70, 3000) + " compute 17 25 " + prose(71, 3000)),
+        (4, "Please add 3 apples to 4 green pears, then stop and look around"), (5, "Please add 9 apples to 8 green pears, then stop and look around"),
+        (6, "Please add nine apples to two green pears, then stop and look around"), (7, "tell me what is love 4 now"), (8, "add 3 apples to 4 green pears"),
+        (9, "Please add 9 apples to 4 red pears, then stop and look around"),
+    ]
+    got = find(spark, docs, items)
+    assert set(got) == {(1, 1), (3, 1), (4, 2), (5, 2), (6, 2), (8, 2)}
+    assert got[4, 2].is_exact and got[8, 2].is_exact and not got[5, 2].is_exact and not got[6, 2].is_exact and got[6, 2].n_values == 2
+
+
+def test_number_words_are_numbers(spark):
+    item = "Tom has 3 red apples and buys 5 more from the small shop near his old house"
+    docs = [
+        (1, item.replace("3", "three").replace("5", "five")), (2, "so " + item.replace("3", "Seven").replace("5", "ninety")),
+        (3, item.replace("apples", "plums").replace("buys", "gets").replace("shop", "inn").replace("small", "big").replace("3", "three")),
+    ]
+    got = find(spark, docs, [(1, item)])
+    assert set(got) == {(1, 1), (2, 1)} and got[1, 1].is_exact and not got[2, 1].is_exact
+    assert find(spark, [(1, item)], [(1, docs[0][1])])[1, 1].is_exact
+
+
+def test_changed_figures_next_to_brute_force(spark):
+    """Questions of a template with other figures, in words or digits, against a
+    matcher that knows the template."""
+    rng = random.Random(8)
+    words = [w for w, n in dc.NUMBER_WORDS.items() if n < 20]
+    frame = "a farmer sells {} brown hens and buys {} white geese at the market, then {} hens fly away over the hill"
+    items = [(k, frame.format(*rng.sample(range(20, 90), 3))) for k in (1, 2)]
+    docs, want = [], set()
+    for k in range(60):
+        fill = [rng.choice([str(n), w]) for n, w in zip(rng.sample(range(100, 900), 3), rng.sample(words, 3), strict=True)]
+        text = frame.format(*fill)
+        if changed := rng.random() < 0.4:  # other words throughout
+            text = " ".join(w if i % 3 else w + "x" for i, w in enumerate(text.split()))
+        docs.append((100 + k, f"{prose(k, 20)} {text} {prose(k + 500, 20)}"))
+        if not changed:
+            want.add(100 + k)
+    assert {d for d, _ in find(spark, docs, items)} == want
+
+
 def test_shared_windows_belong_to_the_least_item(spark):
     preamble = prose(50, 12)
     items = [(k, preamble + " " + prose(60 + k, 12)) for k in range(5)] + [(9, preamble)]
