@@ -109,18 +109,22 @@ def _with_windows(df: DataFrame, lengths: tuple[int, ...] = ()) -> DataFrame:
     def hashes(h, literal):
         return F.struct(h.alias("h"), literal.alias("l"))
 
-    df = df.withColumn("h1", F.transform("words", lambda w: hashes(_word_hash(w), F.when(F.col("has_values"), F.xxhash64(_literal(w))))))
-    for name, of, apart in (("h2", "h1", 1), ("h4", "h2", 2), ("h8", "h4", 4)):
-        # the last ones lack their second half and are cut off in the end
-        def both(a, b):
-            return hashes(F.xxhash64(a["h"], b["h"]), F.when(a["l"].isNotNull(), F.xxhash64(a["l"], b["l"])))
-
-        df = df.withColumn(name, F.zip_with(of, F.slice(of, F.lit(1 + apart), F.lit(1 << 30)), both))
+    # texts without values, most of them, have one hash per window; h and g are null for the other kind
+    valued, plain = F.when(F.col("has_values"), F.col("words")), F.when(~F.col("has_values"), F.col("words"))
+    df = df.withColumn("h1", F.transform(valued, lambda w: hashes(_word_hash(w), F.xxhash64(_literal(w)))))
+    df = df.withColumn("g1", F.transform(plain, lambda w: F.xxhash64(w)))
+    joins = {
+        "h": lambda a, b: hashes(F.xxhash64(a["h"], b["h"]), F.xxhash64(a["l"], b["l"])),
+        "g": lambda a, b: F.xxhash64(a, b),
+    }
+    for level, apart in ((2, 1), (4, 2), (8, 4)):  # the last ones lack their second half and are cut off in the end
+        for kind, join in joins.items():
+            of = f"{kind}{level // 2}"
+            df = df.withColumn(f"{kind}{level}", F.zip_with(of, F.slice(of, F.lit(1 + apart), F.lit(1 << 30)), join))
     n = F.size("words")
 
     def of_all(pairs):
-        literal = F.when(F.col("has_values"), F.xxhash64(F.transform(pairs, lambda w: w["l"])))
-        return hashes(F.xxhash64(F.transform(pairs, lambda w: w["h"])), literal)
+        return hashes(F.xxhash64(F.transform(pairs, lambda w: w["h"])), F.xxhash64(F.transform(pairs, lambda w: w["l"])))
 
     def inside(m):
         def at(i):
@@ -132,8 +136,10 @@ def _with_windows(df: DataFrame, lengths: tuple[int, ...] = ()) -> DataFrame:
         nothing = F.array().cast("array<struct<pos:int,m:int,w:struct<h:bigint,l:bigint>>>")
         df = df.withColumn("inner", F.concat(*[F.coalesce(inside(m), nothing) for m in lengths]))
         kept = [*kept, "inner"]
-    whole = of_all(F.col("h1"))
-    windows = F.when(n >= WINDOW, F.slice("h8", F.lit(1), F.greatest(n - F.lit(WINDOW - 1), F.lit(0))))
+    no_literal = F.lit(None).cast("long")
+    whole = F.when(F.col("has_values"), of_all(F.col("h1"))).otherwise(hashes(F.xxhash64("g1"), no_literal))
+    each = F.coalesce("h8", F.transform("g8", lambda g: hashes(g, no_literal)))
+    windows = F.when(n >= WINDOW, F.slice(each, F.lit(1), F.greatest(n - F.lit(WINDOW - 1), F.lit(0))))
     return df.select(*kept, windows.when(n > 0, F.array(whole)).otherwise(F.filter(F.array(whole), lambda w: F.lit(False))).alias("windows"))
 
 
