@@ -202,9 +202,10 @@ def lease_lookup(t) -> DataFrame:
 
 @query
 def lookup_salted(t) -> DataFrame:
-    """The lookup beyond the broadcast's bound, keys of more than 40 requests spread."""
+    """The lookup where the leases are too many to broadcast: both sides are
+    shuffled, and adaptive execution splits what is skewed."""
     keys = t("requests").select("app_name", "shard_id", "request_seq")
-    return src.lease_lookup(t("user_leases"), keys, max_broadcast_rows=40, hot_rows=40)
+    return src.lease_lookup(t("user_leases").hint("merge"), keys)
 
 
 @query
