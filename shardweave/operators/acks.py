@@ -2,11 +2,12 @@
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import millis_between, plus_millis, seq_after, seq_order, wall_clock
-from ..plans import lookup_join
+from ..plans import lookup_join, slice_groups
+from ..plans.numbering import SLICE_ROWS
 from .messages import FAILED, OK
 
 SHUTDOWN_DELAY_MS = 300_000
@@ -127,53 +128,76 @@ def drop_redelivered(records: DataFrame) -> DataFrame:
     return records.dropDuplicates(["shard_id", "sequence_number"])
 
 
-def consumer_lag(records: DataFrame, leases: DataFrame) -> DataFrame:
+def consumer_lag(
+    records: DataFrame, leases: DataFrame, slice_rows: int = SLICE_ROWS
+) -> DataFrame:
     """Per lease the unread records of its shard and how far, in arrival time,
     what was read up to the checkpoint is behind the newest record.
     ``behind_ms`` counts from the oldest record where nothing was read.
 
-    A record is not paired with the applications of its shard: it falls into
-    one slot between their sorted checkpoints, slots are counted, and a lease
-    adds up the slots up to its own checkpoint.
+    Records and checkpoints are merged in one order: along it runs the number of
+    records so far and their newest arrival, and a checkpoint reads off both.
+    However many applications a shard has, a record passes once.  Shards of more
+    than ``slice_rows`` rows run in slices, each from the totals of those before.
     """
     held = leases.select("app_name", "shard_id", "checkpoint")
-    marks = held.groupBy("shard_id").agg(
-        F.array_sort(F.collect_set(seq_order("checkpoint"))).alias("marks")
+    read = records.select("shard_id", "sequence_number", "arrival_ts").join(
+        held.select("shard_id"), "shard_id", "left_semi"
     )
-    slots = (
-        lookup_join(
-            records.select("shard_id", "sequence_number", "arrival_ts"),
-            marks,
-            ["shard_id"],
-            "inner",
-            salt_by=["sequence_number", "arrival_ts"],
-        )
-        .withColumn("key", seq_order("sequence_number"))
-        .withColumn("slot", F.size(F.filter("marks", lambda m: m < F.col("key"))))
-        .groupBy("shard_id", "slot")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("arrival_ts").alias("oldest"),
-            F.max("arrival_ts").alias("newest"),
-        )
+    marks = held.select(
+        "shard_id",
+        F.col("checkpoint").alias("sequence_number"),
+        F.lit(None).cast(records.schema["arrival_ts"].dataType).alias("arrival_ts"),
+    ).distinct()
+    merged = read.withColumn("is_mark", F.lit(False)).unionByName(
+        marks.withColumn("is_mark", F.lit(True))
     )
-    per_shard = slots.groupBy("shard_id").agg(
-        F.sum("n").alias("n"),
-        F.min("oldest").alias("oldest"),
-        F.max("newest").alias("newest"),
-        F.collect_list(F.struct("slot", "n", "newest")).alias("slots"),
+    order = [seq_order("sequence_number"), F.col("is_mark")]
+    cut = slice_groups(merged, ["shard_id"], order, slice_rows)
+
+    slices = cut.rows.groupBy("shard_id", "_slice").agg(
+        F.count_if(~F.col("is_mark")).alias("n"),
+        F.min("arrival_ts").alias("oldest"),
+        F.max("arrival_ts").alias("newest"),
     )
-    joined = (
-        held.join(marks, "shard_id")
-        .join(per_shard, "shard_id", "left")
-        .withColumn("own_slot", F.array_position("marks", seq_order("checkpoint")) - 1)
+    per_shard = slices.groupBy("shard_id").agg(
+        F.sum("n").alias("n"), F.min("oldest").alias("oldest"), F.max("newest").alias("newest")
     )
-    read = F.filter("slots", lambda s: s["slot"] <= F.col("own_slot"))
-    n_read = F.aggregate(read, F.lit(0).cast("long"), lambda acc, s: acc + s["n"])
-    read_to = F.array_max(F.transform(read, lambda s: s["newest"]))
-    return joined.select(
-        "app_name",
-        "shard_id",
-        (F.coalesce("n", F.lit(0)) - F.coalesce(n_read, F.lit(0))).cast("long").alias("n_unread"),
-        millis_between(F.coalesce(read_to, F.col("oldest")), F.col("newest")).alias("behind_ms"),
+    so_far = (
+        Window.partitionBy("shard_id", "_slice")
+        .orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    at_marks = (
+        cut.rows.withColumn("n_read", F.count_if(~F.col("is_mark")).over(so_far))
+        .withColumn("read_to", F.max("arrival_ts").over(so_far))
+        .where("is_mark")
+        .select("shard_id", "_slice", F.col("sequence_number").alias("mark"), "n_read", "read_to")
+    )
+    if cut.many:
+        earlier = (
+            Window.partitionBy("shard_id").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+        )
+        before = slices.select(
+            "shard_id",
+            "_slice",
+            F.sum("n").over(earlier).alias("n_before"),
+            F.max("newest").over(earlier).alias("to_before"),
+        )
+        at_marks = (
+            at_marks.join(before, ["shard_id", "_slice"], "left")
+            .withColumn("n_read", F.col("n_read") + F.coalesce("n_before", F.lit(0)))
+            .withColumn("read_to", F.greatest("read_to", "to_before"))
+        )
+    at_marks = at_marks.withColumnRenamed("shard_id", "mark_shard").drop("_slice")
+    own = (F.col("shard_id") == F.col("mark_shard")) & F.col("checkpoint").eqNullSafe(F.col("mark"))
+    return (
+        held.join(at_marks, own)
+        .join(per_shard, "shard_id")
+        .select(
+            "app_name",
+            "shard_id",
+            (F.col("n") - F.col("n_read")).cast("long").alias("n_unread"),
+            millis_between(F.coalesce("read_to", "oldest"), F.col("newest")).alias("behind_ms"),
+        )
     )

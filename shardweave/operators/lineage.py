@@ -8,12 +8,11 @@ listing is of one stream.
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import seq_order
-from ..plans import cut_lineage, fits_broadcast, lookup_join, number_rows
-from ..plans.joins import MAX_BROADCAST_ROWS, count_up_to
+from ..plans import cut_lineage, lookup_join, number_rows
 from ..plans.numbering import SLICE_ROWS
 
 
@@ -86,9 +85,10 @@ def ready_shards(
 
     listed = shards.select(*stream, F.col("shard_id").alias("parent"), F.lit(True).alias("p_listed"))
     done_parents = mine.withColumnsRenamed({"shard_id": "parent", "completed": "p_done"})
-    parents = lookup_join(edges, listed, [*stream, "parent"], salt_by=["child"])
-    parents = lookup_join(parents, done_parents, [*of_lease, "parent"], salt_by=["child"]).withColumn(
-        "p_listed", F.coalesce("p_listed", F.lit(False))
+    parents = (
+        edges.join(listed, [*stream, "parent"], "left")
+        .join(done_parents, [*of_lease, "parent"], "left")
+        .withColumn("p_listed", F.coalesce("p_listed", F.lit(False)))
     )
     vertices = shard_vertices(shards)
     if reference_mode:
@@ -137,61 +137,81 @@ def ready_shards(
     )
 
 
-def _with_known_parents(edges: DataFrame, generations: DataFrame, fits: bool) -> DataFrame:
-    """Hand the generations found last to the edges that leave those shards,
-    and note per child how many parents are still without one.  A child has at
-    most a few parents, so the windows are small."""
-    stream = _stream(edges)
-    found = generations.select(*stream, F.col("shard_id").alias("parent"), F.col("generation").alias("_g"))
-    of_child = Window.partitionBy(*stream, "child")
+_FARTHEST = 2**40  # only distances around a cycle grow beyond it
+
+
+def _next_state(waiting: DataFrame, known: DataFrame) -> DataFrame:
+    """One step of every shard that waits.  An ancestor with a generation adds to
+    ``base``; one that waits for a single ancestor is skipped, so that distances
+    double; one that waits for several stays.  Of two ways to an ancestor the
+    longer counts."""
+    stream = _stream(waiting)
+    ahead = known.select(
+        *stream, F.col("shard_id").alias("parent"), F.col("base").alias("p_base"), F.col("up").alias("p_up")
+    )
+    over, behind = F.get("p_up", 0), F.size("p_up")
+    via = F.struct(
+        over["parent"].alias("parent"), F.least(over["d"] + F.col("d"), F.lit(_FARTHEST)).alias("d")
+    )
+    steps = (
+        waiting.select(*stream, "shard_id", "base", F.explode("up").alias("e"))
+        .select(*stream, "shard_id", "base", "e.parent", "e.d")
+        .join(ahead, [*stream, "parent"], "left")
+        .withColumn("so_far", F.when(behind <= 1, F.col("p_base") + F.col("d")))
+        .withColumn("next", F.when(behind == 1, via).when(behind > 1, F.struct("parent", "d")))
+    )
+    farthest = F.filter(
+        "up",
+        lambda e, i: ~F.coalesce(F.get(F.col("up"), i + 1)["parent"] == e["parent"], F.lit(False)),
+    )
     return (
-        lookup_join(edges, found, [*stream, "parent"], salt_by=["child"], fits=fits)
-        .select(*stream, "parent", "child", F.coalesce("from_gen", "_g").alias("from_gen"))
-        .withColumn("n_open", F.count_if(F.col("from_gen").isNull()).over(of_child))
-        .withColumn("last", F.max("from_gen").over(of_child))
+        steps.groupBy(*stream, "shard_id")
+        .agg(
+            F.greatest(F.max("base"), F.max("so_far")).alias("base"),
+            F.array_sort(F.collect_set("next")).alias("up"),
+        )
+        .withColumn("up", farthest)
     )
 
 
-def _peel(shards: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Generations of all vertices that are not in or below a cycle, and the
-    edges that stay unpeeled.
+def _generations(shards: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(shard_id, base)`` of all vertices that are not in or below a cycle,
+    their generation, and the vertices that are.
 
-    Each step takes the children whose parents all have a generation, hands
-    their generation to their own children and drops their edges, so the edge
-    table shrinks from step to step.  The number of steps is the depth of the
-    lineage, not its size, and each step is one job that reads what the step
-    before wrote.
+    A vertex keeps the ancestors it waits for with its distance to them
+    (``up``, a few), and the greatest generation that follows from the others
+    (``base``).  Along splits, and along merges whose ways meet again, the
+    distances double from step to step, so a chain takes as many steps as its
+    length has bits.  Every step is one job that reads what the one before wrote
+    and gives a generation to one vertex at least, else the rest waits for ever.
     """
     stream = _stream(shards)
-    edges = cut_lineage(shard_edges(shards).select(*stream, "parent", "child").distinct())
-    named = edges.select(*stream, F.col("parent").alias("shard_id"))
-    below = edges.select(*stream, F.col("child").alias("shard_id"))
-    roots = cut_lineage(
-        shards.select(*stream, "shard_id")
-        .union(named)
-        .distinct()
-        .join(below, [*stream, "shard_id"], "left_anti")
-        .select(*stream, "shard_id", F.lit(0).alias("generation"))
+    one_up = F.struct(F.col("parent"), F.lit(1).cast("long").alias("d"))
+    parents = (
+        shard_edges(shards)
+        .groupBy(*stream, F.col("child").alias("shard_id"))
+        .agg(F.collect_set(one_up).alias("up"))
+    )
+    none = F.array().cast("array<struct<parent:string,d:bigint>>")
+    state = cut_lineage(
+        shard_vertices(shards)
+        .select(*stream, "shard_id")
+        .join(parents, [*stream, "shard_id"], "left")
+        .withColumn("base", F.when(F.col("up").isNull(), F.lit(0)).cast("long"))
+        .withColumn("up", F.coalesce("up", none))
+        .select(*stream, "shard_id", "base", "up")
     )
-    peeled = [roots]
-    edges = edges.withColumn("from_gen", F.lit(None).cast("int"))
-    edges = cut_lineage(_with_known_parents(edges, roots, fits_broadcast(roots)))
+    solved = []
     while True:
-        ready = (
-            edges.where(F.col("n_open") == 0)
-            .select(
-                *stream,
-                F.col("child").alias("shard_id"),
-                (F.col("last") + 1).cast("int").alias("generation"),
-            )
-            .distinct()
-        )
-        n = count_up_to(ready, MAX_BROADCAST_ROWS)
-        if n == 0:
-            return reduce(DataFrame.unionByName, peeled), edges
-        peeled.append(ready)
-        waiting = edges.where(F.col("n_open") > 0)
-        edges = cut_lineage(_with_known_parents(waiting, ready, n <= MAX_BROADCAST_ROWS))
+        n, n_solved = state.agg(F.count(F.lit(1)), F.count_if(F.size("up") == 0)).first()
+        waiting = state.where(F.size("up") > 0)
+        if n_solved:
+            solved.append(state.where(F.size("up") == 0))
+        if n_solved in (0, n):
+            empty = state.where(F.lit(False))
+            return reduce(DataFrame.unionByName, solved, empty), waiting
+        known = reduce(DataFrame.unionByName, solved, waiting)
+        state = cut_lineage(_next_state(waiting, known))
 
 
 def shard_generations(shards: DataFrame) -> DataFrame:
@@ -199,13 +219,17 @@ def shard_generations(shards: DataFrame) -> DataFrame:
     one more than the greatest generation of its parents.  Shards in a cycle,
     or below one, have ``generation`` NULL and ``in_cycle`` true."""
     stream = _stream(shards)
-    peeled, left = _peel(shards)
-    stuck = left.select(*stream, F.col("child").alias("shard_id")).distinct()
-    return peeled.withColumn("in_cycle", F.lit(False)).unionByName(
-        stuck.select(
-            *stream, "shard_id", F.lit(None).cast("int").alias("generation"), F.lit(True).alias("in_cycle")
+    solved, waiting = _generations(shards)
+
+    def rows(of: DataFrame, generation: Column, in_cycle: bool) -> DataFrame:
+        return of.select(
+            *stream,
+            "shard_id",
+            generation.cast("int").alias("generation"),
+            F.lit(in_cycle).alias("in_cycle"),
         )
-    )
+
+    return rows(solved, F.col("base"), False).unionByName(rows(waiting, F.lit(None), True))
 
 
 def lineage_cycles(shards: DataFrame) -> DataFrame:

@@ -1,12 +1,12 @@
 """Exact row numbers inside groups of any size.
 
 ``row_number() OVER (PARTITION BY g ORDER BY o)`` puts a whole group into one
-task.  That is fine while every group is small.  Otherwise large groups are cut
-into consecutive slices of their order: pivots are picked by a hash of the row
-key, every row finds its slice by binary search in its group's pivots, the
-slices are counted, and a row's number is its number inside the slice plus the
-sizes of the slices before.  No row is dropped and the hash only chooses where
-slices begin, so a recomputed task picks the same pivots.
+task.  That is fine for small groups and they stay as they are.  The rows of
+large groups are range partitioned by (group, order) and written: a partition is
+a slice, slices are counted, and a row's number is its number inside the slice
+plus the sizes of the slices before.  Rows carry nothing but the number of their
+slice, no row is dropped, and since the slices are a written table, a recomputed
+task finds the same ones.
 """
 
 from collections.abc import Sequence
@@ -18,23 +18,20 @@ from pyspark.sql import functions as F
 from .lineage_cut import cut_lineage
 
 SLICE_ROWS = 1_000_000
-MAX_PIVOTS = 200_000  # ~100 bytes each: the broadcast stays near 20 MB
+MAX_PIVOTS = 200_000  # large groups, ~100 bytes each: the broadcast stays near 20 MB
+MIN_SLICES = 16
 
 
 @dataclass(frozen=True)
 class Slicing:
     """``rows`` carries ``_slice`` (slices of a group follow its order) and
-    ``_cut``, true in groups that may have more than one slice.  ``many`` is
-    false when no group can."""
+    ``_cut``, true in large groups, which may have more than one slice.  ``many``
+    is false when there is no such group."""
 
     rows: DataFrame
     many: bool
 
 
-def _order_key(order: Sequence[Column]) -> Column:
-    return F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
-
-
 def count_at_or_below(sorted_pivots: Column, key: Column, most: int) -> Column:
     """Binary search by halving steps: how many of up to ``most`` sorted values
     are <= key."""
@@ -66,44 +63,36 @@ def slice_groups(
     max_pivots: int = MAX_PIVOTS,
     total: int | None = None,
 ) -> Slicing:
-    """Cut the groups of ``df`` into order-consecutive slices of about
-    ``slice_rows`` rows.  ``(group, order)`` should identify a row; copies of
-    one row stay in one slice.  ``total`` is the number of rows, or a bound on
-    it, where the caller has it; otherwise they are counted."""
+    """Cut the groups of more than ``slice_rows`` rows into order-consecutive
+    slices of about that many, but no more slices than the session has shuffle
+    partitions (or ``MIN_SLICES``).  Of more than ``max_pivots`` large groups only
+    the largest are cut.  ``(group, order)`` should identify a row; copies of one
+    row stay in one slice.  ``total`` is the number of rows, or a bound on it,
+    where the caller has it."""
     group = list(group)
-    if total is None:
-        total = df.count()
-    if total > slice_rows:
-        sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-        total, largest = sizes.agg(F.sum("n"), F.max("n")).first()
-    else:
-        largest = total
-    if (largest or 0) <= slice_rows:
-        whole = df.withColumn("_slice", F.lit(0)).withColumn("_cut", F.lit(False))
+    whole = df.withColumn("_slice", F.lit(0)).withColumn("_cut", F.lit(False))
+    if total is not None and total <= slice_rows:
+        return Slicing(whole, many=False)
+    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    large = cut_lineage(sizes.where(F.col("_n") > slice_rows))
+    rows_in_large = large.agg(F.sum("_n")).first()[0]
+    if rows_in_large is None:
         return Slicing(whole, many=False)
 
-    key = _order_key(order)
-    spacing = max(slice_rows, -(-total // max_pivots))
-    pivots = (
-        df.select(*group, key.alias("_key"))
-        .where(F.pmod(F.xxhash64(*group, "_key"), F.lit(spacing)) == 0)
-        .groupBy(*group)
-        .agg(F.array_sort(F.collect_set("_key")).alias("_pivots"))
-    )
-    pivots = cut_lineage(pivots)
-    most = pivots.agg(F.max(F.size("_pivots"))).first()[0] or 1
-    tagged = (
-        _join_groups(df, pivots, group)
-        .withColumn("_cut", F.col("_pivots").isNotNull())
-        .withColumn(
-            "_slice",
-            F.when(
-                F.col("_cut"), count_at_or_below(F.col("_pivots"), key, most)
-            ).otherwise(F.lit(0)),
+    # at most max_pivots groups can have more rows than this
+    large = large.where(F.col("_n") > max(slice_rows, rows_in_large // max_pivots))
+    most = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MIN_SLICES)
+    slices = min(-(-rows_in_large // slice_rows), most)
+    marked = _join_groups(df, large.select(*group, F.lit(True).alias("_large")), group)
+    of_large = marked.where("_large").drop("_large")
+    ranged = cut_lineage(
+        of_large.repartitionByRange(slices, *map(F.col, group), *order).withColumn(
+            "_slice", F.spark_partition_id()
         )
-        .drop("_pivots")
     )
-    return Slicing(tagged, many=True)
+    of_small = marked.where(F.col("_large").isNull()).drop("_large")
+    rows = of_small.withColumn("_slice", F.lit(0)).withColumn("_cut", F.lit(False))
+    return Slicing(rows.unionByName(ranged.withColumn("_cut", F.lit(True))), many=True)
 
 
 def number_rows(
@@ -129,7 +118,7 @@ def number_rows(
     earlier = (
         Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     )
-    # one row per slice of the cut groups, so no more rows than pivots plus groups cut
+    # one row per slice of a large group, so no more rows than slices plus large groups
     offsets = (
         cut.rows.where("_cut")
         .groupBy(*group, "_slice")

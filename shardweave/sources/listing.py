@@ -3,7 +3,6 @@
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..plans import lookup_join
 from ..schemas import LISTING_PAGE
 
 RETRY_TIMEOUT_MS = 30_000
@@ -20,7 +19,7 @@ def _read_pages(pages: DataFrame) -> DataFrame:
         F.min(F.when(~F.col("has_more"), F.col("page_no"))).alias("_last"),
     )
     return (
-        lookup_join(pages, ends, ["stream_name"], salt_by=["page_no"])
+        pages.join(ends, ["stream_name"], "left")
         .where(F.col("_last").isNull() | (F.col("page_no") <= F.col("_last")))
         .drop("_last")
     )
@@ -57,7 +56,7 @@ def shard_listing(pages: DataFrame, active_only: bool = False) -> DataFrame:
     read = _read_pages(pages)
     if active_only:
         wanted = active_streams(pages).where("active").select("stream_name")
-        read = lookup_join(read, wanted, ["stream_name"], "left_semi", salt_by=["page_no"])
+        read = read.join(wanted, ["stream_name"], "left_semi")
     entries = read.select("stream_name", "page_no", F.posexplode("shards").alias("pos", "s")).select(
         "stream_name",
         "page_no",

@@ -506,6 +506,7 @@ ORACLES["read_source"] = _with("records", "leases") + f"""SELECT {_RECORD} FROM
 # the same results by the plans that large tables get
 for plain, twin in {
     "lease_lookup": "lookup_salted",
+    "consumer_lag": "consumer_lag_sliced",
     "micro_batches": "micro_batches_sliced",
     "partition_by": "partition_by_sliced",
     "resume_read": "resume_read_shuffled",

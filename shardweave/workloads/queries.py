@@ -439,6 +439,12 @@ def consumer_lag(t) -> DataFrame:
     return op.consumer_lag(t("user_records"), t("user_leases"))
 
 
+@query
+def consumer_lag_sliced(t) -> DataFrame:
+    """The same lag with the shards' order run slice by slice."""
+    return op.consumer_lag(t("user_records"), t("user_leases"), slice_rows=50)
+
+
 # --- lineage ----------------------------------------------------------------
 
 

@@ -1,7 +1,9 @@
+import random
 from datetime import datetime, timedelta
 
 import pytest
 from conftest import seq, shard_id
+from pyspark.sql import functions as F
 
 from shardweave.operators import (
     checkpoints_from_acks,
@@ -151,3 +153,24 @@ def test_consumer_lag(spark, rows):
         ("b", shard_id(0), 10, 540_000),
         ("c", shard_id(0), 0, 0),
     ]
+
+
+def test_consumer_lag_of_a_shard_with_ten_thousand_applications(spark):
+    rng = random.Random(5)
+    at = sorted(rng.sample(range(4_000), 1_500))
+    recs = records(spark, *[(0, n, rng.randrange(500)) for n in at], (1, 5, 3))
+    held = leases(spark, *[(f"app-{i}", 0, rng.choice([None, *range(-1, 4_001, 7)])) for i in range(10_000)])
+    minute = {r.sequence_number: r.arrival_ts for r in recs.where(F.col("shard_id") == shard_id(0)).collect()}
+    oldest, newest = min(minute.values()), max(minute.values())
+    want, by_mark = set(), {}
+    for r in held.collect():
+        if r.checkpoint not in by_mark:
+            read = [] if r.checkpoint is None else [
+                t for s, t in minute.items() if (len(s), s) <= (len(r.checkpoint), r.checkpoint)
+            ]
+            behind = newest - (max(read) if read else oldest)
+            by_mark[r.checkpoint] = len(minute) - len(read), int(behind.total_seconds() * 1000)
+        want.add((r.app_name, r.shard_id, *by_mark[r.checkpoint]))
+    for slice_rows in (100, 1_000_000):
+        lag = consumer_lag(recs, held, slice_rows)
+        assert {tuple(r) for r in lag.collect()} == want and lag.count() == 10_000

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from conftest import shard_id
 from pyspark.sql import functions as F
@@ -158,6 +160,33 @@ def test_a_long_chain_of_splits_and_merges(spark):
     assert got[36] == (24, False) and got[34][0] == 23
 
 
+def test_a_chain_of_200_splits_takes_few_steps(spark, monkeypatch):
+    from shardweave.operators import lineage
+
+    steps = []
+    written = lineage.cut_lineage
+    monkeypatch.setattr(lineage, "cut_lineage", lambda df: steps.append(1) or written(df))
+    rows = [(0, None, None)]
+    for level in range(200):
+        rows += [(2 * level + 1, 2 * level, None), (2 * level + 2, 2 * level, None)]
+    got = generations(shard_generations(listing(spark, *rows)))
+    assert got == {n: ((n + 1) // 2, False) for n in range(401)}
+    assert len(steps) <= 10
+
+
+def test_generations_of_any_lineage(spark):
+    rng = random.Random(11)
+    rows, longest = [], {}
+    for n in range(150):
+        back = [None if n < 3 else rng.randrange(max(0, n - 6), n), None if n < 3 else rng.randrange(n)]
+        parent, other = (back[0], back[1] if rng.random() < 0.5 else None) if rng.random() < 0.95 else (None, None)
+        rows.append((n, parent, other))
+        longest[n] = max((longest[p] + 1 for p in (parent, other) if p is not None), default=0)
+    knot = [(200, 201, None), (201, 202, 149), (202, 200, None), (203, 202, 5), (204, 203, None), (205, 205, None)]
+    got = generations(shard_generations(listing(spark, *rows, *knot)))
+    assert got == {n: (g, False) for n, g in longest.items()} | {n: (None, True) for n in range(200, 206)}
+
+
 def test_replay_order_across_a_reshard(spark):
     gens = shard_generations(listing(spark, *DIAMOND))
     records = spark.createDataFrame(

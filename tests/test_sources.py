@@ -1,4 +1,5 @@
 import json
+import random
 
 from conftest import seq, shard_id
 from pyspark.sql import functions as F
@@ -211,6 +212,63 @@ def test_routing_with_many_shards(spark):
         assert cut[n] <= int(r.hash_key, 16) < cut[n + 1]
 
 
+def _bounds_inside_one_prefix(n):
+    """Bounds of n + 2 ranges of which n lie within 1/16^6 of the space."""
+    width = 2**104
+    low = 0xABCDEF * width
+    return [0, *[low + i * width // n for i in range(n + 1)], 2**128]
+
+
+def test_routing_with_dense_splits_has_small_cells(spark):
+    from shardweave.sources import routing
+
+    cut = _bounds_inside_one_prefix(10_000)
+    listing = spark.createDataFrame(
+        [("s", shard_id(n), None, None, str(cut[n]), str(cut[n + 1] - 1), "1", None) for n in range(len(cut) - 1)]
+        + [("t", shard_id(0), None, None, "0", str(2**128 - 1), "1", None)],
+        SHARDS,
+    )
+    ranges = routing.hex_ranges(listing).select("stream_name", "shard_id", "hash_start", "hash_end")
+    sizes = routing._cells(ranges, disjoint=True).groupBy("stream_name", "_cell").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 16
+    assert sizes.groupBy(F.length("_cell")).count().count() >= 8
+
+    keys = [("s", f"k{i}", f"{h:032x}") for i, h in enumerate([*cut[:-1], *[c - 1 for c in cut[1:]]])]
+    keys += [("t", "k", "f" * 32), ("u", "k", "0" * 32), ("s", None, None)]
+    found = _routed_by_key(spark, keys, listing)
+    for i in range(len(cut) - 1):
+        assert found["s", keys[i][2]] == found["s", keys[len(cut) - 1 + i][2]] == shard_id(i)
+    assert found["t", "f" * 32] == shard_id(0)
+    assert found["u", "0" * 32] is None and found["s", None] is None
+
+
+def test_routing_with_overlapping_ranges(spark):
+    rng = random.Random(2)
+    spans = [sorted(rng.sample(range(2**128 >> 100), 2)) for _ in range(60)] + [(0, 2**28 - 1)]
+    spans += [(77 * 2**16 + i, 77 * 2**16 + i + 3) for i in range(60)]
+    spans = [(a << 100, ((b + 1) << 100) - 1) for a, b in spans]
+    listing = spark.createDataFrame(
+        [("s", shard_id(n), None, None, str(a), str(b), "1", None) for n, (a, b) in enumerate(spans)], SHARDS
+    )
+    probes = [h for a, b in spans for h in (a, b, (a + b) // 2)]
+    found = _routed_by_key(spark, [("s", "k", f"{h:032x}") for h in probes], listing, open_only=False)
+    for h in probes:
+        first = min((a, b, shard_id(n)) for n, (a, b) in enumerate(spans) if a <= h <= b)
+        assert found["s", f"{h:032x}"] == first[2]
+
+
+def _routed_by_key(spark, keys, listing, **options):
+    """The shard per (stream, hash), with the hash taken as the partition key."""
+    from unittest.mock import patch
+
+    from shardweave.sources import routing
+
+    recs = spark.createDataFrame(keys, "stream_name string, name string, partition_key string")
+    with patch.object(routing, "hash_key", F.col):
+        routed = route_to_shard(recs, listing, **options)
+        return {(r.stream_name, r.partition_key): r.shard_id for r in routed.collect()}
+
+
 def test_lease_lookup(spark, rows):
     leases = spark.createDataFrame([("a", shard_id(1), None, "w", 3, False)], LEASES)
     keys = spark.createDataFrame(
