@@ -153,7 +153,8 @@ def consumer_lag(
         marks.withColumn("is_mark", F.lit(True))
     )
     order = [seq_order("sequence_number"), F.col("is_mark")]
-    cut = slice_groups(merged, ["shard_id"], order, slice_rows)
+    most = records.count() + leases.count()
+    cut = slice_groups(merged, ["shard_id"], order, slice_rows, total=most)
 
     slices = cut.rows.groupBy("shard_id", "_slice").agg(
         F.count_if(~F.col("is_mark")).alias("n"),

@@ -186,19 +186,24 @@ def _generations(shards: DataFrame) -> tuple[DataFrame, DataFrame]:
     and gives a generation to one vertex at least, else the rest waits for ever.
     """
     stream = _stream(shards)
-    one_up = F.struct(F.col("parent"), F.lit(1).cast("long").alias("d"))
-    parents = (
-        shard_edges(shards)
-        .groupBy(*stream, F.col("child").alias("shard_id"))
-        .agg(F.collect_set(one_up).alias("up"))
+
+    def link(shard: Column, parent: Column) -> Column:
+        return F.struct(shard.alias("shard_id"), parent.cast("string").alias("parent"))
+
+    # the listing is read once: every shard with each of its parents, and these as shards
+    shard, parent, nothing = F.col("shard_id"), F.col("parent_shard_id"), F.lit(None)
+    adjacent = F.when(parent.isNotNull(), F.col("adjacent_parent_shard_id"))
+    links = F.array(
+        link(shard, parent), link(shard, adjacent), link(parent, nothing), link(adjacent, nothing)
     )
-    none = F.array().cast("array<struct<parent:string,d:bigint>>")
+    one_up = F.struct(F.col("parent"), F.lit(1).cast("long").alias("d"))
     state = cut_lineage(
-        shard_vertices(shards)
-        .select(*stream, "shard_id")
-        .join(parents, [*stream, "shard_id"], "left")
-        .withColumn("base", F.when(F.col("up").isNull(), F.lit(0)).cast("long"))
-        .withColumn("up", F.coalesce("up", none))
+        shards.select(*stream, F.explode(links).alias("l"))
+        .select(*stream, "l.shard_id", "l.parent")
+        .where(F.col("shard_id").isNotNull())
+        .groupBy(*stream, "shard_id")
+        .agg(F.collect_set(F.when(F.col("parent").isNotNull(), one_up)).alias("up"))
+        .withColumn("base", F.when(F.size("up") == 0, F.lit(0)).cast("long"))
         .select(*stream, "shard_id", "base", "up")
     )
     solved = []

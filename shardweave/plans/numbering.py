@@ -68,10 +68,10 @@ def slice_groups(
     partitions (or ``MIN_SLICES``).  Of more than ``max_pivots`` large groups only
     the largest are cut.  ``(group, order)`` should identify a row; copies of one
     row stay in one slice.  ``total`` is the number of rows, or a bound on it,
-    where the caller has it."""
+    where the caller has it; otherwise they are counted."""
     group = list(group)
     whole = df.withColumn("_slice", F.lit(0)).withColumn("_cut", F.lit(False))
-    if total is not None and total <= slice_rows:
+    if (df.count() if total is None else total) <= slice_rows:
         return Slicing(whole, many=False)
     sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
     large = cut_lineage(sizes.where(F.col("_n") > slice_rows))
