@@ -39,6 +39,7 @@ SKETCH = 16  # longs of a parity sketch
 PIVOTS = 32  # groups of a prefix shingle that the others of it are compared with in a round
 SALTS = 16  # parts in which the groups of a prefix shingle are ranked
 MAX_ROUNDS = 3  # of these comparisons; they save work, what they do not connect is compared in full
+BATCH_ROWS = 1_024  # texts that a Python worker gets at once
 WORTH = 0.005  # links for each group that a round must find for another one
 
 
@@ -159,7 +160,8 @@ def _verified(near: DataFrame, docs: DataFrame, classes: DataFrame, sim: Similar
     """The pairs (a, b) of classes that link, of pairs with their sizes."""
     close = cut_lineage(near)
     sets = cut_lineage(
-        _full_sets(docs, classes, close.select(F.col("a").alias("cid")).union(close.select("b")).distinct(), sim)
+        _full_sets(docs, classes, close.select(F.col("a").alias("cid")).union(close.select("b")).distinct(), sim),
+        BATCH_ROWS,
     )
     common = F.size(F.array_intersect("xa", "xb"))
     return (
@@ -284,7 +286,7 @@ def similar_components(
     An empty table gives no rows; further columns are ignored."""
     ship(docs.sparkSession)
     docs = id_and_text(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
-    signed = cut_lineage(_signatures(docs, sim))
+    signed = cut_lineage(_signatures(docs, sim), BATCH_ROWS)
     rep = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("rep_id"), F.col("text_hash").alias("rep_hash")))
     classes = signed.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("doc_id"), rep.alias("rep"))
     classes = cut_lineage(classes.withColumn("rep", F.struct("rep.rep_id", "rep.rep_hash")))

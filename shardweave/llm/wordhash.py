@@ -2,7 +2,7 @@
 
 import numpy as np
 
-BLOCK = 1 << 20  # bytes that are hashed at a time; cut between words
+BLOCK = 1 << 18  # bytes that are hashed at a time; cut between words
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _CHARS = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

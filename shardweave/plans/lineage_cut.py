@@ -10,6 +10,9 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+# what a cut shuffled is of no use once its table is written
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _paths: ContextVar[Iterator[str] | None] = ContextVar("cut paths", default=None)
 
 
@@ -38,10 +41,26 @@ def cuts_in(folder: str) -> Iterator[None]:
         _paths.reset(token)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Within, the session has these settings; afterwards its own again."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def cut_lineage(df: DataFrame, batch_rows: int | None = None) -> DataFrame:
     """Write ``df`` as a table in the checkpoint folder and return it read from
-    there: its plan is a scan with known size, whatever led to it."""
+    there: its plan is a scan with known size, whatever led to it.  Spark removes
+    the shuffle files of the write when it ends, so a chain of cuts holds those of
+    one cut at a time on disk.  Python workers get at most ``batch_rows`` rows at once."""
     spark, paths = df.sparkSession, _paths.get()
     path = next(paths) if paths else f"{checkpoint_dir(spark)}/cut-{uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    with _settings(spark, {_CLEANUP: "true"} | ({_BATCH_ROWS: str(batch_rows)} if batch_rows else {})):
+        df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -1,5 +1,6 @@
 """Skew-safe building blocks and the physical plans of the hot operators."""
 
+import os
 import random
 
 import pytest
@@ -144,3 +145,16 @@ def test_read_position_reaches_the_scan(spark, tmp_path, rows):
     assert "PartitionFilters: [isnotnull(shard_id" in text
     assert "data" not in text.split("ReadSchema")[1].split("\n")[0]
     assert df.count() == sum(1 for i in range(201, 400) if i % 4 == 1)
+
+
+def test_a_cut_leaves_no_shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        tops = [d.getPath() for d in disk.localDirs()]
+        return {n for top in tops for _, _, names in os.walk(top) for n in names if n.startswith("shuffle_")}
+
+    before, rows = shuffled(), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    cut = cut_lineage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), batch_rows=5)
+    assert not shuffled() - before
+    assert cut.count() == 7 and spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == rows
