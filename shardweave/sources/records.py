@@ -10,11 +10,15 @@ from pyspark.sql import types as T
 from ..functions import seq_after, seq_at_or_after, seq_order
 from ..plans import number_rows
 from ..plans.numbering import SLICE_ROWS
-from .zones import unread_by_start
+from .folders import Folder
+from .zones import POOLED, SHARD, shard_of, unread_by_start
 
 POSITIONS = ("trim_horizon", "at_sequence_number", "after_sequence_number", "latest")
 POLL_INTERVAL_MS = 5_000
 
+# a write with more shards than this puts them into common files
+MAX_FOLDERS = 1_000
+
 # Spark limits each map task's rows per group before the shuffle up to this rank
 _GROUP_LIMIT_RANK = 1_000
 
@@ -29,21 +33,25 @@ def encode_records(df: DataFrame, key_col: str) -> DataFrame:
 
 
 def write_records(records: DataFrame, path: str, mode: str = "append") -> None:
-    """Write records as parquet, one folder per shard.
+    """Write records as parquet, one folder per shard; of a write with more than
+    ``MAX_FOLDERS`` shards all go to one common folder, as files by ranges of shard
+    and sequence number, with the shard as a column.  A shard may have records in both.
 
     ``seq_len`` is stored beside the sequence number so that a read position
     reaches the scan as a pushed filter.  The rows are rebalanced by shard:
     adaptive execution splits what a hot shard sends over many tasks and packs
     small shards together, so files are neither huge nor tiny.
     """
-    (
-        records.withColumn("seq_len", F.length("sequence_number"))
-        .hint("rebalance", "shard_id")
-        .sortWithinPartitions("shard_id", "seq_len", "sequence_number")
-        .write.mode(mode)
-        .partitionBy("shard_id")
-        .parquet(path)
-    )
+    sized = records.withColumn("seq_len", F.length("sequence_number"))
+    if records.agg(F.approx_count_distinct("shard_id")).first()[0] > MAX_FOLDERS:
+        order = [SHARD, "seq_len", "sequence_number"]
+        named = F.when(F.col("shard_id") != "", F.col("shard_id"))  # folders tell no empty name from null
+        sized = sized.withColumn(SHARD, named).repartitionByRange(*order)
+        sized = sized.withColumn("shard_id", F.when(F.col(SHARD).isNotNull(), POOLED))
+    else:
+        order = ["seq_len", "sequence_number"]
+        sized = sized.hint("rebalance", "shard_id")
+    sized.sortWithinPartitions("shard_id", *order).write.mode(mode).partitionBy("shard_id").parquet(path)
 
 
 def table_schema(spark: SparkSession, path: str) -> T.StructType:
@@ -51,19 +59,29 @@ def table_schema(spark: SparkSession, path: str) -> T.StructType:
     stays text even where the folder names look like numbers."""
     found = spark.read.parquet(path).schema
     fields = [
-        T.StructField(f.name, T.StringType()) if f.name == "shard_id" else f for f in found
+        T.StructField(f.name, T.StringType()) if f.name == "shard_id" else f for f in found if f.name != SHARD
     ]
     return T.StructType(fields)
 
 
+def with_pooled(schema: T.StructType) -> T.StructType:
+    """A table's schema with the column that common files keep the shard in."""
+    return T.StructType([T.StructField(SHARD, T.StringType()), *schema])
+
+
 def read_table(
     spark: SparkSession, path: str, lowest: str | None = None, files: Sequence[str] | None = None
 ) -> DataFrame:
     """Read a table written by :func:`write_records`, or the given files of it.
     ``lowest`` is a sequence number no wanted record is at or below; it is pushed
     to the scan."""
-    reader = spark.read.schema(table_schema(spark, path))
+    schema, folder = table_schema(spark, path), f"shard_id={POOLED}"
+    pooled = folder in Folder(spark, path).names() if files is None else any(f"/{folder}/" in f for f in files)
+    reader = spark.read.schema(with_pooled(schema) if pooled else schema)
     df = reader.parquet(path) if files is None else reader.option("basePath", path).parquet(*files)
+    if pooled:  # apart, so that a wanted shard still picks its folder
+        common = df.where(F.col("shard_id") == POOLED).withColumn("shard_id", shard_of())
+        df = df.where(~F.col("shard_id").eqNullSafe(POOLED)).unionByName(common).select(*schema.names)
     if lowest is not None:
         df = df.where(
             (F.col("seq_len") > len(lowest))

@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from ..plans import ship
+from .zones import POOLED, SHARD
 
 _SHARD = "shard_id="
 _NULL = "__HIVE_DEFAULT_PARTITION__"
@@ -43,6 +44,7 @@ class _Table:
 
     def __init__(self, path: str, ranges: dict | None = None):
         self._ranges = {} if ranges is None else ranges
+        self._group: tuple = (None, {})
         if "://" in path:
             self.files, self.root = pafs.FileSystem.from_uri(path)
         else:
@@ -51,37 +53,69 @@ class _Table:
     def _names(self, folder: str) -> list[pafs.FileInfo]:
         return self.files.get_file_info(pafs.FileSelector(folder, allow_not_found=True))
 
-    def shards(self) -> dict[str, str]:
-        """Folder of each shard."""
+    def shards(self) -> dict[str, list[str]]:
+        """Where the records of each shard lie: its folder, and files it has in common with others."""
         found = [i for i in self._names(self.root) if i.type == pafs.FileType.Directory and i.base_name.startswith(_SHARD)]
-        names = {unquote(i.base_name.removeprefix(_SHARD)): i.path for i in found}
-        return {n: p for n, p in sorted(names.items()) if n != _NULL}
-
-    def data(self, folder: str) -> list[str]:
-        names = [i.path for i in self._names(folder) if i.type == pafs.FileType.File]
-        return sorted(n for n in names if n.endswith(".parquet") and n.rsplit("/", 1)[1][0] not in "._")
+        places: dict[str, list[str]] = {}
+        for name, path in ((unquote(i.base_name.removeprefix(_SHARD)), i.path) for i in found):
+            if name == POOLED:
+                for file in self.data([path]):
+                    for shard in self._held(file):
+                        places.setdefault(shard, []).append(file)
+            elif name != _NULL:
+                places.setdefault(name, []).append(path)
+        return dict(sorted(places.items()))
+
+    def data(self, places: list[str]) -> list[str]:
+        """The files of these folders, and those told by themselves."""
+        folders = [p for p in places if p.rsplit("/", 1)[1].startswith(_SHARD)]
+        files = [p for p in places if p not in folders]
+        for folder in folders:
+            names = [i.path for i in self._names(folder) if i.type == pafs.FileType.File]
+            files += [n for n in names if n.endswith(".parquet") and n.rsplit("/", 1)[1][0] not in "._"]
+        return sorted(files)
+
+    def _common(self, file: str) -> bool:
+        """Whether a file is one that shards have in common, not of a shard so named."""
+        if file.rsplit("/", 2)[1] != f"{_SHARD}{POOLED}":
+            return False
+        if (key := ("common", file)) not in self._ranges:
+            self._ranges[key] = SHARD in pq.read_schema(file, filesystem=self.files).names
+        return self._ranges[key]
+
+    def _held(self, file: str) -> list[str]:
+        """The shards in a file of the common folder."""
+        if (key := ("held", file)) not in self._ranges:
+            names = {POOLED}
+            if self._common(file):
+                whole = pq.ParquetFile(file, filesystem=self.files)
+                parts = (whole.read_row_group(k, columns=[SHARD]).column(0) for k in range(whole.num_row_groups))
+                names = {s for part in parts for s in part.unique().to_pylist()}
+            self._ranges[key] = sorted(names)
+        return self._ranges[key]
 
     def schema(self) -> T.StructType:
         """The schema as Spark wrote it, with the shard at the end."""
-        for folder in self.shards().values():
-            for name in self.data(folder):
+        for places in self.shards().values():
+            for name in self.data(places):
                 told = pq.read_schema(name, filesystem=self.files).metadata[_SPARK_SCHEMA]
-                fields = [f for f in T.StructType.fromJson(json.loads(told)) if f.name not in ("seq_len", "shard_id")]
+                fields = [f for f in T.StructType.fromJson(json.loads(told)) if f.name not in ("seq_len", "shard_id", SHARD)]
                 return T.StructType([*fields, T.StructField("shard_id", T.StringType())])
         raise ValueError(f"no records under {self.root}")
 
-    def rows(self, files: list[str], low: str | None, high: str | None, columns: list[str]) -> Iterator[pa.RecordBatch]:
-        """Batches of the rows after ``low`` up to ``high``."""
-        if not files:
-            return
+    def rows(self, shard: str, files: list[str], low: str | None, high: str | None, columns: list[str]) -> Iterator[pa.RecordBatch]:
+        """Batches of the shard's rows after ``low`` up to ``high``."""
         size, seq = ds.field("seq_len"), ds.field("sequence_number")
         wanted = pc.scalar(True)
         if low is not None:
             wanted = wanted & ((size > len(low)) | ((size == len(low)) & (seq > low)))
         if high is not None:
             wanted = wanted & ((size < len(high)) | ((size == len(high)) & (seq <= high)))
-        table = ds.dataset(files, format="parquet", filesystem=self.files)
-        yield from table.to_batches(columns=columns, filter=wanted, batch_readahead=2, fragment_readahead=1)
+        common = [f for f in files if self._common(f)]
+        for some, which in (([f for f in files if f not in common], wanted), (common, wanted & (ds.field(SHARD) == shard))):
+            if some:
+                table = ds.dataset(some, format="parquet", filesystem=self.files)
+                yield from table.to_batches(columns=columns, filter=which, batch_readahead=2, fragment_readahead=1)
 
     def _groups(self, file: str) -> list[tuple]:
         """(least, greatest, place) of the row groups of a file, by its statistics.
@@ -98,12 +132,25 @@ class _Table:
             self._ranges[file] = out
         return self._ranges[file]
 
-    def end(self, folder: str, low: str | None, limit: int | None) -> str | None:
+    def _numbers(self, shard: str, file: str, k: int) -> list[str]:
+        """The shard's sequence numbers in a row group; the last group read of a common
+        file is kept, since the next shard's records lie in it too."""
+        if not self._common(file):
+            return pq.ParquetFile(file, filesystem=self.files).read_row_group(k, columns=["sequence_number"]).column(0).to_pylist()
+        if self._group[0] != (file, k):
+            read = pq.ParquetFile(file, filesystem=self.files).read_row_group(k, columns=[SHARD, "sequence_number"])
+            held: dict[str, list[str]] = {}
+            for s, number in zip(read.column(SHARD).to_pylist(), read.column("sequence_number").to_pylist(), strict=True):
+                held.setdefault(s, []).append(number)
+            self._group = ((file, k), held)
+        return self._group[1].get(shard, [])
+
+    def end(self, shard: str, places: list[str], low: str | None, limit: int | None) -> str | None:
         """The sequence number of the ``limit``-th record after ``low``, or of the
         last there is; ``low`` if there is none.  Row groups are read from the least
         on, and no further than the records that are wanted can reach."""
         floor = (0, "") if low is None else _order(low)
-        groups = [(least, most, f, k) for f in self.data(folder) for least, most, k in self._groups(f) if most > floor]
+        groups = [(least, most, f, k) for f in self.data(places) for least, most, k in self._groups(f) if most > floor]
         groups.sort(key=lambda g: g[0] if limit is not None else (-g[1][0],))
         best: list[str] = []
         for least, most, file, k in groups:
@@ -111,8 +158,7 @@ class _Table:
                 break
             if limit is None and best and most[0] < len(best[-1]):
                 break
-            column = pq.ParquetFile(file, filesystem=self.files).read_row_group(k, columns=["sequence_number"]).column(0)
-            here = {s for s in column.to_pylist() if _order(s) > floor}
+            here = {s for s in self._numbers(shard, file, k) if _order(s) > floor}
             ordered = sorted({*best, *here}, key=_order)
             best = ordered[:limit] if limit is not None else ordered[-1:]
         return best[-1] if best else low
@@ -137,7 +183,7 @@ class _Reading:
 
     def read(self, partition: _Shard) -> Iterator[pa.RecordBatch]:
         columns = [n for n in self.names if n != "shard_id"]
-        for batch in _Table(self.path).rows(partition.files, partition.low, partition.high, columns):
+        for batch in _Table(self.path).rows(partition.shard, partition.files, partition.low, partition.high, columns):
             if batch.num_rows:
                 shard = pa.array([partition.shard] * batch.num_rows, pa.string())
                 by_name = dict(zip(columns, batch.columns, strict=True)) | {"shard_id": shard}
@@ -153,13 +199,13 @@ class _Batch(_Reading, DataSourceReader):
 
     def partitions(self) -> list[_Shard]:
         table, out = _Table(self.path), []
-        for shard, folder in table.shards().items():
+        for shard, places in table.shards().items():
             low = self.after.get(shard)
-            high = None if self.limit is None else table.end(folder, low, self.limit)
+            high = None if self.limit is None else table.end(shard, places, low, self.limit)
             if self.limit is not None:
-                out.append(_Shard(shard, table.data(folder), low, high))
+                out.append(_Shard(shard, table.data(places), low, high))
             else:  # nothing holds the files of a shard together
-                out += [_Shard(shard, [f], low, None) for f in table.data(folder)]
+                out += [_Shard(shard, [f], low, None) for f in table.data(places)]
         return out
 
 
@@ -190,7 +236,7 @@ class _Stream(_Reading, DataSourceStreamReader):
         if self.at is None:  # the first call of this run; a logged batch was planned already if it has to run
             self.at = self._logged() or self.initialOffset()
         table = _Table(self.path, self.ranges)
-        ends = {s: table.end(folder, self.at.get(s), self.limit) for s, folder in table.shards().items()}
+        ends = {s: table.end(s, places, self.at.get(s), self.limit) for s, places in table.shards().items()}
         self.at = self.at | {s: e for s, e in ends.items() if e is not None}
         return dict(self.at)
 
@@ -198,8 +244,8 @@ class _Stream(_Reading, DataSourceStreamReader):
         table = _Table(self.path)
         if self.at is None:
             self.at = dict(end)
-        moved = [(s, folder) for s, folder in table.shards().items() if end.get(s) is not None and end.get(s) != start.get(s)]
-        return [_Shard(s, table.data(folder), start.get(s), end[s]) for s, folder in moved]
+        moved = [(s, places) for s, places in table.shards().items() if end.get(s) is not None and end.get(s) != start.get(s)]
+        return [_Shard(s, table.data(places), start.get(s), end[s]) for s, places in moved]
 
     def commit(self, end: dict) -> None:
         pass

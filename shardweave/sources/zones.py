@@ -1,6 +1,6 @@
 """Zone map of a table of records: which files can hold unread records.
 
-Beside the table lies one row per data file: its shard, its number of records and
+Beside the table lies one row per data file and shard in it: the shard, its number of records and
 its least and greatest sequence number.  A read that goes on from the checkpoints
 of leases joins the map with them and opens only files whose greatest sequence
 number is after the checkpoint of their shard.  Files the map does not know yet
@@ -11,7 +11,7 @@ from collections.abc import Iterable
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import seq_after, seq_order
@@ -21,6 +21,13 @@ ZONES = (
     "least STRUCT<digits: INT, seq: STRING>, greatest STRUCT<digits: INT, seq: STRING>"
 )
 _FOLDER = "_zones"  # tables pass over names that begin so
+POOLED = "__pooled__"  # the folder of files that many shards have in common
+SHARD = "_shard"  # the column with the shard in these files
+
+
+def shard_of() -> Column:
+    """The shard of a row of a table: its column in common files, else its folder."""
+    return F.coalesce(F.col(SHARD), F.col("shard_id"))
 
 
 def _data_files(spark: SparkSession, path: str) -> list[str]:
@@ -34,7 +41,7 @@ def read_zones(spark: SparkSession, path: str) -> DataFrame:
         zones = spark.read.schema(ZONES).parquet(f"{path.rstrip('/')}/{_FOLDER}")
     except AnalysisException:
         zones = spark.createDataFrame([], ZONES)
-    return zones.dropDuplicates(["file"])
+    return zones.dropDuplicates(["file", "shard_id"])
 
 
 def paths_of(files: Iterable[str]) -> list[str]:
@@ -43,8 +50,8 @@ def paths_of(files: Iterable[str]) -> list[str]:
 
 
 def _rows(spark: SparkSession, path: str, files: Iterable[str]) -> DataFrame:
-    reader = spark.read.schema("shard_id STRING, sequence_number STRING").option("basePath", path)
-    return reader.parquet(*paths_of(files))
+    reader = spark.read.schema(f"shard_id STRING, {SHARD} STRING, sequence_number STRING").option("basePath", path)
+    return reader.parquet(*paths_of(files)).withColumn("shard_id", shard_of()).drop(SHARD)
 
 
 def _unknown(spark: SparkSession, path: str, zones: DataFrame) -> list[str]:

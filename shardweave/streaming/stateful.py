@@ -10,7 +10,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from ..plans import ship
 from ..schemas import LEASES
-from ..sources.records import table_schema
+from ..sources.records import table_schema, with_pooled
+from ..sources.zones import SHARD, shard_of
 
 KEY = ["app_name", "shard_id"]
 
@@ -23,14 +24,14 @@ def stream_records(
 ) -> DataFrame:
     """The table at ``path`` as a stream; the limits bound a micro-batch."""
     schema = spark.read.parquet(path).schema
-    reader = spark.readStream.schema(
-        table_schema(spark, path) if "shard_id" in schema.fieldNames() else schema
-    )
+    kept = "shard_id" in schema.fieldNames()
+    reader = spark.readStream.schema(with_pooled(table_schema(spark, path)) if kept else schema)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if max_bytes_per_trigger is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
-    return reader.parquet(path)
+    rows = reader.parquet(path)
+    return rows.withColumn("shard_id", shard_of()).drop(SHARD) if kept else rows
 
 
 def write_record_stream(
