@@ -21,7 +21,7 @@ from ..streaming import (
     input_bound,
     read_input,
 )
-from .inputs import table
+from .inputs import SLICE_ROWS, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -96,6 +96,11 @@ def write_records(t) -> DataFrame:
 
 
 def _pages(t) -> DataFrame:
+    """The listing's pages.  One shuffle by stream, with as many parts as the rows
+    ask for, serves the pages, their ends and the shards: adaptive execution would
+    pack these rows, which compress well, into parts that are large in memory."""
+    entries = t("page_entries")
+    parts = max(-(-2 * t("events").count() // SLICE_ROWS), entries.sparkSession.sparkContext.defaultParallelism)
     entry = F.struct(
         F.col("shard_id").alias("ShardId"),
         F.col("parent_shard_id").alias("ParentShardId"),
@@ -109,7 +114,7 @@ def _pages(t) -> DataFrame:
         ).alias("SequenceNumberRange"),
     )
     return (
-        t("page_entries")
+        entries.repartition(parts, "stream_name")
         .groupBy("stream_name", "page_no", "stream_status", "has_more")
         .agg(F.array_sort(F.collect_list(entry)).alias("shards"))
     )

@@ -22,6 +22,8 @@ from shardweave.sources import (
     write_records,
 )
 from shardweave.sources.listing import paged
+from shardweave.workloads import inputs, queries
+from shardweave.workloads.queries import QUERIES
 
 
 def entry(n, lo=0, hi=10, start="1", parent=None):
@@ -344,3 +346,15 @@ def test_lease_store_passes_over_what_was_not_committed(spark, tmp_path, rows):
     store.write(1, _table(spark, {1: 2}))
     (tmp_path / "leases" / store._all()[1].name / "_SUCCESS").unlink()
     assert rows(store.read().select("lease_count")) == [(1,)] and store.versions() == [0]
+
+
+def test_listing_pages_are_made_in_slices(spark, tmp_path, rows, monkeypatch):
+    types = F.element_at(F.array(*map(F.lit, ("view", "click", "signup"))), (F.col("id") % 3 + 1).cast("int"))
+    events = spark.range(0, 1000, 1, 1).select(F.col("id").alias("event_id"), (F.col("id") % 9).alias("user_id"), types.alias("event_type"))
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    whole = rows(QUERIES["shard_listing"](spark, str(tmp_path)))
+    monkeypatch.setattr(inputs, "SLICE_ROWS", 50)
+    monkeypatch.setattr(queries, "SLICE_ROWS", 50)
+    assert inputs.table(spark, str(tmp_path), "listing").rdd.getNumPartitions() == 20
+    found = QUERIES["shard_listing"](spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() == 40 and rows(found) == whole
