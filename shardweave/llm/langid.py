@@ -216,8 +216,9 @@ def _items(sample: pa.Table, idf: np.ndarray, languages: tuple[str, ...], scale:
     place, lang = sample["place"].to_pylist(), sample["lang"].to_pylist()
     buckets, counts = (sample[c].combine_chunks() for c in ("buckets", "counts"))
     buckets, counts = (c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in (buckets, counts))
-    at = buckets.flatten().to_numpy().astype(np.int64)
-    x = counts.flatten().to_numpy() * idf[at]
+    at = buckets.flatten().to_numpy()
+    x = idf[at]
+    x *= counts.flatten().to_numpy()
     ends = np.cumsum(buckets.value_lengths().to_numpy())
     items = []
     for k in sorted(range(len(place)), key=lambda k: (place[k], lang[k])):

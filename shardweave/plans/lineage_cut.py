@@ -13,7 +13,9 @@ _SETTING = "spark.checkpoint.dir"
 # what a cut shuffled is of no use once its table is written
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_CUTS_PER_GC = 4
 _paths: ContextVar[Iterator[str] | None] = ContextVar("cut paths", default=None)
+_cuts = count(1)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -58,9 +60,15 @@ def cut_lineage(df: DataFrame, batch_rows: int | None = None) -> DataFrame:
     """Write ``df`` as a table in the checkpoint folder and return it read from
     there: its plan is a scan with known size, whatever led to it.  Spark removes
     the shuffle files of the write when it ends, so a chain of cuts holds those of
-    one cut at a time on disk.  Python workers get at most ``batch_rows`` rows at once."""
+    one cut at a time on disk.  Python workers get at most ``batch_rows`` rows at once.
+
+    Broadcast tables and other state of the plans before a cut go when the driver
+    collects its garbage.  Many small jobs let its heap grow to the limit first, so
+    every few cuts ask for it, which also gives the memory back to the machine."""
     spark, paths = df.sparkSession, _paths.get()
     path = next(paths) if paths else f"{checkpoint_dir(spark)}/cut-{uuid4().hex}"
     with _settings(spark, {_CLEANUP: "true"} | ({_BATCH_ROWS: str(batch_rows)} if batch_rows else {})):
         df.write.mode("overwrite").parquet(path)
+    if next(_cuts) % _CUTS_PER_GC == 0:
+        spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)

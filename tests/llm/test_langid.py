@@ -1,7 +1,9 @@
 import random
+import tracemalloc
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from fixtures import DOCS, awkward, nothing
 
@@ -82,3 +84,17 @@ def test_query_on_held_out_documents(spark):
     assert all(r.held_out == (crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
     held = [r for r in rows if r.held_out]
     assert sum(lang[r.doc_id] == r.lang_pred for r in held) >= 0.97 * len(held)
+
+
+def test_the_sample_is_not_copied_to_wider_types():
+    n, grams = 50, 4_000
+    places = list(range(n))
+    at = [np.arange(grams, dtype=np.int32)] * n
+    sample = pa.table({"place": places, "lang": ["a", "b"] * (n // 2), "buckets": at, "counts": [np.ones(grams, dtype=np.int32)] * n}).combine_chunks()
+    idf = np.linspace(1, 2, 1 << langid.BITS)
+    tracemalloc.start()
+    items = langid._items(sample, idf, ("a", "b"), 50.0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(items) == n and all(abs(x.sum() - 50) < 1e-9 for _, x, _ in items)
+    assert peak < 1.5 * 8 * n * grams  # the features, and no other array of their size

@@ -158,3 +158,12 @@ def test_a_cut_leaves_no_shuffle_files(spark):
     cut = cut_lineage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), batch_rows=5)
     assert not shuffled() - before
     assert cut.count() == 7 and spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == rows
+
+
+def test_cuts_let_the_driver_forget_earlier_plans(spark):
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    whole = next(b for b in beans if "Old" in b.getName() or "MarkSweep" in b.getName())
+    before = whole.getCollectionCount()
+    for _ in range(8):
+        cut_lineage(spark.range(10))
+    assert whole.getCollectionCount() == before + 2
