@@ -13,15 +13,14 @@ def _directed(edges: DataFrame) -> DataFrame:
 
 def _stars(edges: DataFrame) -> DataFrame:
     """Every node's larger neighbours move to the least node around it, then its
-    smaller ones do: paths halve, hubs never gather their neighbours in one task."""
+    smaller ones do: paths halve, hubs never gather their neighbours in one task.
+    Between the two steps edges may repeat, and are written: they are read twice."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    large = _directed(both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")))
+    large = cut_lineage(both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")))
     least = large.groupBy("a").agg(F.min("b").alias("m"))
-    moved = large.join(least, "a")
-    return _directed(
-        moved.select(F.col("b").alias("a"), F.col("m").alias("b")).union(moved.select("a", F.col("m").alias("b")))
-    )
+    moved = large.join(least, "a").select("m", F.explode(F.array("a", "b")).alias("a"))
+    return _directed(moved.select("a", F.col("m").alias("b")))
 
 
 def _settled(edges: DataFrame) -> bool:

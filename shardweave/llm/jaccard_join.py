@@ -40,7 +40,7 @@ PIVOTS = 32  # groups of a prefix shingle that the others of it are compared wit
 SALTS = 16  # parts in which the groups of a prefix shingle are ranked
 MAX_ROUNDS = 3  # of these comparisons; they save work, what they do not connect is compared in full
 BATCH_ROWS = 1_024  # texts that a Python worker gets at once
-WORTH = 0.005  # links for each group that a round must find for another one
+WORTH = 0.005  # components for each group that a round must merge for another one
 
 
 @dataclass(frozen=True)
@@ -77,7 +77,7 @@ def _class_id(s: np.ndarray) -> np.uint64:
 
 
 def _signatures(docs: DataFrame, sim: Similarity) -> DataFrame:
-    """doc_id, text_hash, cid, n, s (sampled shingles), low (the first of them by hash) and sketch."""
+    """doc_id, row, cid, n, s (sampled shingles), low (the first of them by hash) and sketch."""
     limit = np.uint64(int(sim.share * (1 << 64)) - 1 if sim.share < 1 else (1 << 64) - 1)
 
     def run(batches):
@@ -100,35 +100,38 @@ def _signatures(docs: DataFrame, sim: Similarity) -> DataFrame:
                     _long_lists(low),
                     _long_lists(sketches),
                 ],
-                names=["doc_id", "text_hash", "cid", "n", "s", "low", "sketch"],
+                names=["doc_id", "row", "cid", "n", "s", "low", "sketch"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, text_hash long, cid long, n long, s long, low array<long>, sketch array<long>")
+    return docs.mapInArrow(run, f"doc_id {kind}, row long, cid long, n long, s long, low array<long>, sketch array<long>")
+
+
+def _classes(signed: DataFrame) -> DataFrame:
+    """cid, doc_id (the least), row (of one member), n, s, low and sketch of the
+    sets with shingles; members of a class share all but id and row."""
+    found = signed.where("n > 0").groupBy("cid").agg(
+        F.min("doc_id").alias("doc_id"), F.min_by(F.struct("row", "n", "s", "low", "sketch"), "row").alias("one")
+    )
+    return found.select("cid", "doc_id", "one.*")
 
 
 def _full_sets(docs: DataFrame, classes: DataFrame, cids: DataFrame, sim: Similarity) -> DataFrame:
     """(cid, shingles) of the classes in ``cids``, from the text of one member each."""
-    wanted = classes.join(cids, "cid", "left_semi").select("cid", "rep.*")
-    texts = docs.join(wanted, _same_row(docs, wanted)).select("cid", "text")
+    wanted = classes.join(cids, "cid", "left_semi").select("cid", "row")
+    texts = docs.join(wanted, "row").select("row", "cid", "text").distinct()  # repeated rows; all lie where the join left them
 
     def run(batches):
         for batch in in_slices(batches):
             sets = _sets(batch.column(1).to_pylist(), sim.words)
             own = np.array([_class_id(s) for s in sets], dtype=np.uint64).view(np.int64)
-            right = own == batch.column(0).to_numpy()  # two texts may have one hash
+            right = own == batch.column(0).to_numpy()  # two rows may have one hash
             yield pa.RecordBatch.from_arrays(
                 [pa.array(own[right]), _long_lists([s for s, r in zip(sets, right, strict=True) if r])],
                 names=["cid", "shingles"],
             )
 
-    return texts.mapInArrow(run, "cid long, shingles array<long>").dropDuplicates(["cid"])
-
-
-def _same_row(rows: DataFrame, rep: DataFrame) -> Column:
-    """Whether a row has the id and the text of a class's representative; ids may
-    be null, and one id may stand for several texts."""
-    return rows["doc_id"].eqNullSafe(rep["rep_id"]) & (rows["text_hash"] == rep["rep_hash"])
+    return texts.select("cid", "text").mapInArrow(run, "cid long, shingles array<long>")
 
 
 def _sizes_allow(sim: Similarity, a: str, b: str) -> Column:
@@ -145,20 +148,9 @@ def _difference_allows(sim: Similarity, difference: Column) -> Column:
     return difference * (100 + sim.percent) <= (F.col("na") + F.col("nb")) * (100 - sim.percent)
 
 
-def _near(pairs: DataFrame, prefixes: DataFrame, sim: Similarity) -> DataFrame:
-    """(a, b, na, nb): the pairs that sizes and sketches do not rule out."""
-    side = prefixes.select("cid", "n", "sketch")
-    return (
-        pairs.join(side.toDF("a", "na", "sa"), "a")
-        .join(side.toDF("b", "nb", "sb"), "b")
-        .where(_sizes_allow(sim, "na", "nb") & _difference_allows(sim, _distance("sa", "sb")))
-        .select("a", "b", "na", "nb")
-    )
-
-
-def _verified(near: DataFrame, docs: DataFrame, classes: DataFrame, sim: Similarity) -> DataFrame:
-    """The pairs (a, b) of classes that link, of pairs with their sizes."""
-    close = cut_lineage(near)
+def _verified(close: DataFrame, docs: DataFrame, classes: DataFrame, sim: Similarity) -> DataFrame:
+    """Those of the pairs (a, b) of classes, with their sizes and what else they
+    carry, that link; ``close`` is read more than once."""
     sets = cut_lineage(
         _full_sets(docs, classes, close.select(F.col("a").alias("cid")).union(close.select("b")).distinct(), sim),
         BATCH_ROWS,
@@ -167,21 +159,22 @@ def _verified(near: DataFrame, docs: DataFrame, classes: DataFrame, sim: Similar
     return (
         close.join(sets.toDF("a", "xa"), "a")
         .join(sets.toDF("b", "xb"), "b")
-        .select("a", "b", "na", "nb", common.alias("common"))
+        .select(*close.columns, common.alias("common"))
         .where("100 * common >= {p} * (na + nb - common)".format(p=sim.percent))
-        .select("a", "b")
+        .drop("na", "nb", "common")
     )
 
 
-def _prefixes(heads: DataFrame, sim: Similarity) -> DataFrame:
+def _prefixes(classes: DataFrame, sim: Similarity) -> DataFrame:
     """cid, n, sketch, tokens (those of the prefix that another class has among
-    its candidates for a prefix) and gid, the group's head."""
-    each = heads.select("cid", F.posexplode("low").alias("pos", "h"))
+    its candidates for a prefix), gid, the group's head, and away: how far the
+    sketch is from the head's."""
+    each = classes.select("cid", F.posexplode("low").alias("pos", "h"))
     counts = each.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
     shared = (
         each.join(counts, "h").groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("df", "h", "pos"))).alias("found"))
     )
-    out = heads.select("cid", "n", "s", "sketch").join(shared, "cid", "left")
+    out = classes.select("cid", "n", "s", "sketch").join(shared, "cid", "left")
     found = F.coalesce("found", F.array().cast("array<struct<df:long,h:long,pos:int>>"))
     out = out.withColumn("p", F.expr(f"n - (({sim.percent} * n + 99) div 100) + 1"))
     out = out.withColumn("counted", F.filter(found, lambda x: x["pos"] < F.col("s")))
@@ -193,26 +186,28 @@ def _prefixes(heads: DataFrame, sim: Similarity) -> DataFrame:
     whole = F.size("tokens") == F.col("p")  # else no other class has this prefix
     key = F.when(whole, F.xxhash64("n", "tokens")).otherwise(F.col("cid"))
     out = cut_lineage(out.select("cid", "n", "sketch", "tokens", whole.alias("whole"), key.alias("key")))
-    groups = out.groupBy("n", "whole", "key").agg(F.min("cid").alias("gid"))
-    return cut_lineage(out.join(groups, ["n", "whole", "key"]).select("cid", "n", "sketch", "tokens", "gid"))
+    heads = out.groupBy("n", "whole", "key").agg(F.min_by(F.struct("cid", "sketch"), "cid").alias("head"))
+    out = out.join(heads, ["n", "whole", "key"])
+    return cut_lineage(
+        out.select("cid", "n", "sketch", "tokens", F.col("head.cid").alias("gid"), _distance("sketch", "head.sketch").alias("away"))
+    )
 
 
 def _group_heads(members: DataFrame) -> DataFrame:
     """gid, n, sketch and radius: how far the sketch of any member is from the head's."""
-    heads = members.where("cid = gid").select("gid", "n", "sketch")
-    others = members.where("cid <> gid").select("gid", F.col("sketch").alias("own"))
-    far = others.join(heads, "gid").groupBy("gid").agg(F.max(_distance("own", "sketch")).alias("radius"))
-    return heads.join(far, "gid", "left").withColumn("radius", F.coalesce("radius", F.lit(0)))
-
-
-def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """``labels`` (gid, component) after links between groups: only the
-    components that links touch are looked at again."""
-    of = labels.withColumnRenamed("gid", "a").withColumnRenamed("component", "ca")
-    to = labels.withColumnRenamed("gid", "b").withColumnRenamed("component", "cb")
-    touched = links.join(of, "a").join(to, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-    found = components(touched).select(F.col("node").alias("component"), F.col("component").alias("least"))
-    out = labels.join(found, "component", "left")
+    head = F.max(F.when(F.col("cid") == F.col("gid"), F.struct("n", "sketch"))).alias("head")
+    return members.groupBy("gid").agg(F.max("away").alias("radius"), head).select("gid", "head.*", "radius")
+
+
+def _moves(links: DataFrame) -> DataFrame:
+    """(component, least): the components that links (ca, cb) merge into another one."""
+    found = components(links.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    return found.select(F.col("node").alias("component"), F.col("component").alias("least")).where("component <> least")
+
+
+def _moved(labels: DataFrame, moves: DataFrame) -> DataFrame:
+    """``labels`` (gid, component) after the moves."""
+    out = labels.join(moves, "component", "left")
     return out.select("gid", F.coalesce("least", "component").alias("component"))
 
 
@@ -236,14 +231,14 @@ def _nearest(tokens: DataFrame, groups: DataFrame, labels: DataFrame, sim: Simil
     )
     return (
         left.join(right, near)
-        .groupBy("a", "na")
-        .agg(F.min_by(F.struct("b", "nb"), F.struct(_distance("sa", "sb"), F.col("b"))).alias("p"))
-        .select("a", "p.b", "na", "p.nb")
+        .groupBy("a", "na", "ca")
+        .agg(F.min_by(F.struct("b", "nb", "cb"), F.struct(_distance("sa", "sb"), F.col("b"))).alias("p"))
+        .select("a", "p.b", "na", "p.nb", "ca", "p.cb")
     )
 
 
 def _apart(tokens: DataFrame, groups: DataFrame, labels: DataFrame, sim: Similarity) -> DataFrame:
-    """Pairs (ga, gb) of groups in different components that share a prefix
+    """Pairs (ga, gb) of groups in different components (ca, cb) that share a prefix
     shingle and that neither sizes nor sketches rule out for all their members."""
     sizes = labels.groupBy("component").agg(F.count("*").alias("size"))
     known = tokens.select("gid", "h").join(labels.join(sizes, "component"), "gid")
@@ -264,7 +259,7 @@ def _apart(tokens: DataFrame, groups: DataFrame, labels: DataFrame, sim: Similar
             & _sizes_allow(sim, "na", "nb")
             & near,
         )
-        .select("ga", "gb")
+        .select("ga", "gb", "ca", "cb")
         .distinct()
     )
 
@@ -285,19 +280,18 @@ def similar_components(
     components.  A row without doc_id gets the component of its links, or null.
     An empty table gives no rows; further columns are ignored."""
     ship(docs.sparkSession)
-    docs = id_and_text(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
+    docs = id_and_text(docs, id_col, text_col)
+    docs = docs.withColumn("row", F.xxhash64("doc_id", "text"))
     signed = cut_lineage(_signatures(docs, sim), BATCH_ROWS)
-    rep = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("rep_id"), F.col("text_hash").alias("rep_hash")))
-    classes = signed.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("doc_id"), rep.alias("rep"))
-    classes = cut_lineage(classes.withColumn("rep", F.struct("rep.rep_id", "rep.rep_hash")))
-    reps = classes.select(F.col("cid").alias("rep_cid"), "rep.*")
-    heads = signed.join(reps, (signed["cid"] == reps["rep_cid"]) & _same_row(signed, reps), "left_semi").dropDuplicates(["cid"])
-    prefixes = _prefixes(heads, sim)
-
-    # members with the heads of their groups; those that do not link stand alone
-    to_head = prefixes.select(F.col("cid").alias("a"), F.col("gid").alias("b")).where("a <> b")
-    links = cut_lineage(_verified(_near(to_head, prefixes, sim), docs, classes, sim))
+    classes = cut_lineage(_classes(signed))
+    prefixes = _prefixes(classes, sim)
+
+    # members with the heads of their groups, of equal size; those that do not link stand alone
+    to_head = prefixes.select(F.col("cid").alias("a"), F.col("gid").alias("b"), F.col("n").alias("na"), F.col("n").alias("nb"), "away")
+    to_head = to_head.where((F.col("a") != F.col("b")) & _difference_allows(sim, F.col("away"))).drop("away")
+    links = cut_lineage(_verified(to_head, docs, classes, sim))
     members = prefixes.join(links.select(F.col("a").alias("cid"), F.lit(True).alias("linked")), "cid", "left")
+    members = members.withColumn("away", F.when(F.col("linked"), F.col("away")).otherwise(0))
     members = members.withColumn("gid", F.when(F.col("linked"), F.col("gid")).otherwise(F.col("cid"))).drop("linked")
     members = cut_lineage(members)
     groups = cut_lineage(_group_heads(members))
@@ -311,9 +305,10 @@ def similar_components(
     labels = groups.select("gid", F.col("gid").alias("component"))
     total = groups.count()
     for turn in range(MAX_ROUNDS):
-        new = cut_lineage(_verified(_nearest(tokens, groups, labels, sim, turn), docs, classes, sim))
-        labels = cut_lineage(_merged(labels, new))
-        if new.count() < WORTH * total:
+        close = cut_lineage(_nearest(tokens, groups, labels, sim, turn))
+        moves = _moves(_verified(close, docs, classes, sim))
+        labels = cut_lineage(_moved(labels, moves))
+        if moves.count() < WORTH * total:
             break
 
     # what is left: pairs of groups that links do not connect yet
@@ -323,13 +318,10 @@ def similar_components(
         pairs.join(side.toDF("ga", "a", "na", "sa"), "ga")
         .join(side.toDF("gb", "b", "nb", "sb"), "gb")
         .where(_difference_allows(sim, _distance("sa", "sb")))
-        .select("a", "b", "na", "nb")
+        .select("a", "b", "na", "nb", "ca", "cb")
     )
-    more = cut_lineage(_verified(expanded, docs, classes, sim))
-    of_member = members.select("cid", "gid")
-    more = more.join(of_member.toDF("a", "ga"), "a").join(of_member.toDF("b", "gb"), "b").select(F.col("ga").alias("a"), F.col("gb").alias("b"))
-    labels = _merged(labels, more)
-    final = cut_lineage(classes.select("cid", "doc_id").join(of_member, "cid").join(labels, "gid").select("cid", "doc_id", "component"))
+    labels = _moved(labels, _moves(_verified(cut_lineage(expanded), docs, classes, sim)))
+    final = cut_lineage(classes.select("cid", "doc_id").join(members.select("cid", "gid"), "cid").join(labels, "gid").select("cid", "doc_id", "component"))
     least = final.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = final.join(least, "component").select("cid", "component_id")
     return (

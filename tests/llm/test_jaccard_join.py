@@ -88,3 +88,28 @@ def test_texts_under_one_id_keep_their_own_links(spark):
     rows = [(7, t, None, None, None) for t in texts] + [(100 + k, t, None, None, None) for k, t in enumerate(texts[:4])]
     out = jj.similar_components(spark.createDataFrame(rows, DOCS), jj.Similarity(words=3, percent=90)).collect()
     assert len(out) == 16 and {r.component_id for r in out} == {7}
+
+
+def test_many_partitions_cost_few_tasks(spark):
+    """Each step deals rows out anew as seldom as it can: with many partitions that is what small inputs cost."""
+    base, partitions = prose(60, 120, 5000), 40
+    texts = [edited(base, k, k % 5) for k in range(60)] + [prose(600 + k, 40, 50) for k in range(40)]
+    texts += [" ".join([f"c{i + j}" for j in range(60)]) for i in range(12)]  # a chain of links
+    rows = list(enumerate(texts))
+    held = {"spark.sql.shuffle.partitions": str(partitions), "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    context = spark.sparkContext
+    context.setJobGroup("few tasks", "")
+    try:
+        got = run(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == linked(rows, 3, 90)
+    tracker = context.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup("few tasks") for s in tracker.getJobInfo(j).stageIds}
+    tasks = sum(i.numCompletedTasks for s in stages if (i := tracker.getStageInfo(s)))
+    assert tasks <= 90 * partitions
