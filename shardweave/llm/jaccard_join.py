@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans import cut_lineage, ship
+from ..plans import cut_lineage, drop_cut, ship
 from .common import id_and_text, in_slices
 from .components import components
 from .wordhash import mix, windows, word_hashes
@@ -150,19 +150,22 @@ def _difference_allows(sim: Similarity, difference: Column) -> Column:
 
 def _verified(close: DataFrame, docs: DataFrame, classes: DataFrame, sim: Similarity) -> DataFrame:
     """Those of the pairs (a, b) of classes, with their sizes and what else they
-    carry, that link; ``close`` is read more than once."""
+    carry, that link, written; ``close`` is read more than once.  The full sets
+    are the largest table of all and go at once."""
     sets = cut_lineage(
         _full_sets(docs, classes, close.select(F.col("a").alias("cid")).union(close.select("b")).distinct(), sim),
         BATCH_ROWS,
     )
     common = F.size(F.array_intersect("xa", "xb"))
-    return (
+    links = cut_lineage(
         close.join(sets.toDF("a", "xa"), "a")
         .join(sets.toDF("b", "xb"), "b")
         .select(*close.columns, common.alias("common"))
         .where("100 * common >= {p} * (na + nb - common)".format(p=sim.percent))
         .drop("na", "nb", "common")
     )
+    drop_cut(sets)
+    return links
 
 
 def _prefixes(classes: DataFrame, sim: Similarity) -> DataFrame:
@@ -185,12 +188,14 @@ def _prefixes(classes: DataFrame, sim: Similarity) -> DataFrame:
     out = out.withColumn("tokens", F.transform("tokens", lambda x: x["h"]))
     whole = F.size("tokens") == F.col("p")  # else no other class has this prefix
     key = F.when(whole, F.xxhash64("n", "tokens")).otherwise(F.col("cid"))
-    out = cut_lineage(out.select("cid", "n", "sketch", "tokens", whole.alias("whole"), key.alias("key")))
-    heads = out.groupBy("n", "whole", "key").agg(F.min_by(F.struct("cid", "sketch"), "cid").alias("head"))
-    out = out.join(heads, ["n", "whole", "key"])
-    return cut_lineage(
+    keyed = cut_lineage(out.select("cid", "n", "sketch", "tokens", whole.alias("whole"), key.alias("key")))
+    heads = keyed.groupBy("n", "whole", "key").agg(F.min_by(F.struct("cid", "sketch"), "cid").alias("head"))
+    out = keyed.join(heads, ["n", "whole", "key"])
+    out = cut_lineage(
         out.select("cid", "n", "sketch", "tokens", F.col("head.cid").alias("gid"), _distance("sketch", "head.sketch").alias("away"))
     )
+    drop_cut(keyed)
+    return out
 
 
 def _group_heads(members: DataFrame) -> DataFrame:
@@ -283,17 +288,22 @@ def similar_components(
     docs = id_and_text(docs, id_col, text_col)
     docs = docs.withColumn("row", F.xxhash64("doc_id", "text"))
     signed = cut_lineage(_signatures(docs, sim), BATCH_ROWS)
-    classes = cut_lineage(_classes(signed))
-    prefixes = _prefixes(classes, sim)
+    whole = cut_lineage(_classes(signed))
+    rows = cut_lineage(signed.select("doc_id", "cid", "n"))
+    drop_cut(signed)  # the sampled shingles of all rows; those of the classes go on alone
+    prefixes = _prefixes(whole, sim)
+    classes = cut_lineage(whole.select("cid", "doc_id", "row"))
+    drop_cut(whole)
 
     # members with the heads of their groups, of equal size; those that do not link stand alone
     to_head = prefixes.select(F.col("cid").alias("a"), F.col("gid").alias("b"), F.col("n").alias("na"), F.col("n").alias("nb"), "away")
     to_head = to_head.where((F.col("a") != F.col("b")) & _difference_allows(sim, F.col("away"))).drop("away")
-    links = cut_lineage(_verified(to_head, docs, classes, sim))
+    links = _verified(to_head, docs, classes, sim)
     members = prefixes.join(links.select(F.col("a").alias("cid"), F.lit(True).alias("linked")), "cid", "left")
     members = members.withColumn("away", F.when(F.col("linked"), F.col("away")).otherwise(0))
     members = members.withColumn("gid", F.when(F.col("linked"), F.col("gid")).otherwise(F.col("cid"))).drop("linked")
     members = cut_lineage(members)
+    drop_cut(prefixes)
     groups = cut_lineage(_group_heads(members))
     tokens = members.where("cid = gid").select(
         "gid", F.floor(F.log("n") / float(np.log(100 / sim.percent))).alias("band"), F.explode("tokens").alias("h")
@@ -325,7 +335,6 @@ def similar_components(
     least = final.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = final.join(least, "component").select("cid", "component_id")
     return (
-        signed.select("doc_id", "cid", "n")
-        .join(named, "cid", "left")
+        rows.join(named, "cid", "left")
         .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
     )

@@ -6,6 +6,7 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 from itertools import count
 from uuid import uuid4
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +17,7 @@ _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _CUTS_PER_GC = 4
 _paths: ContextVar[Iterator[str] | None] = ContextVar("cut paths", default=None)
 _cuts = count(1)
+_tables: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -71,4 +73,16 @@ def cut_lineage(df: DataFrame, batch_rows: int | None = None) -> DataFrame:
         df.write.mode("overwrite").parquet(path)
     if next(_cuts) % _CUTS_PER_GC == 0:
         spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _tables[out] = path
+    return out
+
+
+def drop_cut(cut: DataFrame) -> None:
+    """Delete the table of ``cut``, which :func:`cut_lineage` returned.  All that is
+    made from it must be written before; neither it nor what it led to can be
+    computed again."""
+    path = _tables.pop(cut)
+    context = cut.sparkSession.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)

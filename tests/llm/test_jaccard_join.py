@@ -6,6 +6,7 @@ from fixtures import DOCS, SF, awkward, linked, nothing, prose
 from shardweave.llm import jaccard_join as jj
 from shardweave.llm.components import components
 from shardweave.llm.queries import QUERIES
+from shardweave.plans import cuts_in
 
 
 def run(df, words, percent):
@@ -113,3 +114,14 @@ def test_many_partitions_cost_few_tasks(spark):
     stages = {s for j in tracker.getJobIdsForGroup("few tasks") for s in tracker.getJobInfo(j).stageIds}
     tasks = sum(i.numCompletedTasks for s in stages if (i := tracker.getStageInfo(s)))
     assert tasks <= 90 * partitions
+
+
+def test_sets_go_from_disk_once_they_are_used(spark, tmp_path):
+    """Of the written tables none that is left holds sampled shingles or full sets."""
+    base = prose(70, 120, 5000)
+    rows = list(enumerate([edited(base, k, k % 5) for k in range(40)] + [prose(700 + k, 60) for k in range(20)]))
+    with cuts_in(str(tmp_path)):
+        got = run(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90)
+    assert got == linked(rows, 3, 90)
+    left = [spark.read.parquet(str(d)).columns for d in tmp_path.iterdir()]
+    assert left and not [c for c in left if {"low", "shingles"} & set(c)]

@@ -60,3 +60,27 @@ def test_other_texts_under_one_id_are_judged_on_their_own(spark, stages):
     docs = spark.createDataFrame([(i, t, "en", None, None) for i, t in rows], DOCS)
     left = [(r.doc_id, r.text) for r in stages["near_duplicates"](spark, docs, SF).collect()]
     assert sorted(left, key=repr) == sorted([rows[0], rows[1], rows[3], rows[4], rows[6]], key=repr)
+
+
+def test_near_duplicates_deal_texts_out_once(spark, stages):
+    """One shuffle between the texts and what is left of them, for the join and the window together."""
+    rows = [(i, prose(i, 80), "en", None, None) for i in range(30)] + [(3, prose(3, 80), "en", None, None)]
+    held = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        left = stages["near_duplicates"](spark, spark.createDataFrame(rows, DOCS), SF)
+        assert sorted(r.doc_id for r in left.collect()) == list(range(30))
+        lines = left._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    depth = [next((i for i, c in enumerate(x) if c.isalpha() or c == "*"), 0) for x in lines]
+    at = next(i for i, x in enumerate(lines) if "Scan" in x and "text" in x)
+    above, least = [], depth[at]
+    for i in reversed(range(at)):
+        if depth[i] < least:
+            above.append(lines[i])
+            least = depth[i]
+    assert sum("Exchange" in x for x in above) == 1, "\n".join(lines)

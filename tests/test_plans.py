@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shardweave.functions import seq_order
 from shardweave.operators import resume_read
-from shardweave.plans import cut_lineage, lookup_join, number_rows
+from shardweave.plans import cut_lineage, cuts_in, drop_cut, lookup_join, number_rows
 from shardweave.plans.lineage_cut import checkpoint_dir
 from shardweave.sources import read_limited, read_table, route_to_shard, write_records
 
@@ -167,3 +167,13 @@ def test_cuts_let_the_driver_forget_earlier_plans(spark):
     for _ in range(8):
         cut_lineage(spark.range(10))
     assert whole.getCollectionCount() == before + 2
+
+
+def test_a_dropped_cut_leaves_no_table(spark, tmp_path):
+    with cuts_in(str(tmp_path)):
+        first = cut_lineage(spark.range(10))
+        second = cut_lineage(first.where("id > 3"))
+        drop_cut(first)
+        assert [d.name for d in tmp_path.iterdir()] == ["cut-1"] and second.count() == 6
+        with pytest.raises(KeyError):  # only what a cut returned
+            drop_cut(second.where("id > 5"))
